@@ -34,6 +34,68 @@ SELECT d.doc_id, d.n AS n_shingles, coalesce(c.component_id, d.doc_id) AS compon
 FROM sized d LEFT JOIN classes k ON d.n > 0 AND k.s = d.s LEFT JOIN comp c ON c.node = k.node
 """
 
+
+OP5 = r"""
+WITH rows AS (
+  SELECT doc_id, length(coalesce(text, ''))::BIGINT AS n_chars,
+         sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+  FROM documents
+),
+groups AS (
+  SELECT text_sha256, count(*)::BIGINT AS group_size, max(n_chars) AS top FROM rows GROUP BY 1
+),
+keeps AS (
+  SELECT r.text_sha256, min(r.doc_id) AS keep_id FROM rows r JOIN groups g
+  ON r.text_sha256 = g.text_sha256 AND r.n_chars = g.top GROUP BY 1
+)
+SELECT r.doc_id, k.keep_id, g.group_size, r.doc_id = k.keep_id AS kept, r.text_sha256
+FROM rows r JOIN groups g USING (text_sha256) JOIN keeps k USING (text_sha256)
+"""
+
+
+def _matches(name: str, kind: int, pattern: str, keep: str = "true") -> str:
+    """Spans of one kind as a list of structs, from the pieces between the matches."""
+    pattern = pattern.replace("'", "''")
+    return f"""
+{name}_parts AS (
+  SELECT doc_id, regexp_extract_all(t, '{pattern}', 0) AS m, regexp_extract_all(t, '{pattern}', {2 if kind == 0 else 0}) AS v,
+         string_split_regex(t, '{pattern}') AS g
+  FROM texts
+),
+{name} AS (
+  SELECT doc_id, list_filter([
+    {{'start': list_sum(list_transform(g[1:i], lambda x: length(x)))::BIGINT + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0)::BIGINT,
+      'kind': {kind}, 'stop': list_sum(list_transform(g[1:i], lambda x: length(x)))::BIGINT + list_sum(list_transform(m[1:i], lambda x: length(x)))::BIGINT,
+      'v': v[i]}}
+    for i in range(1, len(m) + 1)], lambda s: {keep}) AS s
+  FROM {name}_parts
+)"""
+
+
+def _secrets() -> str:
+    from . import secrets
+
+    rules = list(secrets.RULES.items())
+    parts = ",".join(_matches(name, k, p, f"length(s.v) >= {secrets.ASSIGN_LENGTH}" if k == 0 else "true") for k, (name, p) in enumerate(rules))
+    names = "[" + ", ".join(f"'{n}'" for n, _ in rules) + "]"
+    lists = ", ".join(f"{n}.s" for n, _ in rules)
+    joins = " ".join(f"JOIN {n} USING (doc_id)" for n, _ in rules)
+    text = f"list_transform(list_sort(%s), lambda s: {names}[s.kind + 1] || ':' || s.start || ':' || s.stop)"
+    base = text % "list_filter(spans, lambda s: s.kind < 3)"
+    return f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), {parts},
+joined AS (SELECT texts.doc_id, t, flatten([{lists}]) AS spans FROM texts {joins})
+SELECT doc_id, len(list_filter(spans, lambda s: s.kind = 0))::BIGINT AS n_assign,
+       len(list_filter(spans, lambda s: s.kind = 1))::BIGINT AS n_access,
+       len(list_filter(spans, lambda s: s.kind = 2))::BIGINT AS n_hex,
+       sha256(array_to_string({base}, ',')) AS base_sha256,
+       array_to_string({text % "spans"}, ',') AS spans, sha256(t) AS blob
+FROM joined
+"""
+
+
 ORACLES = {
     "op1_minhash": OP1,
+    "op2_secrets": _secrets(),
+    "op5_exact": OP5,
 }
