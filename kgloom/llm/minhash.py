@@ -5,10 +5,13 @@ Signature: one permutation of the shingle space (sigma), then a second one (pi)
 Banding proposes pairs, and the exact Jaccard similarity of the full shingle sets decides.
 
 Scale.  Documents with equal shingle sets collapse into a class first.  A band bucket of m
-classes proposes m-1 pairs with its smallest member, never all pairs; members of one bucket
-that are still in different components afterwards are compared across components only.
-Texts travel once per proposed pair, grouped by the bucket's head with a salt per 512 pairs,
-so no task holds an unbounded group.
+classes proposes m-1 pairs with its smallest member, never all pairs.  Members of one bucket
+that are still in different components afterwards meet in blocks of bounded size: pairs whose
+signatures agree in at least AGREE of the 128 coordinates (a pair at the threshold agrees in
+96 on average; the chance to miss it is 4e-6) have their sets compared there, until one link
+joins the components; no pair is emitted but a confirmed link.
+Texts travel once per head pair, grouped by the bucket's head with a salt per 512 pairs, and
+once per block, so no task holds an unbounded group.
 
 Defined cases: null, empty or blank text has no shingles and is linked with nothing; under
 five words, the whole sequence is the one shingle.  Rows that repeat a doc_id count as one
@@ -31,6 +34,10 @@ BANDS, ROWS = 32, 4
 PERCENT = 75
 CHUNK = 1 << 20
 PAIRS_PER_SALT = 512
+BLOCK = 1024
+BLOCK_SHINGLES = 1 << 22
+OPEN_BROADCAST = 250_000
+AGREE = 74
 
 _LANES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -104,20 +111,23 @@ def band_keys(signature: np.ndarray, rows: int = ROWS) -> np.ndarray:
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, off = byte_column(batch.column(1))
-        n, one, two, bands = [], [], [], []
+        n, one, two, bands, sketch = [], [], [], [], []
         for s in shingle_sets(data, off):
             n.append(len(s))
             one.append(int(as_long(s.sum(dtype=np.uint64, keepdims=True))[0]) if len(s) else 0)
             two.append(int(as_long(mix64(s ^ np.uint64(0xA5A5A5A5)).sum(dtype=np.uint64, keepdims=True))[0]) if len(s) else 0)
-            bands.append(as_long(band_keys(circulant_signature(s))) if len(s) else np.zeros(0, np.int64))
+            coordinates = circulant_signature(s)
+            bands.append(as_long(band_keys(coordinates)) if len(s) else np.zeros(0, np.int64))
+            sketch.append(coordinates.astype(np.uint8).tobytes())
         cut = np.concatenate([[0], np.cumsum([len(b) for b in bands])]).astype(np.int32)
         keys = pa.ListArray.from_arrays(pa.array(cut), pa.array(np.concatenate([*bands, np.zeros(0, np.int64)])))
-        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), keys], names=["doc_id", "n_shingles", "set_a", "set_b", "bands"])
+        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), keys, pa.array(sketch, pa.binary())], names=["doc_id", "n_shingles", "set_a", "set_b", "bands", "sketch"])
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_a, set_b (fingerprint of the set), bands."""
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_signatures, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>")
+    """doc_id, n_shingles, set_a, set_b (fingerprint of the set), bands, sketch (a byte of each
+    coordinate)."""
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_signatures, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sketch binary")
 
 
 def _confirm(percent: int):
@@ -134,13 +144,7 @@ def _confirm(percent: int):
                     continue
                 if head != (group[i], salt[i]):
                     raise ValueError(f"no head for {group[i]}")
-                small, large = (s, held) if len(s) <= len(held) else (held, s)
-                if len(small) * 100 < percent * len(large):
-                    continue
-                at = np.searchsorted(large, small)
-                at[at == len(large)] = 0
-                both = int((large[at] == small).sum())
-                if 100 * both >= percent * (len(s) + len(held) - both):
+                if min(len(s), len(held)) * 100 >= percent * max(len(s), len(held)) and _jaccard(s, held, percent):
                     a.append(int(doc[i]))
                     b.append(int(group[i]))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -159,11 +163,77 @@ def confirmed(docs: DataFrame, pairs: DataFrame, percent: int = PERCENT) -> Data
     return rows.mapInArrow(_confirm(percent), "a long, b long").distinct()
 
 
+def _jaccard(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    small, large = (x, y) if len(x) <= len(y) else (y, x)
+    at = np.searchsorted(large, small)
+    at[at == len(large)] = 0
+    both = int((large[at] == small).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
+def _linked(rows: list[tuple], percent: int) -> list[tuple[int, int]]:
+    """Confirmed links of one block pair (band, p, q, node, component, size, own, sketch, text)."""
+    node, part, size, side = (np.array([r[i] for r in rows], np.int64) for i in (3, 4, 5, 6))
+    seen = np.frombuffer(b"".join(r[7] for r in rows), np.uint8).reshape(len(rows), -1)
+    p, q = rows[0][1], rows[0][2]
+    sets: dict[int, np.ndarray] = {}
+
+    def shingles(i: int) -> np.ndarray:
+        if i not in sets:
+            raw = rows[i][8].encode()
+            sets[i] = next(shingle_sets(np.frombuffer(raw, np.uint8), np.array([0, len(raw)])))
+        return sets[i]
+
+    out = []
+    right = np.flatnonzero(side == q)
+    for i in np.flatnonzero(side == p):
+        other = right[right > i] if p == q else right
+        other = other[(part[other] != part[i]) & (np.minimum(size[other], size[i]) * 100 >= percent * np.maximum(size[other], size[i]))]
+        for j in other[(seen[other] == seen[i]).sum(axis=1) >= AGREE]:
+            if part[i] != part[j] and _jaccard(shingles(i), shingles(j), percent):
+                out.append((int(max(node[i], node[j])), int(min(node[i], node[j]))))
+                part[part == part[j]] = part[i]
+    return out
+
+
+def _blocks(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        for batch in batches:
+            links: list[tuple[int, int]] = []
+            for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if rows and row[:3] != rows[0][:3]:
+                    links += _linked(rows, percent)
+                    rows = []
+                rows.append(row)
+            yield _pairs(links)
+        yield _pairs(_linked(rows, percent) if rows else [])
+
+    return run
+
+
+def _pairs(links: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+
+def across(docs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links (a, b) between components: members have band, node, component, size,
+    sketch and, of the bucket, n and the sum of sizes."""
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    rows = members.select("band", "node", "component", "size", own.alias("own"), "sketch", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    rows = rows.select("band", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "node", "component", "size", "own", "sketch")
+    rows = stored(rows, "open")
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text"))
+    rows = texts.join(checked_broadcast(rows, limit=OPEN_BROADCAST), "node").select("band", "p", "q", "node", "component", "size", "own", "sketch", F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.repartition("band", "p", "q").sortWithinPartitions("band", "p", "q")
+    return rows.mapInArrow(_blocks(percent), "a long, b long").distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, component (its smallest reachable node) for every end of an edge.  Alternates
     large-star and small-star steps, which need logarithmically many rounds."""
     now = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    before = None
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -171,10 +241,10 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).distinct()
         now = stored(small, "stars")
-        mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if mark == before:
+        # Done when all are stars: a leaf has one centre and is nobody's centre.
+        ends = now.select(F.col("u").alias("x"), F.lit(1).alias("leaf"), F.lit(0).alias("centre")).unionByName(now.select(F.col("v").alias("x"), F.lit(0).alias("leaf"), F.lit(1).alias("centre")))
+        if not ends.groupBy("x").agg(F.sum("leaf").alias("leaf"), F.max("centre").alias("centre")).where("leaf > 1 or leaf + centre > 1").limit(1).count():
             break
-        before = mark
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
@@ -198,16 +268,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     found = components(links)
     # Members of one bucket that are still apart: compare them across components, in blocks.
     placed = shared.join(found, "node", "left").select("band", "node", F.col("n_shingles").alias("size"), F.coalesce("component", "node").alias("component"))
-    mixed = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("band")
-    open_ = stored(placed.join(mixed, "band"), "open")
-    right = open_.select("band", F.col("node").alias("head"), F.col("size").alias("head_size"), F.col("component").alias("other"))
-    across = open_.join(right, "band").where((F.col("component") != F.col("other")) & (F.col("node") > F.col("head"))).where(fits)
-    rest = across.select(F.col("node").alias("a"), F.col("head").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-    rest = stored(rest, "rest")
-    if rest.limit(1).count():
-        links = links.unionByName(stored(confirmed(docs, rest, percent), "links2"))
-        found = components(links)
+    mixed = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"), F.sum("size").alias("shingles")).where("lo < hi").select("band", "n", "shingles")
+    sketches = marks.join(nodes, ["doc_id", "set_a", "set_b"], "left_semi").select(F.col("doc_id").alias("node"), "sketch").dropDuplicates(["node"])
+    open_ = placed.join(mixed, "band").join(sketches, "node")
+    more = stored(across(docs, open_, percent), "links2")
+    if more.limit(1).count():
+        found = components(links.unionByName(more))
     named = classes.join(found, "node", "left").select("set_a", "set_b", "n_shingles", F.coalesce("component", "node").alias("component_id"))
-    out = marks.drop("bands").join(named, ["set_a", "set_b", "n_shingles"], "left")
+    out = marks.drop("bands", "sketch").join(named, ["set_a", "set_b", "n_shingles"], "left")
     out = out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
