@@ -2,5 +2,181 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import fuzzy, text
+from ..model import Graph
+from ..operators import checks, cleanup, community, industry, linking, repairs, retrieval, supplementary
+from ..operators import graphops as g
+from . import project, twins
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def over(build: Callable[[Graph], DataFrame]) -> Query:
+    return lambda spark, sf_dir: build(project.graph(spark, sf_dir))
+
+
+def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return project.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+
+
+def first_vector(rows: DataFrame) -> DataFrame:
+    return rows.orderBy("id").limit(1).select(F.col("embedding").alias("q"))
+
+
+def rounded(rows: DataFrame, name: str, digits: int = 6) -> DataFrame:
+    return rows.withColumn(name, F.round(name, digits))
+
+
+def partition(graph: Graph) -> DataFrame:
+    return graph.nodes.where(checks.is_entity() & F.col("name").isNotNull()).groupBy(F.col("name").alias("node")).agg(F.min("label").alias("community"))
+
+
+def references(graph: Graph) -> DataFrame:
+    return graph.articles.select("article_id", F.concat(F.lit("https://guide.example/ch"), "chapter_number", F.lit("/"), (F.col("article_number") * 3) % 50).alias("url"), F.col("title").alias("text"))
+
+
+def generic_deletion(graph: Graph) -> DataFrame:
+    left = cleanup.delete_generic(graph)
+    return left.nodes.agg(F.count("*").alias("nodes_left")).crossJoin(left.edges.agg(F.count("*").alias("edges_left")))
+
+
+def name_equivalence(graph: Graph) -> DataFrame:
+    return graph.nodes.groupBy(text.normalize_name(F.col("name")).alias("normal")).agg(F.count("*").alias("n")).where("n > 1")
+
+
+def singularize(graph: Graph) -> DataFrame:
+    from ..rules import SINGULARS
+
+    table = graph.nodes.sparkSession.createDataFrame([(p,) for p in SINGULARS], "term string")
+    terms = table.unionByName(graph.nodes.where("name is not null").select(F.col("name").alias("term")).distinct())
+    return terms.select("term", text.singular(F.col("term")).alias("singular"))
+
+
+def fuzzy_ratio_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .. import rules
+
+    names = project.table(spark, sf_dir, "part").select(F.col("p_name").alias("term"))
+    keys = rules.industry_table(spark).select(F.col("term").alias("key")).distinct().withColumn("ord", F.lit(0))
+    return rounded(fuzzy.scored(names, keys, 60.0).select(F.col("term").alias("a"), F.col("key").alias("b"), "score"), "score")
+
+
+def industry_terms(graph: Graph) -> DataFrame:
+    return graph.nodes.where("label in ('Industry', 'Organization')").select(F.col("name").alias("term"))
+
+
+def industry_normalized(graph: Graph) -> DataFrame:
+    from .. import rules
+
+    found = industry.normalize(industry_terms(graph))
+    return found.where(~F.col("term").isin(rules.INDUSTRY_ORGANIZATIONS))
+
+
+def applies_to(graph: Graph) -> DataFrame:
+    """With a table of standards that the data has names of."""
+    known = graph.nodes.sparkSession.createDataFrame([("blue bolt", "automobile"), ("red plate", "rail")], "name string, industry string")
+    return linking.applies_to_backfill(graph.nodes, known)
+
+
+QUERIES: dict[str, Query] = {
+    "xlabel_winner": over(lambda x: g.cross_label_winners(x.nodes)),
+    "xlabel_merge_map": over(lambda x: g.cross_label_map(x.nodes)),
+    "samelabel_merge_map": over(lambda x: g.same_label_map(x.nodes)),
+    "merged_edges_after_dedup": over(lambda x: g.rewrite_edges(x.edges, g.cross_label_map(x.nodes))),
+    "merged_edges_same_label": over(lambda x: g.rewrite_edges(x.edges, g.same_label_map(x.nodes))),
+    "property_fold_dup_wins": over(lambda x: g.fold(x.nodes, g.cross_label_map(x.nodes), "dup_wins")),
+    "property_fold_fill_null": over(lambda x: g.fold(x.nodes, g.cross_label_map(x.nodes), "fill_null")),
+    "property_fold_union_longer": over(lambda x: g.fold(x.nodes, g.cross_label_map(x.nodes), "union_longer").withColumn("source_spans", F.array_join("source_spans", ","))),
+    "generic_deletion": over(generic_deletion),
+    "plural_merge_edges": over(lambda x: cleanup.merge_plurals(x).edges),
+    "label_backfill": over(lambda x: cleanup.backfill_labels(x.nodes).groupBy(F.array_join("labels", "+").alias("label_set")).agg(F.count("*").alias("n"))),
+    "normalize_names": over(lambda x: x.nodes.select("id", text.normalize_name(F.col("name")).alias("normal"))),
+    "name_equivalence": over(name_equivalence),
+    "entity_name_pass": over(lambda x: cleanup.normalize_names(x.nodes).select("id", "name", "display_name")),
+    "name_stats": over(checks.name_stats),
+    "generic_flag": over(lambda x: x.nodes.select("id", text.is_generic(F.col("name")).alias("generic"))),
+    "singularize": over(singularize),
+    "cleanup_disposition": over(lambda x: cleanup.dispositions(x.nodes).select("id", "action", "value", "renamed")),
+    "cleanup_buckets": over(lambda x: cleanup.buckets(x.nodes)),
+    "cleanup_candidates": over(cleanup.candidates),
+    "cleanup_preview": over(cleanup.preview),
+    "mislabel_first_word": over(lambda x: x.nodes.select("id", text.positive_first_word(F.col("name")).alias("flagged"))),
+    "mislabel_any_word": over(lambda x: x.nodes.where("name is not null").select("id", text.positive_any_word(F.col("name")).alias("flagged"))),
+    "fragments": over(lambda x: x.nodes.select("id", F.array_join(text.fragments(F.col("description")), "#").alias("fragments"))),
+    "fuzzy_ratio_pairs": fuzzy_ratio_pairs,
+    "industry_disposition": over(lambda x: industry.classify(industry_terms(x))),
+    "industry_consolidated": over(lambda x: industry.consolidation(x.nodes)),
+    "industry_bulk_rename": over(lambda x: industry.bulk_rename(x.nodes).select("id", "name")),
+    "industry_normalized": over(industry_normalized),
+    "orphan_chunks": over(checks.orphan_chunks),
+    "orphan_entities": over(checks.orphan_entities),
+    "duplicate_entities": over(checks.duplicate_entities),
+    "missing_embeddings": over(checks.missing_embeddings),
+    "industry_count": over(checks.industry_count),
+    "entity_stats": over(checks.entity_stats),
+    "invalid_patterns": over(checks.invalid_patterns),
+    "valid_pattern_edges": over(checks.valid_pattern_edges),
+    "article_coverage": over(checks.article_coverage),
+    "missing_chunk_ids": over(checks.missing_chunk_ids),
+    "missing_chunk_index": over(checks.missing_chunk_index),
+    "degenerate_chunks": over(checks.degenerate_chunks),
+    "plural_pairs": over(checks.plural_pairs),
+    "generic_entities": over(checks.generic_entities),
+    "relationship_counts": over(lambda x: checks.relationship_counts(x, "Concept")),
+    "unmentioned_entities": over(checks.unmentioned_entities),
+    "ghost_entities": over(checks.ghost_entities),
+    "near_duplicates": over(checks.near_duplicates),
+    "missing_definitions": over(checks.missing_definitions),
+    "truncated_titles": over(checks.truncated_titles),
+    "mislabeled_challenges": over(checks.mislabeled_challenges),
+    "chunk_article_mapping": over(checks.chunk_article_mapping),
+    "validation_summary": over(checks.summary),
+    "validation_passed": over(lambda x: checks.passed(checks.summary(x))),
+    "fix_chunk_index": over(lambda x: repairs.chunk_index(x).chunks.select("id", "article_id", "index")),
+    "fix_chunk_ids": over(lambda x: repairs.chunk_ids(x).chunks.select("id", "chunk_id")),
+    "fix_titles": over(lambda x: repairs.titles(x).webinars.select("id", "title")),
+    "fix_mislabeled": over(lambda x: repairs.mislabeled(x).nodes.select("id", "label")),
+    "fix_definitions": over(repairs.glossary_definitions),
+    "fix_generic": over(lambda x: repairs.generics(x).nodes.select("id")),
+    "fix_plural": over(lambda x: repairs.plurals(x).nodes.select("id")),
+    "fix_degenerate": over(lambda x: repairs.degenerate_chunks(x).chunks.select("id")),
+    "fix_preview": over(repairs.preview),
+    "fix_all": over(lambda x: repairs.apply(x).nodes.select("id", "label", "name", "definition")),
+    "mention_backfill": over(linking.mention_backfill),
+    "applies_to_backfill": over(applies_to),
+    "glossary_links": over(lambda x: rounded(linking.glossary_links(x), "score")),
+    "glossary_exact": over(lambda x: linking.glossary_links(x).where("how = 'exact'").select("term_id", "term")),
+    "glossary_top3": over(linking.glossary_top),
+    "chapter_structure": over(lambda x: supplementary.chapters(x.articles)),
+    "chapter_rollup": over(lambda x: supplementary.chapter_rollup(x.articles)),
+    "in_chapter_edges": over(lambda x: supplementary.in_chapter(x.articles)),
+    "definitions": over(lambda x: supplementary.definitions(x.definitions)),
+    "article_relationships": over(lambda x: supplementary.article_links(x.articles, references(x))),
+    "article_index": over(lambda x: supplementary.article_index(x.articles, x.chunks)),
+    "webinar_thumbnails": over(lambda x: supplementary.thumbnails(x.webinars)),
+    "resource_facts": over(lambda x: supplementary.resource_facts(x.webinars)),
+    "word_counts": over(lambda x: x.articles.select("article_id", text.word_count(F.col("text")).alias("words"), F.length("text").cast("long").alias("chars"))),
+    "diag_labels": over(supplementary.diagnose),
+    "diag_label_sets": over(lambda x: supplementary.label_sets(x.nodes)),
+    "diag_relations": over(lambda x: supplementary.relation_histogram(x, "Concept")),
+    "vector_topk": lambda s, d: rounded(retrieval.vector_topk(vectors(s, d), first_vector(vectors(s, d))), "score"),
+    "chunk_entities": over(lambda x: retrieval.chunk_entities(x, x.chunks.where("chunk_id is not null").select(F.col("id").alias("chunk_id")))),
+    "name_search": over(lambda x: retrieval.name_search(x, "Gear")),
+    "neighbourhood": over(lambda x: retrieval.neighbourhood(x, "Blue bolt")),
+    "two_hop": over(lambda x: retrieval.two_hop(x, "APPLIES_TO", "DEFINES", "Standard")),
+    "article_entities": over(retrieval.article_entities),
+    "bm25_topk": over(lambda x: rounded(retrieval.bm25(x.chunks, ["blue", "the", "on"]), "score")),
+    "retrieval_chain": lambda s, d: retrieval.chain(project.graph(s, d), vectors(s, d), first_vector(vectors(s, d))),
+    "semantic_edges": over(community.semantic_edges),
+    "modularity": over(lambda x: rounded(community.modularity(community.semantic_edges(x), partition(x)), "modularity", 9)),
+    "label_propagation": over(lambda x: community.label_propagation(community.semantic_edges(x), 3)),
+    "community_members": over(lambda x: community.members(x, partition(x))),
+    "louvain": over(lambda x: community.communities(community.semantic_edges(x))),
+    "community_summaries": over(lambda x: community.summaries(x, community.communities(community.semantic_edges(x)))),
+}
+
+ORACLES: dict[str, str] = {name: sql for name, sql in twins.ORACLES.items() if name in QUERIES}
