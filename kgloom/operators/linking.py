@@ -14,6 +14,11 @@ LEAST_NAME = 4
 GLOSSARY_AT = 85.0
 
 
+def _grams(n: int) -> F.Column:
+    all_ = F.transform(F.sequence(F.lit(1), F.size("words") - (n - 1)), lambda i: F.array_join(F.slice("words", i, F.lit(n)), " "))
+    return F.when(F.size("words") >= n, all_).otherwise(F.array().cast("array<string>"))
+
+
 def word_grams(texts: DataFrame, names: DataFrame) -> DataFrame:
     """id, name: every text that holds a name between spaces.
 
@@ -24,7 +29,7 @@ def word_grams(texts: DataFrame, names: DataFrame) -> DataFrame:
     if not lengths:
         return texts.select("id", F.col("text").alias("name")).limit(0)
     words = F.split(F.lower(F.col("text")), " ")
-    grams = [F.when(F.size("words") >= n, F.transform(F.sequence(F.lit(1), F.size("words") - (n - 1)), lambda i, n=n: F.array_join(F.slice("words", i, F.lit(n)), " "))).otherwise(F.array().cast("array<string>")) for n in lengths]
+    grams = [_grams(n) for n in lengths]
     rows = texts.select("id", words.alias("words")).select("id", F.explode(F.array_distinct(F.concat(*grams))).alias("name"))
     return rows.join(names, "name")
 

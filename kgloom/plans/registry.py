@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from ..functions import fuzzy, text
 from ..model import Graph
-from ..operators import checks, cleanup, community, industry, linking, repairs, retrieval, supplementary
+from ..operators import checks, chunking, cleanup, community, extraction, industry, linking, repairs, retrieval, supplementary
 from ..operators import graphops as g
+from ..sources import articles as article_source
+from ..sources import pages as page_source
+from ..sources import sinks
 from . import project, twins
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +85,67 @@ def applies_to(graph: Graph) -> DataFrame:
     return linking.applies_to_backfill(graph.nodes, known)
 
 
+def results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extractor outputs made from events: two entities and a relation, some fenced, some broken."""
+    k = F.col("event_id")
+    json = F.format_string('{"nodes": [{"id": "a", "label": "Concept", "properties": {"name": "%s"}}, {"id": "b", "label": "%s", "properties": {"name": "Blue Bolt"}}], "relationships": [{"type": "%s", "source": "%s", "target": "blue bolt"}]}', "event_type", F.when(k % 2 == 0, "Standard").otherwise("Planet"), F.when(k % 3 == 0, "DEFINES").when(k % 3 == 1, "").otherwise("EATS"), "event_type")
+    text_ = F.when(k % 5 == 0, F.concat(F.lit("```json\n"), json, F.lit("\n```"))).when(k % 7 == 0, "no json").otherwise(json)
+    return project.table(spark, sf_dir, "events").select(F.concat(F.lit("doc-"), k, F.lit("-0")).alias("chunk_id"), text_.alias("json"))
+
+
+def glean_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = extraction.parse_results(results(spark, sf_dir))
+    return parsed.select("chunk_id", F.size("nodes").cast("long").alias("n_nodes"), F.size("relationships").cast("long").alias("n_relationships"), "failed")
+
+
+def glean_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extraction.result_nodes(extraction.parse_results(results(spark, sf_dir)))
+    return found.groupBy("label", "name").agg(F.count("*").alias("mentions"))
+
+
+def glean_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = project.entities(spark, sf_dir)
+    new, _ = extraction.merge_nodes(nodes, extraction.parse_results(results(spark, sf_dir)))
+    both = nodes.select("id", "label", "name").unionByName(new.select("id", "label", "name"))
+    edges = extraction.merge_relationships(both, extraction.parse_results(results(spark, sf_dir)))
+    return edges.groupBy("type").agg(F.count("*").alias("n"))
+
+
+def first_words(graph: Graph) -> DataFrame:
+    """Dictionary terms of the data: the first word of every glossary term."""
+    return graph.definitions.select(F.lit("Concept").alias("label"), F.lower(F.get(F.split("term", " "), 0)).alias("name")).where("name <> ''").distinct()
+
+
+def dictionary_extract(graph: Graph) -> DataFrame:
+    rows = extraction.dictionary_mentions(graph.chunks, first_words(graph))
+    return rows.select("chunk_id", "name", "span")
+
+
+def source_spans(graph: Graph) -> DataFrame:
+    new, _ = extraction.augment(graph.nodes, extraction.dictionary_mentions(graph.chunks, first_words(graph)))
+    return new.select("label", "name", "display_name", F.size("source_spans").cast("long").alias("n_spans"))
+
+
+def sections_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with a heading before every fifth line, split at headings."""
+    lines = project.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    marked = lines.withColumn("line", F.when(F.col("pos") % 5 == 0, F.concat(F.when(F.col("pos") % 10 == 0, "# ").otherwise("## "), F.lit("H"), F.col("pos").cast("string"))).otherwise(F.col("line")))
+    return chunking.header_split(marked)
+
+
+def jsonl(graph: Graph) -> DataFrame:
+    records = sinks.jsonl_records(graph.articles.select("article_id", "title"), graph.definitions.select("term", "definition"), "guide")
+    return records.groupBy("type", "guide_title").agg(F.count("*").alias("n"), F.count("article_id").alias("with_article"), F.count("term").alias("with_term"))
+
+
+def page_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return article_source.articles(project.table(spark, sf_dir, "pages"))
+
+
+def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_articles(spark, sf_dir).select("article_id", F.inline("cross_references"))
+
+
 QUERIES: dict[str, Query] = {
     "xlabel_winner": over(lambda x: g.cross_label_winners(x.nodes)),
     "xlabel_merge_map": over(lambda x: g.cross_label_map(x.nodes)),
@@ -176,6 +240,19 @@ QUERIES: dict[str, Query] = {
     "label_propagation": over(lambda x: community.label_propagation(community.semantic_edges(x), 3)),
     "community_members": over(lambda x: community.members(x, partition(x))),
     "louvain": over(lambda x: community.communities(community.semantic_edges(x))),
+    "glean_parse": glean_parse,
+    "glean_merge_nodes": glean_nodes,
+    "glean_merge_edges": glean_edges,
+    "dictionary_extract": over(dictionary_extract),
+    "source_spans": over(source_spans),
+    "section_rows": sections_of,
+    "chunk_size_rule": lambda s, d: sections_of(s, d).groupBy((F.length("text") > 1500).alias("split"), (F.length("text") >= 100).alias("kept")).agg(F.count("*").alias("n")),
+    "chunk_recursive": lambda s, d: chunking.chunk(project.table(s, d, "documents").select(F.col("doc_id").alias("id"), "text")),
+    "jsonl_records": over(jsonl),
+    "html_facts": lambda s, d: page_source.text_facts(project.table(s, d, "pages")),
+    "html_text": lambda s, d: page_source.visible_text(project.table(s, d, "pages")),
+    "html_articles": lambda s, d: page_articles(s, d).select("article_id", "title", "markdown_content", F.size("sections").alias("n_sections"), F.array_join("key_concepts", "|").alias("key_concepts")),
+    "html_links": page_links,
     "community_summaries": over(lambda x: community.summaries(x, community.communities(community.semantic_edges(x)))),
 }
 

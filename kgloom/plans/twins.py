@@ -214,6 +214,12 @@ PREVIEW = ", p AS (" + " UNION ALL ".join(f"SELECT '{k}' AS repair, ({v})::BIGIN
 
 LINKS = ", refs AS (SELECT article_id, 'https://guide.example/ch' || chapter_number || '/' || (article_number * 3) % 50 AS url, title AS text FROM articles), urls AS (SELECT url, arg_max(article_id, article_number) AS target FROM articles GROUP BY 1) SELECT DISTINCT article_id AS src, 'REFERENCES' AS type, target AS dst, text FROM refs JOIN urls USING (url) WHERE article_id <> target"
 
+_TERMS = "terms AS (SELECT DISTINCT lower(string_split(term, ' ')[1]) AS name FROM definitions WHERE term <> '')"
+_HITS = f"{_TERMS}, hits AS (SELECT c.id AS chunk_id, t.name, instr(' ' || lower(c.text) || ' ', ' ' || t.name || ' ') - 1 AS s FROM chunks c JOIN terms t ON contains(' ' || lower(c.text) || ' ', ' ' || t.name || ' ') WHERE length(c.text) > 50)"
+_EVENTS = "ev AS (SELECT event_id AS k, 'doc-' || event_id || '-0' AS chunk_id, event_type, NOT (event_id % 5 = 0) AND event_id % 7 = 0 AS bad FROM events)"
+_SECTIONS = """heads AS (SELECT doc_id AS id, pos, text AS line, pos // 5 AS section FROM lines),
+ secs AS (SELECT id, (section + 1)::BIGINT AS section, trim(string_agg(line, chr(10) ORDER BY pos)) AS text, CASE WHEN (section * 5) % 10 = 0 THEN 'H' || (section * 5) ELSE 'H' || (section * 5 - 5) END AS h1, CASE WHEN (section * 5) % 10 = 5 THEN 'H' || (section * 5) END AS h2 FROM heads WHERE pos % 5 <> 0 GROUP BY id, section)"""
+
 QUERIES = {
     # merges
     "xlabel_winner": "SELECT name, winner, n_labels, n_nodes FROM winners",
@@ -305,6 +311,15 @@ QUERIES = {
     "semantic_edges": "SELECT source, target FROM semantic",
     "modularity": MODULARITY,
     "label_propagation": LABELS,
+    "glean_parse": f", {_EVENTS} SELECT chunk_id, CASE WHEN bad THEN 0 ELSE 2 END::BIGINT AS n_nodes, CASE WHEN bad THEN 0 ELSE 1 END::BIGINT AS n_relationships, bad AS failed FROM ev",
+    "glean_merge_nodes": f", {_EVENTS} SELECT label, name, count(*) AS mentions FROM (SELECT 'Concept' AS label, event_type AS name FROM ev WHERE NOT bad UNION ALL SELECT 'Standard', 'blue bolt' FROM ev WHERE NOT bad AND k % 2 = 0) GROUP BY 1, 2",
+    "glean_merge_edges": f", {_EVENTS}, all_names AS (SELECT id, lower(name) AS name FROM nodes WHERE name IS NOT NULL UNION SELECT 'new-' || event_type, event_type FROM ev WHERE NOT bad UNION SELECT 'new-bolt', 'blue bolt' WHERE NOT EXISTS (SELECT 1 FROM nodes WHERE label = 'Standard' AND name = 'blue bolt')), rel AS (SELECT DISTINCT event_type AS a, CASE k % 3 WHEN 0 THEN 'DEFINES' ELSE 'RELATED_TO' END AS type FROM ev WHERE NOT bad AND k % 3 <> 2) SELECT type, count(*) AS n FROM rel JOIN all_names x ON x.name = a JOIN all_names y ON y.name = 'blue bolt' GROUP BY 1",
+    "dictionary_extract": f", {_HITS} SELECT chunk_id, name, s || '-' || (s + length(name)) AS span FROM hits",
+    "source_spans": f", {_HITS} SELECT 'Concept' AS label, name, upper(name[1]) || lower(name[2:]) AS display_name, count(*) AS n_spans FROM hits WHERE length(name) >= 2 AND name NOT IN (SELECT name FROM entities WHERE name IS NOT NULL) GROUP BY 2",
+    "section_rows": f", {_SECTIONS} SELECT id, section, h1, h2, NULL::VARCHAR AS h3, text FROM secs WHERE text <> ''",
+    "chunk_size_rule": f", {_SECTIONS} SELECT length(text) > 1500 AS split, length(text) >= 100 AS kept, count(*) AS n FROM secs WHERE text <> '' GROUP BY 1, 2",
+    "jsonl_records": "SELECT 'article' AS type, 'guide' AS guide_title, count(*) AS n, count(*) AS with_article, 0::BIGINT AS with_term FROM articles UNION ALL SELECT 'glossary_term', 'guide', count(*), 0, count(*) FROM definitions",
+    "html_facts": r"SELECT page_id, trim(regexp_extract(html, '<title>(.*?)</title>', 1, 's'), chr(32) || chr(9) || chr(10)) AS title, len(regexp_extract_all(html, '<a href=\"([^\"]*)\"')) AS n_links, regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1) AS authority FROM pages",
     "community_members": f", part_of AS ({PARTITION}) SELECT community, count(*) AS member_count, count(DISTINCT label) AS labels FROM entities JOIN part_of ON node = name GROUP BY 1",
 }
 
