@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fuzzy, text
 from ..model import Graph
-from ..operators import checks, chunking, cleanup, community, extraction, industry, linking, repairs, retrieval, supplementary
+from ..operators import checks, chunking, cleanup, community, extraction, industry, linking, providers, repairs, retrieval, supplementary
 from ..operators import graphops as g
 from ..sources import articles as article_source
 from ..sources import pages as page_source
+from ..sources import preflight
 from ..sources import sinks
 from . import project, twins
 
@@ -146,6 +148,24 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_articles(spark, sf_dir).select("article_id", F.inline("cross_references"))
 
 
+def resource_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return supplementary.resources(page_articles(spark, sf_dir))
+
+
+def constraints(graph: Graph) -> DataFrame:
+    """constraint, broken: keys that are not unique, values that are missing."""
+    unique = {"article_id": (graph.articles, "article_id"), "article_url": (graph.articles, "url"), "chunk_id": (graph.chunks.where("chunk_id is not null"), "chunk_id"), "term_id": (graph.definitions, "term_id")}
+    rows = [preflight.unique(f, c).agg(F.lit(k).alias("constraint"), F.count("*").alias("broken")) for k, (f, c) in unique.items()]
+    rows += [preflight.present(f, c).agg(F.lit(k).alias("constraint"), F.count("*").alias("broken")) for k, (f, c) in {"chunk_article": (graph.chunks, "article_id"), "node_name": (graph.nodes, "name")}.items()]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def embedded(graph: Graph) -> DataFrame:
+    """Length and sum of the offline vectors of articles."""
+    rows = providers.embed(graph.articles.select("article_id", "text"), "text")
+    return rows.select("article_id", F.size("embedding").cast("long").alias("dimensions"), F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x).alias("words"))
+
+
 QUERIES: dict[str, Query] = {
     "xlabel_winner": over(lambda x: g.cross_label_winners(x.nodes)),
     "xlabel_merge_map": over(lambda x: g.cross_label_map(x.nodes)),
@@ -253,6 +273,12 @@ QUERIES: dict[str, Query] = {
     "html_text": lambda s, d: page_source.visible_text(project.table(s, d, "pages")),
     "html_articles": lambda s, d: page_articles(s, d).select("article_id", "title", "markdown_content", F.size("sections").alias("n_sections"), F.array_join("key_concepts", "|").alias("key_concepts")),
     "html_links": page_links,
+    "entity_fragments": over(lambda x: cleanup.fragmented(x.nodes, 10).withColumn("fragments", F.array_join("fragments", "#"))),
+    "entity_summaries": over(lambda x: cleanup.summarize(x.nodes)),
+    "resource_nodes": resource_nodes,
+    "constraint_checks": over(constraints),
+    "article_vectors": over(embedded),
+    "community_search": over(lambda x: providers.community_search(community.summaries(x, partition(x)), "blue bolt gear")),
     "community_summaries": over(lambda x: community.summaries(x, community.communities(community.semantic_edges(x)))),
 }
 
