@@ -27,7 +27,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     gone = exact.exact_duplicates(docs).where("not kept").select(F.col("doc_id").alias("gone"), "text_sha256").distinct()
     plain = F.translate(F.coalesce(F.col("text"), F.lit("")), exact.BLANKS.decode(), "")
     same = docs["doc_id"].eqNullSafe(F.col("gone")) & (F.sha2(plain, 256) == F.col("text_sha256"))
-    return docs.join(checked_broadcast(gone), same, "left_anti").select(COLUMNS)
+    return docs.join(checked_broadcast(gone, limit=250_000), same, "left_anti").select(COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

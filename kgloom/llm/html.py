@@ -30,6 +30,7 @@ from .common import checked_broadcast, stored
 
 TEMPLATE_PAGES = 10
 TEMPLATE_SHARE = 0.5
+HOST_BROADCAST = 50_000
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
@@ -234,5 +235,5 @@ def extract(pages: DataFrame, least: int = TEMPLATE_PAGES, share: float = TEMPLA
     """page_id, url, text, n_chars: one row per row of pages."""
     found = stored(templates(pages, least, share), "templates")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"), _host().alias("host"))
-    joined = rows.join(checked_broadcast(found), "host", "left").select("page_id", "url", "html", "hashes")
+    joined = rows.join(checked_broadcast(found, limit=HOST_BROADCAST), "host", "left").select("page_id", "url", "html", "hashes")
     return joined.mapInArrow(_extracted, "page_id long, url string, text string, n_chars long")
