@@ -4,8 +4,8 @@ Every language has a codeword; one binary classifier per bit, linear in hashed b
 predicts that bit.  Decoding adds up, for each codeword, the loss of all margins against its
 bits, and takes the nearest.  A text whose two nearest codewords are close is flagged.
 
-Learning takes at most SAMPLE_ROWS labelled rows, an equal share per language, picked by a
-hash of doc_id; their features (not texts) go to the driver.  Prediction reads text only.
+Learning takes at most SAMPLE_ROWS labelled rows, an equal share for each of the LANGUAGES
+most frequent labels, picked by a hash of doc_id; their features (not texts) go to the driver.  Prediction reads text only.
 
 Defined cases: null text, or text without letters, is `und` with score 0; so is every text if
 no row has a label.  Rows with a null doc_id count as held out.  One known language is
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from .common import byte_column, spans_of
 
 SAMPLE_ROWS = 1200
+LANGUAGES = 200
 FEATURES = 1 << 12
 RIDGE = 0.05
 EXHAUSTIVE = 6  # up to so many languages, the code has every split of them
@@ -112,7 +113,7 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model | None:
     known = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
     if not counts:
         return None
     each = max(1, rows // len(counts))
