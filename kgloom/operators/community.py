@@ -38,9 +38,10 @@ def label_propagation(edges: DataFrame, rounds: int = 3) -> DataFrame:
     neighbours and oneself, the least on ties.  Each round is one join and two aggregations."""
     sym = edges.select(F.col("source").alias("node"), F.col("target").alias("other")).unionByName(edges.select(F.col("target").alias("node"), F.col("source").alias("other")))
     nodes = sym.select("node").distinct()
-    sym = sym.unionByName(nodes.select("node", F.col("node").alias("other")))
+    sym = g.durable(sym.unionByName(nodes.select("node", F.col("node").alias("other"))))
     labels = nodes.select("node", F.col("node").alias("community"))
-    for _ in range(rounds):
+    for done in range(rounds):
+        labels = g.durable(labels) if done % 4 == 3 else labels
         votes = sym.join(labels.withColumnRenamed("node", "other"), "other").groupBy("node", "community").agg(F.count("*").alias("n"))
         labels = votes.groupBy("node").agg(F.min(F.struct((-F.col("n")).alias("n"), F.col("community"))).alias("best")).select("node", F.col("best.community").alias("community"))
     return labels

@@ -18,6 +18,12 @@ def ends(edges: DataFrame) -> DataFrame:
     return out.unionByName(edges.where("src <> dst").select(F.col("dst").alias("id"), F.col("src").alias("other"), "type", F.lit(False).alias("outgoing")))
 
 
+def durable(rows: DataFrame) -> DataFrame:
+    """rows, written to the shared checkpoint folder where the session names one, so that a
+    loop does not compute them again."""
+    return rows.checkpoint() if rows.sparkSession.sparkContext.getCheckpointDir() else rows
+
+
 def degree(edges: DataFrame) -> DataFrame:
     return ends(edges).groupBy("id").agg(F.count("*").alias("degree"))
 
