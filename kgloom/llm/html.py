@@ -42,7 +42,7 @@ _PAGE = frozenset("html body article main".split())
 _DROPPED = frozenset("head title script style noscript template nav header footer aside form button select option textarea input iframe object svg canvas dialog menu".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 # Words of a class or id that name what is not the article.
-_NAMES = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent notice notices gdpr sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs header masthead footer comment comments disqus replies share sharing social related newsletter subscribe popup modal form".split())
+_NAMES = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent notice notices alert gdpr sidebar sidebars widget widgets menu menus nav navbar navigation breadcrumb breadcrumbs pagination pager toolbar header masthead footer copyright disclaimer comment comments commentlist disqus discussion replies share sharing social related recommended newsletter subscribe subscription login search popup modal form".split())
 # A start tag of the key closes an open element of the value.
 _CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -53,10 +53,12 @@ _SPLIT = re.compile(r"[^a-z0-9]+")
 
 
 class Node:
-    __slots__ = ("attributes", "hash", "parts", "tag")
+    """`holds`: it has a page's main heading or main part inside, so its class cannot drop it."""
+
+    __slots__ = ("attributes", "hash", "holds", "parts", "tag")
 
     def __init__(self, tag: str, attributes: str = "") -> None:
-        self.tag, self.attributes, self.parts, self.hash = tag, attributes, [], 0
+        self.tag, self.attributes, self.parts, self.hash, self.holds = tag, attributes, [], 0, False
 
 
 def _close(stack: list[Node], tags: set[str], scope: set[str]) -> None:
@@ -98,6 +100,9 @@ def parse(page: str) -> Node:
                 _close(stack, _CLOSES[tag], _SCOPES[tag])
         node = Node(tag, match[3] or "")
         stack[-1].parts.append(node)
+        if tag in ("h1", "main"):
+            for above in stack:
+                above.holds = True
         if tag in _RAW:
             # Its content is text up to its own end tag.
             end = re.compile(rf"</{tag}[^>]*>", re.I).search(page, at)
@@ -136,7 +141,7 @@ def containers(root: Node) -> Iterator[Node]:
 def _unwanted(node: Node, inside: bool) -> bool:
     if node.tag in _DROPPED:
         return not (node.tag == "header" and inside and any(isinstance(p, Node) and p.tag in ("h1", "h2") for p in node.parts))
-    if not node.attributes or node.tag in _PAGE:
+    if not node.attributes or node.holds or node.tag in ("html", "body", "main"):
         return False
     for m in _ATTRIBUTE.finditer(node.attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()

@@ -176,6 +176,14 @@ def test_html_parser_cases():
     assert html.main_text(html.parse("<article><h1>T</h1><div class='comments'>c</div><!-- x --><p>a<b>b</b> c</p></article>")) == "T\n\nab c"
 
 
+def test_html_drops_by_name():
+    page = """<body class="has-sidebar"><header>Site</header><div class="layout with-sidebar"><main><article><div class="header"><h1>T</h1></div><p>One</p>
+    <div id="cookie-notice">c</div><aside>a</aside><div role="search">s</div><p hidden>h</p></article></main><section class="comments"><article class="comment"><p>Nice</p></article></section></div><footer>f</footer></body>"""
+    assert html.main_text(html.parse(page)) == "T\n\nOne"
+    page = """<div class="menu">m</div><article><h1>T</h1><p>One</p></article><div class="comments"><article class="comment"><p>Nice</p></article></div>"""
+    assert html.main_text(html.parse(page)) == "T\n\nOne"
+
+
 def test_codewords_are_apart():
     for k in (2, 3, 4, 5, 9):
         code = language.codewords(k)
