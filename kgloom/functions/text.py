@@ -85,3 +85,23 @@ def source_type(url: Column, brand: str, guide: str) -> Column:
     return (
         F.when(~url.contains(brand), "external").when(url.contains("/blog/"), "blog").when(url.contains(guide), "internal").when(url.contains(f"resources.{brand}"), "resource").otherwise("site")
     )
+
+
+# Domains of standards bodies.
+STANDARD_DOMAINS = "iso.org ieee.org incose.org faa.gov fda.gov rtca.org".split()
+
+
+def is_standard(domain: Column) -> Column:
+    held = [F.lower(domain).contains(d) for d in STANDARD_DOMAINS]
+    out = held[0]
+    for h in held[1:]:
+        out = out | h
+    return F.coalesce(out, F.lit(False))
+
+
+def watch_url(platform: Column, video_id: Column, url: Column) -> Column:
+    return F.when(platform == "youtube", F.concat(F.lit("https://www.youtube.com/watch?v="), video_id)).when(platform == "vimeo", F.concat(F.lit("https://vimeo.com/"), video_id)).otherwise(url)
+
+
+def article_url(explicit: Column, overview: Column) -> Column:
+    return F.coalesce(explicit, overview)

@@ -133,3 +133,15 @@ def summaries(graph: Graph, partition: DataFrame, least: int = 3, sample: int =
     first = g.first_k(rows.join(counts.select("community"), "community", "left_semi"), ["community"], sample, "name", "label", "id")
     text = first.groupBy("community").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("name", "label"))), lambda x: F.concat(x["name"], F.lit(" ("), x["label"], F.lit(")"))), "; ").alias("summary"))
     return counts.join(text, "community")
+
+
+def assign(graph: Graph, partition: DataFrame) -> DataFrame:
+    """Entity nodes with the community of their name, null where it has none."""
+    found = partition.select(F.col("node").alias("name"), "community")
+    return graph.nodes.where(is_entity()).join(found, "name", "left").select("id", "label", "name", "community")
+
+
+def membership(graph: Graph, partition: DataFrame) -> DataFrame:
+    """IN_COMMUNITY edges of the members."""
+    rows = assign(graph, partition).where("community is not null")
+    return rows.select(F.col("id").alias("src"), F.lit("IN_COMMUNITY").alias("type"), F.concat(F.lit("community-"), "community").alias("dst"))

@@ -105,3 +105,10 @@ def preview(graph: Graph) -> DataFrame:
     ]
     united = reduce(DataFrame.unionByName, rows)
     return united.unionByName(united.agg(F.lit("total").alias("repair"), F.sum("n").alias("n")))
+
+
+def preview_text(rows: DataFrame, cap: int = 10) -> str:
+    """A preview as text: a line per repair that would change something (nine at most)."""
+    found = [r for r in rows.collect() if r["n"] and r["repair"] != "total"]
+    lines = [f"{r['repair'].replace('_', ' ')}: {r['n']}" for r in sorted(found, key=lambda r: (-r["n"], r["repair"]))[:cap]]
+    return "\n".join(["Nothing to repair."] if not lines else ["Repairs:", *lines])

@@ -259,6 +259,8 @@ QUERIES: dict[str, Query] = {
     "modularity": over(lambda x: rounded(community.modularity(community.semantic_edges(x), partition(x)), "modularity", 9)),
     "label_propagation": over(lambda x: community.label_propagation(community.semantic_edges(x), 3)),
     "community_members": over(lambda x: community.members(x, partition(x))),
+    "community_assignment": over(lambda x: community.assign(x, partition(x)).select("id", "community")),
+    "in_community_edges": over(lambda x: community.membership(x, partition(x))),
     "louvain": over(lambda x: community.communities(community.semantic_edges(x))),
     "glean_parse": glean_parse,
     "glean_merge_nodes": glean_nodes,

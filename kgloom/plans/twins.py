@@ -324,6 +324,8 @@ QUERIES = {
     "entity_summaries": f"SELECT id, len(f) AS n_fragments, (SELECT string_agg(v, '; ' ORDER BY k) FROM (SELECT v, min(i) AS k FROM (SELECT unnest(f) AS v, generate_subscripts(f, 1) AS i) GROUP BY v)) AS summary FROM (SELECT id, {FRAGMENTS} AS f FROM entities WHERE description IS NOT NULL) WHERE len(f) >= 2",
     "constraint_checks": "SELECT 'article_id' AS \"constraint\", (SELECT count(*) FROM (SELECT article_id FROM articles GROUP BY 1 HAVING count(*) > 1)) AS broken UNION ALL SELECT 'article_url', (SELECT count(*) FROM (SELECT url FROM articles GROUP BY 1 HAVING count(*) > 1)) UNION ALL SELECT 'chunk_id', (SELECT count(*) FROM (SELECT chunk_id FROM chunks WHERE chunk_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1)) UNION ALL SELECT 'term_id', (SELECT count(*) FROM (SELECT term_id FROM definitions GROUP BY 1 HAVING count(*) > 1)) UNION ALL SELECT 'chunk_article', (SELECT count(*) FROM chunks WHERE article_id IS NULL) UNION ALL SELECT 'node_name', (SELECT count(*) FROM nodes WHERE name IS NULL)",
     "article_vectors": f"SELECT article_id, 64::BIGINT AS dimensions, len({_TOKENS})::DOUBLE AS words FROM articles",
+    "community_assignment": f", part_of AS ({PARTITION}) SELECT id, community FROM entities LEFT JOIN part_of ON node = name",
+    "in_community_edges": f", part_of AS ({PARTITION}) SELECT id AS src, 'IN_COMMUNITY' AS type, 'community-' || community AS dst FROM entities JOIN part_of ON node = name",
     "community_members": f", part_of AS ({PARTITION}) SELECT community, count(*) AS member_count, count(DISTINCT label) AS labels FROM entities JOIN part_of ON node = name GROUP BY 1",
 }
 

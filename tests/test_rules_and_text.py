@@ -76,3 +76,31 @@ def test_industry_terms(spark):
 def test_cosine(spark):
     rows = spark.createDataFrame([([1.0, 0.0], [0.0, 2.0]), ([1.0, 1.0], [2.0, 2.0])], "a array<float>, b array<float>")
     assert [r["x"] for r in rows.select(vector.score(F.col("a"), F.col("b")).alias("x")).collect()] == pytest.approx([0.5, 1.0])
+
+
+def test_urls(spark):
+    assert column(spark, ["www.ISO.org", "example.com", None], text.is_standard) == [True, False, False]
+    rows = spark.createDataFrame([("youtube", "a", "u"), ("vimeo", "b", "u"), (None, "c", "u")], "p string, v string, u string")
+    assert [r["x"] for r in rows.select(text.watch_url(F.col("p"), F.col("v"), F.col("u")).alias("x")).collect()] == ["https://www.youtube.com/watch?v=a", "https://vimeo.com/b", "u"]
+
+
+def test_retry_and_config(monkeypatch):
+    from kgloom.operators import providers
+
+    calls, waits = [], []
+
+    @providers.retried(TimeoutError, sleep=waits.append)
+    def flaky():
+        calls.append(1)
+        if len(calls) < 3:
+            raise providers.ProviderError("slow", TimeoutError())
+        return "done"
+
+    assert flaky() == "done" and len(waits) == 2
+    with pytest.raises(ValueError):
+        providers.retried(TimeoutError, sleep=waits.append)(lambda: int("x"))()
+    monkeypatch.setenv("KGLOOM_API_KEY", "secret")
+    assert "api_key" not in providers.Config.from_env(live=True).public()
+    monkeypatch.delenv("KGLOOM_API_KEY")
+    with pytest.raises(providers.ConfigError):
+        providers.Config.from_env(live=True)
