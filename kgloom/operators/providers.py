@@ -13,6 +13,8 @@ from collections.abc import Callable
 from dataclasses import asdict, dataclass, field
 from functools import wraps
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,10 +78,19 @@ class Config:
         return {k: v for k, v in asdict(self).items() if k != "api_key"}
 
 
+def _counted(dimensions: int):
+    @F.pandas_udf("array<float>")
+    def run(places: pd.Series) -> pd.Series:
+        return places.map(lambda p: None if p is None else np.bincount(p, minlength=dimensions).astype(np.float32))
+
+    return run
+
+
 def hashed_vector(text: Column, dimensions: int = 64) -> Column:
-    """A deterministic embedding: counts of words hashed to places; null text gives null."""
+    """A deterministic embedding: counts of words hashed to places; null text gives null.
+    Words and hashes stay in the JVM; Arrow batches carry the places to one bincount."""
     places = F.transform(retrieval.tokens(text), lambda t: F.pmod(F.xxhash64(t), F.lit(dimensions)).cast("int"))
-    return F.transform(F.sequence(F.lit(0), F.lit(dimensions - 1)), lambda i: F.size(F.filter(places, lambda p: p == i)).cast("float"))
+    return _counted(dimensions)(places)
 
 
 def embed(rows: DataFrame, column: str, dimensions: int = 64) -> DataFrame:
