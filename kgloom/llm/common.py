@@ -43,6 +43,18 @@ def checked_broadcast(df: DataFrame, rows: int | None = None, limit: int = BROAD
     return F.broadcast(df) if n <= limit else df
 
 
+BATCH_ROWS = 1000
+
+
+def bounded(rows: DataFrame) -> DataFrame:
+    """rows, in a session that hands Python at most BATCH_ROWS rows at once: at the default of
+    10,000, one batch of long texts fills a worker."""
+    conf, key = rows.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key, "10000")) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return rows
+
+
 def byte_column(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column and its n+1 offsets; null counts as empty."""
     if isinstance(col, pa.ChunkedArray):

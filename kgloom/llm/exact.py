@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_column, stored
+from .common import bounded, byte_column, stored
 
 OWNER_ROWS = 500_000
 MIN_OWNERS = 12
@@ -110,7 +110,7 @@ def _answer(codes: pd.DataFrame) -> pd.DataFrame:
 
 def exact_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256: one row per row of docs."""
-    n = docs.count()
+    n = bounded(docs).count()
     bits = min(62, max(1, n).bit_length() + SPARE_BITS)
     owners = max(MIN_OWNERS, -(-n // OWNER_ROWS))
     sent = stored(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_send(bits, owners), _SENT), "sent")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_column, mix64, spans_of
+from .common import bounded, byte_column, mix64, spans_of
 
 PRIME = (1 << 31) - 1
 BASES = (1_048_573_183, 772_209_841)
@@ -185,7 +185,7 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def neighbours(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = bounded(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     n = rows.count()
     parts = min(MAX_RANGES, -(-n // range_rows) or 1)
     share = [i / parts for i in range(1, parts)]

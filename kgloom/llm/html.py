@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checked_broadcast, stored
+from .common import bounded, checked_broadcast, stored
 
 TEMPLATE_PAGES = 10
 TEMPLATE_SHARE = 0.5
@@ -238,7 +238,7 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def extract(pages: DataFrame, least: int = TEMPLATE_PAGES, share: float = TEMPLATE_SHARE) -> DataFrame:
     """page_id, url, text, n_chars: one row per row of pages."""
-    found = stored(templates(pages, least, share), "templates")
+    found = stored(templates(bounded(pages), least, share), "templates")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"), _host().alias("host"))
     joined = rows.join(checked_broadcast(found, limit=HOST_BROADCAST), "host", "left").select("page_id", "url", "html", "hashes")
     return joined.mapInArrow(_extracted, "page_id long, url string, text string, n_chars long")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import byte_column, spans_of
+from .common import bounded, byte_column, spans_of
 
 SAMPLE_ROWS = 1200
 LANGUAGES = 200
@@ -112,7 +112,7 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model | None:
-    known = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    known = bounded(docs).where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
     if not counts:
         return None
@@ -142,7 +142,7 @@ def _predict(model: Model | None):
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, held_out, lang_pred, score, ambiguous: one row per row of docs."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.col("text").cast("string").alias("text"))
+    rows = bounded(docs).select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(_predict(model), "doc_id long, held_out boolean, lang_pred string, score double, ambiguous boolean")
 
 
@@ -157,5 +157,5 @@ def _accept(model: Model | None):
 
 def accepted(docs: DataFrame, model: Model | None) -> DataFrame:
     """The rows of docs, unchanged, whose text is in some learned language."""
-    rows = docs.withColumn("text", F.col("text").cast("string"))
+    rows = bounded(docs).withColumn("text", F.col("text").cast("string"))
     return rows.mapInArrow(_accept(model), rows.schema)

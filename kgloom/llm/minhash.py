@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_long, byte_column, checked_broadcast, mix64, powers, prefix_sums, spans_of, stored
+from .common import as_long, bounded, byte_column, checked_broadcast, mix64, powers, prefix_sums, spans_of, stored
 
 WIDTH = 5
 BANDS, ROWS = 32, 4
@@ -250,7 +250,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per row of docs."""
-    spark = docs.sparkSession
+    docs = bounded(docs)
     marks = stored(signatures(docs), "marks")
     classes = marks.where("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("node"))
     # A class is known by its smallest document; only that one is banded.

@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import bounded
+
 KINDS = ("email", "ip", "card", "phone")
 NONE = len(KINDS)
 LABELS = NONE + 1
@@ -256,7 +258,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Field:
     """Potentials from at most about `rows` rows, those least by a hash of doc_id."""
-    ids = docs.select(F.col("doc_id").alias("id")).where("doc_id is not null").distinct().orderBy(F.xxhash64("id"), "id").limit(rows)
+    ids = bounded(docs).select(F.col("doc_id").alias("id")).where("doc_id is not null").distinct().orderBy(F.xxhash64("id"), "id").limit(rows)
     sample = docs.join(F.broadcast(ids), docs["doc_id"] == ids["id"], "left_semi").select(F.col("text").cast("string"))
     counts = sample.mapInArrow(_counted, "part string, key string, a int, b int, n long").groupBy("part", "key", "a", "b").agg(F.sum("n").alias("n")).collect()
     own: dict[str, np.ndarray] = {}
@@ -294,7 +296,7 @@ def _scan(field: Field):
 
 def scan(docs: DataFrame, field: Field) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = bounded(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(_scan(field), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long")
 
 
@@ -325,7 +327,7 @@ def _redact(field: Field):
 
 def redact(docs: DataFrame, field: Field) -> DataFrame:
     """docs with personal data replaced in text; n_chars, if there, follows."""
-    rows = docs.withColumn("text", F.col("text").cast("string"))
+    rows = bounded(docs).withColumn("text", F.col("text").cast("string"))
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.col("n_chars").cast("long"))
     return rows.mapInArrow(_redact(field), rows.schema)
