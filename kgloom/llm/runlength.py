@@ -33,12 +33,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_long, byte_column, checked_broadcast, mix64, powers, prefix_sums, spans_of, stored
+from .common import as_long, bounded, byte_column, checked_broadcast, mix64, powers, prefix_sums, spans_of, stored
 
 LENGTH = 400
 ANCHOR = 64
 HOT = 1 << 14
 BUCKET_BYTES = 1 << 21
+PLACE_BROADCAST = 300_000  # rows of some 100 bytes each
 CHUNK = 1 << 20
 PIECE = 1 << 22
 
@@ -147,18 +148,23 @@ class RunLengthIndex:
         # Equal keys with a separator inside are told apart by which separator it is.
         apart = np.ones(total, bool)
         apart[1:] = (key[order[1:]] != key[order[:-1]]) | (self.left[order[1:]] < 7)
+        # The rank of a suffix is the first slot of its group; only groups of two and more are
+        # sorted again, by the rank of what follows.
+        slot = np.arange(total)
         rank = np.empty(total, np.int64)
-        rank[order] = np.cumsum(apart) - 1
+        rank[order] = np.maximum.accumulate(np.where(apart, slot, 0))
+        live = np.flatnonzero(~(apart & np.append(apart[1:], True)))
         width = 7
-        while rank[order[-1]] < total - 1:
-            after = np.zeros(total, np.int64)
-            if width < total:
-                after[:-width] = rank[width:] + 1
-            key = rank * (total + 1) + after
-            order = np.argsort(key)
-            key = key[order]
-            apart[1:] = key[1:] != key[:-1]
-            rank[order] = np.cumsum(apart) - 1
+        while len(live):
+            at = order[live]
+            after = at + width
+            key = rank[at] * (total + 1) + np.where(after < total, rank[np.minimum(after, total - 1)] + 1, 0)
+            turn = np.argsort(key)
+            key, at = key[turn], at[turn]
+            order[live] = at
+            new = np.append(True, key[1:] != key[:-1])
+            rank[at] = live[np.maximum.accumulate(np.where(new, np.arange(len(live)), 0))]
+            live = live[~(new & np.append(new[1:], True))]
             width *= 2
         return order
 
@@ -261,18 +267,19 @@ def _window_hashes(length: int):
 
 def repeated(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot: int = HOT, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """doc, spans: byte spans (array of start, stop structs) to remove from each row so keyed."""
-    rows = docs.select(_doc().alias("doc"), _text().alias("text"))
+    rows = bounded(docs).select(_doc().alias("doc"), _text().alias("text"))
     found = stored(rows.mapInArrow(_contexts_of(length, anchor), "doc long, start long, windows int, anchor long, context long"), "contexts")
     again = stored(found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "anchors")
     live = found.join(checked_broadcast(again), "anchor", "left_semi")
-    distinct = live.groupBy("anchor", "context", "windows").agg(F.count("*").alias("weight"), F.min("doc").alias("doc"))
-    # One place of each distinct context: in its least document, the least start.
-    where = live.join(distinct.select("anchor", "context", "windows", "doc", "weight"), ["anchor", "context", "windows", "doc"]).groupBy("anchor", "context", "windows", "doc").agg(F.min("start").alias("start"), F.max("weight").alias("weight"))
+    # A place of each distinct context, its least document and start; counts and places combine
+    # before they are shuffled, so a context with a third of all rows is no hot key.
+    where = live.groupBy("anchor", "context", "windows").agg(F.count("*").alias("weight"), F.min(F.struct("doc", "start")).alias("at"))
+    where = where.select("anchor", "context", "windows", "weight", "at.doc", "at.start")
     where = stored(where, "places")
     volume = where.agg(F.sum(F.col("windows") + (length - 1)), F.count("*")).first()
     buckets = max(1, -(-(volume[0] or 0) // bucket_bytes))
     wants = where.groupBy("doc").agg(F.collect_list(F.struct("anchor", "context", "windows", "weight", "start")).alias("wants"))
-    bodies = rows.join(checked_broadcast(wants, volume[1]), "doc").select("text", "wants").mapInArrow(_bodies(length), "anchor long, context long, windows int, weight long, body binary")
+    bodies = rows.join(checked_broadcast(wants, volume[1], PLACE_BROADCAST), "doc").select("text", "wants").mapInArrow(_bodies(length), "anchor long, context long, windows int, weight long, body binary")
     crowd = where.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("anchor")
     crowd = stored(crowd, "crowd")
     some = crowd.limit(1).count() > 0
@@ -330,5 +337,5 @@ def remove_repeats(docs: DataFrame, **options: int) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256: one row per row of docs."""
     spans = stored(repeated(docs, **options), "spans")
     rows = docs.select(_doc().alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), _text().alias("text"))
-    joined = rows.join(checked_broadcast(spans), "doc", "left").select("doc_id", "text", "spans")
+    joined = rows.join(checked_broadcast(spans, limit=PLACE_BROADCAST), "doc", "left").select("doc_id", "text", "spans")
     return joined.mapInArrow(_removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
