@@ -3,14 +3,17 @@
 Rules give the base spans.  Tokens with digits or an @ are the nodes of a field over the
 labels none, email, ip, card and phone.  A node's potential comes from the token's pattern,
 neighbouring nodes share a chain potential, and nodes whose tokens repeat (the same digits
-or the same address, however written) share a skip potential.  Nodes inside base spans are
-observed.  Loopy belief propagation labels the rest; runs of nodes with one label become
+or the same address, however written) each share a skip potential with the one hub of their
+token.  Nodes inside base spans are
+observed, and so is the hub of a token that the rules found anywhere in the document, so a
+repeat is labelled alike however far it is and however many there are.  Loopy belief propagation, run for each
+document until its messages stop changing, labels the rest; runs of nodes with one label become
 added spans if they hold an address or at least MIN_DIGITS digits.  Base spans always stay.
 
 Potentials are fitted piecewise, as log ratios of counts over at most SAMPLE_ROWS rows
 labelled by the rules.  All documents of a batch form one graph without edges between
 documents, so a pass costs a few array operations per batch; a token that repeats m times
-gets m-1 skip edges, not all pairs.
+gets m skip edges, not all pairs, and its mentions are two hops apart.
 
 Offsets are code points, ends exclusive.  Null text counts as empty.  Rows are independent:
 repeated rows and ids are each scanned.
@@ -18,6 +21,7 @@ repeated rows and ids are each scanned.
 
 from __future__ import annotations
 
+import dataclasses
 import hashlib
 import re
 from collections import Counter
@@ -35,8 +39,9 @@ KINDS = ("email", "ip", "card", "phone")
 NONE = len(KINDS)
 LABELS = NONE + 1
 SAMPLE_ROWS = 4000
-ROUNDS = 8
+CHANGE = 1e-4  # messages (logs) that change by less have converged
 DAMPING = 0.3
+PATIENCE = 200  # after so many rounds more, messages that swing are damped twice as much
 MIN_DIGITS = 7
 MIN_BELIEF = 0.6
 
@@ -127,11 +132,12 @@ def likeness(token: str) -> str:
 
 @dataclass
 class Field:
-    """Log potentials: of patterns, of neighbours, of repeated tokens."""
+    """Log potentials: of patterns, of neighbours, of repeated tokens and their hubs."""
 
     own: dict[str, np.ndarray]
     chain: np.ndarray
     skip: np.ndarray
+    hub: np.ndarray = dataclasses.field(default_factory=lambda: np.zeros(LABELS))
 
     def unary(self, key: str) -> np.ndarray:
         return self.own.get(key, _RARE)
@@ -147,10 +153,12 @@ class _Graph:
         self.where: list[tuple[int, int, int]] = []
         self.text: list[str] = []
         self.seen: list[int] = []
-        self.edges: tuple[list, list] = ([], [])
+        self.edges: tuple[list, list] = ([], [])  # between nodes; from nodes to hubs
+        self.hubs: list[tuple[int, Counter]] = []  # row, labels that the rules gave its mentions
+        self.repeats: list[tuple[int, int]] = []
 
     def add(self, row: int, text: str, spans: list[Span]) -> None:
-        first, last, at = len(self.where), {}, 0
+        first, last, hub, at = len(self.where), {}, {}, 0
         for start, end in tokens(text):
             node = len(self.where)
             while at < len(spans) and spans[at][2] <= start:
@@ -166,30 +174,51 @@ class _Graph:
                 self.edges[0].append((node - 1, node))
             if key := likeness(token):
                 if key in last:
-                    self.edges[1].append((last[key], node))
+                    if key not in hub:
+                        hub[key] = len(self.hubs)
+                        self.hubs.append((row, Counter([self.seen[last[key]]])))
+                        self.edges[1].append((last[key], hub[key]))
+                    self.edges[1].append((node, hub[key]))
+                    self.hubs[hub[key]][1][label] += 1
+                    self.repeats.append((last[key], node))
                 last[key] = node
             self.where.append((row, start, end))
             self.text.append(token)
             self.seen.append(label)
 
 
-def beliefs(unary: np.ndarray, edges: np.ndarray, pair: np.ndarray) -> np.ndarray:
-    """Marginals by loopy sum-product: unary (n, L), edges (m, 2), pair (m, L, L), all in logs."""
-    m, labels = len(edges), unary.shape[1]
+def beliefs(unary: np.ndarray, edges: np.ndarray, pair: np.ndarray, row: np.ndarray | None = None) -> np.ndarray:
+    """Marginals by loopy sum-product: unary (n, L), edges (m, 2), pair (m, L, L), all in logs.
+
+    Each row (n,) of nodes, by default all, is a graph of its own, which runs until its
+    messages stop changing; so its marginals do not depend on the others."""
+    n, labels = unary.shape
+    _, row = np.unique(np.zeros(n, int) if row is None else row, return_inverse=True)
     tail = np.concatenate([edges[:, 0], edges[:, 1]])
     head = np.concatenate([edges[:, 1], edges[:, 0]])
     both = np.concatenate([pair, pair.transpose(0, 2, 1)])
-    back = np.concatenate([np.arange(m, 2 * m), np.arange(m)])
-    sent = np.zeros((2 * m, labels))
-    total = unary.copy()
-    for _ in range(ROUNDS if m else 0):
+    back = np.concatenate([np.arange(len(edges), 2 * len(edges)), np.arange(len(edges))])
+    of = row[tail]
+    sent = np.zeros((len(tail), labels))
+    total, rounds = unary.copy(), 0
+    while len(tail):
         out = (total[tail] - sent[back])[:, :, None] + both
         top = out.max(axis=1, keepdims=True)
         new = top[:, 0] + np.log(np.exp(out - top).sum(axis=1))
         new -= new.max(axis=1, keepdims=True)
-        sent = DAMPING * sent + (1 - DAMPING) * new
-        total = unary.copy()
+        change = np.zeros(of.max() + 1)
+        np.maximum.at(change, of, np.abs(new - sent).max(axis=1))
+        step = (1 - DAMPING) * 0.5 ** (rounds // PATIENCE)
+        sent += step * (new - sent)
+        moving = np.zeros(n, bool)
+        moving[head] = True
+        total[moving] = unary[moving]
         np.add.at(total, head, sent)
+        rounds += 1
+        live = change[of] > CHANGE
+        if not live.all():
+            place = np.cumsum(live) - 1
+            tail, head, both, back, of, sent = tail[live], head[live], both[live], place[back[live]], of[live], sent[live]
     total -= total.max(axis=1, keepdims=True)
     p = np.exp(total)
     return p / p.sum(axis=1, keepdims=True)
@@ -197,14 +226,22 @@ def beliefs(unary: np.ndarray, edges: np.ndarray, pair: np.ndarray) -> np.ndarra
 
 def infer(graph: _Graph, field: Field) -> tuple[np.ndarray, np.ndarray]:
     """Label and its belief for each node; observed nodes are held to their label."""
-    seen = np.array(graph.seen)
+    seen, n = np.array(graph.seen), len(graph.seen)
     unary = np.array([field.unary(pattern(t)) for t in graph.text])
     fixed = seen < NONE
     unary[fixed] = -30.0
     unary[fixed, seen[fixed]] = 0.0
-    edges = np.array([*graph.edges[0], *graph.edges[1]], int).reshape(-1, 2)
-    pair = np.concatenate([np.repeat(p[None], len(e), axis=0) for p, e in zip((field.chain, field.skip), graph.edges, strict=True)])
-    p = beliefs(unary, edges, pair)
+    hubs = np.repeat(field.hub[None], len(graph.hubs), axis=0)
+    for hub, (_, labels) in enumerate(graph.hubs):
+        # What the rules found in one mention holds for the token, however many they missed.
+        if found := {k: c for k, c in labels.items() if k < NONE}:
+            hubs[hub] = -np.inf  # no number of repeats outvotes it
+            hubs[hub, list(found)] = np.log(np.array(list(found.values())) / sum(found.values()))
+    unary = np.concatenate([unary, hubs])
+    chain, skip = (np.array(e, int).reshape(-1, 2) for e in graph.edges)
+    pair = np.concatenate([np.repeat(p[None], len(e), axis=0) for p, e in zip((field.chain, field.skip), (chain, skip), strict=True)])
+    row = np.array([*[r for r, _, _ in graph.where], *[r for r, _ in graph.hubs]])
+    p = beliefs(unary, np.concatenate([chain, skip + [0, n]]), pair, row)[:n]
     return p.argmax(axis=1), p.max(axis=1)
 
 
@@ -249,7 +286,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             graph.add(row, text or "", base_spans(text or ""))
         for text, label in zip(graph.text, graph.seen, strict=True):
             count["own", pattern(text), label, 0] += 1
-        for name, edges in zip(("chain", "skip"), graph.edges, strict=True):
+        for name, edges in zip(("chain", "skip"), (graph.edges[0], graph.repeats), strict=True):
             for i, j in edges:
                 count[name, "", graph.seen[i], graph.seen[j]] += 1
         part, key, a, b = zip(*count, strict=True) if count else ((), (), (), ())
@@ -274,7 +311,8 @@ def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Field:
         p = c / c.sum()
         return np.log(p / (p.sum(axis=1, keepdims=True) * p.sum(axis=0, keepdims=True)))
 
-    return Field({k: np.log(v / v.sum()) for k, v in own.items()}, ratio(pairs["chain"]), ratio((pairs["skip"] + pairs["skip"].T) / 2))
+    skip = (pairs["skip"] + pairs["skip"].T) / 2
+    return Field({k: np.log(v / v.sum()) for k, v in own.items()}, ratio(pairs["chain"]), ratio(skip), np.log(skip.sum(axis=0) / skip.sum()))
 
 
 def written(spans: list[Span]) -> str:

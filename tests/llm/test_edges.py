@@ -153,6 +153,30 @@ def test_field_labels_repeated_tokens():
     assert pii.redacted(text, spans) == "[CARD] [CARD] and 123"
 
 
+def test_every_repeat_of_a_found_token_is_labelled():
+    import numpy as np
+
+    flat = np.zeros((5, 5))
+    own = {pii.pattern("15551234567"): np.log([0.01, 0.01, 0.01, 0.17, 0.8])}
+    field = pii.Field(own, flat, np.log(np.full((5, 5), 0.02) + np.eye(5)))
+    for repeats in (1, 9, 15, 400):
+        text = "+15551234567 or " + " or ".join(["15551234567"] * repeats)
+        (base, spans), _ = pii.all_spans([text, "15551234567 and 15551234567"], field)
+        assert base == [(0, 3, 12)] and spans == base + [(16 + 15 * i, 3, 27 + 15 * i) for i in range(repeats)]
+    assert pii.all_spans(["15551234567 and 15551234567"], field) == [([], [])]
+
+
+def test_beliefs_run_until_they_stop_changing():
+    import numpy as np
+
+    n, pair = 60, np.log(np.array([[0.95, 0.05], [0.05, 0.95]]))
+    unary = np.zeros((n, 2))
+    unary[0] = 0, -30
+    edges = np.array([[i, i + 1] for i in range(n - 1)])
+    want = [0.5 + 0.5 * 0.9**i for i in range(n)]
+    assert np.allclose(pii.beliefs(unary, edges, np.repeat(pair[None], n - 1, axis=0))[:, 0], want, atol=2e-3)
+
+
 def test_beliefs_are_exact_on_a_chain():
     import numpy as np
 
