@@ -1,16 +1,18 @@
 """Main text of web pages: site templates, then the article.
 
 Pages are parsed into trees.  The subtrees of containers are hashed and counted per host in
-Spark; one that recurs on many pages of its host is template and is deleted.  What is left
+Spark; one that recurs on TEMPLATE_PAGES pages of its host, each with other article text
+around it, is template and is deleted, so copies of one article do not make it template.  What is left
 loses menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
 comments, named by element, role or class; the text of the article's blocks remains.
 
-Scale.  A page sends each distinct subtree hash once and counts combine map-side, so a host
-with a third of all pages is no hot key.  As a template must recur on TEMPLATE_SHARE of a
-host's pages, a host has few of them (at most pages' mean number of containers / share);
-they are joined to the pages by host: broadcast when few in all, else a skew-split join.
+Scale.  A page sends each distinct subtree hash once, with a hash of the text around it; these
+are counted apart before hosts and hashes are, so a host with a third of all pages is no hot
+key.  Templates are rows of host and hash.  Up to TEMPLATE_ROWS of them go to the workers;
+beyond, they are joined to the pages' own hashes and only what a page has goes to it.
 
-Paragraphs and headings inside an article are never template: an article may quote another.
+Paragraphs, headings, list items and table rows inside an article are never template: an
+article may quote another.  Elsewhere an item is deleted if most of its list or row recurs.
 Defined cases: null or empty html gives an empty text; a null url belongs to the host "";
 unclosed elements close where the HTML rules imply it; repeated rows are separate pages.
 """
@@ -26,18 +28,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, checked_broadcast, stored
+from .common import bounded, stored
 
 TEMPLATE_PAGES = 10
-TEMPLATE_SHARE = 0.5
-HOST_BROADCAST = 50_000
+TEMPLATE_ROWS = 50_000
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
-_LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li td th dt dd pre blockquote".split())
+_ITEMS = frozenset("li td th dt dd tr thead tbody tfoot".split())
+_LEAVES = _ITEMS | frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote caption figcaption".split())
 _PAGE = frozenset("html body article main".split())
 _DROPPED = frozenset("head title script style noscript template nav header footer aside form button select option textarea input iframe object svg canvas dialog menu".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
@@ -169,6 +171,46 @@ def _articles(root: Node, template: frozenset) -> list[Node]:
     return [root]
 
 
+def _recurring(root: Node, template: frozenset) -> set[int]:
+    """Ids of the nodes to delete; items only where most of their parent's items recur."""
+    found = {id(n): n for n in containers(root) if n.hash in template}
+    items = {i for i, n in found.items() if n.tag in _ITEMS}
+    todo = [root] if items else []
+    while todo:
+        node = todo.pop()
+        below = [p for p in node.parts if isinstance(p, Node)]
+        todo += below
+        mine = [p for p in below if p.tag in _ITEMS and p.parts]
+        if 2 * sum(id(p) in items for p in mine) <= len(mine):
+            for p in mine:
+                found.pop(id(p), None)
+    return set(found)
+
+
+def around(root: Node) -> tuple[int, dict[int, int]]:
+    """A sum of hashes of the article's texts, and the part of it in each node (0 if not there)."""
+    order, within = [], {}
+    for article in _articles(root, frozenset()):
+        todo = [article]
+        while todo:
+            node = todo.pop()
+            order.append(node)
+            within[id(node)] = sum(xxhash.xxh64_intdigest(" ".join(p.split())) for p in node.parts if isinstance(p, str) and not p.isspace())
+            todo += [p for p in node.parts if isinstance(p, Node) and not _unwanted(p, True)]
+    for node in reversed(order):
+        within[id(node)] += sum(within.get(id(p), 0) for p in node.parts if isinstance(p, Node))
+    # Above an article, a node has what its articles have.
+    above, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        if id(node) not in within:
+            above.append(node)
+            todo += [p for p in node.parts if isinstance(p, Node)]
+    for node in reversed(above):
+        within[id(node)] = sum(within[id(p)] for p in node.parts if isinstance(p, Node))
+    return within[id(root)], within
+
+
 def main_text(root: Node, template: frozenset = frozenset()) -> str:
     """Blocks of the article, joined by an empty line."""
     blocks, words = [], []
@@ -179,7 +221,7 @@ def main_text(root: Node, template: frozenset = frozenset()) -> str:
         if text:
             blocks.append(text)
 
-    allowed = {id(n) for n in containers(root) if n.hash in template} if template else set()
+    allowed = _recurring(root, template) if template else set()
     for article in _articles(root, template):
         todo: list = [article]
         while todo:
@@ -204,41 +246,72 @@ def _host() -> F.Column:
     return F.coalesce(F.lower(F.regexp_extract(F.col("url").cast("string"), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
 
 
+def _key(host: str, page: str | None) -> int:
+    return xxhash.xxh64_intdigest(f"{host}\x00{page or ''}") - (1 << 63)
+
+
 def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The subtrees of each page, with the page and the article's text around them as hashes."""
     for batch in batches:
-        hosts, hashes = [], []
+        keys, hosts, hashes, texts = [], [], [], []
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             root = parse(page or "")
             hashed(root)
-            found = {n.hash for n in containers(root)}
+            total, within = around(root)
+            found: dict = {}
+            for n in containers(root):
+                found[n.hash] = found.get(n.hash, 0) + within[id(n)]
+            keys += [_key(host, page)] * len(found)
             hosts += [host] * len(found)
             hashes += found
-        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64())], names=["host", "hash"])
+            texts += [(total - part) % (1 << 64) - (1 << 63) for part in found.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(hosts, pa.string()), pa.array(hashes, pa.int64()), pa.array(texts, pa.int64())], names=["page", "host", "hash", "around"])
 
 
-def templates(pages: DataFrame, least: int = TEMPLATE_PAGES, share: float = TEMPLATE_SHARE) -> DataFrame:
-    """host, hashes: the subtrees that recur on `share` of the host's pages, `least` at least."""
+def subtrees(pages: DataFrame) -> DataFrame:
+    """page, host, hash, around: each distinct subtree of each page."""
     rows = pages.select(_host().alias("host"), F.col("html").cast("string").alias("html"))
-    counts = rows.mapInArrow(_seen, "host string, hash long").groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    sizes = rows.groupBy("host").agg(F.count("*").alias("pages"))
-    often = counts.join(sizes, "host").where(F.col("n") >= share * F.col("pages"))
-    return often.groupBy("host").agg(F.collect_list("hash").alias("hashes"))
+    return rows.mapInArrow(_seen, "page long, host string, hash long, around long")
+
+
+def templates(pages: DataFrame, least: int = TEMPLATE_PAGES) -> DataFrame:
+    """host, hash: the subtrees that `least` different article texts of the host have around them."""
+    apart = subtrees(pages).select("host", "hash", "around").distinct()
+    return apart.groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= least).select("host", "hash")
 
 
-def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _extracted(of: dict[str, frozenset] | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            own = batch.column(3).to_pylist()
+            for page, mine in zip(batch.column(2).to_pylist(), own, strict=True):
+                root = parse(page or "")
+                template = frozenset(mine or ()) if of is None else of.get(mine, frozenset())
+                if template:
+                    hashed(root)
+                texts.append(main_text(root, template))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
+
+    return run
+
+
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = []
-        for page, hashes in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            root = parse(page or "")
-            if hashes:
-                hashed(root)
-            texts.append(main_text(root, frozenset(hashes or ())))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
+        keys = [_key(host, page) for page, host in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], names=["page_id", "url", "html", "host", "page"])
 
 
-def extract(pages: DataFrame, least: int = TEMPLATE_PAGES, share: float = TEMPLATE_SHARE) -> DataFrame:
-    """page_id, url, text, n_chars: one row per row of pages."""
-    found = stored(templates(bounded(pages), least, share), "templates")
+def extract(pages: DataFrame, least: int = TEMPLATE_PAGES, few: int = TEMPLATE_ROWS) -> DataFrame:
+    """page_id, url, text, n_chars: one row per row of pages; `few` does not change them."""
+    found = stored(templates(bounded(pages), least), "templates")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"), _host().alias("host"))
-    joined = rows.join(checked_broadcast(found, limit=HOST_BROADCAST), "host", "left").select("page_id", "url", "html", "hashes")
-    return joined.mapInArrow(_extracted, "page_id long, url string, text string, n_chars long")
+    made = "page_id long, url string, text string, n_chars long"
+    if found.count() <= few:
+        of: dict = {}
+        for r in found.collect():
+            of.setdefault(r["host"], set()).add(r["hash"])
+        return rows.mapInArrow(_extracted({k: frozenset(v) for k, v in of.items()}), made)
+    own = subtrees(pages).join(found, ["host", "hash"], "left_semi").groupBy("page").agg(F.collect_set("hash").alias("hashes"))
+    keyed = rows.mapInArrow(_keyed, "page_id long, url string, html string, host string, page long")
+    return keyed.join(own, "page", "left").select("page_id", "url", "html", "hashes").mapInArrow(_extracted(None), made)

@@ -197,6 +197,25 @@ def test_template_subtrees_go(spark):
     assert html.extract(pages.limit(0)).collect() == []
 
 
+def test_templates_of_a_section_go_and_copies_stay(spark):
+    page = "<body><div><p>{0}</p></div><article><p>Text {1}</p><div>{2}</div><table><tr><td>Yes</td></tr><tr><td>No {1}</td></tr></table></article></body>"
+    rows = [(i, f"https://h.example/{i}", page.format("Tips" if i < 12 else f"Tip {i}", i, "Read on" if i < 12 else f"Other {i}")) for i in range(30)]
+    # One article under twelve addresses, of a host with many pages.
+    rows += [(i, f"https://h.example/{i}", "<body><article><div>All of it</div><div>And more</div></article></body>") for i in range(30, 42)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for few in (html.TEMPLATE_ROWS, 0):
+        got = {r["page_id"]: r["text"] for r in html.extract(pages, few=few).collect()}
+        assert got[3] == "Text 3\n\nYes\n\nNo 3" and got[20] == "Text 20\n\nOther 20\n\nYes\n\nNo 20"
+        assert got[35] == "All of it\n\nAnd more" and len(got) == 42
+
+
+def test_items_go_with_their_list(spark):
+    page = "<body><ul><li>Home<li>News<li>Page {0}</ul><h1>T {0}</h1><ul><li>Salt<li>Rice {0}<li>Oil {0}</ul></body>"
+    rows = [(i, f"https://h.example/{i}", page.format(i)) for i in range(12)]
+    got = {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[3] == "Page 3\n\nT 3\n\nSalt\n\nRice 3\n\nOil 3"
+
+
 def test_pipeline_on_edges(spark, docs, empty):
     for table in (docs, empty):
         rows = table
