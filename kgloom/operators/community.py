@@ -12,8 +12,8 @@ from .. import rules
 from ..model import Graph, is_entity
 from . import graphops as g
 
-# Louvain moves nodes one at a time, so it runs in one task; beyond this, label propagation.
-LOUVAIN_EDGES = 200_000
+# About so many edges of whole components go to one task; this does not change results.
+TASK_EDGES = 20_000
 
 
 def semantic_edges(graph: Graph) -> DataFrame:
@@ -47,14 +47,13 @@ def label_propagation(edges: DataFrame, rounds: int = 3) -> DataFrame:
     return labels
 
 
-def _louvain(gamma: float):
+def _louvain(gamma: float, total: float):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         weight: dict = defaultdict(lambda: defaultdict(float))
         for a, b in sorted(zip(rows["source"], rows["target"], strict=True)):
             weight[a][b] += 1.0
             weight[b][a] += 1.0
         member = {n: n for n in weight}
-        total = sum(sum(w.values()) for w in weight.values())
         while True:
             degree = {n: sum(w.values()) for n, w in weight.items()}
             home = {n: n for n in weight}
@@ -104,12 +103,34 @@ def _louvain(gamma: float):
     return run
 
 
-def communities(edges: DataFrame, gamma: float = 1.0, limit: int = LOUVAIN_EDGES) -> DataFrame:
-    """node, community: Louvain with connected communities where the counted edges fit one
-    task, label propagation beyond."""
-    if edges.count() <= limit:
-        return edges.withColumn("whole", F.lit(0)).groupBy("whole").applyInPandas(_louvain(gamma), "node string, community string")
-    return label_propagation(edges, 10)
+def components(edges: DataFrame) -> DataFrame:
+    """node, component: the least node that is connected; rounds as the logarithm of paths."""
+    sym = g.durable(edges.select(F.col("source").alias("node"), F.col("target").alias("other")).union(edges.select("target", "source")).distinct())
+    labels, changed = sym.groupBy("node").agg(F.least("node", F.min("other")).alias("component")), 1
+    while changed:
+        near = sym.join(labels.select(F.col("node").alias("other"), F.col("component").alias("c")), "other").groupBy("node").agg(F.min("c").alias("c"))
+        new = labels.join(near, "node").select("node", F.col("component").alias("old"), F.least("component", "c").alias("via"))
+        # The label's own label, so that chains of labels shorten by half.
+        far = new.select(F.col("node").alias("via"), F.col("via").alias("component"))
+        done = new.join(far, "via").select("node", "old", "component")
+        done = done.checkpoint() if done.sparkSession.sparkContext.getCheckpointDir() else done.localCheckpoint()
+        changed = done.where("old <> component").count()
+        labels = done.select("node", "component")
+    return labels
+
+
+def communities(edges: DataFrame, gamma: float = 1.0, task_edges: int = TASK_EDGES) -> DataFrame:
+    """node, community: Louvain with connected communities, at every size.
+
+    Given the number of all edges, components do not depend on each other, so tasks take whole ones."""
+    n = edges.count()
+    tasks = -(-n // task_edges)
+    if tasks > 1:
+        found = components(edges).select(F.col("node").alias("source"), F.pmod(F.xxhash64("component"), F.lit(tasks)).alias("task"))
+        edges = edges.join(found, "source")
+    else:
+        edges = edges.withColumn("task", F.lit(0))
+    return edges.groupBy("task").applyInPandas(_louvain(gamma, 2.0 * n), "node string, community string")
 
 
 def numbered(partition: DataFrame) -> DataFrame:

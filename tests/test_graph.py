@@ -132,3 +132,11 @@ def test_report(graph, tmp_path):
     target = tmp_path / "r.md"
     assert report.save(text, str(target)) is None
     assert report.save(text, str(target)) and len(list(tmp_path.iterdir())) == 2
+
+
+def test_communities_are_those_of_louvain_at_every_size(spark):
+    edges = spark.createDataFrame([(f"{k}-{i}", f"{k}-{j}") for k in range(9) for i in range(8) for j in range(i) if (i < 4) == (j < 4) or (i, j) == (4, 0)], "source string, target string")
+    assert sorted(community.communities(edges, task_edges=5).collect()) == sorted(community.communities(edges).collect())
+    # 210,000 edges in 7,000 paths: with so many edges a path is one community.
+    paths = spark.range(210_000).selectExpr("concat(id div 30, '-', lpad(id % 30, 2, '0')) as source", "concat(id div 30, '-', lpad(id % 30 + 1, 2, '0')) as target")
+    assert community.communities(paths).select("community").distinct().count() == 7000
