@@ -4,11 +4,12 @@ Every language has a codeword; one binary classifier per bit, linear in hashed b
 predicts that bit.  Decoding adds up, for each codeword, the loss of all margins against its
 bits, and takes the nearest.  A text whose two nearest codewords are close is flagged.
 
-Learning takes at most SAMPLE_ROWS labelled rows, an equal share for each of the LANGUAGES
-most frequent labels, picked by a hash of doc_id; their features (not texts) go to the driver.  Prediction reads text only.
+Learning takes about SAMPLE_ROWS labelled rows, an equal share for every label and LEAST_ROWS
+of it at least, picked by a hash of doc_id; their features (not texts) go to the driver, 8 kB a
+row.  Prediction reads text only.
 
 Defined cases: null text, or text without letters, is `und` with score 0; so is every text if
-no row has a label.  Rows with a null doc_id count as held out.  One known language is
+no row has a label, and the pipeline then keeps all text with letters.  Rows with a null doc_id count as held out.  One known language is
 predicted for all text with letters.
 """
 
@@ -23,10 +24,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded, byte_column, spans_of
+from .common import bounded, byte_column, checked_broadcast, spans_of, stored
 
 SAMPLE_ROWS = 1200
-LANGUAGES = 200
+LEAST_ROWS = 6
 FEATURES = 1 << 12
 RIDGE = 0.05
 EXHAUSTIVE = 6  # up to so many languages, the code has every split of them
@@ -69,7 +70,7 @@ def codewords(classes: int) -> np.ndarray:
         return np.array(splits, float).T
     rng = np.random.default_rng(0)
     bits = 12 * int(np.ceil(np.log2(classes)))
-    apart = lambda m: ((m[:, None] != m[None]).sum(-1) + bits * np.eye(len(m), dtype=int)).min()
+    apart = lambda m: ((bits - m @ m.T) / 2 + bits * np.eye(len(m))).min()
     return max((rng.choice([-1.0, 1.0], (classes, bits)) for _ in range(200)), key=apart)
 
 
@@ -94,11 +95,16 @@ class Model:
 def fit(x: np.ndarray, languages: list[str]) -> Model:
     names = sorted(set(languages))
     code = codewords(len(names))
-    target = code[[names.index(v) for v in languages]]
+    place = {v: i for i, v in enumerate(names)}
+    target = code[[place[v] for v in languages]]
     bias = target.mean(axis=0)
-    # Ridge regression through the Gram matrix of the sample.
-    gram = x @ x.T + RIDGE * len(x) ** 0.5 * np.eye(len(x))
-    return Model(names, code, (x.T @ np.linalg.solve(gram, target - bias)).astype(np.float32), bias)
+    # Ridge regression through the Gram matrix of the sample, or that of the features if smaller.
+    ridge = RIDGE * len(x) ** 0.5
+    if len(x) <= x.shape[1]:
+        weights = x.T @ np.linalg.solve(x @ x.T + ridge * np.eye(len(x)), target - bias)
+    else:
+        weights = np.linalg.solve(x.T @ x + ridge * np.eye(x.shape[1]), x.T @ (target - bias))
+    return Model(names, code, weights.astype(np.float32), bias)
 
 
 def held_out() -> F.Column:
@@ -113,13 +119,15 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model | None:
     known = bounded(docs).where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
-    if not counts:
+    counts = stored(known.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("n")), "labels")
+    labels = counts.count()
+    if not labels:
         return None
-    each = max(1, rows // len(counts))
+    each = max(LEAST_ROWS, rows // labels)
     # Twice the share by hash first, so that the exact cut ranks few ids.
-    part = F.coalesce(*[F.when(F.col("lang") == k, F.lit(min(1.0, 2 * (each + 20) / n))) for k, n in counts.items()])
-    near = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < part * (1 << 30)).select("doc_id", F.col("lang").alias("of"))
+    part = F.least(F.lit(1.0), F.lit(2.0 * (each + 20)) / F.col("n"))
+    joined = known.select("doc_id", F.col("lang").alias("of")).join(checked_broadcast(counts, labels), "of")
+    near = joined.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < part * (1 << 30)).select("doc_id", "of")
     rank = F.row_number().over(Window.partitionBy("of").orderBy(F.xxhash64("doc_id"), "doc_id"))
     ids = near.distinct().withColumn("rank", rank).where(F.col("rank") <= each)
     texts = known.join(F.broadcast(ids), (known["doc_id"] == ids["doc_id"]) & (known["lang"] == ids["of"]), "left_semi").select(F.col("text").cast("string"), "lang")
@@ -149,13 +157,13 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 def _accept(model: Model | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [x is not None and model is not None and model.decode(x)[0] != UNKNOWN for x in features(*byte_column(batch.column("text")))]
+            keep = [x is not None and (model is None or model.decode(x)[0] != UNKNOWN) for x in features(*byte_column(batch.column("text")))]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
 def accepted(docs: DataFrame, model: Model | None) -> DataFrame:
-    """The rows of docs, unchanged, whose text is in some learned language."""
+    """The rows of docs, unchanged, whose text is in some learned language; has letters, if none was learned."""
     rows = bounded(docs).withColumn("text", F.col("text").cast("string"))
     return rows.mapInArrow(_accept(model), rows.schema)

@@ -90,6 +90,18 @@ def test_language_without_letters(docs):
     assert got[7][0]["lang_pred"] == "en" and got[None][0]["held_out"]
 
 
+def test_every_label_is_learned(spark, docs):
+    rows = [(i, "".join(chr(0x4E00 + 60 * (i % 230) + j) for j in range(i % 7, 60)), f"l{i % 230:03}") for i in range(230 * 12)]
+    model = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == [f"l{i:03}" for i in range(230)]
+
+
+def test_documents_stay_where_no_language_is_known(docs):
+    unknown = docs.drop("lang").selectExpr("*", "cast(null as string) as lang")
+    assert language.train(unknown) is None
+    assert set(found(language.accepted(unknown, None))) == {4, 5, 6, None, 7, 8, 9, 10, 12, 13, 14}
+
+
 def test_prefix_hashes():
     import numpy as np
 
