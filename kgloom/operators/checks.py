@@ -21,12 +21,12 @@ def orphan_chunks(graph: Graph) -> DataFrame:
     return one(graph.chunks.where("article_id is null"), "orphan_chunks")
 
 
-def orphan_entities(graph: Graph, limit: int = 100) -> DataFrame:
+def orphan_entities(graph: Graph, limit: int | None = 100) -> DataFrame:
     lonely = graph.nodes.where(is_entity()).join(g.ends(graph.edges).select("id"), "id", "left_anti")
     return g.top(lonely.select("id", "label", "name"), limit, "id")
 
 
-def duplicate_entities(graph: Graph, limit: int = 50) -> DataFrame:
+def duplicate_entities(graph: Graph, limit: int | None = 50) -> DataFrame:
     groups = graph.nodes.where(is_entity()).groupBy("label", "name").agg(F.count("*").alias("n")).where("n > 1")
     return g.top(groups, limit, F.desc("n"), "label", F.asc_nulls_first("name"))
 
@@ -52,7 +52,7 @@ def typed_edges(graph: Graph) -> DataFrame:
     return graph.edges.join(a, "src").join(b, "dst").select("src", "dst", "source_label", "type", "target_label")
 
 
-def invalid_patterns(graph: Graph, limit: int = 20) -> DataFrame:
+def invalid_patterns(graph: Graph, limit: int | None = 20) -> DataFrame:
     allowed = rules.pattern_table(graph.edges.sparkSession)  # 55 rows
     bad = typed_edges(graph).join(F.broadcast(allowed), ["source_label", "type", "target_label"], "left_anti")
     return g.top(bad.groupBy("source_label", "type", "target_label").agg(F.count("*").alias("n")), limit, F.desc("n"), "source_label", "type", "target_label")
@@ -84,7 +84,7 @@ def plural_map(nodes: DataFrame) -> DataFrame:
     return a.join(two.select("label", F.col("name").alias("plural_name"), F.col("id").alias("plural_id")), ["label", "plural_name"])
 
 
-def plural_pairs(graph: Graph, limit: int = 100) -> DataFrame:
+def plural_pairs(graph: Graph, limit: int | None = 100) -> DataFrame:
     d = g.degree(graph.edges)
     pairs = plural_map(graph.nodes).join(d.select(F.col("id").alias("singular_id"), F.col("degree").alias("singular_rels")), "singular_id", "left").join(d.select(F.col("id").alias("plural_id"), F.col("degree").alias("plural_rels")), "plural_id", "left")
     zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
@@ -107,34 +107,34 @@ def mentioned(graph: Graph) -> DataFrame:
     return graph.edges.where(F.col("type") == rules.MENTION).join(chunks, "dst", "left_semi").select(F.col("src").alias("id"), F.col("dst").alias("chunk_id"))
 
 
-def degenerate_chunks(graph: Graph, least: int = rules.MIN_CHUNK, limit: int = 50) -> DataFrame:
+def degenerate_chunks(graph: Graph, least: int = rules.MIN_CHUNK, limit: int | None = 50) -> DataFrame:
     idle = graph.chunks.where(F.length("text") < least).join(mentioned(graph).select(F.col("chunk_id").alias("id")), "id", "left_anti")
     return g.top(idle.select("id", F.length("text").cast("long").alias("length")), limit, "length", "id")
 
 
-def truncated_titles(graph: Graph, limit: int = 50) -> DataFrame:
+def truncated_titles(graph: Graph, limit: int | None = 50) -> DataFrame:
     short = graph.webinars.where(F.col("title").isNull() | (F.length("title") < rules.MIN_TITLE) | (F.col("title") == "Webinar"))
     return g.top(short.select("id", "title"), limit, "id")
 
 
-def unmentioned_entities(graph: Graph, limit: int = 100) -> DataFrame:
+def unmentioned_entities(graph: Graph, limit: int | None = 100) -> DataFrame:
     rest = graph.nodes.where(is_entity()).join(mentioned(graph), "id", "left_anti")
     return g.top(rest.select("id", "label", "name"), limit, "label", F.asc_nulls_first("name"), "id")
 
 
-def ghost_entities(graph: Graph, limit: int = 100) -> DataFrame:
+def ghost_entities(graph: Graph, limit: int | None = 100) -> DataFrame:
     """A row per mention of an entity that has no other edge in either direction."""
     other = g.ends(graph.edges.where(F.col("type") != rules.MENTION)).select("id")
     rows = graph.nodes.where(is_entity()).join(mentioned(graph), "id").join(other, "id", "left_anti")
     return g.top(rows.select("id", "label", "name", "chunk_id"), limit, "id", "chunk_id")
 
 
-def mislabeled_challenges(graph: Graph, limit: int = 50) -> DataFrame:
+def mislabeled_challenges(graph: Graph, limit: int | None = 50) -> DataFrame:
     found = graph.nodes.where((F.col("label") == "Challenge") & F.col("name").isNotNull() & text.positive_any_word(F.col("name")))
     return g.top(found.select("id", "name"), limit, "name", "id")
 
 
-def near_duplicates(graph: Graph, limit: int = 50, longest: int = 5) -> DataFrame:
+def near_duplicates(graph: Graph, limit: int | None = 50, longest: int = 5) -> DataFrame:
     """Pairs of names in a label where one contains the other and is little longer.
 
     No cross join: the shorter name is a substring of the longer of a known length, so an
@@ -150,7 +150,7 @@ def missing_definitions(graph: Graph) -> DataFrame:
     return graph.nodes.where(is_entity() & (F.coalesce("definition", F.lit("")) == "")).groupBy("label").agg(F.count("*").alias("n"))
 
 
-def chunk_article_mapping(graph: Graph, limit: int = 100) -> DataFrame:
+def chunk_article_mapping(graph: Graph, limit: int | None = 100) -> DataFrame:
     rows = graph.chunks.where("chunk_id is null").join(graph.articles.select("article_id"), "article_id")
     return g.top(rows.select("id", "article_id", "index"), limit, "article_id", F.asc_nulls_first("index"), "id")
 
@@ -167,13 +167,16 @@ COUNTED = {
     "truncated_titles": truncated_titles, "unmentioned_entities": unmentioned_entities, "ghost_entities": ghost_entities, "mislabeled_challenges": mislabeled_challenges, "near_duplicates": near_duplicates,
     "generic_entities": generic_entities, "missing_definitions": missing_definitions,
 }
+REPORTED = frozenset(COUNTED) - {"generic_entities", "missing_definitions"}  # with a limit, none if null
 MEASURED = {"orphan_chunks": orphan_chunks, "missing_embeddings": missing_embeddings, "industries": industry_count, "missing_chunk_ids": missing_chunk_ids, "missing_chunk_index": missing_chunk_index}
 
 
-def summary(graph: Graph) -> DataFrame:
-    """check, value, ok, required: all checks as one table; `ok` of required ones decides."""
+def summary(graph: Graph, limited: bool = False) -> DataFrame:
+    """check, value, ok, required: all checks as one table; `ok` of required ones decides.
+
+    All defects are counted; if `limited`, those of the reports, as the SQL twin does."""
     rows = [f(graph).select(F.lit(name).alias("check"), F.col(name).alias("value")) for name, f in MEASURED.items()]
-    rows += [f(graph).agg(F.count("*").alias("value")).select(F.lit(name).alias("check"), "value") for name, f in COUNTED.items()]
+    rows += [f(graph, **({"limit": None} if name in REPORTED and not limited else {})).agg(F.count("*").alias("value")).select(F.lit(name).alias("check"), "value") for name, f in COUNTED.items()]
     united = reduce(DataFrame.unionByName, rows)
     limit = F.when(F.col("check") == "industries", rules.MAX_INDUSTRIES).otherwise(0)
     required = F.col("check").isin("orphan_chunks", "duplicate_entities", "industries", "missing_chunk_ids", "missing_chunk_index", "plural_pairs")

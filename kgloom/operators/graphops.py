@@ -109,8 +109,9 @@ def merge(nodes: DataFrame, edges: DataFrame, mapping: DataFrame) -> tuple[DataF
     return drop_nodes(nodes, mapping.select(F.col("dup").alias("id"))), rewrite_edges(edges, mapping)
 
 
-def top(rows: DataFrame, n: int, *order: Column | str) -> DataFrame:
-    return rows.orderBy(*order).limit(n)
+def top(rows: DataFrame, n: int | None, *order: Column | str) -> DataFrame:
+    """The first n rows; all, in no order, if n is null."""
+    return rows if n is None else rows.orderBy(*order).limit(n)
 
 
 def first_of(rows: DataFrame, keys: list[str], *order: Column | str) -> DataFrame:

@@ -140,3 +140,10 @@ def test_communities_are_those_of_louvain_at_every_size(spark):
     # 210,000 edges in 7,000 paths: with so many edges a path is one community.
     paths = spark.range(210_000).selectExpr("concat(id div 30, '-', lpad(id % 30, 2, '0')) as source", "concat(id div 30, '-', lpad(id % 30 + 1, 2, '0')) as target")
     assert community.communities(paths).select("community").distinct().count() == 7000
+
+
+def test_summary_counts_beyond_the_reports(graph, spark):
+    more = spark.createDataFrame([(f"many-{i:03}", "Concept", f"lonely {i}") for i in range(150)], "id string, label string, name string")
+    big = graph.with_(nodes=graph.nodes.unionByName(more, allowMissingColumns=True))
+    value = lambda **how: {r["check"]: r["value"] for r in checks.summary(big, **how).where("check = 'orphan_entities'").collect()}["orphan_entities"]
+    assert value() >= 150 and value(limited=True) == checks.orphan_entities(big).count() == 100
