@@ -44,15 +44,40 @@ def checked_broadcast(df: DataFrame, rows: int | None = None, limit: int = BROAD
 
 
 BATCH_ROWS = 1000
+BATCH_BYTES = 1 << 24
 
 
-def bounded(rows: DataFrame) -> DataFrame:
-    """rows, in a session that hands Python at most BATCH_ROWS rows at once: at the default of
-    10,000, one batch of long texts fills a worker."""
-    conf, key = rows.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(conf.get(key, "10000")) <= BATCH_ROWS:
-        conf.set(key, str(BATCH_ROWS))
-    return rows
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most BATCH_ROWS rows and, where a row is not longer itself,
+    about BATCH_BYTES bytes, so that what a worker makes of one part is bounded."""
+    for batch in batches:
+        n = batch.num_rows
+        step = max(1, min(BATCH_ROWS, n * BATCH_BYTES // max(1, batch.nbytes)))
+        for at in range(0, n, step):
+            yield batch.slice(at, step)
+
+
+# Words of 64 bits in the bitmap of a sieve: it is broadcast and takes about 50 bytes a word.
+SIEVE_WORDS = 1 << 19
+
+
+def _place(key: str) -> F.Column:
+    return F.pmod(F.xxhash64(key), F.lit(SIEVE_WORDS * 64))
+
+
+def sieve(keys: DataFrame, key: str) -> DataFrame:
+    """word, bits: a bitmap of the hashes of `key`, of at most SIEVE_WORDS rows however many keys
+    there are."""
+    place = _place(key)
+    return keys.select((place / 64).cast("long").alias("word"), F.expr("1L").alias("one"), place.bitwiseAND(63).cast("int").alias("bit")).groupBy("word").agg(F.bit_or(F.expr("shiftleft(one, bit)")).alias("bits"))
+
+
+def sifted(rows: DataFrame, key: str, bits: DataFrame) -> DataFrame:
+    """The rows whose key may be one of the sieve's: all that are, and few others while the
+    bitmap is not full.  An exact join has to follow."""
+    place = _place(key)
+    marked = rows.withColumns({"word": (place / 64).cast("long"), "bit": place.bitwiseAND(63).cast("int")}).join(F.broadcast(bits), "word")
+    return marked.where(F.expr("shiftright(bits, bit) & 1 = 1")).drop("word", "bit", "bits")
 
 
 def byte_column(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, byte_column, stored
+from .common import byte_column, slices, stored
 
 OWNER_ROWS = 500_000
 MIN_OWNERS = 12
@@ -81,7 +81,7 @@ def _send(bits: int, owners: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 24
         ids, chars, shas = [], [], []
-        for batch in batches:
+        for batch in slices(batches):
             data, off = byte_column(batch.column(1))
             heads = np.concatenate([[0], np.cumsum((data[off[0] : off[-1]] & 0xC0) != 0x80)])
             chars.append(np.diff(heads[off - off[0]]).astype(np.int64))
@@ -110,7 +110,7 @@ def _answer(codes: pd.DataFrame) -> pd.DataFrame:
 
 def exact_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256: one row per row of docs."""
-    n = bounded(docs).count()
+    n = docs.count()
     bits = min(62, max(1, n).bit_length() + SPARE_BITS)
     owners = max(MIN_OWNERS, -(-n // OWNER_ROWS))
     sent = stored(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_send(bits, owners), _SENT), "sent")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, byte_column, mix64, spans_of
+from .common import byte_column, mix64, slices, spans_of
 
 PRIME = (1 << 31) - 1
 BASES = (1_048_573_183, 772_209_841)
@@ -144,7 +144,7 @@ def _keyed(cuts: np.ndarray, halo: dict[int | None, int]):
     """Own fingerprint and range of each row; the first row of a range goes to the one above too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             prints = pa.array(list(fingerprints(*byte_column(batch.column(1)))), pa.string())
             ids = batch.column(0)
             numbers = ids.fill_null(np.iinfo(np.int64).min).to_numpy()
@@ -160,7 +160,7 @@ def _keyed(cuts: np.ndarray, halo: dict[int | None, int]):
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     waiting = None  # the last row, until the next of its range arrives
-    for batch in batches:
+    for batch in slices(batches):
         done = []
         for row in zip(*[batch.column(i).to_pylist() for i in range(5)], strict=True):
             if waiting and waiting[0] == row[0]:
@@ -185,7 +185,7 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def neighbours(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
-    rows = bounded(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     n = rows.count()
     parts = min(MAX_RANGES, -(-n // range_rows) or 1)
     share = [i / parts for i in range(1, parts)]
@@ -202,7 +202,7 @@ def neighbours(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
 
 def _part_of(cuts: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             ids = batch.column(0)
             part = np.searchsorted(cuts, ids.fill_null(np.iinfo(np.int64).min).to_numpy())
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), ids], names=["part", "doc_id"])

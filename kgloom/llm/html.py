@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, stored
+from .common import slices, stored
 
 TEMPLATE_PAGES = 10
 TEMPLATE_ROWS = 50_000
@@ -252,7 +252,7 @@ def _key(host: str, page: str | None) -> int:
 
 def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The subtrees of each page, with the page and the article's text around them as hashes."""
-    for batch in batches:
+    for batch in slices(batches):
         keys, hosts, hashes, texts = [], [], [], []
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             root = parse(page or "")
@@ -282,7 +282,7 @@ def templates(pages: DataFrame, least: int = TEMPLATE_PAGES) -> DataFrame:
 
 def _extracted(of: dict[str, frozenset] | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = []
             own = batch.column(3).to_pylist()
             for page, mine in zip(batch.column(2).to_pylist(), own, strict=True):
@@ -297,14 +297,14 @@ def _extracted(of: dict[str, frozenset] | None):
 
 
 def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         keys = [_key(host, page) for page, host in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], names=["page_id", "url", "html", "host", "page"])
 
 
 def extract(pages: DataFrame, least: int = TEMPLATE_PAGES, few: int = TEMPLATE_ROWS) -> DataFrame:
     """page_id, url, text, n_chars: one row per row of pages; `few` does not change them."""
-    found = stored(templates(bounded(pages), least), "templates")
+    found = stored(templates(pages, least), "templates")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"), _host().alias("host"))
     made = "page_id long, url string, text string, n_chars long"
     if found.count() <= few:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded, byte_column, checked_broadcast, spans_of, stored
+from .common import byte_column, checked_broadcast, slices, spans_of, stored
 
 SAMPLE_ROWS = 1200
 LEAST_ROWS = 6
@@ -112,13 +112,13 @@ def held_out() -> F.Column:
 
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         rows = [(x.astype(np.float16).tobytes() if x is not None else None) for x in features(*byte_column(batch.column(0)))]
         yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), batch.column(1)], names=["x", "lang"])
 
 
 def train(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model | None:
-    known = bounded(docs).where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    known = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = stored(known.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("n")), "labels")
     labels = counts.count()
     if not labels:
@@ -140,7 +140,7 @@ def train(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model | None:
 
 def _predict(model: Model | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out = [(UNKNOWN, 0.0, True) if x is None or model is None else model.decode(x) for x in features(*byte_column(batch.column(2)))]
             lang, score, flag = zip(*out, strict=True) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(flag, pa.bool_())], names=["doc_id", "held_out", "lang_pred", "score", "ambiguous"])
@@ -150,13 +150,13 @@ def _predict(model: Model | None):
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, held_out, lang_pred, score, ambiguous: one row per row of docs."""
-    rows = bounded(docs).select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(_predict(model), "doc_id long, held_out boolean, lang_pred string, score double, ambiguous boolean")
 
 
 def _accept(model: Model | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             keep = [x is not None and (model is None or model.decode(x)[0] != UNKNOWN) for x in features(*byte_column(batch.column("text")))]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
@@ -165,5 +165,5 @@ def _accept(model: Model | None):
 
 def accepted(docs: DataFrame, model: Model | None) -> DataFrame:
     """The rows of docs, unchanged, whose text is in some learned language; has letters, if none was learned."""
-    rows = bounded(docs).withColumn("text", F.col("text").cast("string"))
+    rows = docs.withColumn("text", F.col("text").cast("string"))
     return rows.mapInArrow(_accept(model), rows.schema)

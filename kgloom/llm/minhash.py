@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_long, bounded, byte_column, checked_broadcast, mix64, powers, prefix_sums, spans_of, stored
+from .common import as_long, byte_column, checked_broadcast, mix64, powers, prefix_sums, slices, spans_of, stored
 
 WIDTH = 5
 BANDS, ROWS = 32, 4
@@ -109,7 +109,7 @@ def band_keys(signature: np.ndarray, rows: int = ROWS) -> np.ndarray:
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         data, off = byte_column(batch.column(1))
         n, one, two, bands, sketch = [], [], [], [], []
         for s in shingle_sets(data, off):
@@ -133,7 +133,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 def _confirm(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, held = None, None  # the head's row comes first in its group, which may span batches
-        for batch in batches:
+        for batch in slices(batches):
             group, salt = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
             doc = batch.column(2).to_numpy(zero_copy_only=False)
             data, off = byte_column(batch.column(3))
@@ -199,7 +199,7 @@ def _linked(rows: list[tuple], percent: int) -> list[tuple[int, int]]:
 def _blocks(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
-        for batch in batches:
+        for batch in slices(batches):
             links: list[tuple[int, int]] = []
             for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if rows and row[:3] != rows[0][:3]:
@@ -250,7 +250,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per row of docs."""
-    docs = bounded(docs)
+    docs = docs
     marks = stored(signatures(docs), "marks")
     classes = marks.where("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("node"))
     # A class is known by its smallest document; only that one is banded.

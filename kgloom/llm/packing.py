@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded, byte_column, spans_of, stored
+from .common import byte_column, slices, spans_of, stored
 
 MAX_LENGTH = 2048
 BUCKETS = 8
@@ -47,7 +47,7 @@ def word_counts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 def _cut(longest: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             n = word_counts(*byte_column(batch.column(1)))
             pieces = np.maximum(1, -(-n // longest))
             row = np.repeat(np.arange(len(n)), pieces)
@@ -61,7 +61,7 @@ def _cut(longest: int):
 
 def pieces(docs: DataFrame, longest: int = MAX_LENGTH) -> DataFrame:
     """doc_id, piece, start, n_tokens."""
-    rows = bounded(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(_cut(longest), "doc_id long, piece long, start long, n_tokens long")
 
 

@@ -32,7 +32,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded
+from .common import slices
 
 MARK = "▁"
 CACHE_UNITS = 200_000
@@ -172,10 +172,10 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = coder(vocabulary.value)
-        for batch in batches:
+        for batch in slices(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([use.encode(t or "") for t in batch.column(1).to_pylist()], pa.binary())], names=["doc_id", "ids"])
 
-    return bounded(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, ids binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, ids binary")
 
 
 def decode(coded: DataFrame, path: str) -> DataFrame:
@@ -184,10 +184,10 @@ def decode(coded: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = coder(vocabulary.value)
-        for batch in batches:
+        for batch in slices(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([use.decode(i or b"") for i in batch.column(1).to_pylist()], pa.string())], names=["doc_id", "text"])
 
-    return bounded(coded).select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
+    return coded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
 def digest(docs: DataFrame, path: str) -> DataFrame:
@@ -197,7 +197,7 @@ def digest(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = coder(vocabulary.value)
         low = np.array(sorted(vocabulary.value.byte_ids))
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for text in batch.column(1).to_pylist():
                 ids = use.encode(text or "")
@@ -207,5 +207,5 @@ def digest(docs: DataFrame, path: str) -> DataFrame:
             n, single, ids, back, same = zip(*out, strict=True) if out else ((), (), (), (), ())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(single, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string()), pa.array(same, pa.bool_())], names=["doc_id", "n_pieces", "n_bytes", "ids_sha256", "decoded_sha256", "round_trip"])
 
-    rows = bounded(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_pieces long, n_bytes long, ids_sha256 string, decoded_sha256 string, round_trip boolean")

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded
+from .common import slices
 
 KINDS = ("email", "ip", "card", "phone")
 NONE = len(KINDS)
@@ -280,7 +280,7 @@ def all_spans(texts: list[str], field: Field) -> list[tuple[list[Span], list[Spa
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         graph, count = _Graph(), Counter()
         for row, text in enumerate(batch.column(0).to_pylist()):
             graph.add(row, text or "", base_spans(text or ""))
@@ -295,7 +295,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Field:
     """Potentials from at most about `rows` rows, those least by a hash of doc_id."""
-    ids = bounded(docs).select(F.col("doc_id").alias("id")).where("doc_id is not null").distinct().orderBy(F.xxhash64("id"), "id").limit(rows)
+    ids = docs.select(F.col("doc_id").alias("id")).where("doc_id is not null").distinct().orderBy(F.xxhash64("id"), "id").limit(rows)
     sample = docs.join(F.broadcast(ids), docs["doc_id"] == ids["id"], "left_semi").select(F.col("text").cast("string"))
     counts = sample.mapInArrow(_counted, "part string, key string, a int, b int, n long").groupBy("part", "key", "a", "b").agg(F.sum("n").alias("n")).collect()
     own: dict[str, np.ndarray] = {}
@@ -321,7 +321,7 @@ def written(spans: list[Span]) -> str:
 
 def _scan(field: Field):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = all_spans([t or "" for t in batch.column(1).to_pylist()], field)
             numbers = [pa.array([sum(k == kind for _, k, _ in b) for b, _ in found], pa.int64()) for kind in range(NONE)]
             base = pa.array([hashlib.sha256(written(b).encode()).hexdigest() for b, _ in found], pa.string())
@@ -334,7 +334,7 @@ def _scan(field: Field):
 
 def scan(docs: DataFrame, field: Field) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added."""
-    rows = bounded(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(_scan(field), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long")
 
 
@@ -350,7 +350,7 @@ def redacted(text: str, spans: list[Span]) -> str:
 
 def _redact(field: Field):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column("text").to_pylist()
             found = all_spans([t or "" for t in texts], field)
             clean = [t if t is None or not a else redacted(t, a) for t, (_, a) in zip(texts, found, strict=True)]
@@ -365,7 +365,7 @@ def _redact(field: Field):
 
 def redact(docs: DataFrame, field: Field) -> DataFrame:
     """docs with personal data replaced in text; n_chars, if there, follows."""
-    rows = bounded(docs).withColumn("text", F.col("text").cast("string"))
+    rows = docs.withColumn("text", F.col("text").cast("string"))
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.col("n_chars").cast("long"))
     return rows.mapInArrow(_redact(field), rows.schema)
