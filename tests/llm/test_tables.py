@@ -3,7 +3,6 @@
 import hashlib
 import re
 from collections import Counter, defaultdict
-from itertools import pairwise
 
 import numpy as np
 import pytest
@@ -96,22 +95,48 @@ def test_pieces_round_trip(spark, small, documents):
         assert r["round_trip"] and r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
 
 
-@pytest.mark.parametrize("hot", [runlength.HOT, 2])
-def test_repeats_match_brute_force(spark, small, documents, hot):
-    count = Counter()
-    raw = {d: (r["text"] or "").encode() for d, r in documents.items()}
+def covered(raw: dict, size: int) -> dict:
+    """The maximal runs of each text that strings of `size` bytes, found twice in all, cover."""
+    count, out = Counter(), {}
     for text in raw.values():
-        count.update(text[i : i + 400] for i in range(len(text) - 399))
-    out = {r["doc_id"]: r for r in runlength.remove_repeats(read_table(spark, small, "documents"), hot=hot).collect()}
+        count.update(text[i : i + size] for i in range(len(text) - size + 1))
+    for d, text in raw.items():
+        out[d] = []
+        for i in range(len(text) - size + 1):
+            if count[text[i : i + size]] > 1:
+                if out[d] and i <= out[d][-1][1]:
+                    out[d][-1] = (out[d][-1][0], i + size)
+                else:
+                    out[d].append((i, i + size))
+    return out
+
+
+@pytest.mark.parametrize("options", [{}, {"hot": 2, "bucket_bytes": 5000}])
+def test_repeats_match_brute_force(spark, small, documents, options):
+    raw = {d: (r["text"] or "").encode() for d, r in documents.items()}
+    out = {r["doc_id"]: r for r in runlength.remove_repeats(read_table(spark, small, "documents"), **options).collect()}
+    gone, passages = covered(raw, 400), covered(raw, 256)
     for d, text in raw.items():
-        gone = np.zeros(len(text) + 1, bool)
-        for i in range(len(text) - 399):
-            if count[text[i : i + 400]] > 1:
-                gone[i : i + 400] = True
-        kept = bytes(b for b, g in zip(text, gone[:-1], strict=True) if not g)
-        starts = int(gone[0]) + sum(b and not a for a, b in pairwise(gone.tolist()))
-        assert (out[d]["n_bytes"], out[d]["n_removed"], out[d]["n_spans"]) == (len(text), int(gone.sum()), starts)
-        assert out[d]["kept_sha256"] == hashlib.sha256(kept).hexdigest()
+        kept, at = [], 0
+        for a, b in gone[d]:
+            kept.append(text[at:a])
+            at = b
+        long = [b - a for a, b in passages[d] if len(text[a:b].split()) > 50]
+        assert (out[d]["n_bytes"], out[d]["n_removed"], out[d]["n_spans"]) == (len(text), sum(b - a for a, b in gone[d]), len(gone[d]))
+        assert out[d]["kept_sha256"] == hashlib.sha256(b"".join([*kept, text[at:]])).hexdigest()
+        assert (out[d]["n_passages"], out[d]["n_passage_bytes"]) == (len(long), sum(long))
+
+
+def test_passages_of_over_fifty_words(spark):
+    """A passage of 55 short words is found though it has under 400 bytes; one of 30 is not."""
+    words = [f"w{i:04d}" for i in range(4000)]
+    passage, short = " ".join(words[:55]), " ".join(words[100:130])
+    texts = [" ".join(words[1000 + 90 * i : 1090 + 90 * i]) for i in range(6)]
+    rows = [(0, f"{texts[0]} {passage} {texts[1]}"), (1, f"{texts[2]} {passage}"), (2, f"{texts[3]} {short}"), (3, f"{short} {texts[4]}"), (4, texts[5]), (5, None)]
+    out = {r["doc_id"]: r for r in runlength.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [out[i]["n_passages"] for i in range(6)] == [1, 1, 0, 0, 0, 0]
+    assert all(out[i]["n_removed"] == 0 for i in range(6))
+    assert len(passage) <= out[0]["n_passage_bytes"] <= len(passage) + 4
 
 
 def test_base_spans_of_personal_data(spark, medium):
