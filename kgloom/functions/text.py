@@ -88,7 +88,9 @@ def source_type(url: Column, brand: str, guide: str) -> Column:
 
 
 # Domains of standards bodies.
-STANDARD_DOMAINS = "iso.org ieee.org incose.org faa.gov fda.gov rtca.org".split()
+STANDARD_DOMAINS = [
+    "iso.org", "ieee.org", "incose.org", "faa.gov", "fda.gov", "rtca.org",
+]
 
 
 def is_standard(domain: Column) -> Column:

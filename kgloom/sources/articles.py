@@ -30,17 +30,21 @@ class Site:
 
 
 # Elements without text, promotional classes, links and texts.
-EMPTY_TAGS = frozenset("style script noscript svg object embed canvas map audio video source track template".split())
+EMPTY_TAGS = frozenset({
+    "style", "script", "noscript", "svg", "object", "embed", "canvas", "map", "audio", "video", "source", "track", "template",
+})
 PROMO_CLASS = r"avia-buttonrow|avia-button(?!-no)"
 PROMO_LINK = re.compile(r"/trial/|/demo/|/pricing/|/contact/|/request/|#form", re.I)
 PROMO_TEXT = re.compile(r"free\s+\d+-day\s+trial|book\s+a\s+demo|request\s+a\s+demo|ready\s+to\s+find\s+out\s+more|get\s+started\s+today|schedule\s+a\s+demo|contact\s+us\s+today", re.I)
 CONTENT_SELECTORS = ("article", ".post-content", ".entry-content", ".content-area", "main", "#main-content", ".main-content")
 VIDEO_ID = re.compile(r"(?:youtube\.com/embed/|youtube\.com/watch\?v=|youtu\.be/)([A-Za-z0-9_-]+)")
-STOP_WORDS = frozenset(
-    "the a an and or but in on at to for of is are was were be been being have has had do does did will would could should may might must shall can need dare ought used "
-    "how what why when where who which whom whose that this these those it its you your we our they their i my me he she him her his "
-    "with from by about into through during before after above below between under again further then once".split()
-)
+STOP_WORDS = frozenset({
+    "the", "a", "an", "and", "or", "but", "in", "on", "at", "to", "for", "of", "is", "are", "was", "were", "be", "been", "being", "have", "has",
+    "had", "do", "does", "did", "will", "would", "could", "should", "may", "might", "must", "shall", "can", "need", "dare", "ought", "used", "how",
+    "what", "why", "when", "where", "who", "which", "whom", "whose", "that", "this", "these", "those", "it", "its", "you", "your", "we", "our",
+    "they", "their", "i", "my", "me", "he", "she", "him", "her", "his", "with", "from", "by", "about", "into", "through", "during", "before",
+    "after", "above", "below", "between", "under", "again", "further", "then", "once",
+})
 MAX_CONCEPTS, SHORT, LONG = 20, 2, 50
 
 

@@ -48,14 +48,14 @@ def fetched(contents: DataFrame, pages: DataFrame) -> DataFrame:
     return contents.join(pages.where("html is not null"), "url").select(article, "chapter_number", "article_number", "title", "url", kind.alias("content_type"), "html")
 
 
-_DROPPED = "nav header footer script style noscript aside"
+_DROPPED = ("nav", "header", "footer", "script", "style", "noscript", "aside")
 _NAMES = ("navigation", "sidebar", "menu", "advertisement")
 
 
 def preprocess(page: str | None) -> str:
     """Visible text of the main part, white space as single spaces."""
     root = dom.parse(page)
-    for e in root.where(lambda e: e.tag in _DROPPED.split() or any(n in e.classes for n in _NAMES) or e.attrs.get("id") == "cookie-banner"):
+    for e in root.where(lambda e: e.tag in _DROPPED or any(n in e.classes for n in _NAMES) or e.attrs.get("id") == "cookie-banner"):
         e.remove()
     tests = [lambda e: "flex_cell_inner" in e.classes, lambda e: e.tag == "main", lambda e: e.tag == "article", lambda e: "content" in e.classes]
     main = next((found[0] for t in tests if (found := root.where(t))), root)
