@@ -45,7 +45,9 @@ def preview(graph: Graph) -> DataFrame:
 
 
 def deduplicate_by_name(graph: Graph) -> Graph:
-    nodes, edges = g.merge(graph.nodes, graph.edges, g.same_label_map(graph.nodes))
+    """Nodes of one label and name become one; what a duplicate has overwrites the kept node's."""
+    mapping = g.same_label_map(graph.nodes)
+    nodes, edges = g.merge(g.folded(graph.nodes, mapping, "dup_wins"), graph.edges, mapping)
     return graph.with_(nodes=nodes, edges=edges)
 
 
@@ -53,9 +55,7 @@ def deduplicate_across_labels(graph: Graph) -> Graph:
     """All nodes of a name under several labels become one; spans unite, the longer
     definition stays."""
     mapping = g.cross_label_map(graph.nodes)
-    folded = g.fold(graph.nodes, mapping, "union_longer").select(F.col("keep").alias("id"), F.col("definition").alias("new_definition"), F.col("source_spans").alias("new_spans"))
-    nodes, edges = g.merge(graph.nodes, graph.edges, mapping)
-    nodes = nodes.join(folded, "id", "left").withColumns({"definition": F.coalesce("new_definition", "definition"), "source_spans": F.coalesce("new_spans", "source_spans")}).drop("new_definition", "new_spans")
+    nodes, edges = g.merge(g.folded(graph.nodes, mapping, "union_longer"), graph.edges, mapping)
     return graph.with_(nodes=nodes, edges=edges)
 
 

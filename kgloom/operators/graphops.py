@@ -87,23 +87,32 @@ def fold(nodes: DataFrame, mapping: DataFrame, policy: str) -> DataFrame:
     """Properties of each kept node after a merge.
 
     dup_wins: the last non-null in id order; union_longer: spans united, the longer
-    definition (the kept one's on ties); fill_null: the kept node's, nulls from the others."""
+    definition (the kept one's on ties); fill_null: the kept node's, nulls from the others.
+    Empty lists count as null; `aliases` are folded where nodes have them."""
     grouped = nodes.join(mapping.select(F.col("dup").alias("id"), "keep"), "id", "left").withColumn("keep", F.coalesce("keep", "id"))
     involved = grouped.join(mapping.select("keep").distinct(), "keep", "left_semi")
     order = F.struct((F.col("id") != F.col("keep")).alias("dup"), F.col("id"))
     text = lambda name, how: how(F.col(name), F.when(F.col(name).isNotNull(), order)).alias(name)
-    spans = F.array_sort(F.array_distinct(F.flatten(F.collect_list("source_spans")))).alias("source_spans")
-    if policy == "dup_wins":
-        return involved.groupBy("keep").agg(*[text(n, F.max_by) for n in ("definition", "description", "display_name")])
-    if policy == "fill_null":
-        return involved.groupBy("keep").agg(*[text(n, F.min_by) for n in ("definition", "description", "display_name")])
+    listed = [n for n in ("source_spans", "aliases") if n in nodes.columns]
+    filled = lambda name, how: how(F.col(name), F.when(F.size(name) > 0, order)).alias(name)
+    if policy in ("dup_wins", "fill_null"):
+        how = F.max_by if policy == "dup_wins" else F.min_by
+        return involved.groupBy("keep").agg(*[text(n, how) for n in ("definition", "description", "display_name")], *[filled(n, how) for n in listed])
     if policy == "union_longer":
         # Longest first; on ties the kept node, then the least id.
         longest = F.min_by("definition", F.when(F.col("definition").isNotNull(), F.struct((-F.length("definition")).alias("l"), order.alias("o")))).alias("definition")
-        return involved.groupBy("keep").agg(longest, spans)
+        return involved.groupBy("keep").agg(longest, *[F.array_sort(F.array_distinct(F.flatten(F.collect_list(n)))).alias(n) for n in listed])
     raise ValueError(policy)
 
 
+def folded(nodes: DataFrame, mapping: DataFrame, policy: str) -> DataFrame:
+    """nodes, the kept ones of a merge with the properties that `policy` gives them."""
+    values = fold(nodes, mapping, policy)
+    names = [n for n in values.columns if n != "keep"]
+    new = values.select(F.col("keep").alias("id"), *[F.col(n).alias(f"folded_{n}") for n in names])
+    return nodes.join(new, "id", "left").withColumns({n: F.coalesce(f"folded_{n}", n) for n in names}).drop(*[f"folded_{n}" for n in names])
+
+
 def merge(nodes: DataFrame, edges: DataFrame, mapping: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Nodes without the duplicates and edges that point to the kept ones."""
     return drop_nodes(nodes, mapping.select(F.col("dup").alias("id"))), rewrite_edges(edges, mapping)

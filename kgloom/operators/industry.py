@@ -78,10 +78,14 @@ def consolidation(nodes: DataFrame) -> DataFrame:
 
 
 def consolidate(graph: Graph) -> Graph:
+    """Industries that merge fill the nulls of the kept one; those that join a concept or an
+    organization drop their properties."""
     plan = consolidation(graph.nodes)
     gone = plan.where("action = 'delete'").select("id")
-    mapping = plan.where("keep is not null and keep <> id").select(F.col("id").alias("dup"), "keep")
-    nodes, edges = g.merge(g.drop_nodes(graph.nodes, gone), g.detach_edges(graph.edges, gone), mapping)
+    moved = plan.where("keep is not null and keep <> id").select(F.col("id").alias("dup"), "keep", "new_label")
+    mapping = moved.select("dup", "keep")
+    filled = g.folded(graph.nodes, moved.where("new_label = 'Industry'").select("dup", "keep"), "fill_null")
+    nodes, edges = g.merge(g.drop_nodes(filled, gone), g.detach_edges(graph.edges, gone), mapping)
     new = plan.where("keep = id").select("id", "new_label", "new_name")
     nodes = nodes.join(new, "id", "left").withColumns({"label": F.coalesce("new_label", "label"), "name": F.coalesce("new_name", "name")}).drop("new_label", "new_name")
     return graph.with_(nodes=nodes, edges=edges)

@@ -37,6 +37,10 @@ def rounded(rows: DataFrame, name: str, digits: int = 6) -> DataFrame:
     return rows.withColumn(name, F.round(name, digits))
 
 
+def properties(nodes: DataFrame) -> DataFrame:
+    return nodes.select("id", "label", "name", "display_name", "definition", "description", F.array_join("source_spans", ",").alias("source_spans"))
+
+
 def partition(graph: Graph) -> DataFrame:
     return graph.nodes.where(checks.is_entity() & F.col("name").isNotNull()).groupBy(F.col("name").alias("node")).agg(F.min("label").alias("community"))
 
@@ -172,8 +176,12 @@ QUERIES: dict[str, Query] = {
     "samelabel_merge_map": over(lambda x: g.same_label_map(x.nodes)),
     "merged_edges_after_dedup": over(lambda x: g.rewrite_edges(x.edges, g.cross_label_map(x.nodes))),
     "merged_edges_same_label": over(lambda x: g.rewrite_edges(x.edges, g.same_label_map(x.nodes))),
-    "property_fold_dup_wins": over(lambda x: g.fold(x.nodes, g.cross_label_map(x.nodes), "dup_wins")),
-    "property_fold_fill_null": over(lambda x: g.fold(x.nodes, g.cross_label_map(x.nodes), "fill_null")),
+    "property_fold_dup_wins": over(lambda x: g.fold(x.nodes, g.cross_label_map(x.nodes), "dup_wins").drop("source_spans")),
+    "property_fold_fill_null": over(lambda x: g.fold(x.nodes, g.cross_label_map(x.nodes), "fill_null").drop("source_spans")),
+    "merged_nodes_same_label": over(lambda x: properties(cleanup.deduplicate_by_name(x).nodes)),
+    "merged_nodes_across_labels": over(lambda x: properties(cleanup.deduplicate_across_labels(x).nodes)),
+    "industry_nodes": over(lambda x: properties(industry.consolidate(x).nodes)),
+    "industry_edges": over(lambda x: industry.consolidate(x).edges.groupBy("type").agg(F.count("*").alias("n"))),
     "property_fold_union_longer": over(lambda x: g.fold(x.nodes, g.cross_label_map(x.nodes), "union_longer").withColumn("source_spans", F.array_join("source_spans", ","))),
     "generic_deletion": over(generic_deletion),
     "plural_merge_edges": over(lambda x: cleanup.merge_plurals(x).edges),

@@ -176,8 +176,28 @@ CLASSIFY = f""", terms AS (SELECT DISTINCT name AS term, coalesce({plain("name")
    FROM (SELECT DISTINCT p FROM terms) q),
  acts AS (SELECT p, CASE WHEN p = '' THEN 'delete' WHEN org THEN 'reclassify_org' WHEN con THEN 'reclassify' WHEN gen THEN 'delete' WHEN canonical IS NOT NULL THEN 'keep' WHEN near IS NOT NULL THEN 'keep' WHEN ncon THEN 'reclassify' WHEN ngen THEN 'delete' ELSE 'unknown' END AS action, coalesce(canonical, near) AS kept FROM marks),
  classified AS (SELECT term, action, CASE WHEN action = 'keep' THEN kept WHEN action LIKE 'reclassify%' THEN p END AS value FROM terms JOIN acts USING (p))"""
-CONSOLIDATION = CLASSIFY + """, plan AS (SELECT n.id, n.name, action, value, CASE WHEN action = 'reclassify' THEN 'Concept' WHEN action = 'reclassify_org' THEN 'Organization' WHEN action <> 'delete' THEN 'Industry' END AS new_label, coalesce(value, n.name) AS new_name FROM nodes n JOIN classified c ON n.name = c.term WHERE n.label = 'Industry')
- SELECT id, name, action, value, new_label, new_name, CASE WHEN action <> 'delete' THEN coalesce((SELECT min(x.id) FROM nodes x WHERE x.label = new_label AND x.name = new_name AND x.label <> 'Industry'), (SELECT min(y.id) FROM plan y WHERE y.action <> 'delete' AND y.new_label = plan.new_label AND y.new_name = plan.new_name)) END AS keep FROM plan"""
+_PLAN = CLASSIFY + """, plan AS (SELECT n.id, n.name, action, value, CASE WHEN action = 'reclassify' THEN 'Concept' WHEN action = 'reclassify_org' THEN 'Organization' WHEN action <> 'delete' THEN 'Industry' END AS new_label, coalesce(value, n.name) AS new_name FROM nodes n JOIN classified c ON n.name = c.term WHERE n.label = 'Industry')"""
+_KEEPS = """SELECT id, name, action, value, new_label, new_name, CASE WHEN action <> 'delete' THEN coalesce((SELECT min(x.id) FROM nodes x WHERE x.label = new_label AND x.name = new_name AND x.label <> 'Industry'), (SELECT min(y.id) FROM plan y WHERE y.action <> 'delete' AND y.new_label = plan.new_label AND y.new_name = plan.new_name)) END AS keep FROM plan"""
+CONSOLIDATION = _PLAN + " " + _KEEPS
+
+def _merged(mapping: str, folds: str, policy: str, nodes: str = "nodes") -> str:
+    """Nodes after a merge: `folds` gives the pairs whose properties are folded."""
+    order = "(CASE WHEN f.keep IS NULL THEN '0' ELSE '1' END) || n.id"
+    pick = "arg_max" if policy == "dup_wins" else "arg_min"
+    one = lambda c: f"{pick}({c}, ord) FILTER ({c} IS NOT NULL) AS {c}"
+    if policy == "union_longer":
+        values = "arg_min(definition, lpad((100000 - length(definition))::VARCHAR, 6, '0') || ord) FILTER (definition IS NOT NULL) AS definition, list_sort(list_distinct(flatten(list(source_spans)))) AS source_spans, NULL AS display_name, NULL AS description"
+    else:
+        values = f"{one('definition')}, {one('description')}, {one('display_name')}, {pick}(source_spans, ord) FILTER (len(source_spans) > 0) AS source_spans"
+    return f"""SELECT n.id, n.label, n.name, coalesce(v.display_name, n.display_name) AS display_name, coalesce(v.definition, n.definition) AS definition,
+ coalesce(v.description, n.description) AS description, array_to_string(coalesce(v.source_spans, n.source_spans), ',') AS source_spans FROM {nodes} n
+ LEFT JOIN (SELECT keep, {values} FROM (SELECT n.*, coalesce(f.keep, n.id) AS keep, {order} AS ord FROM nodes n LEFT JOIN {folds} f ON f.dup = n.id) WHERE keep IN (SELECT keep FROM {folds}) GROUP BY 1) v ON v.keep = n.id
+ WHERE n.id NOT IN (SELECT dup FROM {mapping})"""
+
+
+_CONSOLIDATED = _PLAN + f", kept AS ({_KEEPS}), moved AS (SELECT id AS dup, keep, new_label FROM kept WHERE keep <> id), folds AS (SELECT * FROM moved WHERE new_label = 'Industry'), gone AS (SELECT id FROM kept WHERE action = 'delete'), after AS (SELECT n.* REPLACE (coalesce(k.new_label, n.label) AS label, coalesce(k.new_name, n.name) AS name) FROM nodes n LEFT JOIN kept k ON k.id = n.id AND k.keep = k.id WHERE n.id NOT IN (SELECT id FROM gone))"
+INDUSTRY_NODES = _CONSOLIDATED + " " + _merged("moved", "folds", "fill_null", "after")
+INDUSTRY_EDGES = _CONSOLIDATED + " SELECT type, count(*) AS n FROM (SELECT DISTINCT coalesce(a.keep, e.src), e.type, coalesce(b.keep, e.dst) FROM edges e LEFT JOIN moved a ON a.dup = e.src LEFT JOIN moved b ON b.dup = e.dst WHERE e.src NOT IN (SELECT id FROM gone) AND e.dst NOT IN (SELECT id FROM gone)) GROUP BY 1"
 
 _NAMES = "concept_names AS (SELECT DISTINCT lower(name) AS key FROM nodes WHERE label = 'Concept' AND name IS NOT NULL)"
 GLOSSARY = f""", {_NAMES}, t AS (SELECT term_id, term, lower(term) AS k FROM definitions),
@@ -230,6 +250,10 @@ QUERIES = {
     "property_fold_dup_wins": "SELECT keep, arg_max(definition, ord) FILTER (definition IS NOT NULL) AS definition, arg_max(description, ord) FILTER (description IS NOT NULL) AS description, arg_max(display_name, ord) FILTER (display_name IS NOT NULL) AS display_name FROM groups GROUP BY 1",
     "property_fold_fill_null": "SELECT keep, arg_min(definition, ord) FILTER (definition IS NOT NULL) AS definition, arg_min(description, ord) FILTER (description IS NOT NULL) AS description, arg_min(display_name, ord) FILTER (display_name IS NOT NULL) AS display_name FROM groups GROUP BY 1",
     "property_fold_union_longer": "SELECT keep, arg_min(definition, lpad((100000 - length(definition))::VARCHAR, 6, '0') || ord) FILTER (definition IS NOT NULL) AS definition, array_to_string(list_sort(list_distinct(flatten(list(source_spans)))), ',') AS source_spans FROM groups GROUP BY 1",
+    "merged_nodes_same_label": _merged("same_map", "same_map", "dup_wins"),
+    "merged_nodes_across_labels": _merged("cross_map", "cross_map", "union_longer"),
+    "industry_nodes": INDUSTRY_NODES,
+    "industry_edges": INDUSTRY_EDGES,
     "generic_deletion": f"SELECT count(*) AS nodes_left, (SELECT count(*) FROM edges WHERE src NOT IN ({_GONE}) AND dst NOT IN ({_GONE})) AS edges_left FROM nodes WHERE id NOT IN ({_GONE})",
     "plural_merge_edges": _rewrite("plural_merge"),
     "label_backfill": f"SELECT array_to_string(CASE WHEN label IN {ENTITY} AND NOT list_contains(labels, '__Entity__') THEN list_concat(labels, list_filter(['__Entity__', '__KGBuilder__'], lambda x: NOT list_contains(labels, x))) ELSE labels END, '+') AS label_set, count(*) AS n FROM nodes GROUP BY 1",
