@@ -54,7 +54,19 @@ def test_fingerprints_follow_the_order(spark, small, documents):
     out = {r["doc_id"]: r for r in queries.op4_fingerprint(spark, small).collect()}
     order = sorted(documents, reverse=True)
     texts = [documents[d]["text"] or "" for d in order]
-    near, far = [], []
+    windows = {d: Counter(t.encode()[i : i + 12] for i in range(len(t.encode()) - 11)) for d, t in zip(order, texts, strict=True)}
+
+    def exact(one, two, a, b):
+        """The Dice coefficient of windows, or that of the common beginning and end."""
+        one, two = one.encode(), two.encode()
+        if not one or not two:
+            return float(one == two)
+        head = next((i for i, (x, y) in enumerate(zip(one, two, strict=False)) if x != y), min(len(one), len(two)))
+        tail = next((i for i, (x, y) in enumerate(zip(reversed(one), reversed(two), strict=False)) if x != y), min(len(one), len(two)))
+        kept = 2 * min(head + tail, len(one), len(two)) / (len(one) + len(two))
+        return max(kept, 2 * (a & b).total() / max(1, (a + b).total()))
+
+    off = []
     for d, text, other in zip(order, texts, [*texts[1:], texts[0]], strict=True):
         half = len(text) // 2
         edited = text[: len(text) - half] + other[:half]
@@ -62,14 +74,17 @@ def test_fingerprints_follow_the_order(spark, small, documents):
         assert out[d]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
         assert (out[d]["fingerprint"] == out[d]["edited_fingerprint"]) == (text == edited)
         assert 0 <= out[d]["near_edited"] <= 1 and 0 <= out[d]["near_next"] <= 1
-        if len(text) > 100:
-            near.append(out[d]["near_edited"])
-            far.append(out[d]["near_next"])
+        after = order[(order.index(d) + 1) % len(order)]
+        changed = Counter(edited.encode()[i : i + 12] for i in range(len(edited.encode()) - 11))
+        for got, want in ((out[d]["near_edited"], exact(text, edited, windows[d], changed)), (out[d]["near_next"], exact(text, other, windows[d], windows[after]))):
+            assert abs(got - want) < 0.25
+            off.append(abs(got - want))
+        assert len(text) < 100 or out[d]["near_edited"] > 0.4
+    assert np.mean(off) < 0.05
     prints = defaultdict(set)
     for d, text in zip(order, texts, strict=True):
         prints[text].add(out[d]["fingerprint"])
     assert all(len(p) == 1 for p in prints.values()) and len(set().union(*prints.values())) == len(prints)
-    assert np.mean(near) > 0.4 and np.mean(far) < 0.2
 
 
 def test_language_on_held_out_rows(spark, medium):
