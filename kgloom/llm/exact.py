@@ -27,12 +27,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_column, slices, stored
+from .common import byte_column, checked_broadcast, slices, stored
 
 OWNER_ROWS = 500_000
 MIN_OWNERS = 12
 BLOCK_ROWS = 1 << 18
 SPARE_BITS = 20
+GROUP_ROWS = 250_000  # of some 100 bytes each
 BLANKS = b" \t\n\x0b\x0c\r"
 
 
@@ -129,6 +130,8 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     if _collisions(docs, suspects):
         return _by_text(docs)
     alone = rows.where("not suspect").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "text_sha256")
+    # Beyond the limit, a join of plain exchanges, whose large partitions Spark splits.
+    groups = checked_broadcast(stored(groups, "groups"), limit=GROUP_ROWS)
     out = suspects.join(groups, "text_sha256").select("doc_id", "keep_id", "group_size", "text_sha256").unionByName(alone)
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
 
