@@ -4,7 +4,9 @@ Rules give the base spans.  Tokens with digits or an @ are the nodes of a field
 labels none, email, ip, card and phone.  A node's potential comes from the token's pattern,
 neighbouring nodes share a chain potential, and nodes whose tokens repeat (the same digits
 or the same address, however written) each share a skip potential with the one hub of their
-token.  Nodes inside base spans are
+token.  Nodes whose tokens are only similar (the same last NEAR_DIGITS digits, as a number
+with and without its country code, or the same domain) share a weaker potential with a hub of
+what they have in common.  Nodes inside base spans are
 observed, and so is the hub of a token that the rules found anywhere in the document, so a
 repeat is labelled alike however far it is and however many there are.  Loopy belief propagation, run for each
 document until its messages stop changing, labels the rest; runs of nodes with one label become
@@ -43,6 +45,7 @@ CHANGE = 1e-4  # messages (logs) that change by less have converged
 DAMPING = 0.3
 PATIENCE = 200  # after so many rounds more, messages that swing are damped twice as much
 MIN_DIGITS = 7
+NEAR_DIGITS = 7
 MIN_BELIEF = 0.6
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -130,13 +133,22 @@ def likeness(token: str) -> str:
     return digits if len(digits) >= 4 else ""
 
 
+def resemblance(token: str) -> str:
+    """Tokens with the same key are similar; empty for none."""
+    if "@" in token:
+        return "@" + token.lower().rpartition("@")[2]
+    digits = _DIGITS.sub("", token)
+    return "~" + digits[-NEAR_DIGITS:] if len(digits) >= NEAR_DIGITS else ""
+
+
 @dataclass
 class Field:
-    """Log potentials: of patterns, of neighbours, of repeated tokens and their hubs."""
+    """Log potentials: of patterns, of neighbours, of repeated and of similar tokens, of hubs."""
 
     own: dict[str, np.ndarray]
     chain: np.ndarray
     skip: np.ndarray
+    near: np.ndarray = dataclasses.field(default_factory=lambda: np.zeros((LABELS, LABELS)))
     hub: np.ndarray = dataclasses.field(default_factory=lambda: np.zeros(LABELS))
 
     def unary(self, key: str) -> np.ndarray:
@@ -153,9 +165,9 @@ class _Graph:
         self.where: list[tuple[int, int, int]] = []
         self.text: list[str] = []
         self.seen: list[int] = []
-        self.edges: tuple[list, list] = ([], [])  # between nodes; from nodes to hubs
-        self.hubs: list[tuple[int, Counter]] = []  # row, labels that the rules gave its mentions
-        self.repeats: list[tuple[int, int]] = []
+        self.edges: tuple[list, list, list] = ([], [], [])  # between nodes; from nodes to hubs of repeated and of similar tokens
+        self.hubs: list[tuple[int, Counter | None]] = []  # row, labels that the rules gave the mentions of a repeated token
+        self.repeats: tuple[list, list] = ([], [])
 
     def add(self, row: int, text: str, spans: list[Span]) -> None:
         first, last, hub, at = len(self.where), {}, {}, 0
@@ -172,15 +184,18 @@ class _Graph:
             token = text[start:end]
             if node > first and not text[self.where[-1][2] : start].strip(" .,;:()-"):
                 self.edges[0].append((node - 1, node))
-            if key := likeness(token):
+            for near, key in enumerate((likeness(token), resemblance(token))):
+                if not key:
+                    continue
                 if key in last:
                     if key not in hub:
                         hub[key] = len(self.hubs)
-                        self.hubs.append((row, Counter([self.seen[last[key]]])))
-                        self.edges[1].append((last[key], hub[key]))
-                    self.edges[1].append((node, hub[key]))
-                    self.hubs[hub[key]][1][label] += 1
-                    self.repeats.append((last[key], node))
+                        self.hubs.append((row, None if near else Counter([self.seen[last[key]]])))
+                        self.edges[1 + near].append((last[key], hub[key]))
+                    self.edges[1 + near].append((node, hub[key]))
+                    if not near:
+                        self.hubs[hub[key]][1][label] += 1
+                    self.repeats[near].append((last[key], node))
                 last[key] = node
             self.where.append((row, start, end))
             self.text.append(token)
@@ -234,14 +249,14 @@ def infer(graph: _Graph, field: Field) -> tuple[np.ndarray, np.ndarray]:
     hubs = np.repeat(field.hub[None], len(graph.hubs), axis=0)
     for hub, (_, labels) in enumerate(graph.hubs):
         # What the rules found in one mention holds for the token, however many they missed.
-        if found := {k: c for k, c in labels.items() if k < NONE}:
+        if found := {k: c for k, c in (labels or {}).items() if k < NONE}:
             hubs[hub] = -np.inf  # no number of repeats outvotes it
             hubs[hub, list(found)] = np.log(np.array(list(found.values())) / sum(found.values()))
     unary = np.concatenate([unary, hubs])
-    chain, skip = (np.array(e, int).reshape(-1, 2) for e in graph.edges)
-    pair = np.concatenate([np.repeat(p[None], len(e), axis=0) for p, e in zip((field.chain, field.skip), (chain, skip), strict=True)])
+    chain, skip, near = (np.array(e, int).reshape(-1, 2) for e in graph.edges)
+    pair = np.concatenate([np.repeat(p[None], len(e), axis=0) for p, e in zip((field.chain, field.skip, field.near), (chain, skip, near), strict=True)])
     row = np.array([*[r for r, _, _ in graph.where], *[r for r, _ in graph.hubs]])
-    p = beliefs(unary, np.concatenate([chain, skip + [0, n]]), pair, row)[:n]
+    p = beliefs(unary, np.concatenate([chain, skip + [0, n], near + [0, n]]), pair, row)[:n]
     return p.argmax(axis=1), p.max(axis=1)
 
 
@@ -286,7 +301,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             graph.add(row, text or "", base_spans(text or ""))
         for text, label in zip(graph.text, graph.seen, strict=True):
             count["own", pattern(text), label, 0] += 1
-        for name, edges in zip(("chain", "skip"), (graph.edges[0], graph.repeats), strict=True):
+        for name, edges in zip(("chain", "skip", "near"), (graph.edges[0], *graph.repeats), strict=True):
             for i, j in edges:
                 count[name, "", graph.seen[i], graph.seen[j]] += 1
         part, key, a, b = zip(*count, strict=True) if count else ((), (), (), ())
@@ -299,7 +314,7 @@ def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Field:
     sample = docs.join(F.broadcast(ids), docs["doc_id"] == ids["id"], "left_semi").select(F.col("text").cast("string"))
     counts = sample.mapInArrow(_counted, "part string, key string, a int, b int, n long").groupBy("part", "key", "a", "b").agg(F.sum("n").alias("n")).collect()
     own: dict[str, np.ndarray] = {}
-    pairs = {"chain": np.full((LABELS, LABELS), 0.5), "skip": np.full((LABELS, LABELS), 0.5)}
+    pairs = {name: np.full((LABELS, LABELS), 0.5) for name in ("chain", "skip", "near")}
     for r in counts:
         if r["part"] == "own":
             own.setdefault(r["key"], np.exp(_RARE) * 4)[r["a"]] += r["n"]
@@ -311,8 +326,9 @@ def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Field:
         p = c / c.sum()
         return np.log(p / (p.sum(axis=1, keepdims=True) * p.sum(axis=0, keepdims=True)))
 
-    skip = (pairs["skip"] + pairs["skip"].T) / 2
-    return Field({k: np.log(v / v.sum()) for k, v in own.items()}, ratio(pairs["chain"]), ratio(skip), np.log(skip.sum(axis=0) / skip.sum()))
+    pairs["near"] += np.eye(LABELS)
+    skip, near = ((pairs[k] + pairs[k].T) / 2 for k in ("skip", "near"))
+    return Field({k: np.log(v / v.sum()) for k, v in own.items()}, ratio(pairs["chain"]), ratio(skip), ratio(near), np.log(skip.sum(axis=0) / skip.sum()))
 
 
 def written(spans: list[Span]) -> str:
@@ -326,16 +342,16 @@ def _scan(field: Field):
             numbers = [pa.array([sum(k == kind for _, k, _ in b) for b, _ in found], pa.int64()) for kind in range(NONE)]
             base = pa.array([hashlib.sha256(written(b).encode()).hexdigest() for b, _ in found], pa.string())
             spans = pa.array([written(a) for _, a in found], pa.string())
-            added = pa.array([len(a) - len(b) for b, a in found], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), *numbers, base, spans, added], names=["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans", "n_added"])
+            counts = [pa.array([f(b, a) for b, a in found], pa.int64()) for f in (lambda b, a: len(a) - len(b), lambda b, a: len(a))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *numbers, base, spans, *counts], names=["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans", "n_added", "n_spans"])
 
     return run
 
 
 def scan(docs: DataFrame, field: Field) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added."""
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added, n_spans."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_scan(field), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long")
+    return rows.mapInArrow(_scan(field), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long, n_spans long")
 
 
 def redacted(text: str, spans: list[Span]) -> str:

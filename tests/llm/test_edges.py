@@ -178,6 +178,18 @@ def test_every_repeat_of_a_found_token_is_labelled():
     assert pii.all_spans(["15551234567 and 15551234567"], field) == [([], [])]
 
 
+def test_similar_tokens_share_a_label():
+    """A number without its country code is labelled as the one with it; an unlike one is not."""
+    import numpy as np
+
+    own = {pii.pattern("555-123-4567"): np.log([0.01, 0.01, 0.01, 0.2, 0.77])}
+    flat = np.zeros((5, 5))
+    field = pii.Field(own, flat, flat, np.log(np.full((5, 5), 0.02) + np.eye(5)))
+    text = "call +1 555-123-4567 now or else 555-123-4567 then 555-999-0000"
+    (base, spans), _ = pii.all_spans([text, ""], field)
+    assert len(base) == 1 and set(spans) - set(base) == {(33, 3, 45)}
+
+
 def test_beliefs_run_until_they_stop_changing():
     import numpy as np
 
