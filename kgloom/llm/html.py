@@ -4,7 +4,10 @@ Pages are parsed into trees.  The subtrees of containers are hashed and counted
 Spark; one that recurs on TEMPLATE_PAGES pages of its host, each with other article text
 around it, is template and is deleted, so copies of one article do not make it template.  What is left
 loses menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
-comments, named by element, role or class; the text of the article's blocks remains.
+comments by element or role, and by whole class names and ids; names that can also mean a part
+of an article count only where most of the text is in links or there are controls.  Of main
+and article elements the outermost with the page's main heading is the article, or all
+outermost ones if none has it, or the page; stories inside it that are cards go.
 
 Scale.  A page sends each distinct subtree hash once, with a hash of the text around it; these
 are counted apart before hosts and hashes are, so a host with a third of all pages is no hot
@@ -43,8 +46,24 @@ _LEAVES = _ITEMS | frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote caption figcapt
 _PAGE = frozenset("html body article main".split())
 _DROPPED = frozenset("head title script style noscript template nav header footer aside form button select option textarea input iframe object svg canvas dialog menu".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
-# Words of a class or id that name what is not the article.
-_NAMES = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent notice notices alert gdpr sidebar sidebars widget widgets menu menus nav navbar navigation breadcrumb breadcrumbs pagination pager toolbar header masthead footer copyright disclaimer comment comments commentlist disqus discussion replies share sharing social related recommended newsletter subscribe subscription login search popup modal form".split())
+# Whole class names and ids of what is not the article.
+_CERTAIN = frozenset({
+    "ad", "ads", "advert", "adverts", "advertisement", "advertising", "ad-container", "ad-slot", "ad-banner", "sponsored",
+    "cookie", "cookies", "cookie-banner", "cookie-notice", "cookie-consent", "consent", "gdpr",
+    "sidebar", "sidebars", "side-bar", "left-sidebar", "right-sidebar", "widget-area",
+    "menu", "menus", "main-menu", "nav", "navbar", "main-nav", "navigation", "breadcrumb", "breadcrumbs", "pagination", "pager", "toolbar",
+    "masthead", "site-header", "page-header", "site-footer", "page-footer",
+    "comments", "comment-list", "commentlist", "comments-area", "comment-form", "comment-section", "disqus", "disqus-thread",
+    "share-buttons", "social-share", "social-links", "social-icons", "sharing",
+    "related-posts", "related-articles", "newsletter-signup", "subscribe-form", "search-form", "login-form", "popup", "modal",
+})
+# Names, and parts of names, that need support.
+_LIKELY = frozenset({
+    "banner", "promo", "promotion", "sponsor", "notice", "notices", "alert", "widget", "widgets", "header", "footer", "copyright", "disclaimer",
+    "comment", "discussion", "replies", "share", "social", "related", "recommended", "newsletter", "subscribe", "subscription", "login", "search", "form",
+})
+_CARDS = frozenset({"card", "teaser", "comment", "related", "recommended", "promo", "post-preview"})
+_CONTROLS = frozenset({"form", "button", "input", "select", "textarea", "option", "label"})
 # A start tag of the key closes an open element of the value.
 _CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -140,6 +159,27 @@ def containers(root: Node) -> Iterator[Node]:
         todo += [(p, inside) for p in node.parts if isinstance(p, Node)]
 
 
+def _dense(node: Node) -> bool:
+    """Controls, or over half of the text in links."""
+    text, linked, todo = 0, 0, [(node, False)]
+    while todo:
+        at, link = todo.pop()
+        for p in at.parts:
+            if isinstance(p, str):
+                n = sum(map(len, p.split()))
+                text, linked = text + n, linked + n * link
+            elif p.tag in _CONTROLS:
+                return True
+            else:
+                todo.append((p, link or p.tag == "a"))
+    return 2 * linked > text
+
+
+def _names(node: Node) -> set[str]:
+    """Whole class names and ids."""
+    return {w for m in _ATTRIBUTE.finditer(node.attributes) if m[1].lower() in ("class", "id") for w in (m[2] or m[3] or m[4] or "").lower().replace("_", "-").split()}
+
+
 def _unwanted(node: Node, inside: bool) -> bool:
     if node.tag in _DROPPED:
         return not (node.tag == "header" and inside and any(isinstance(p, Node) and p.tag in ("h1", "h2") for p in node.parts))
@@ -147,28 +187,32 @@ def _unwanted(node: Node, inside: bool) -> bool:
         return False
     for m in _ATTRIBUTE.finditer(node.attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if name in ("class", "id") and any(w in _NAMES for w in _SPLIT.split(value)):
-            return True
         if (name == "role" and value.strip() in _ROLES) or name == "hidden" or (name == "aria-hidden" and value == "true"):
             return True
         if name == "style" and "display:none" in value.replace(" ", ""):
             return True
-    return False
+    names = _names(node)
+    if names & _CERTAIN or (inside and node.tag == "article" and names & _CARDS):
+        return True
+    return any(w in _LIKELY or w in _CERTAIN for n in names for w in _SPLIT.split(n)) and _dense(node)
 
 
 def _articles(root: Node, template: frozenset) -> list[Node]:
-    """Outermost article elements, else main, else the whole page."""
-    for wanted in ("article", "main", None):
-        found, todo = [], [root]
-        while todo:
-            node = todo.pop()
-            if node.tag == wanted:
+    """The outermost main or article element with the first main heading; without one, all
+    outermost article elements, else main, else the whole page."""
+    found, heading, todo = [], None, [(root, None)]
+    while todo:
+        node, top = todo.pop()
+        if node.tag in ("main", "article") and not (top and top.tag == "main" and node.tag == "main"):
+            if top is None:
                 found.append(node)
-            else:
-                todo += [p for p in reversed(node.parts) if isinstance(p, Node) and p.hash not in template and not _unwanted(p, False)]
-        if found:
-            return found
-    return [root]
+            top = top or node
+        if node.tag == "h1" and heading is None and top is not None:
+            heading = top
+        todo += [(p, top) for p in reversed(node.parts) if isinstance(p, Node) and p.hash not in template and not _unwanted(p, top is not None)]
+    if heading is not None:
+        return [heading]
+    return [n for n in found if n.tag == "article"] or found or [root]
 
 
 def _recurring(root: Node, template: frozenset) -> set[int]:

@@ -228,3 +228,32 @@ def test_codewords_are_apart():
     for k in (2, 3, 4, 5, 9):
         code = language.codewords(k)
         assert len(code) == k and min((a != b).sum() for i, a in enumerate(code) for b in code[:i]) >= (1 if k < 3 else 2)
+
+
+def test_templates_of_a_host_carry_the_result(spark):
+    """Plain divs without telling names: what ten different pages of a host share goes, counted
+    by brute force; without templates it would stay."""
+    blocks = {"menu": "<div class='x1'><div>Start</div><div>Docs</div></div>", "notice": "<div class='x7'><p>We keep records of all visits to this place.</p></div>", "rare": "<div class='x3'><p>Seen on nine pages only, so it stays.</p></div>"}
+    rows = []
+    for host, pages in (("a.example", 14), ("b.example", 3)):
+        for i in range(pages):
+            rare = blocks["rare"] if i < 9 else ""
+            rows.append((len(rows), f"https://{host}/{i}", f"<body>{blocks['menu']}<div class='x2'><h1>Title {host} {i}</h1><p>Body {i} of {host}.</p>{rare}</div>{blocks['notice']}</body>"))
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    seen = Counter((url.split("/")[2], name) for _, url, page in rows for name, block in blocks.items() if block in page)
+    out = {r["page_id"]: r["text"] for r in html.extract(table).collect()}
+    off = {r["page_id"]: r["text"] for r in html.extract(table, least=1000).collect()}
+    plain = {"menu": "Start\n\nDocs", "notice": "We keep records of all visits to this place.", "rare": "Seen on nine pages only, so it stays."}
+    for i, url, page in rows:
+        host, n = url.split("/")[2:]
+        whole = [("menu", plain["menu"]), ("", f"Title {host} {n}"), ("", f"Body {n} of {host}."), *[("rare", plain["rare"])] * (blocks["rare"] in page), ("notice", plain["notice"])]
+        assert out[i] == "\n\n".join(t for name, t in whole if not name or seen[host, name] < html.TEMPLATE_PAGES)
+        assert off[i] == "\n\n".join(t for _, t in whole)
+    assert out == {r["page_id"]: r["text"] for r in html.extract(table, few=0).collect()}
+
+
+def test_html_names_and_articles():
+    page = "<article><h1>T</h1><p class='social-history'>one</p><section class='share-price'><p>two</p></section><div id='form-follows'><p>three</p></div><div class='post-share'><a>tweet</a></div></article>"
+    assert html.main_text(html.parse(page + "<article class='card'><h2>Other</h2><p>story</p></article>")) == "T\n\none\n\ntwo\n\nthree"
+    assert html.main_text(html.parse("<main><p>lead</p><article><h1>T</h1><p>a</p></article><p>rest</p></main>")) == "lead\n\nT\n\na\n\nrest"
+    assert html.main_text(html.parse("<main><h1>T</h1><article class='card'><p>Other</p></article><article><p>part</p></article></main>")) == "T\n\npart"
