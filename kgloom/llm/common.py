@@ -20,9 +20,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; one of our own only where it is unset (tests)."""
+    """The folder named in spark.checkpoint.dir.  Where it is unset, one of our own if driver and
+    executors are one process (tests), else an error: executors share no local folder."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="kgloom-")
         spark.sparkContext.setCheckpointDir(path)
     return path

@@ -14,8 +14,9 @@ Texts travel once per head pair, grouped by the bucket's head with a salt per 51
 once per block, so no task holds an unbounded group.
 
 Defined cases: null, empty or blank text has no shingles and is linked with nothing; under
-five words, the whole sequence is the one shingle.  Rows that repeat a doc_id count as one
-document.  A null doc_id cannot name a component: the row takes that of equal texts, or null.
+five words, the whole sequence is the one shingle.  Rows that repeat doc_id and text count as
+one document; texts that share a doc_id are told apart.  A null doc_id
+cannot name a component: the row takes that of equal texts, or null.
 """
 
 from __future__ import annotations
@@ -110,7 +111,7 @@ def band_keys(signature: np.ndarray, rows: int = ROWS) -> np.ndarray:
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
-        data, off = byte_column(batch.column(1))
+        data, off = byte_column(batch.column(2))
         n, one, two, bands, sketch = [], [], [], [], []
         for s in shingle_sets(data, off):
             n.append(len(s))
@@ -121,13 +122,18 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sketch.append(coordinates.astype(np.uint8).tobytes())
         cut = np.concatenate([[0], np.cumsum([len(b) for b in bands])]).astype(np.int32)
         keys = pa.ListArray.from_arrays(pa.array(cut), pa.array(np.concatenate([*bands, np.zeros(0, np.int64)])))
-        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), keys, pa.array(sketch, pa.binary())], names=["doc_id", "n_shingles", "set_a", "set_b", "bands", "sketch"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), keys, pa.array(sketch, pa.binary())], names=["doc_id", "row_key", "n_shingles", "set_a", "set_b", "bands", "sketch"])
+
+
+def row_key(docs: DataFrame) -> F.Column:
+    """Names a row by its doc_id and text."""
+    return F.xxhash64(docs["doc_id"].cast("long"), docs["text"].cast("string"))
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_a, set_b (fingerprint of the set), bands, sketch (a byte of each
+    """doc_id, row_key, n_shingles, set_a, set_b (fingerprint of the set), bands, sketch (a byte of each
     coordinate)."""
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_signatures, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sketch binary")
+    return docs.select(F.col("doc_id").cast("long"), row_key(docs).alias("row_key"), F.col("text").cast("string")).mapInArrow(_signatures, "doc_id long, row_key long, n_shingles long, set_a long, set_b long, bands array<long>, sketch binary")
 
 
 def _confirm(percent: int):
@@ -153,13 +159,13 @@ def _confirm(percent: int):
 
 
 def confirmed(docs: DataFrame, pairs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets reach `percent` Jaccard; a and b are doc_ids."""
+    """The pairs (a, b) whose full shingle sets reach `percent` Jaccard; a and b are row keys."""
     salts = pairs.groupBy("b").agg(F.ceil(F.count("*") / PAIRS_PER_SALT).alias("salts"))
-    members = pairs.join(salts, "b").select(F.col("b").alias("head"), F.pmod(F.xxhash64("a"), F.col("salts")).cast("int").alias("salt"), F.col("a").alias("doc_id"))
+    members = pairs.join(salts, "b").select(F.col("b").alias("head"), F.pmod(F.xxhash64("a"), F.col("salts")).cast("int").alias("salt"), F.col("a").alias("node"))
     used = members.select("head", "salt").distinct()
-    wanted = stored(members.unionByName(used.withColumn("doc_id", F.col("head"))), "wanted")
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text")).join(checked_broadcast(wanted), "doc_id")
-    rows = texts.select("head", "salt", "doc_id", "text").repartition("head", "salt").sortWithinPartitions("head", "salt", F.col("doc_id") != F.col("head"), "doc_id")
+    wanted = stored(members.unionByName(used.withColumn("node", F.col("head"))), "wanted")
+    texts = docs.select(row_key(docs).alias("node"), F.col("text").cast("string").alias("text")).join(checked_broadcast(wanted), "node")
+    rows = texts.select("head", "salt", "node", "text").repartition("head", "salt").sortWithinPartitions("head", "salt", F.col("node") != F.col("head"), "node")
     return rows.mapInArrow(_confirm(percent), "a long, b long").distinct()
 
 
@@ -224,7 +230,7 @@ def across(docs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     rows = members.select("band", "node", "component", "size", own.alias("own"), "sketch", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
     rows = rows.select("band", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "node", "component", "size", "own", "sketch")
     rows = stored(rows, "open")
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text"))
+    texts = docs.select(row_key(docs).alias("node"), F.col("text").cast("string").alias("text"))
     rows = texts.join(checked_broadcast(rows, limit=OPEN_BROADCAST), "node").select("band", "p", "q", "node", "component", "size", "own", "sketch", F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.repartition("band", "p", "q").sortWithinPartitions("band", "p", "q")
     return rows.mapInArrow(_blocks(percent), "a long, b long").distinct()
@@ -249,13 +255,13 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row per row of docs."""
-    docs = docs
+    """doc_id, n_shingles, component_id, kept, row_key: one row per row of docs."""
     marks = stored(signatures(docs), "marks")
-    classes = marks.where("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("node"))
-    # A class is known by its smallest document; only that one is banded.
-    nodes = classes.where("node is not null").select(F.col("node").alias("doc_id"), "set_a", "set_b")
-    banded = marks.join(nodes, ["doc_id", "set_a", "set_b"], "left_semi").select(F.col("doc_id").alias("node"), "n_shingles", F.explode("bands").alias("band"))
+    named = F.col("doc_id").isNotNull()
+    classes = marks.where("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles").agg(F.min(F.when(named, F.col("row_key"))).alias("node"), F.min("doc_id").alias("low"))
+    # A class is known by one of its rows; only that one is banded.
+    nodes = classes.where("node is not null").select(F.col("node").alias("row_key"), "set_a", "set_b")
+    banded = marks.join(nodes, ["row_key", "set_a", "set_b"], "left_semi").select(F.col("row_key").alias("node"), "n_shingles", F.explode("bands").alias("band"))
     heads = banded.groupBy("band").agg(F.min("node").alias("head"), F.max("node").alias("tail")).where("head < tail").drop("tail")
     shared = stored(banded.join(heads, "band").select("band", "node", "n_shingles", "head"), "buckets")
     sizes = shared.groupBy("node").agg(F.max("n_shingles").alias("size"))
@@ -269,12 +275,15 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # Members of one bucket that are still apart: compare them across components, in blocks.
     placed = shared.join(found, "node", "left").select("band", "node", F.col("n_shingles").alias("size"), F.coalesce("component", "node").alias("component"))
     mixed = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"), F.sum("size").alias("shingles")).where("lo < hi").select("band", "n", "shingles")
-    sketches = marks.join(nodes, ["doc_id", "set_a", "set_b"], "left_semi").select(F.col("doc_id").alias("node"), "sketch").dropDuplicates(["node"])
+    sketches = marks.join(nodes, ["row_key", "set_a", "set_b"], "left_semi").select(F.col("row_key").alias("node"), "sketch").dropDuplicates(["node"])
     open_ = placed.join(mixed, "band").join(sketches, "node")
     more = stored(across(docs, open_, percent), "links2")
     if more.limit(1).count():
         found = components(links.unionByName(more))
-    named = classes.join(found, "node", "left").select("set_a", "set_b", "n_shingles", F.coalesce("component", "node").alias("component_id"))
+    # A component is named by its smallest doc_id.
+    low = found.join(classes.select("node", "low"), "node").groupBy("component").agg(F.min("low").alias("component_id"))
+    found = found.join(low, "component").select("node", "component_id")
+    named = classes.join(found, "node", "left").select("set_a", "set_b", "n_shingles", F.coalesce("component_id", "low").alias("component_id"))
     out = marks.drop("bands", "sketch").join(named, ["set_a", "set_b", "n_shingles"], "left")
-    out = out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    out = out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "row_key")
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -13,7 +13,7 @@ TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents")).drop("row_key")
 
 
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

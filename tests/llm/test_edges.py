@@ -124,6 +124,16 @@ def test_ledger_scans_each_blob_once(docs, tmp_path):
     assert {r["doc_id"]: r["spans"] for r in first}[14] == "assign:0:21"
 
 
+def test_near_duplicates_tell_texts_of_one_id_apart(spark):
+    """Of two texts with one id only the near copy joins the group of its original."""
+    words = [f"w{i}" for i in range(300)]
+    rows = [(1, " ".join(words[:100])), (2, " ".join([*words[:99], "end"])), (2, " ".join(words[150:250])), (3, " ".join(words[200:])), (2, " ".join(words[150:250]))]
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    keys = {r["row_key"] for r in found}
+    out = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in found)
+    assert out == [(1, 1, True), (2, 1, False), (2, 2, True), (2, 2, True), (3, 3, True)] and len(keys) == 4
+
+
 def test_run_length_index():
     import numpy as np
 
