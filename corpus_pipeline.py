@@ -31,9 +31,10 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: that with the smallest doc_id."""
-    gone = minhash.near_duplicates(docs).where("not kept and doc_id is not null").select("doc_id").distinct()
-    return docs.join(checked_broadcast(gone), "doc_id", "left_anti").select(COLUMNS)
+    """One document of each near-duplicate group stays: that with the smallest doc_id.  Texts that
+    share a doc_id are judged one by one."""
+    gone = minhash.near_duplicates(docs).where("not kept and doc_id is not null").select(F.col("row_key").alias("gone")).distinct()
+    return docs.join(checked_broadcast(gone), minhash.row_key(docs) == F.col("gone"), "left_anti").select(COLUMNS)
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
