@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +14,9 @@ from pyspark.sql import functions as F
 
 # A side is broadcast only when its counted rows stay under this; beyond it the join shuffles.
 BROADCAST_ROWS = 1_000_000
+# Rows and bytes of what a Python worker takes at once.
+BATCH_ROWS = 1000
+BATCH_BYTES = 1 << 24
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,12 +35,27 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Hand Python at most BATCH_ROWS rows at once while a table is written; then the session's
+    own setting holds again."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    if not 0 < int(before) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: lineage is cut and a lost
     executor costs one task, not a recomputation."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -47,9 +66,6 @@ def checked_broadcast(df: DataFrame, rows: int | None = None, limit: int = BROAD
 
 
 BATCH_ROWS = 1000
-BATCH_BYTES = 1 << 24
-
-
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The batches in parts of at most BATCH_ROWS rows and, where a row is not longer itself,
     about BATCH_BYTES bytes, so that what a worker makes of one part is bounded."""
