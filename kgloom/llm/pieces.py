@@ -6,8 +6,10 @@ segmentation up to that position; back pointers give the pieces.  A character th
 covers becomes its UTF-8 bytes.
 
 No piece has a space mark after another character, so a segmentation falls apart at word
-starts (and at characters in no piece); words are segmented once per worker and kept in a
-table that is emptied at CACHE_UNITS, so memory is bounded and the result does not change.
+starts (and at characters in no piece); words are segmented once per worker and kept in two
+tables of CACHE_UNITS in all, the older dropped when the younger is full, so memory is bounded
+and the result does not change.  Units over SHORT characters are not kept and take 20 bytes a
+character while they are segmented.
 
 A vocabulary file of the byte-pair kind scores pieces by rank, which is no likelihood: the
 score of a piece is then -log(rank + 2), by Zipf's law; unigram files give their own scores.
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -35,7 +38,8 @@ from pyspark.sql import functions as F
 from .common import slices
 
 MARK = "▁"
-CACHE_UNITS = 200_000
+CACHE_UNITS = 400_000
+SHORT = 256
 UNCOVERED = 10.0  # a character that is no piece scores this much below the worst piece
 
 
@@ -62,6 +66,7 @@ class Vocabulary:
 class Coder:
     vocabulary: Vocabulary
     known: dict[str, bytes] = field(default_factory=dict)
+    older: dict[str, bytes] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         self.automaton = ahocorasick.Automaton()
@@ -74,42 +79,48 @@ class Coder:
         self.newline = not any("\n" in p for p, _, _ in self.vocabulary.pieces)
 
     def segment(self, text: str) -> list[int]:
-        """Ids of the best segmentation, one pass over the text."""
-        n = len(text)
-        best = [0.0] + [-math.inf] * n
-        back: list[tuple[int, int]] = [(0, -1)] * (n + 1)
-        at = 0  # positions up to here are final
+        """Ids of the best segmentation, one pass over the text; 20 bytes a character if long."""
+        n, floor = len(text), self.floor
+        if n <= SHORT:
+            best, back, piece = [0.0] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
+        else:
+            best, back, piece = array("d", bytes(8 * (n + 1))), array("q", bytes(8 * (n + 1))), array("i", [-1]) * (n + 1)
+        at = 0  # positions up to here have the edge over one character as bytes, always there
         for end, (size, i, score) in self.automaton.iter(text):
             end += 1
-            while at < end - 1:
+            while at < end:
                 at += 1
-                self._bridge(at, best, back)
-            if at < end:
-                at = end
-                self._bridge(at, best, back)
+                best[at] = best[at - 1] + floor
+                back[at] = at - 1
             start = end - size
             total = best[start] + score
-            if total > best[end] or (total == best[end] and start < back[end][0]):
-                best[end], back[end] = total, (start, i)
+            if total > best[end] or (total == best[end] and start < back[end]):
+                best[end], back[end], piece[end] = total, start, i
         while at < n:
             at += 1
-            self._bridge(at, best, back)
-        out: list[int] = []
+            best[at] = best[at - 1] + floor
+            back[at] = at - 1
+        out = array("i")
         while n:
-            start, i = back[n]
-            out += [i] if i >= 0 else [self.vocabulary.byte_ids[b] for b in reversed(text[start:n].encode())]
+            start = back[n]
+            if piece[n] >= 0:
+                out.append(piece[n])
+            else:
+                out.extend(self.vocabulary.byte_ids[b] for b in reversed(text[start:n].encode()))
             n = start
-        return out[::-1]
-
-    def _bridge(self, at: int, best: list[float], back: list[tuple[int, int]]) -> None:
-        """The edge over one character as bytes, always there."""
-        best[at], back[at] = best[at - 1] + self.floor, (at - 1, -1)
+        out.reverse()
+        return out.tolist() if len(text) <= SHORT else out
 
     def _unit(self, unit: str) -> bytes:
-        if len(self.known) >= CACHE_UNITS:
-            self.known.clear()
-        out = np.array(self.segment(unit), "<u4").tobytes()
-        self.known[unit] = out
+        """A unit that is not in the younger table: from the older one, or segmented."""
+        out = self.older.get(unit)
+        if out is None:
+            out = np.array(self.segment(unit), "<u4").tobytes()
+        if len(unit) <= SHORT:
+            if len(self.known) >= CACHE_UNITS // 2:
+                self.older = dict(self.known)
+                self.known.clear()
+            self.known[unit] = out
         return out
 
     def _plain(self, text: str) -> Iterator[str]:

@@ -209,6 +209,25 @@ def test_pieces_are_the_best_segmentation():
         assert use.decode(use.encode(text)) == text
 
 
+def test_long_units_take_little_memory():
+    """A long text without spaces, there and back, in bounded memory."""
+    import tracemalloc
+
+    use = pieces.Coder(pieces.Vocabulary.load(queries.TOKENIZER))
+    text = "abcdefgh\u00e9" * 60_000
+    tracemalloc.start()
+    ids = use.encode(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert use.decode(ids) == text and peak < 50 * len(text) and not use.known
+    # The tables of units may be emptied at any time without a change.
+    words = " ".join(f"w{i} x{i % 7}" for i in range(300))
+    whole = use.encode(words)
+    use.known.clear()
+    use.older.clear()
+    assert use.encode(words) == whole
+
+
 def test_html_parser_cases():
     root = html.parse("<div class='sidebar'>no</div><main><p>One &amp; two<p>Three<br>four<ul><li>a<li>b</ul><form>x</form></main>")
     assert html.main_text(root) == "One & two\n\nThree four\n\na\n\nb"
