@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import rules
 from ..functions import text
 from ..model import Graph
 from . import graphops as g
@@ -47,13 +50,46 @@ def article_index(articles: DataFrame, chunks: DataFrame) -> DataFrame:
     return rows.select("article_id", "chapter_number", "url", F.coalesce("n_chunks", F.lit(0).cast("long")).alias("n_chunks"), (F.col("target") == F.col("article_id")).alias("url_owner"))
 
 
+RESOURCES = [("images", "img", "src", "HAS_IMAGE"), ("videos", "vid", "url", "HAS_VIDEO"), ("webinars", "web", "url", "HAS_WEBINAR")]
+
+
 def resources(records: DataFrame) -> DataFrame:
     """id, kind, url, article_id of images, videos and webinars of parsed articles."""
     def one(column: str, tag: str, url: str) -> DataFrame:
         rows = records.select("article_id", F.posexplode(column).alias("pos", "x"))
         return rows.select(F.concat_ws("-", "article_id", F.concat(F.lit(tag), F.col("pos").cast("string"))).alias("id"), F.lit(column).alias("kind"), F.col(f"x.{url}").alias("url"), "article_id")
 
-    return one("images", "img", "src").unionByName(one("videos", "vid", "url"))
+    return reduce(DataFrame.unionByName, [one(*r[:3]) for r in RESOURCES])
+
+
+def resource_edges(found: DataFrame) -> DataFrame:
+    """src, type, dst from articles to their resources."""
+    kind = reduce(lambda c, r: c.when(F.col("kind") == r[0], r[3]), RESOURCES[1:], F.when(F.col("kind") == RESOURCES[0][0], RESOURCES[0][3]))
+    return found.select(F.col("article_id").alias("src"), kind.alias("type"), F.col("id").alias("dst"))
+
+
+def related_links(records: DataFrame) -> DataFrame:
+    """RELATED_TO edges from the callouts of parsed articles to articles of that URL."""
+    rows = records.select("article_id", F.inline("related"))
+    targets = records.groupBy("url").agg(F.max("article_id").alias("target"))
+    hits = rows.join(targets, "url").where("article_id <> target")
+    return hits.select(F.col("article_id").alias("src"), F.lit("RELATED_TO").alias("type"), F.col("target").alias("dst")).distinct()
+
+
+def record_index(records: DataFrame, content: bool = False) -> DataFrame:
+    """article_id, title, url, url_owner (of equal URLs the last article), counts of children; the
+    Markdown only if asked for."""
+    owner = records.groupBy("url").agg(F.max("article_id").alias("owner"))
+    counts = [F.size(c).cast("long").alias(f"n_{c}") for c in ("sections", "images", "videos", "webinars", "related", "cross_references", "key_concepts")]
+    return records.join(owner, "url").select("article_id", "title", "url", (F.col("owner") == F.col("article_id")).alias("url_owner"), *counts, *(["markdown_content"] if content else []))
+
+
+def build(articles: DataFrame, terms: DataFrame, records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(edges, counts by kind): chapters, resources, glossary and links in one go."""
+    found = resources(records)
+    edges = reduce(DataFrame.unionByName, [in_chapter(articles), resource_edges(found), related_links(records)]).distinct()
+    rows = [chapters(articles).select(F.lit("chapters").alias("kind")), definitions(terms).select(F.lit("definitions").alias("kind")), found.select("kind"), edges.select("type")]
+    return edges, reduce(DataFrame.union, rows).groupBy("kind").agg(F.count("*").alias("n"))
 
 
 def thumbnails(webinars: DataFrame) -> DataFrame:
@@ -87,6 +123,28 @@ def label_sets(nodes: DataFrame, limit: int = 10) -> DataFrame:
     return g.top(nodes.groupBy(F.array_join("labels", "+").alias("label_set")).agg(F.count("*").alias("n")), limit, F.desc("n"), "label_set")
 
 
+def related_labels(graph: Graph, label: str, limit: int = 10) -> DataFrame:
+    """type, direction, other_label, n of the relations of a label."""
+    ends = g.ends(graph.edges).join(graph.nodes.where(F.col("label") == label).select("id"), "id", "left_semi")
+    others = graph.nodes.select(F.col("id").alias("other"), F.col("label").alias("other_label"))
+    rows = ends.join(others, "other").groupBy("type", F.when(F.col("outgoing"), "out").otherwise("in").alias("direction"), "other_label").agg(F.count("*").alias("n"))
+    return g.top(rows, limit, F.desc("n"), "type", "direction", "other_label")
+
+
+def mention_overlap(graph: Graph) -> DataFrame:
+    """label, mentioned, without_entity_label, with_relations: nodes that chunks mention."""
+    mentioned = graph.edges.where(F.col("type") == rules.MENTION).select(F.col("src").alias("id")).distinct()
+    linked = g.ends(graph.edges.where(F.col("type") != rules.MENTION)).select("id").distinct().withColumn("linked", F.lit(True))
+    rows = graph.nodes.join(mentioned, "id", "left_semi").join(linked, "id", "left")
+    return rows.groupBy("label").agg(F.count("*").alias("mentioned"), F.count_if(~F.array_contains("labels", "__Entity__")).alias("without_entity_label"), F.count_if("linked").alias("with_relations"))
+
+
+def contents_coverage(contents: DataFrame, articles: DataFrame) -> DataFrame:
+    """chapter_number, listed, found, missing: the table of contents against the articles."""
+    there = articles.select(F.col("url"), F.lit(True).alias("there")).distinct()
+    return contents.join(there, "url", "left").groupBy("chapter_number").agg(F.count("*").alias("listed"), F.count_if("there").alias("found"), F.count_if(F.col("there").isNull()).alias("missing"))
+
+
 def relation_histogram(graph: Graph, label: str, limit: int = 10) -> DataFrame:
     rows = g.ends(graph.edges).join(graph.nodes.where(F.col("label") == label).select("id"), "id", "left_semi")
     return g.top(rows.groupBy("type").agg(F.count("*").alias("n")), limit, F.desc("n"), "type")

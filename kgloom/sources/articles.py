@@ -14,7 +14,9 @@ from urllib.parse import urljoin, urlparse
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from ..functions import text
 from ..model import ARTICLE_RECORD
 from . import markdown
 from .dom import Element, has_class, parse
@@ -45,7 +47,7 @@ STOP_WORDS = frozenset({
     "they", "their", "i", "my", "me", "he", "she", "him", "her", "his", "with", "from", "by", "about", "into", "through", "during", "before",
     "after", "above", "below", "between", "under", "again", "further", "then", "once",
 })
-MAX_CONCEPTS, SHORT, LONG = 20, 2, 50
+MAX_CONCEPTS, SHORT, LONG, LEAST_TITLE = 20, 2, 50, 10
 
 
 def title(page: Element, site: Site) -> str:
@@ -147,21 +149,78 @@ def videos(root: Element) -> list[dict]:
     return [{"video_id": v, "url": f"https://www.youtube.com/watch?v={v}"} for v in dict.fromkeys(found)]
 
 
-def webinars(root: Element, url: str) -> list[dict]:
-    """Links to webinars, distinct by URL: title from text, image, slug or next sentence."""
-    out, seen = [], set()
-    for a in root.all("a"):
-        full = urljoin(url, a.attrs.get("href", ""))
-        if not re.search(r"/webinars?/|webinar", full) or full in seen:
+def _column_before(e: Element) -> Element | None:
+    """The column left of the one that e stands in."""
+    own = e if "div" == e.tag and has_class(e, "flex_column") else e.closest_where(lambda x: x.tag == "div" and has_class(x, "flex_column"))
+    if own is None or own.parent is None:
+        return None
+    before = own.parent.children[: next(i for i, c in enumerate(own.parent.children) if c is own)]
+    return next((c for c in reversed(before) if isinstance(c, Element) and c.tag == "div" and has_class(c, "flex_column")), None)
+
+
+def _announcements(root: Element, tags: tuple[str, ...]) -> list[tuple[Element, Element]]:
+    """(element with the announcement, column with the webinar's link) pairs."""
+    out = []
+    for e in root.where(lambda e: any(isinstance(c, str) and "in this webinar" in c.lower() for c in e.children)):
+        holder, column = e if e.tag in tags else e.closest(*tags), _column_before(e)
+        if holder is not None and column is not None:
+            out.append((holder, column))
+    return out
+
+
+def _is_webinar(href: str, site: Site) -> bool:
+    return f"{site.domain}/webinar/" in href.lower()
+
+
+def webinars(root: Element, url: str, site: Site) -> list[dict]:
+    """Links to webinars, distinct by URL.  Title: the link's text, its image's title or alt
+    text, the URL's last part, the first sentence of the next paragraph."""
+    described = {}
+    for holder, column in _announcements(root, ("h3", "h4", "p", "div")):
+        link = next((a for a in column.all("a") if _is_webinar(a.attrs.get("href", ""), site)), None)
+        if link is not None:
+            described[urljoin(url, link.attrs["href"])] = holder.text()
+    out, seen, heading = [], set(), None
+    for e in root.walk():
+        if e.tag in ("h2", "h3", "h4"):
+            heading = e.text()
+        href = e.attrs.get("href", "") if e.tag == "a" else ""
+        full = urljoin(url, href)
+        if not _is_webinar(href, site) or full in seen:
             continue
         seen.add(full)
-        image = a.first("img")
-        slug = urlparse(full).path.rstrip("/").rpartition("/")[2].replace("-", " ").title()
-        picture = (image.attrs.get("title") or image.attrs.get("alt") or "") if image else ""
-        out.append({"url": full, "title": a.text() or (picture if len(picture) > 10 else "") or slug or "Webinar", "thumbnail": urljoin(url, image.attrs["src"]) if image and image.attrs.get("src") else None})
+        image, name, thumbnail = e.first("img"), e.text(), None
+        if image:
+            picture = image.attrs.get("title", "").strip() or image.attrs.get("alt", "").strip()
+            name = name or (picture if len(picture) > LEAST_TITLE else "")
+            source = image.attrs.get("data-lazy-src") or image.attrs.get("data-src") or image.attrs.get("src") or ""
+            thumbnail = urljoin(url, source) if source and not source.startswith("data:") else None
+        slug = re.search(r"/webinar/([^/?#]+)", href)
+        name = name or ("Webinar: " + slug[1].replace("-", " ").title() if slug else "")
+        if not name:
+            after = e.parent.children[next(i for i, c in enumerate(e.parent.children) if c is e) :] if e.parent else []
+            words = next((c.text() for c in after if isinstance(c, Element) and c.tag == "p"), "")
+            name = words.split(".")[0].strip() if len(words) > LEAST_TITLE else ""
+        context = heading if heading and "In This Webinar" not in heading else None
+        out.append({"url": full, "title": name or "Webinar", "description": described.get(full), "thumbnail": thumbnail, "context": context})
     return out
 
 
+def link_webinars(root: Element, found: list[dict]) -> None:
+    """Put links to the webinars where their images and announcements stand."""
+    def of(href: str) -> dict | None:
+        return next((w for w in found if "/webinar/" in href and (href in w["url"] or w["url"] in href)), None)
+
+    for box in root.where(lambda e: e.tag == "div" and has_class(e, "avia-image-container")):
+        link = next((a for a in box.all("a") if a.attrs.get("href")), None)
+        if link is not None and (w := of(link.attrs["href"])):
+            box.replace(f"\n\n**\U0001f4f9 [{w['title']}]({w['url']})**\n\n")
+    for holder, column in _announcements(root, ("h2", "h3", "h4", "h5", "h6", "p", "div")):
+        link = next((a for a in column.all("a") if "/webinar/" in a.attrs.get("href", "").lower()), None)
+        if link is not None and (w := of(link.attrs["href"])):
+            holder.replace(f"\n\n**[{holder.text()}]({w['url']})**\n\n")
+
+
 def related(root: Element, url: str) -> list[dict]:
     """Callouts to related articles, distinct by URL."""
     out = {}
@@ -203,26 +262,29 @@ def article(page: str | None, url: str, site: Site) -> dict:
     tree = parse(page)
     name, root = title(tree, site), content(tree)
     if root is None:
-        return {"title": name, "markdown_content": "", "sections": [], "key_concepts": [], "cross_references": [], "images": [], "videos": [], "webinars": [], "related": []}
+        return {"title": name, "og_image": og_image(tree), "markdown_content": "", "sections": [], "key_concepts": [], "cross_references": [], "images": [], "videos": [], "webinars": [], "related": []}
     clean(root)
-    out = {"cross_references": cross_references(root, url, site), "images": images(root, url), "videos": videos(root), "webinars": webinars(root, url), "related": related(root, url)}
+    out = {"og_image": og_image(tree), "cross_references": cross_references(root, url, site), "images": images(root, url), "videos": videos(root), "webinars": webinars(root, url, site), "related": related(root, url)}
+    link_webinars(root, out["webinars"])
     return out | {"title": name, "markdown_content": markdown.without_promotion(markdown.block(root), PROMO_TEXT), "sections": sections(root), "key_concepts": key_concepts(root, name)}
 
 
 def articles(pages: DataFrame, site: Site | None = None) -> DataFrame:
     """article_id, title, url, content_type, markdown_content, sections, key_concepts,
-    cross_references, images, videos of each page; null html gives empty outputs."""
+    cross_references, images, videos, webinars, related, og_image of each page; null html gives
+    empty outputs."""
     site = site or Site()
-    names = ["article_id", "title", "url", "content_type", "markdown_content", "sections", "key_concepts", "cross_references", "images", "videos"]
+    names = [f.name for f in StructType.fromDDL(ARTICLE_RECORD)]
+    made = [n for n in names if n not in ("article_id", "url", "content_type")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            parsed = [article(h, u or "", site) for h, u in zip(rows["html"], rows["url"], strict=True)]
-            out = pd.DataFrame(parsed, columns=["title", "markdown_content", "sections", "key_concepts", "cross_references", "images", "videos"])
+            out = pd.DataFrame([article(h, u or "", site) for h, u in zip(rows["html"], rows["url"], strict=True)], columns=made)
             yield out.assign(article_id=list(rows["article_id"]), url=list(rows["url"]), content_type=list(rows["content_type"]))[names]
 
     rows = pages.select(F.col("page_id").cast("string").alias("article_id"), "url", F.lit("article").alias("content_type"), "html")
-    return rows.mapInPandas(run, ARTICLE_RECORD)
+    kind = lambda r: text.source_type(r["url"], site.domain, site.guide).alias("source_type")
+    return rows.mapInPandas(run, ARTICLE_RECORD).withColumn("related", F.transform("related", lambda r: F.struct(r["url"].alias("url"), r["title"].alias("title"), kind(r))))
 
 
 def contents(page: str) -> list[dict]:

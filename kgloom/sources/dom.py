@@ -56,12 +56,20 @@ class Element:
         if self.parent:
             self.parent.children = [c for c in self.parent.children if c is not self]
 
-    def closest(self, *tags: str) -> Element | None:
+    def replace(self, text: str) -> None:
+        """Put text in this element's place."""
+        if self.parent:
+            self.parent.children = [text if c is self else c for c in self.parent.children]
+
+    def closest_where(self, test: Callable[[Element], bool]) -> Element | None:
         e = self.parent
-        while e and e.tag not in tags:
+        while e is not None and not test(e):
             e = e.parent
         return e
 
+    def closest(self, *tags: str) -> Element | None:
+        return self.closest_where(lambda e: e.tag in tags)
+
 
 class _Builder(HTMLParser):
     def __init__(self) -> None:
