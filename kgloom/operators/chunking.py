@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources import dom
+
 SEPARATORS = ("\n\n\n", "\n\n", "\n", ". ", "? ", "! ", "; ", " ", "")
 
 
@@ -20,6 +24,8 @@ class Config:
     least: int = 100
     separators: tuple[str, ...] = SEPARATORS
     prefix: bool = False
+    semantic: bool = False
+    similarity: float = 0.5
 
     def __post_init__(self) -> None:
         if self.size <= 0 or not 0 <= self.overlap < self.size:
@@ -83,21 +89,112 @@ def header_split(lines: DataFrame) -> DataFrame:
     return body.select("id", "section", "h1", "h2", "h3", text.alias("text")).where("text <> ''")
 
 
-def chunk(documents: DataFrame, config: Config | None = None) -> DataFrame:
-    """id, index, h1, h2, h3, text: sections longer than the threshold are split, those shorter
-    than `least` dropped, pieces of a split section all kept."""
+Section = tuple[str | None, str | None, str | None, str]  # h1, h2, h3, text
+
+
+def _sectioned(lines: Iterator[tuple[int, str]], joint: str) -> list[Section]:
+    """Sections of (heading level or 0, text) pairs; a heading closes those of its level and below."""
+    heads: list[str | None] = [None, None, None]
+    out: list[Section] = []
+    body: list[str] = []
+
+    def flush() -> None:
+        if text := joint.join(body).strip(" "):
+            out.append((*heads, text))
+        body.clear()
+
+    for level, words in lines:
+        if level:
+            flush()
+            heads[level - 1 :] = [words, *[None] * (3 - level)]
+        else:
+            body.append(words)
+    flush()
+    return out
+
+
+def markdown_sections(text: str) -> list[Section]:
+    """A section per heading of a Markdown text; lines in code fences are no headings."""
+    def lines() -> Iterator[tuple[int, str]]:
+        fenced = False
+        for line in text.split("\n"):
+            mark = None if fenced else re.match(r"(#{1,3}) (?=\S)", line)
+            yield (len(mark[1]), re.sub(r"^#+ ", "", line).strip(" ")) if mark else (0, line)
+            fenced ^= bool(re.match(r"\s*```", line))
+
+    return _sectioned(lines(), "\n")
+
+
+def html_sections(page: str) -> list[Section]:
+    """A section per h1, h2 and h3 of a page, with the text of what follows up to the next."""
+    def lines() -> Iterator[tuple[int, str]]:
+        todo: list = list(reversed(dom.parse(page).children))
+        while todo:
+            e = todo.pop()
+            if isinstance(e, str):
+                if words := " ".join(e.split()):
+                    yield 0, words
+            elif e.tag in ("h1", "h2", "h3"):
+                yield int(e.tag[1]), e.text(" ")
+            elif e.tag not in ("head", "script", "style", "noscript"):
+                todo += reversed(e.children)
+
+    return _sectioned(lines(), "\n")
+
+
+def _cosine(a: Counter, b: Counter) -> float:
+    size = (sum(x * x for x in a.values()) * sum(x * x for x in b.values())) ** 0.5
+    return sum(n * b[w] for w, n in a.items()) / size if size else 0.0
+
+
+def semantic_split(text: str, config: Config) -> list[str] | None:
+    """Groups of neighbouring sentences up to `size` characters, cut where the words of two
+    neighbours are less similar than `similarity`.  None, for the caller to fall back on the
+    recursive split: no groups, one of over twice the threshold, or all below `least`."""
+    groups: list[str] = []
+    last: Counter | None = None
+    for sentence in re.split(r"(?<=[.!?])\s+", text.strip()):
+        words = Counter(re.findall(r"\w+", sentence.lower()))
+        if last is not None and len(groups[-1]) + 1 + len(sentence) <= config.size and _cosine(last, words) >= config.similarity:
+            groups[-1] += " " + sentence
+        else:
+            groups.append(sentence)
+        last = words
+    if not text.strip() or any(len(g) > 2 * config.threshold for g in groups):
+        return None
+    return [g for g in groups if len(g) >= config.least] or None
+
+
+def sized(sections: list[Section], config: Config, title: str | None = None) -> Iterator[Section]:
+    """The size rule: sections over the threshold are split, those under `least` dropped, pieces of
+    the recursive split all kept.  With a prefix, the title and headings come first."""
+    for h1, h2, h3, text in sections:
+        if config.prefix:
+            head = " > ".join([*([f"Article: {title}"] if title else []), *filter(None, (h1, h2, h3))])
+            text = f"{head}\n\n{text}" if head else text
+        if len(text) > config.threshold:
+            pieces = (semantic_split(text, config) if config.semantic else None) or recursive_split(text, config)
+            yield from ((h1, h2, h3, p) for p in pieces)
+        elif len(text) >= config.least:
+            yield h1, h2, h3, text
+
+
+def chunk(documents: DataFrame, config: Config | None = None, html: bool = False) -> DataFrame:
+    """id, index, h1, h2, h3, text of Markdown texts or pages, with their `title` where documents
+    have one: a function of each row, so nothing is shuffled."""
     config = config or Config()
-    lines = documents.select(F.col("id").cast("string").alias("id"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("pos", "line"))
-    parts = header_split(lines).where((F.length("text") > config.threshold) | (F.length("text") >= config.least))
+    split = html_sections if html else markdown_sections
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            pieces = [recursive_split(t, config) if len(t) > config.threshold else [t] for t in rows["text"]]
-            yield rows.assign(text=pieces).explode("text").assign(piece=lambda x: x.groupby(level=0).cumcount())[["id", "section", "piece", "h1", "h2", "h3", "text"]]
-
-    rows = parts.mapInPandas(run, "id string, section long, piece long, h1 string, h2 string, h3 string, text string")
-    if config.prefix:
-        head = F.concat_ws(" > ", "h1", "h2", "h3")
-        rows = rows.withColumn("text", F.when(head != "", F.concat(head, F.lit("\n\n"), "text")).otherwise(F.col("text")))
-    index = F.row_number().over(Window.partitionBy("id").orderBy("section", "piece")) - 1
-    return rows.select("id", index.alias("index"), "h1", "h2", "h3", "text")
+            out = [(i, n, *x) for i, text, title in zip(rows["id"], rows["text"], rows["title"], strict=True) for n, x in enumerate(sized(split(text), config, title))]
+            yield pd.DataFrame(out, columns=["id", "index", "h1", "h2", "h3", "text"])
+
+    title = F.col("title").cast("string") if "title" in documents.columns else F.lit(None).cast("string")
+    rows = documents.select(F.col("id").cast("string").alias("id"), F.coalesce("text", F.lit("")).alias("text"), title.alias("title"))
+    return rows.mapInPandas(run, "id string, index int, h1 string, h2 string, h3 string, text string")
+
+
+def splitter(config: Config | None = None, markdown: bool = True) -> Callable[[DataFrame], DataFrame]:
+    """chunk() of one kind of text and one configuration, to hand to a pipeline."""
+    return lambda documents: chunk(documents, config, html=not markdown)

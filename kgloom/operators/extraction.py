@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions import text
+from . import chunking, linking
 from . import graphops as g
-from . import linking
 
 NODES = "array<struct<id:string,label:string,properties:map<string,string>>>"
 RELATIONSHIPS = "array<struct<type:string,start_node_id:string,end_node_id:string,source:string,target:string,properties:map<string,string>>>"
@@ -79,22 +79,95 @@ def glean(nodes: DataFrame, edges: DataFrame, rows: DataFrame) -> tuple[DataFram
     return nodes, edges, parsed.agg(F.count("*").alias("chunks"), F.count_if("failed").alias("failed"))
 
 
-def dictionary_mentions(chunks: DataFrame, terms: DataFrame) -> DataFrame:
-    """chunk_id, label, name, span: where dictionary terms (label, name) stand in texts.
+def candidate_chunks(chunks: DataFrame, limit: int | None = None) -> DataFrame:
+    """Chunks with over LEAST_TEXT characters; the first by index if limited."""
+    return g.top(chunks.where(F.length("text") > LEAST_TEXT), limit, "index", "id")
+
+
+def dictionary_mentions(chunks: DataFrame, terms: DataFrame, limit: int | None = None) -> DataFrame:
+    """chunk_id, label, name, span: the first place of each dictionary term (label, name) in a
+    text; occurrences() gives all.
 
     Terms meet texts by word n-grams, so there is no substring test of all pairs."""
-    texts = chunks.where(F.length("text") > LEAST_TEXT).select("id", "text")
+    texts = candidate_chunks(chunks, limit).select("id", "text")
     hits = linking.word_grams(texts, terms.select("name").distinct())
     rows = hits.join(terms, "name").join(texts, "id")
     start = F.instr(F.concat(F.lit(" "), F.lower("text"), F.lit(" ")), F.concat(F.lit(" "), F.col("name"), F.lit(" "))) - 1
     return rows.select(F.col("id").alias("chunk_id"), "label", "name", F.concat_ws("-", start.cast("string"), (start + F.length("name")).cast("string")).alias("span"))
 
 
+def occurrences(chunks: DataFrame, terms: DataFrame) -> DataFrame:
+    """chunk_id, label, name, start, stop: every place of a term of one word in a text."""
+    words = F.split(F.lower("text"), " ")
+    place = F.aggregate(words, F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<name:string,start:int>>").alias("found")), lambda acc, w: F.struct((acc["at"] + F.length(w) + 1).alias("at"), F.concat(acc["found"], F.array(F.struct(w.alias("name"), acc["at"].alias("start")))).alias("found")), lambda acc: acc["found"])
+    rows = candidate_chunks(chunks).select(F.col("id").alias("chunk_id"), F.inline(place))
+    return rows.join(terms, "name").select("chunk_id", "label", "name", "start", (F.col("start") + F.length("name")).alias("stop"))
+
+
+class DictionaryExtractor:
+    """The offline extractor: terms (label, name) found in a chunk, and RELATED_TO from each to the
+    next in the order of names."""
+
+    def __init__(self, terms: DataFrame) -> None:
+        self.terms = terms
+
+    def __call__(self, chunks: DataFrame) -> DataFrame:
+        found = dictionary_mentions(chunks, self.terms).groupBy("chunk_id").agg(F.array_sort(F.collect_set(F.struct("name", "label"))).alias("found"))
+        node = lambda x: F.struct(x["name"].alias("id"), x["label"].alias("label"), F.struct(x["name"].alias("name")).alias("properties"))
+        pair = lambda i: F.struct(F.lit("RELATED_TO").alias("type"), F.get("found", i)["name"].alias("source"), F.get("found", i + 1)["name"].alias("target"))
+        pairs = F.when(F.size("found") > 1, F.transform(F.sequence(F.lit(0), F.size("found") - 2), pair))
+        return found.select("chunk_id", F.to_json(F.struct(F.transform("found", node).alias("nodes"), pairs.alias("relationships"))).alias("json"))
+
+
+def chunks_with_entities(chunks: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """chunk, index, entities (name, label, definition; distinct, named) of each chunk; chunks
+    without one have none.  What a chunk gathers is bounded by its own text."""
+    linked = edges.where(F.col("type") == rules.MENTION).select(F.col("src").alias("id"), F.col("dst").alias("chunk"))
+    named = linked.join(nodes.where("name is not null").select("id", "name", "label", "definition"), "id")
+    found = named.groupBy("chunk").agg(F.array_sort(F.collect_set(F.struct("name", "label", "definition"))).alias("entities"))
+    rows = chunks.select(F.col("id").alias("chunk"), "article_id", "index").join(found, "chunk", "left")
+    return rows.withColumn("entities", F.coalesce("entities", F.array().cast("array<struct<name:string,label:string,definition:string>>")))
+
+
+def documents_to_graph(documents: DataFrame, extract: Extractor, config: chunking.Config | None = None, passes: int = 2) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(nodes, edges, chunks, status) of documents (id, text): split, extract, then `passes`
+    gleaning passes.  A document fails if all its chunks' results do; the others go on.
+
+    edges: MENTIONED_IN, FROM_ARTICLE and the extracted ones; status: id, n_chunks, n_failed,
+    status."""
+    chunks = g.durable(chunking.chunk(documents, config).select(F.concat_ws("-", "id", "index").alias("chunk_id"), F.col("id").alias("article_id"), "index", "text"))
+    asked = chunks.select(F.col("chunk_id").alias("id"), "index", "text")
+    spark = documents.sparkSession
+    nodes = spark.createDataFrame([], "id string, labels array<string>, label string, name string, definition string")
+    edges = chunks.select(F.col("chunk_id").alias("src"), F.lit("FROM_ARTICLE").alias("type"), F.col("article_id").alias("dst"))
+    failed = None
+    for _ in range(1 + passes):
+        results = g.durable(extract(asked))
+        nodes, edges, _counts = glean(nodes, edges, results)
+        nodes, edges = g.durable(nodes), g.durable(edges)
+        failed = failed or parse_results(results).where("failed").select("chunk_id").distinct().withColumn("bad", F.lit(True))
+    counts = chunks.join(failed, "chunk_id", "left").groupBy(F.col("article_id").alias("id")).agg(F.count("*").alias("n_chunks"), F.count_if("bad").alias("n_failed"))
+    rows = documents.select(F.col("id").cast("string").alias("id")).join(counts, "id", "left").fillna(0, ["n_chunks", "n_failed"])
+    status = F.when((F.col("n_chunks") > 0) & (F.col("n_failed") == F.col("n_chunks")), "failed").otherwise("succeeded")
+    return nodes, edges, chunks, rows.withColumn("status", status)
+
+
 def augment(nodes: DataFrame, mentions: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(new nodes, id and added spans of nodes there): names of two characters or more."""
+    """(new nodes, id and added spans of nodes there): names of two characters or more.
+
+    mention_edges() gives the edges of both to their chunks."""
     rows = mentions.where(F.col("label").isin(rules.ENTITY_LABELS) & (F.length("name") >= 2))
     known = nodes.where(F.col("label").isin(rules.ENTITY_LABELS) & F.col("name").isNotNull()).groupBy("name").agg(F.min("id").alias("id"))
     spans = F.array_sort(F.collect_set(F.concat_ws("@", "span", "chunk_id"))).alias("spans")
     there = rows.join(known, "name").groupBy("id").agg(spans)
     new = rows.join(known, "name", "left_anti").groupBy("label", "name").agg(spans)
-    return new.select(entity_id(F.col("label"), F.col("name")).alias("id"), "label", "name", text.title_case(F.col("name")).alias("display_name"), F.col("spans").alias("source_spans")), there
+    return new.select(entity_id(F.col("label"), F.col("name")).alias("id"), "label", "name", text.title_case(F.col("name")).alias("display_name"), F.lit("dictionary").alias("source"), F.col("spans").alias("source_spans")), there
+
+
+def mention_edges(nodes: DataFrame, mentions: DataFrame) -> DataFrame:
+    """src, type, dst from the entities of dictionary mentions, those there or to be created, to
+    the chunks."""
+    rows = mentions.where(F.col("label").isin(rules.ENTITY_LABELS) & (F.length("name") >= 2))
+    known = nodes.where(F.col("label").isin(rules.ENTITY_LABELS) & F.col("name").isNotNull()).groupBy("name").agg(F.min("id").alias("id"))
+    src = F.coalesce("id", entity_id(F.col("label"), F.col("name")))
+    return rows.join(known, "name", "left").select(src.alias("src"), F.lit(rules.MENTION).alias("type"), F.col("chunk_id").alias("dst")).distinct()
