@@ -138,10 +138,16 @@ def numbered(partition: DataFrame) -> DataFrame:
     return partition.withColumn("community_id", F.abs(F.xxhash64("community")))
 
 
-def members(graph: Graph, partition: DataFrame, least: int = 1) -> DataFrame:
-    """community, member_count, members (name, label and description in order)."""
+def member_rows(graph: Graph, partition: DataFrame) -> DataFrame:
+    """community, id, name, label, description: the members as rows, so that no community has to
+    fit one row."""
     rows = graph.nodes.where(is_entity() & F.col("name").isNotNull()).join(partition.select(F.col("node").alias("name"), "community"), "name")
-    groups = rows.groupBy("community").agg(F.count("*").alias("member_count"), F.countDistinct("label").alias("labels"))
+    return rows.select("community", "id", "name", "label", "description")
+
+
+def members(graph: Graph, partition: DataFrame, least: int = 1) -> DataFrame:
+    """community, member_count, labels (how many) of communities with `least` members."""
+    groups = member_rows(graph, partition).groupBy("community").agg(F.count("*").alias("member_count"), F.countDistinct("label").alias("labels"))
     return groups.where(F.col("member_count") >= least)
 
 

@@ -12,26 +12,24 @@ from . import graphops as g
 
 LEAST_NAME = 4
 GLOSSARY_AT = 85.0
-
-
-def _grams(n: int) -> F.Column:
-    all_ = F.transform(F.sequence(F.lit(1), F.size("words") - (n - 1)), lambda i: F.array_join(F.slice("words", i, F.lit(n)), " "))
-    return F.when(F.size("words") >= n, all_).otherwise(F.array().cast("array<string>"))
+NAME_BYTES = 1 << 24
 
 
 def word_grams(texts: DataFrame, names: DataFrame) -> DataFrame:
     """id, name: every text that holds a name between spaces.
 
-    ' name ' occurs in ' text ' just when the name's tokens, split at single spaces, follow
-    one another in the text's: an equi-join of word n-grams, one n per length among the names,
-    instead of a substring test of all pairs."""
-    lengths = [r["n"] for r in names.select(F.size(F.split("name", " ")).alias("n")).distinct().orderBy("n").collect()]
-    if not lengths:
-        return texts.select("id", F.col("text").alias("name")).limit(0)
-    words = F.split(F.lower(F.col("text")), " ")
-    grams = [_grams(n) for n in lengths]
-    rows = texts.select("id", words.alias("words")).select("id", F.explode(F.array_distinct(F.concat(*grams))).alias("name"))
-    return rows.join(names, "name")
+    ' name ' occurs in ' text ' just when the name's words, split at single spaces, follow one
+    another in the text's.  Words meet by an equi-join, and a name is found where all its words
+    are at the places they should be; only words that some name has are shuffled.  The names'
+    words are broadcast while they are counted to be under NAME_BYTES, else the words of the
+    texts are shuffled to them."""
+    split = F.split("name", " ")
+    parts = names.select("name", F.size(split).alias("n"), F.posexplode(split).alias("j", "word"))
+    size = parts.agg(F.sum(F.length("name") + F.length("word") + 40)).first()[0] or 0
+    words = texts.select("id", F.posexplode(F.split(F.lower(F.col("text")), " ")).alias("pos", "word"))
+    hits = words.join(F.broadcast(parts) if size <= NAME_BYTES else parts, "word")
+    found = hits.groupBy("id", "name", "n", (F.col("pos") - F.col("j")).alias("start")).agg(F.count("*").alias("held"))
+    return found.where("held = n").select("id", "name").distinct()
 
 
 def mention_backfill(graph: Graph, labels: tuple[str, ...] = ("Standard", "Industry")) -> DataFrame:
@@ -52,6 +50,18 @@ def applies_to_backfill(nodes: DataFrame, known: DataFrame | None = None) -> Dat
     return standards.join(there, "industry", "left").select("standard_id", "industry", "industry_id")
 
 
+def backfill(graph: Graph, known: DataFrame | None = None) -> tuple[Graph, DataFrame]:
+    """(graph with both kinds of edges, kind and n of what was found).  Industries that a known
+    standard needs and that are not there are created."""
+    mentions = mention_backfill(graph)
+    found = applies_to_backfill(graph.nodes, known)
+    made = found.withColumn("dst", F.coalesce("industry_id", F.concat(F.lit("industry-"), "industry")))
+    new = made.where("industry_id is null").select(F.col("dst").alias("id"), F.array(F.lit("__Entity__"), F.lit("__KGBuilder__"), F.lit("Industry")).alias("labels"), F.lit("Industry").alias("label"), F.col("industry").alias("name"))
+    edges = g.upsert_edges(graph.edges, mentions.unionByName(made.select(F.col("standard_id").alias("src"), F.lit("APPLIES_TO").alias("type"), "dst")))
+    counts = mentions.agg(F.lit("mentions").alias("kind"), F.count("*").alias("n")).unionByName(found.agg(F.lit("applies_to").alias("kind"), F.count("*").alias("n")))
+    return graph.with_(nodes=g.upsert_nodes(graph.nodes, new), edges=edges), counts
+
+
 def concepts(nodes: DataFrame, label: str = "Concept") -> DataFrame:
     """key, concept_id, ord: names of a label; of equal names the last id."""
     rows = nodes.where((F.col("label") == label) & F.col("name").isNotNull()).groupBy(F.lower("name").alias("key")).agg(F.max("id").alias("concept_id"))
@@ -59,11 +69,7 @@ def concepts(nodes: DataFrame, label: str = "Concept") -> DataFrame:
 
 
 def glossary_links(graph: Graph, threshold: float = GLOSSARY_AT) -> DataFrame:
-    """term_id, term, name, score, how: exact first, the rest by fuzzy ratio.
-
-    Fuzzy candidates share a first letter pair or length class would lose some, so the terms
-    without an exact match are compared with all names in blocks of length that can reach the
-    threshold: an equi-join on length."""
+    """term_id, term, name, score, how: exact first, the rest by fuzzy ratio."""
     terms = graph.definitions.select("term_id", "term", F.lower("term").alias("key"))
     names = concepts(graph.nodes).select("key")
     exact = terms.join(names, "key").select("term_id", "term", F.col("key").alias("name"), F.lit(100.0).alias("score"), F.lit("exact").alias("how"))
@@ -92,6 +98,7 @@ def glossary_top(graph: Graph, threshold: float = GLOSSARY_AT, k: int = 3) -> Da
     exact = terms.join(names, F.col("term") == F.col("key")).select("term", F.array("key").alias("matches"))
     rest = terms.join(names, F.col("term") == F.col("key"), "left_anti")
     pairs = near_names(rest, names, threshold)
-    ranked = pairs.groupBy("term").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), F.col("name")))), 1, k).alias("m"))
+    first = g.first_k(pairs, ["term"], k, F.desc("score"), "name")
+    ranked = first.groupBy("term").agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), F.col("name")))).alias("m"))
     near = rest.join(ranked, "term", "left").select("term", F.coalesce(F.transform("m", lambda m: m["name"]), F.array().cast("array<string>")).alias("matches"))
     return exact.unionByName(near)

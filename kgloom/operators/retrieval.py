@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -87,3 +89,33 @@ def chain(graph: Graph, vectors: DataFrame, query: DataFrame, k: int = 50) -> Da
     """Nearest chunks, then the entities they mention: one plan."""
     near = vector_topk(vectors, query, k)
     return chunk_entities(graph, near.select(F.concat_ws("-", F.lit("doc"), F.col("id").cast("string"), F.lit("0")).alias("chunk_id")))
+
+
+def search_chain(graph: Graph, term: str) -> DataFrame:
+    """The neighbourhood of the best hit of a name search: one plan."""
+    hit = name_search(graph, term, 1).select("id")
+    near = graph.nodes.select(F.col("id").alias("other"), F.col("label").alias("related_label"), F.col("name").alias("related_name"))
+    arrow = F.when(F.col("outgoing"), "->").otherwise("<-").alias("direction")
+    rows = g.ends(graph.edges).join(F.broadcast(hit), "id").join(near, "other")  # one row
+    return rows.select(F.col("type").alias("rel_type"), arrow, "related_label", "related_name", "id", "other")
+
+
+def article_topk(graph: Graph, vectors: DataFrame, query: DataFrame, k: int = 5) -> DataFrame:
+    """chunk_id, article_id, title, score of the chunks nearest to the query; no article: null."""
+    near = vector_topk(vectors, query, k).select(F.concat_ws("-", F.lit("doc"), F.col("id").cast("string"), F.lit("0")).alias("chunk_id"), "score")
+    chunks = graph.chunks.select(F.col("id").alias("chunk_id"), "article_id")
+    rows = chunks.join(F.broadcast(near), "chunk_id")  # k rows
+    return rows.join(graph.articles.select("article_id", "title"), "article_id", "left").select("chunk_id", "article_id", "title", "score")
+
+
+def health(graph: Graph, communities: DataFrame) -> DataFrame:
+    """check, value: chunks without an article, industries, duplicates, chunks and communities
+    without a vector.  communities has community and embedding."""
+    rows = [
+        checks.orphan_chunks(graph).select(F.lit("orphan_chunks").alias("check"), F.col("orphan_chunks").alias("value")),
+        checks.industry_count(graph).select(F.lit("industries"), "industries"),
+        checks.duplicate_entities(graph, limit=None).agg(F.lit("duplicates"), F.count("*")),
+        checks.missing_embeddings(graph).select(F.lit("missing_embeddings"), "missing_embeddings"),
+        communities.agg(F.lit("communities_without_vector"), F.count_if(F.col("embedding").isNull())),
+    ]
+    return reduce(DataFrame.union, rows)

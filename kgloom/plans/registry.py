@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import rules
 from ..functions import fuzzy, text
 from ..model import Graph
 from ..operators import checks, chunking, cleanup, community, extraction, industry, linking, providers, repairs, retrieval, supplementary
@@ -16,7 +17,7 @@ from ..sources import articles as article_source
 from ..sources import pages as page_source
 from ..sources import preflight
 from ..sources import sinks
-from . import project, twins
+from . import documents, project, twins
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,16 +60,12 @@ def name_equivalence(graph: Graph) -> DataFrame:
 
 
 def singularize(graph: Graph) -> DataFrame:
-    from ..rules import SINGULARS
-
-    table = graph.nodes.sparkSession.createDataFrame([(p,) for p in SINGULARS], "term string")
+    table = graph.nodes.sparkSession.createDataFrame([(p,) for p in rules.SINGULARS], "term string")
     terms = table.unionByName(graph.nodes.where("name is not null").select(F.col("name").alias("term")).distinct())
     return terms.select("term", text.singular(F.col("term")).alias("singular"))
 
 
 def fuzzy_ratio_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .. import rules
-
     names = project.table(spark, sf_dir, "part").select(F.col("p_name").alias("term"))
     keys = rules.industry_table(spark).select(F.col("term").alias("key")).distinct().withColumn("ord", F.lit(0))
     return rounded(fuzzy.scored(names, keys, 60.0).select(F.col("term").alias("a"), F.col("key").alias("b"), "score"), "score")
@@ -79,16 +76,13 @@ def industry_terms(graph: Graph) -> DataFrame:
 
 
 def industry_normalized(graph: Graph) -> DataFrame:
-    from .. import rules
-
     found = industry.normalize(industry_terms(graph))
     return found.where(~F.col("term").isin(rules.INDUSTRY_ORGANIZATIONS))
 
 
 def applies_to(graph: Graph) -> DataFrame:
     """With a table of standards that the data has names of."""
-    known = graph.nodes.sparkSession.createDataFrame([("blue bolt", "automobile"), ("red plate", "rail")], "name string, industry string")
-    return linking.applies_to_backfill(graph.nodes, known)
+    return linking.applies_to_backfill(graph.nodes, standards(graph))
 
 
 def results(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,11 +111,41 @@ def glean_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edges.groupBy("type").agg(F.count("*").alias("n"))
 
 
+def chunk_rows(graph: Graph) -> DataFrame:
+    rows = extraction.chunks_with_entities(graph.chunks, graph.nodes, graph.edges)
+    text_ = F.array_sort(F.transform("entities", lambda e: F.concat_ws("|", e["name"], e["label"], F.coalesce(e["definition"], F.lit("")))))
+    return rows.select("chunk", "article_id", "index", F.size("entities").cast("long").alias("n_entities"), F.array_join(text_, ";").alias("entities"))
+
+
+def sizes(graph: Graph) -> DataFrame:
+    return graph.nodes.agg(F.lit("nodes").alias("table"), F.count("*").alias("n")).unionByName(graph.edges.agg(F.lit("edges").alias("table"), F.count("*").alias("n")))
+
+
+def fuzzy_best_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = project.table(spark, sf_dir, "part").select(F.col("p_name").alias("term"))
+    keys = rules.industry_table(spark).where("kind = 'taxonomy'").select(F.col("term").alias("key"), "ord")
+    return rounded(fuzzy.best(fuzzy.scored(names, keys, 40.0)), "score")
+
+
+def standards(graph: Graph) -> DataFrame:
+    """A table of standards that the data has names of."""
+    return graph.nodes.sparkSession.createDataFrame([("blue bolt", "automobile"), ("red plate", "rail")], "name string, industry string")
+
+
 def first_words(graph: Graph) -> DataFrame:
     """Dictionary terms of the data: the first word of every glossary term."""
     return graph.definitions.select(F.lit("Concept").alias("label"), F.lower(F.get(F.split("term", " "), 0)).alias("name")).where("name <> ''").distinct()
 
 
+def with_terms(graph: Graph) -> DataFrame:
+    """The nodes and, as standards, the words and pairs of words that the glossary's terms begin
+    with and texts hold."""
+    terms = graph.definitions.where("ord < 100000").select(F.lower("term").alias("term"))
+    names = terms.select(F.get(F.split("term", " "), 0).alias("name")).unionByName(terms.select(F.col("term").alias("name"))).where("name <> ''").distinct()
+    new = names.select(F.concat(F.lit("term-"), "name").alias("id"), F.lit("Standard").alias("label"), "name")
+    return graph.nodes.select("id", "label", "name").unionByName(new)
+
+
 def dictionary_extract(graph: Graph) -> DataFrame:
     rows = extraction.dictionary_mentions(graph.chunks, first_words(graph))
     return rows.select("chunk_id", "name", "span")
@@ -148,14 +172,6 @@ def page_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return article_source.articles(project.table(spark, sf_dir, "pages"))
 
 
-def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return page_articles(spark, sf_dir).select("article_id", F.inline("cross_references"))
-
-
-def resource_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return supplementary.resources(page_articles(spark, sf_dir))
-
-
 def constraints(graph: Graph) -> DataFrame:
     """constraint, broken: keys that are not unique, values that are missing."""
     unique = {"article_id": (graph.articles, "article_id"), "article_url": (graph.articles, "url"), "chunk_id": (graph.chunks.where("chunk_id is not null"), "chunk_id"), "term_id": (graph.definitions, "term_id")}
@@ -221,6 +237,7 @@ QUERIES: dict[str, Query] = {
     "relationship_counts": over(lambda x: checks.relationship_counts(x, "Concept")),
     "unmentioned_entities": over(checks.unmentioned_entities),
     "ghost_entities": over(checks.ghost_entities),
+    "ghost_entities_bare": over(lambda x: checks.ghost_entities(x.with_(edges=x.edges.where(F.col("type") == rules.MENTION)))),
     "near_duplicates": over(checks.near_duplicates),
     "missing_definitions": over(checks.missing_definitions),
     "truncated_titles": over(checks.truncated_titles),
@@ -239,6 +256,7 @@ QUERIES: dict[str, Query] = {
     "fix_preview": over(repairs.preview),
     "fix_all": over(lambda x: repairs.apply(x).nodes.select("id", "label", "name", "definition")),
     "mention_backfill": over(linking.mention_backfill),
+    "mention_backfill_terms": over(lambda x: linking.mention_backfill(x.with_(nodes=with_terms(x)))),
     "applies_to_backfill": over(applies_to),
     "glossary_links": over(lambda x: rounded(linking.glossary_links(x), "score")),
     "glossary_exact": over(lambda x: linking.glossary_links(x).where("how = 'exact'").select("term_id", "term")),
@@ -266,6 +284,20 @@ QUERIES: dict[str, Query] = {
     "semantic_edges": over(community.semantic_edges),
     "modularity": over(lambda x: rounded(community.modularity(community.semantic_edges(x), partition(x)), "modularity", 9)),
     "label_propagation": over(lambda x: community.label_propagation(community.semantic_edges(x), 3)),
+    "community_member_rows": over(lambda x: community.member_rows(x, partition(x))),
+    "chunks_with_entities": over(chunk_rows),
+    "backfill_counts": over(lambda x: linking.backfill(x, standards(x))[1]),
+    "backfill_edges": over(lambda x: linking.backfill(x, standards(x))[0].edges.groupBy("type").agg(F.count("*").alias("n"))),
+    "cleanup_run": over(lambda x: sizes(cleanup.run_cleanup(x))),
+    "fuzzy_best_match": fuzzy_best_match,
+    "schema_types": lambda s, d: rules.type_table(s),
+    "schema_patterns": lambda s, d: rules.pattern_table(s),
+    "search_chain": over(lambda x: retrieval.search_chain(x, "Gear")),
+    "article_topk": lambda s, d: rounded(retrieval.article_topk(project.graph(s, d), vectors(s, d), first_vector(vectors(s, d))), "score"),
+    "health_queries": over(lambda x: retrieval.health(x, partition(x).select("community", F.when(F.col("community") != "Concept", F.array(F.lit(1.0))).alias("embedding")).distinct())),
+    "related_labels": over(lambda x: supplementary.related_labels(x, "Concept")),
+    "mention_overlap": over(supplementary.mention_overlap),
+    "mention_edges": over(lambda x: extraction.mention_edges(x.nodes, extraction.dictionary_mentions(x.chunks, first_words(x))).groupBy("type").agg(F.count("*").alias("n"), F.countDistinct("src").alias("entities"))),
     "community_members": over(lambda x: community.members(x, partition(x))),
     "community_assignment": over(lambda x: community.assign(x, partition(x)).select("id", "community")),
     "in_community_edges": over(lambda x: community.membership(x, partition(x))),
@@ -282,14 +314,13 @@ QUERIES: dict[str, Query] = {
     "html_facts": lambda s, d: page_source.text_facts(project.table(s, d, "pages")),
     "html_text": lambda s, d: page_source.visible_text(project.table(s, d, "pages")),
     "html_articles": lambda s, d: page_articles(s, d).select("article_id", "title", "markdown_content", F.size("sections").alias("n_sections"), F.array_join("key_concepts", "|").alias("key_concepts")),
-    "html_links": page_links,
     "entity_fragments": over(lambda x: cleanup.fragmented(x.nodes, 10).withColumn("fragments", F.array_join("fragments", "#"))),
     "entity_summaries": over(lambda x: cleanup.summarize(x.nodes)),
-    "resource_nodes": resource_nodes,
     "constraint_checks": over(constraints),
     "article_vectors": over(embedded),
     "community_search": over(lambda x: providers.community_search(community.summaries(x, partition(x)), "blue bolt gear")),
     "community_summaries": over(lambda x: community.summaries(x, community.communities(community.semantic_edges(x)))),
 }
 
-ORACLES: dict[str, str] = {name: sql for name, sql in twins.ORACLES.items() if name in QUERIES}
+QUERIES |= documents.QUERIES
+ORACLES: dict[str, str] = {name: sql for name, sql in (twins.ORACLES | documents.ORACLES).items() if name in QUERIES}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .. import rules
+from . import documents
 
 
 def _list(values) -> str:
@@ -206,11 +207,19 @@ GLOSSARY = f""", {_NAMES}, t AS (SELECT term_id, term, lower(term) AS k FROM def
  SELECT term_id, term, k AS name, 100.0::DOUBLE AS score, 'exact' AS how FROM t WHERE k IN (SELECT key FROM concept_names)
  UNION ALL SELECT t.term_id, t.term, best.key, round(best.score::DOUBLE, 6), 'fuzzy' FROM t JOIN best USING (k)"""
 
+GLOSSARY_TOP = f""", {_NAMES}, t AS (SELECT DISTINCT lower(term) AS term FROM definitions),
+ pairs AS (SELECT q.term, c.key, {_ratio("q.term", "c.key")} AS score FROM (SELECT term FROM t WHERE term NOT IN (SELECT key FROM concept_names)) q JOIN concept_names c ON 200.0 * least(length(q.term), length(c.key)) >= 85 * (length(q.term) + length(c.key))),
+ best AS (SELECT term, list(key ORDER BY score DESC, key)[1:3] AS m FROM pairs WHERE score >= 85 GROUP BY 1)
+ SELECT term, CASE WHEN term IN (SELECT key FROM concept_names) THEN [term] ELSE coalesce(m, []) END AS matches FROM t LEFT JOIN best USING (term)"""
+
 MENTIONS = """, found AS (SELECT id AS src, lower(name) AS name FROM nodes WHERE label IN ('Standard', 'Industry') AND length(name) >= 4),
  texts AS (SELECT id, ' ' || lower(text) || ' ' AS t FROM chunks),
  hits AS (SELECT f.name, t.id FROM (SELECT DISTINCT name FROM found) f JOIN texts t ON contains(t.t, ' ' || f.name || ' '))
  SELECT DISTINCT f.src, 'MENTIONED_IN' AS type, h.id AS dst FROM found f JOIN hits h USING (name) ANTI JOIN edges e ON e.src = f.src AND e.dst = h.id AND e.type = 'MENTIONED_IN'"""
 
+_BACKFILL = MENTIONS.replace("\n SELECT DISTINCT f.src", ",\n new_mentions AS (SELECT DISTINCT f.src") + """), applied AS (SELECT n.id AS standard_id, industry, (SELECT min(i.id) FROM nodes i WHERE i.label = 'Industry' AND i.name = industry) AS industry_id
+ FROM nodes n JOIN (VALUES ('blue bolt', 'automobile'), ('red plate', 'rail')) k(name, industry) USING (name) WHERE n.label = 'Standard')"""
+
 WORDS = r"len(list_filter(regexp_split_to_array(text, '[\s\x0B\x{1C}-\x{1F}\x{85}\p{Z}]+'), lambda w: w <> ''))"
 WORDS_OF = WORDS.replace("(text,", "(coalesce({0}, ''),")
 COSINE = "(list_cosine_similarity(embedding::DOUBLE[], (SELECT embedding::DOUBLE[] FROM embeddings WHERE vec_id = (SELECT min(vec_id) FROM embeddings))) + 1) / 2"
@@ -348,9 +357,33 @@ QUERIES = {
     "entity_summaries": f"SELECT id, len(f) AS n_fragments, (SELECT string_agg(v, '; ' ORDER BY k) FROM (SELECT v, min(i) AS k FROM (SELECT unnest(f) AS v, generate_subscripts(f, 1) AS i) GROUP BY v)) AS summary FROM (SELECT id, {FRAGMENTS} AS f FROM entities WHERE description IS NOT NULL) WHERE len(f) >= 2",
     "constraint_checks": "SELECT 'article_id' AS \"constraint\", (SELECT count(*) FROM (SELECT article_id FROM articles GROUP BY 1 HAVING count(*) > 1)) AS broken UNION ALL SELECT 'article_url', (SELECT count(*) FROM (SELECT url FROM articles GROUP BY 1 HAVING count(*) > 1)) UNION ALL SELECT 'chunk_id', (SELECT count(*) FROM (SELECT chunk_id FROM chunks WHERE chunk_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1)) UNION ALL SELECT 'term_id', (SELECT count(*) FROM (SELECT term_id FROM definitions GROUP BY 1 HAVING count(*) > 1)) UNION ALL SELECT 'chunk_article', (SELECT count(*) FROM chunks WHERE article_id IS NULL) UNION ALL SELECT 'node_name', (SELECT count(*) FROM nodes WHERE name IS NULL)",
     "article_vectors": f"SELECT article_id, 64::BIGINT AS dimensions, len({_TOKENS})::DOUBLE AS words FROM articles",
+    "community_member_rows": f", part_of AS ({PARTITION}) SELECT community, id, name, label, description FROM entities JOIN part_of ON node = name",
+    "mention_backfill_terms": MENTIONS.replace("FROM nodes WHERE", "FROM (SELECT id, label, name FROM nodes UNION ALL SELECT DISTINCT 'term-' || t, 'Standard', t FROM (SELECT lower(string_split(term, ' ')[1]) AS t FROM definitions WHERE ord < 100000 UNION ALL SELECT lower(term) FROM definitions WHERE ord < 100000) WHERE t <> '') WHERE"),
+    "ghost_entities_bare": "SELECT e.id, e.label, e.name, m.chunk_id FROM entities e JOIN mentioned m USING (id) ORDER BY 1, 4 LIMIT 100",
+    "glossary_top3": GLOSSARY_TOP,
+    "chunks_with_entities": """, linked AS (SELECT DISTINCT e.dst AS chunk, concat_ws('|', n.name, n.label, coalesce(n.definition, '')) AS t FROM edges e JOIN nodes n ON n.id = e.src WHERE e.type = 'MENTIONED_IN' AND n.name IS NOT NULL)
+ SELECT c.id AS chunk, article_id, index, count(t) AS n_entities, coalesce(string_agg(t, ';' ORDER BY t), '') AS entities FROM chunks c LEFT JOIN linked ON chunk = c.id GROUP BY ALL""",
+    "backfill_counts": _BACKFILL + " SELECT 'mentions' AS kind, count(*) AS n FROM new_mentions UNION ALL SELECT 'applies_to', count(*) FROM applied",
+    "backfill_edges": _BACKFILL + " SELECT type, count(*) AS n FROM (SELECT src, type, dst FROM edges UNION SELECT src, type, dst FROM new_mentions UNION SELECT standard_id, 'APPLIES_TO', coalesce(industry_id, 'industry-' || industry) FROM applied) GROUP BY 1",
+    "cleanup_run": f""", gone AS ({_GONE}), left_nodes AS (SELECT * FROM nodes WHERE id NOT IN (SELECT id FROM gone)), m AS (SELECT plural_id AS dup, min(singular_id) AS keep FROM plural_map WHERE plural_id NOT IN (SELECT id FROM gone) AND singular_id NOT IN (SELECT id FROM gone) GROUP BY 1)
+ SELECT 'nodes' AS "table", count(*) AS n FROM left_nodes WHERE id NOT IN (SELECT dup FROM m) UNION ALL
+ SELECT 'edges', count(*) FROM (SELECT DISTINCT coalesce(a.keep, e.src), e.type, coalesce(b.keep, e.dst) FROM edges e LEFT JOIN m a ON a.dup = e.src LEFT JOIN m b ON b.dup = e.dst WHERE e.src NOT IN (SELECT id FROM gone) AND e.dst NOT IN (SELECT id FROM gone))""",
+    "fuzzy_best_match": f", n1 AS (SELECT DISTINCT p_name AS a FROM part), s AS (SELECT a, term, ord, {_ratio('a', 'term')}::DOUBLE AS score FROM n1 JOIN tax ON kind = 'taxonomy' AND 200.0 * least(length(a), length(term)) >= 40 * (length(a) + length(term))) SELECT a AS term, term AS key, round(score, 6) AS score FROM s WHERE score >= 40 QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, ord) = 1",
+    "schema_types": " SELECT * FROM (VALUES " + _rows([("node", x) for x in rules.ENTITY_LABELS] + [("relationship", x) for x in rules.RELATIONSHIPS]) + ") x(kind, name)",
+    "schema_patterns": " SELECT source_label, type, target_label FROM patterns",
+    "search_chain": f""", hit AS (SELECT e.id FROM nodes e LEFT JOIN (SELECT id, count(DISTINCT other) AS c FROM ends GROUP BY 1) x ON x.id = e.id WHERE label IN {_set(rules.SEARCH_LABELS)} AND (contains(name, 'gear') OR contains(display_name, 'gear')) ORDER BY coalesce(c, 0) DESC, e.id LIMIT 1)
+ SELECT e.type AS rel_type, CASE WHEN outgoing THEN '->' ELSE '<-' END AS direction, r.label AS related_label, r.name AS related_name, e.id, e.other FROM ends e JOIN hit USING (id) JOIN nodes r ON r.id = e.other""",
+    "article_topk": f", near AS (SELECT vec_id, {COSINE} AS score FROM embeddings ORDER BY score DESC, vec_id LIMIT 5) SELECT c.id AS chunk_id, c.article_id, a.title, round(score, 6) AS score FROM near JOIN chunks c ON c.id = 'doc-' || vec_id || '-0' LEFT JOIN articles a ON a.article_id = c.article_id",
+    "health_queries": f""" SELECT 'orphan_chunks' AS "check", ({_SUMMARY['orphan_chunks']}) AS value UNION ALL SELECT 'industries', ({_SUMMARY['industries']}) UNION ALL SELECT 'duplicates', (SELECT count(*) FROM (SELECT label, name FROM entities GROUP BY 1, 2 HAVING count(*) > 1))
+ UNION ALL SELECT 'missing_embeddings', ({_SUMMARY['missing_embeddings']}) UNION ALL SELECT 'communities_without_vector', (SELECT count(DISTINCT community) FROM ({PARTITION}) WHERE community = 'Concept')""",
+    "related_labels": "SELECT e.type, CASE WHEN outgoing THEN 'out' ELSE 'in' END AS direction, o.label AS other_label, count(*) AS n FROM ends e JOIN nodes n ON n.id = e.id AND n.label = 'Concept' JOIN nodes o ON o.id = e.other GROUP BY ALL ORDER BY n DESC, 1, 2, 3 LIMIT 10",
+    "mention_overlap": "SELECT label, count(*) AS mentioned, count_if(NOT list_contains(labels, '__Entity__'))::BIGINT AS without_entity_label, count_if(id IN (SELECT id FROM ends WHERE type <> 'MENTIONED_IN'))::BIGINT AS with_relations FROM nodes WHERE id IN (SELECT src FROM edges WHERE type = 'MENTIONED_IN') GROUP BY 1",
+    "mention_edges": f", {_HITS} SELECT 'MENTIONED_IN' AS type, count(*) AS n, count(DISTINCT name) AS entities FROM hits WHERE length(name) >= 2",
     "community_assignment": f", part_of AS ({PARTITION}) SELECT id, community FROM entities LEFT JOIN part_of ON node = name",
     "in_community_edges": f", part_of AS ({PARTITION}) SELECT id AS src, 'IN_COMMUNITY' AS type, 'community-' || community AS dst FROM entities JOIN part_of ON node = name",
     "community_members": f", part_of AS ({PARTITION}) SELECT community, count(*) AS member_count, count(DISTINCT label) AS labels FROM entities JOIN part_of ON node = name GROUP BY 1",
 }
 
+QUERIES |= documents.GRAPH_ORACLES
+
 ORACLES = {name: BASE + (", " + sql[1:] if sql.startswith(",") else sql) for name, sql in QUERIES.items()}

@@ -7,7 +7,7 @@ DataFrame work.  `Site` holds what belongs to one web site.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from urllib.parse import urljoin, urlparse
 
@@ -316,6 +316,27 @@ def glossary(page: str) -> list[dict]:
     return next((found for way in (_from_table, _from_list, _from_headings, _from_strong) if (found := way(root))), [])
 
 
+def _rows_of(pages: DataFrame, parse_page: Callable[[str], list[dict]], schema: str) -> DataFrame:
+    names = [f.name for f in StructType.fromDDL(schema)]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            out = [{"page_id": i, "ord": n} | x for i, page in zip(rows["page_id"], rows["html"], strict=True) if page for n, x in enumerate(parse_page(page))]
+            yield pd.DataFrame(out, columns=names)
+
+    return pages.select(F.col("page_id").cast("long").alias("page_id"), "html").mapInPandas(run, schema)
+
+
+def contents_table(pages: DataFrame) -> DataFrame:
+    """page_id, ord and the chapters and articles of tables of contents."""
+    return _rows_of(pages, contents, "page_id long, ord int, chapter_number int, chapter_title string, article_number int, title string, url string")
+
+
+def glossary_table(pages: DataFrame) -> DataFrame:
+    """page_id, ord, term, acronym, definition of glossary pages."""
+    return _rows_of(pages, glossary, "page_id long, ord int, term string, acronym string, definition string")
+
+
 def _term(term: str, definition: str, acronym: str | None = None) -> list[dict]:
     return [{"term": term, "definition": definition, "acronym": acronym or None}] if term and definition else []
 

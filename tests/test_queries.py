@@ -7,10 +7,7 @@ import pytest
 
 from kgloom.plans import registry
 
-NAMES = [
-    "xlabel_winner", "merged_edges_after_dedup", "property_fold_union_longer", "normalize_names", "cleanup_disposition", "fuzzy_ratio_pairs", "industry_consolidated", "invalid_patterns", "plural_pairs", "near_duplicates",
-    "fix_preview", "mention_backfill", "glossary_links", "article_relationships", "vector_topk", "bm25_topk", "label_propagation", "modularity", "dictionary_extract", "section_rows", "glean_parse",
-]
+NAMES = sorted(registry.ORACLES)
 
 
 def plain(rows):
