@@ -117,3 +117,68 @@ def test_cli():
     with pytest.raises(SystemExit) as stop:
         cli.confirm("s3://bucket/graph", ask=lambda _: "n")
     assert stop.value.code == 0
+
+
+WEBINAR_PAGE = """<article><h2>Talks</h2><div class="flex_column av_three_fifth"><div class="avia-image-container"><a href="https://resources.example.com/webinar/safe-design">
+<img src="/t.png" title="Safe design in practice"></a></div></div><div class="flex_column av_two_fifth"><h3>In This Webinar, learn about design</h3></div>
+<a href="https://example.com/webinar/?x"></a><p>A talk on tests. More of it.</p></article>"""
+
+
+def test_webinars_and_their_links():
+    from kgloom.sources import articles
+
+    out = articles.article(WEBINAR_PAGE, "https://example.com/guide/a", articles.Site())
+    first, second = out["webinars"]
+    assert first == {"url": "https://resources.example.com/webinar/safe-design", "title": "Safe design in practice", "description": "In This Webinar, learn about design", "thumbnail": "https://example.com/t.png", "context": "Talks"}
+    assert (second["title"], second["description"], second["context"]) == ("A talk on tests", None, None)
+    assert "[Safe design in practice](https://resources.example.com/webinar/safe-design)" in out["markdown_content"]
+    # The column's link went with its image; a plain link is still there for the announcement.
+    assert "### In This Webinar, learn about design" in out["markdown_content"]
+    plain = WEBINAR_PAGE.replace("avia-image-container", "box")
+    out = articles.article(plain, "https://example.com/guide/a", articles.Site())
+    assert "**[In This Webinar, learn about design](https://resources.example.com/webinar/safe-design)**" in out["markdown_content"]
+
+
+def test_semantic_split_falls_back():
+    from kgloom.operators import chunking
+
+    config = chunking.Config(size=60, overlap=10, threshold=60, least=10, semantic=True)
+    assert chunking.semantic_split("", config) is None
+    assert chunking.semantic_split("x" * 200 + ".", config) is None
+    assert chunking.semantic_split("Hi. Yo.", config) is None
+    assert chunking.semantic_split("Cats purr at night. Cats purr at noon. Stars burn far away.", config) == ["Cats purr at night. Cats purr at noon.", "Stars burn far away."]
+    long = "word " * 100
+    assert [c[3] for c in chunking.sized([(None, None, None, long)], config)] == chunking.recursive_split(long, config)
+
+
+def test_documents_to_graph_goes_on_after_failures(spark):
+    from pyspark.sql import functions as F
+
+    from kgloom.operators import chunking, extraction
+
+    text = "# A\n" + "alpha meets beta in a long sentence about many things. " * 2
+    docs = spark.createDataFrame([("1", text), ("2", text.replace("beta", "gamma")), ("3", "")], "id string, text string")
+    terms = spark.createDataFrame([("Concept", "alpha"), ("Tool", "beta"), ("Tool", "gamma")], "label string, name string")
+    inner = extraction.DictionaryExtractor(terms)
+
+    def extract(chunks):
+        return inner(chunks).withColumn("json", F.when(F.col("chunk_id").startswith("2-"), "no json").otherwise(F.col("json")))
+
+    nodes, edges, chunks, status = extraction.documents_to_graph(docs, extract, chunking.Config(least=0))
+    assert sorted((r["label"], r["name"]) for r in nodes.collect()) == [("Concept", "alpha"), ("Tool", "beta")]
+    assert sorted(r["type"] for r in edges.collect()) == ["FROM_ARTICLE", "FROM_ARTICLE", "MENTIONED_IN", "MENTIONED_IN", "RELATED_TO"]
+    assert sorted(map(tuple, status.collect())) == [("1", 1, 0, "succeeded"), ("2", 1, 1, "failed"), ("3", 0, 0, "succeeded")]
+    assert chunks.count() == 2
+
+
+def test_one_json_document(spark, tmp_path):
+    import json
+
+    from kgloom.sources import sinks
+
+    articles = spark.createDataFrame([("a2", 1, 2, "Two"), ("a1", 1, 1, "One")], "article_id string, chapter_number int, article_number long, title string")
+    terms = spark.createDataFrame([("t", "d")], "term string, definition string")
+    sinks.save_document(articles, terms, "G", str(tmp_path / "doc"))
+    text = "".join(p.read_text() for p in sorted((tmp_path / "doc").glob("part-*")))
+    found = json.loads(text)
+    assert found["title"] == "G" and [a["article_id"] for a in found["articles"][1:]] == ["a1", "a2"] and found["terms"][1]["definition"] == "d"
