@@ -113,7 +113,7 @@ def components(edges: DataFrame) -> DataFrame:
         # The label's own label, so that chains of labels shorten by half.
         far = new.select(F.col("node").alias("via"), F.col("via").alias("component"))
         done = new.join(far, "via").select("node", "old", "component")
-        done = done.checkpoint() if done.sparkSession.sparkContext.getCheckpointDir() else done.localCheckpoint()
+        done = g.checkpointed(done)
         changed = done.where("old <> component").count()
         labels = done.select("node", "component")
     return labels

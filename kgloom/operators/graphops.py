@@ -6,6 +6,8 @@ mappings of one pass never chain.
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +26,18 @@ def durable(rows: DataFrame) -> DataFrame:
     return rows.checkpoint() if rows.sparkSession.sparkContext.getCheckpointDir() else rows
 
 
+def checkpointed(rows: DataFrame) -> DataFrame:
+    """rows, written to the folder in spark.checkpoint.dir, which all executors share.  Where it is
+    unset, to one of our own if driver and executors are one process (tests), else an error."""
+    context = rows.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        path = rows.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not path and context.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(path or tempfile.mkdtemp(prefix="kgloom-"))
+    return rows.checkpoint()
+
+
 def degree(edges: DataFrame) -> DataFrame:
     return ends(edges).groupBy("id").agg(F.count("*").alias("degree"))
 
