@@ -101,8 +101,53 @@ FROM joined
 """
 
 
+def _repeated(name: str, size: int) -> str:
+    """Keys of all strings of `size` bytes, and the maximal runs that those found twice cover."""
+    return f"""
+{name}_keys AS MATERIALIZED (
+  SELECT doc, k * 400 + o AS pos, hash(substring(piece, 2 * o + 1, {2 * size})) AS h
+  FROM pieces, unnest(range(least(400, len(piece) // 2 - {size - 1}))) AS t(o)
+),
+{name}_hits AS (
+  SELECT doc, pos FROM {name}_keys SEMI JOIN (SELECT h FROM {name}_keys GROUP BY h HAVING count(*) > 1) USING (h)
+),
+{name} AS (
+  SELECT doc, min(pos) AS a, max(pos) + {size} AS b FROM (
+    SELECT doc, pos, sum(new) OVER (PARTITION BY doc ORDER BY pos) AS run FROM (
+      SELECT doc, pos, (pos > lag(pos, 1, -{size + 1}) OVER (PARTITION BY doc ORDER BY pos) + {size})::INT AS new FROM {name}_hits))
+  GROUP BY doc, run
+)"""
+
+
+# Texts as hexadecimal bytes; pieces of 800 bytes start every 400, so each string is in one.
+OP9 = f"""
+WITH texts AS (SELECT row_number() OVER () AS doc, doc_id, hex(encode(coalesce(text, ''))) AS t FROM documents),
+pieces AS MATERIALIZED (
+  SELECT doc, k, substring(t, 800 * k + 1, 1600) AS piece FROM texts, unnest(range((len(t) // 2 + 399) // 400)) AS u(k)
+),{_repeated("gone", 400)},{_repeated("seen", 256)},
+removed AS (
+  SELECT doc, sum(b - a)::BIGINT AS n_removed, count(*)::BIGINT AS n_spans, list(a ORDER BY a) AS a, list(b ORDER BY a) AS b FROM gone GROUP BY doc
+),
+passages AS (
+  SELECT doc, count(*)::BIGINT AS n_passages, sum(b - a)::BIGINT AS n_passage_bytes FROM (
+    SELECT doc, a, b, regexp_replace(substring(t, 2 * a + 1, 2 * (b - a)), '(..)', '\\1 ', 'g') AS run FROM seen JOIN texts USING (doc))
+  WHERE len(list_filter(regexp_split_to_array(run, '(20|09|0A|0B|0C|0D) '), lambda w: w <> '')) > 50 GROUP BY doc
+),
+kept AS (
+  SELECT doc, doc_id, len(t)::BIGINT // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+         CASE WHEN n_spans IS NULL THEN t ELSE array_to_string(
+           [substring(t, 2 * x + 1, 2 * (a[i] - x)) for x, i in list_prepend(0, b[:-2])], '') || substring(t, 2 * b[-1] + 1) END AS t
+  FROM texts LEFT JOIN removed USING (doc)
+)
+SELECT doc_id, n_bytes, n_removed, n_spans, sha256(unhex(t)) AS kept_sha256,
+       coalesce(n_passages, 0) AS n_passages, coalesce(n_passage_bytes, 0) AS n_passage_bytes
+FROM kept LEFT JOIN passages USING (doc)
+"""
+
+
 ORACLES = {
     "op1_minhash": OP1,
     "op2_secrets": _secrets(),
     "op5_exact": OP5,
+    "op9_runlength": OP9,
 }
