@@ -1,25 +1,42 @@
-"""Fuzzy ratio and best matches, in Catalyst only.
+"""Fuzzy ratio and best matches.
 
-ratio(a, b) = 100 * 2 * LCS / (len a + len b), LCS the longest common subsequence.  A row of
-the dynamic programme is an array; two nested folds fill it.
+ratio(a, b) = 100 * 2 * LCS / (len a + len b), LCS the longest common subsequence.  It is found
+by bit-parallel dynamic programming over Arrow batches: a row of the programme is one integer,
+so a pair costs len b steps on integers of len a bits.  As a fold over arrays in the JVM each
+cell would copy its row.
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
+
+
+def common_length(a: str, b: str) -> int:
+    """LCS of two strings; the zeros of `row` are the steps of the programme's row."""
+    places: dict[str, int] = {}
+    for i, c in enumerate(a):
+        places[c] = places.get(c, 0) | 1 << i
+    full = row = (1 << len(a)) - 1
+    for c in b:
+        hit = row & places.get(c, 0)
+        row = ((row + hit) | (row - hit)) & full
+    return len(a) - row.bit_count()
 
 
 def lcs(a: Column, b: Column) -> Column:
-    left, right = F.split(a, ""), F.split(b, "")
-    zeros = F.transform(F.concat(F.array(F.lit("")), right), lambda x: F.lit(0))
+    """Null where a or b is null."""
+    return _common_lengths()(a, b)
+
 
-    def row(above: Column, x: Column) -> Column:
-        steps = F.zip_with(right, F.arrays_zip(F.slice(above, 1, F.size(right)).alias("diagonal"), F.slice(above, 2, F.size(right)).alias("up")), lambda y, u: F.struct(y.alias("y"), u["diagonal"].alias("d"), u["up"].alias("u")))
-        start = F.array(F.lit(0))
-        return F.aggregate(steps, start, lambda acc, s: F.concat(acc, F.array(F.when(s["y"] == x, s["d"] + 1).otherwise(F.greatest(s["u"], F.element_at(acc, -1))))))
+def _common_lengths():
+    def run(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([None if x is None or y is None else common_length(x, y) for x, y in zip(a, b, strict=True)], dtype="object")
 
-    return F.when((F.length(a) == 0) | (F.length(b) == 0), 0).otherwise(F.element_at(F.aggregate(left, zeros, row), -1))
+    # Not deterministic for the planner only: a filter on the score would else call it twice.
+    return pandas_udf(run, "int").asNondeterministic()
 
 
 def ratio(a: Column, b: Column) -> Column:

@@ -1,4 +1,4 @@
-"""Communities: export of semantic edges, modularity, label propagation, Louvain."""
+"""Communities: export of semantic edges, modularity, label propagation, Leiden."""
 
 from __future__ import annotations
 
@@ -35,7 +35,10 @@ def modularity(edges: DataFrame, partition: DataFrame, gamma: float = 1.0) -> Da
 
 def label_propagation(edges: DataFrame, rounds: int = 3) -> DataFrame:
     """node, community after `rounds` synchronous rounds: the commonest label among the
-    neighbours and oneself, the least on ties.  Each round is one join and two aggregations."""
+    neighbours and oneself, the least on ties.  Each round is one join and two aggregations.
+
+    A hub's label meets all its edges in the join; as an exchange follows on either side, adaptive
+    execution splits such a key, and its votes combine before they are shuffled."""
     sym = edges.select(F.col("source").alias("node"), F.col("target").alias("other")).unionByName(edges.select(F.col("target").alias("node"), F.col("source").alias("other")))
     nodes = sym.select("node").distinct()
     sym = g.durable(sym.unionByName(nodes.select("node", F.col("node").alias("other"))))
@@ -47,47 +50,81 @@ def label_propagation(edges: DataFrame, rounds: int = 3) -> DataFrame:
     return labels
 
 
-def _louvain(gamma: float, total: float):
+def _move(weight: dict, degree: dict, home: dict, gamma: float, total: float) -> None:
+    """Nodes move to the neighbouring community with the greatest gain until none gains."""
+    volume: dict = defaultdict(float)
+    for n, c in home.items():
+        volume[c] += degree[n]
+    again = True
+    while again:
+        again = False
+        for n in sorted(weight):
+            near: dict = defaultdict(float)
+            for other, w in weight[n].items():
+                if other != n:
+                    near[home[other]] += w
+            volume[home[n]] -= degree[n]
+            gain = {c: w - gamma * volume[c] * degree[n] / total for c, w in near.items()}
+            stay = gain.get(home[n], -gamma * volume[home[n]] * degree[n] / total)
+            best = min((c for c in gain if gain[c] > stay + 1e-12), key=lambda c: (-gain[c], c), default=home[n])
+            if best != home[n]:
+                home[n], again = best, True
+            volume[home[n]] += degree[n]
+
+
+def _refine(weight: dict, degree: dict, home: dict, gamma: float, total: float) -> dict:
+    """The part of each node: communities are built anew from single nodes, which join the part
+    of their community with the greatest gain, if both are well tied to the rest of it."""
+    volume: dict = defaultdict(float)
+    for n, c in home.items():
+        volume[c] += degree[n]
+    part, size, alone = {n: n for n in weight}, dict(degree), set(weight)
+    ties = {n: sum(w for other, w in near.items() if other != n and home[other] == home[n]) for n, near in weight.items()}
+    for n in sorted(weight):
+        rest = volume[home[n]]
+        tied = lambda p, rest=rest: ties[p] >= gamma * size[p] * (rest - size[p]) / total - 1e-12
+        if n not in alone or not tied(n):
+            continue
+        near: dict = defaultdict(float)
+        for other, w in weight[n].items():
+            if other != n and home[other] == home[n]:
+                near[part[other]] += w
+        gain = {p: w - gamma * size[n] * size[p] / total for p, w in near.items() if tied(p)}
+        best = min((p for p in gain if gain[p] > 1e-12), key=lambda p: (-gain[p], p), default=n)
+        if best != n:
+            ties[best] += ties[n] - 2 * near[best]
+            size[best] += size[n]
+            part[n] = best
+            alone -= {n, best}
+    return part
+
+
+def _leiden(gamma: float, total: float):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         weight: dict = defaultdict(lambda: defaultdict(float))
         for a, b in sorted(zip(rows["source"], rows["target"], strict=True)):
             weight[a][b] += 1.0
             weight[b][a] += 1.0
         member = {n: n for n in weight}
+        home = dict(member)
         while True:
             degree = {n: sum(w.values()) for n, w in weight.items()}
-            home = {n: n for n in weight}
-            volume = dict(degree)
-            moved, again = False, True
-            while again:
-                again = False
-                for n in sorted(weight):
-                    near: dict = defaultdict(float)
-                    for other, w in weight[n].items():
-                        if other != n:
-                            near[home[other]] += w
-                    volume[home[n]] -= degree[n]
-                    gain = {c: w - gamma * volume[c] * degree[n] / total for c, w in near.items()}
-                    stay = gain.get(home[n], -gamma * volume[home[n]] * degree[n] / total)
-                    best = min((c for c in gain if gain[c] > stay + 1e-12), key=lambda c: (-gain[c], c), default=home[n])
-                    if best != home[n]:
-                        home[n], moved, again = best, True, True
-                    volume[home[n]] += degree[n]
-            if not moved:
+            before = dict(home)
+            _move(weight, degree, home, gamma, total)
+            part = _refine(weight, degree, home, gamma, total)
+            if home == before and all(p == n for n, p in part.items()):
                 break
-            least: dict = {}
-            for n in sorted(home):
-                least.setdefault(home[n], n)
-            member = {n: least[home[m]] for n, m in member.items()}
+            # Parts become nodes; they start in the communities that were found.
             merged: dict = defaultdict(lambda: defaultdict(float))
             for n, w in weight.items():
                 for other, x in w.items():
-                    merged[least[home[n]]][least[home[other]]] += x
-            weight = merged
-        # Refinement: a community that is not connected falls apart into its parts.
+                    merged[part[n]][part[other]] += x
+            weight, home = merged, {p: home[n] for n, p in part.items()}
+            member = {n: part[m] for n, m in member.items()}
+        # A community is named after its least node; should one not be connected, it falls apart.
         near = defaultdict(set)
         for a, b in zip(rows["source"], rows["target"], strict=True):
-            if member[a] == member[b]:
+            if home[member[a]] == home[member[b]]:
                 near[a].add(b)
                 near[b].add(a)
         root: dict = {}
@@ -120,7 +157,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def communities(edges: DataFrame, gamma: float = 1.0, task_edges: int = TASK_EDGES) -> DataFrame:
-    """node, community: Louvain with connected communities, at every size.
+    """node, community: Leiden (local moves, refinement, aggregation) at every size.
 
     Given the number of all edges, components do not depend on each other, so tasks take whole ones."""
     n = edges.count()
@@ -130,7 +167,7 @@ def communities(edges: DataFrame, gamma: float = 1.0, task_edges: int = TASK_EDG
         edges = edges.join(found, "source")
     else:
         edges = edges.withColumn("task", F.lit(0))
-    return edges.groupBy("task").applyInPandas(_louvain(gamma, 2.0 * n), "node string, community string")
+    return edges.groupBy("task").applyInPandas(_leiden(gamma, 2.0 * n), "node string, community string")
 
 
 def numbered(partition: DataFrame) -> DataFrame:

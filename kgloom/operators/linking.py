@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import rules
@@ -80,14 +80,33 @@ def glossary_links(graph: Graph, threshold: float = GLOSSARY_AT) -> DataFrame:
     return exact.unionByName(near)
 
 
+def grams(name: Column) -> Column:
+    """The pairs of neighbouring characters, in order."""
+    last = F.length(name) - 1
+    return F.when(last > 0, F.transform(F.sequence(F.lit(1), last), lambda i: F.substr(name, i, F.lit(2)))).otherwise(F.array().cast("array<string>"))
+
+
 def near_names(terms: DataFrame, names: DataFrame, threshold: float) -> DataFrame:
-    """term, name, score of pairs that reach the threshold; joined on the lengths a partner
-    can have, which is exact, so no pair of unequal lengths is tried."""
-    size = F.length("term")
-    low, high = F.ceil(size * threshold / (200 - threshold)).cast("int"), F.floor(size * (200 - threshold) / threshold).cast("int")
-    left = terms.where(size > 0).select("term", F.explode(F.sequence(low, F.greatest(low, high))).alias("size"))
+    """term, name, score of pairs that reach the threshold, without loss.
+
+    For each length a partner can have, a common subsequence must have so many characters that at
+    least `need` grams of the term are grams of the partner: a gram is lost only by a character
+    left out of the term (two at most) or put between (one).  So of any all but need - 1 of its
+    grams a partner holds one, and the rarest are taken: the join is on (gram, length).  Terms
+    with no such gram (one character, or a low threshold) are joined on the length alone."""
+    n, size = F.length("term"), F.col("size")
+    low, high = (F.ceil(n * threshold / (200 - threshold) - 1e-9), F.floor(n * (200 - threshold) / threshold + 1e-9))
+    left = terms.where(n > 0).select("term", F.explode(F.sequence(low.cast("int"), F.greatest(low, high).cast("int"))).alias("size"))
+    common = F.ceil(threshold * (n + size) / 200 - 1e-9).cast("int")
+    left = left.withColumn("need", n - 1 - 2 * (n - common) - (size - common))
     right = names.select(F.col("key").alias("name"), F.length("key").alias("size"))
-    pairs = left.join(right, "size").drop("size")
+    held = right.select("name", "size", F.explode(F.array_distinct(grams(F.col("name")))).alias("gram"))
+    often = held.groupBy("gram").agg(F.count("*").alias("n"))
+    mine = terms.select("term", F.explode(grams(F.col("term"))).alias("gram")).join(often, "gram", "left")
+    rarest = mine.groupBy("term").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram"))).alias("grams"))
+    tried = left.where("need > 0").join(rarest, "term").select("term", "size", F.explode(F.array_distinct(F.slice("grams", F.lit(1), n - F.col("need")))["gram"]).alias("gram"))
+    pairs = tried.join(held, ["gram", "size"]).select("term", "name").distinct()
+    pairs = pairs.unionByName(left.where("need <= 0").join(right, "size").select("term", "name"))
     return pairs.withColumn("score", fuzzy.ratio(F.col("term"), F.col("name"))).where(F.col("score") >= threshold)
 
 

@@ -301,7 +301,7 @@ QUERIES: dict[str, Query] = {
     "community_members": over(lambda x: community.members(x, partition(x))),
     "community_assignment": over(lambda x: community.assign(x, partition(x)).select("id", "community")),
     "in_community_edges": over(lambda x: community.membership(x, partition(x))),
-    "louvain": over(lambda x: community.communities(community.semantic_edges(x))),
+    "leiden": over(lambda x: community.communities(community.semantic_edges(x))),
     "glean_parse": glean_parse,
     "glean_merge_nodes": glean_nodes,
     "glean_merge_edges": glean_edges,

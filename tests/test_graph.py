@@ -1,5 +1,7 @@
 """Graph rewrites on a small graph: goldens, idempotence, invariance under row order."""
 
+import random
+
 import pytest
 
 from kgloom.model import CHUNK, EDGE, NODE, Graph
@@ -102,6 +104,52 @@ def test_glossary_links(graph):
     assert found == {"requirements": ("requirements", "exact"), "traceabilty": ("traceability", "fuzzy")}
 
 
+@pytest.mark.parametrize("threshold", [30.0, 60.0, 85.0, 95.0])
+def test_near_names_lose_no_pair(spark, threshold):
+    dice = random.Random(int(threshold))
+    word = lambda: "".join(dice.choice("abcé") for _ in range(dice.randint(0, 12)))
+    terms = {word() for _ in range(60)}
+    names = {word() for _ in range(60)} | {t[:4] + dice.choice("abé") + t[5:] for t in terms}
+    want = {}
+    for t in terms:
+        for n in names:
+            table = [[0] * (len(n) + 1) for _ in range(len(t) + 1)]
+            for i, x in enumerate(t):
+                for j, y in enumerate(n):
+                    table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
+            score = 200 * table[-1][-1] / (len(t) + len(n)) if t else 0
+            if t and score >= threshold:
+                want[t, n] = pytest.approx(score)
+    out = linking.near_names(spark.createDataFrame([(t,) for t in terms], "term string"), spark.createDataFrame([(n,) for n in names], "key string"), threshold).collect()
+    assert len(out) == len(want) and {(r["term"], r["name"]): r["score"] for r in out} == want
+
+
+def test_leiden_keeps_communities_connected(spark):
+    """A ring of cliques with random links: modularity at least that of the cliques, and every
+    community connected."""
+    dice = random.Random(7)
+    clique = [(f"{k:02}-{i}", f"{k:02}-{j}") for k in range(12) for i in range(6) for j in range(i)]
+    ring = [(f"{k:02}-0", f"{(k + 1) % 12:02}-1") for k in range(12)] + [(f"{dice.randrange(12):02}-2", f"{dice.randrange(12):02}-3") for _ in range(6)]
+    edges = spark.createDataFrame(sorted({e for e in clique + ring if e[0] != e[1]}), "source string, target string")
+    found = community.communities(edges)
+    planted = spark.createDataFrame([(f"{k:02}-{i}", str(k)) for k in range(12) for i in range(6)], "node string, community string")
+    assert community.modularity(edges, found).first()["modularity"] >= community.modularity(edges, planted).first()["modularity"] - 1e-9
+    of = {r["node"]: r["community"] for r in found.collect()}
+    near = {n: {n} for n in of}
+    for a, b in edges.collect():
+        if of[a] == of[b]:
+            near[a].add(b)
+            near[b].add(a)
+    for n, c in of.items():
+        reach, todo = set(), [c]
+        while todo:
+            x = todo.pop()
+            if x not in reach:
+                reach.add(x)
+                todo += near[x]
+        assert n in reach
+
+
 def test_two_triangles_are_two_communities(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("x", "y"), ("y", "z"), ("z", "x")], "source string, target string")
     for found in (community.communities(edges), community.label_propagation(edges, 5)):
@@ -134,7 +182,7 @@ def test_report(graph, tmp_path):
     assert report.save(text, str(target)) and len(list(tmp_path.iterdir())) == 2
 
 
-def test_communities_are_those_of_louvain_at_every_size(spark):
+def test_communities_are_the_same_at_every_size(spark):
     edges = spark.createDataFrame([(f"{k}-{i}", f"{k}-{j}") for k in range(9) for i in range(8) for j in range(i) if (i < 4) == (j < 4) or (i, j) == (4, 0)], "source string, target string")
     assert sorted(community.communities(edges, task_edges=5).collect()) == sorted(community.communities(edges).collect())
     # 210,000 edges in 7,000 paths: with so many edges a path is one community.
