@@ -2,7 +2,9 @@
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
+from itertools import accumulate
 
 import numpy as np
 import pytest
@@ -17,18 +19,25 @@ def documents(spark, small):
     return {r["doc_id"]: r for r in read_table(spark, small, "documents").collect()}
 
 
-def test_near_duplicates_match_all_pairs(spark, small, documents):
+def all_pairs(texts: dict) -> tuple[dict, dict]:
+    """The shingles of each text, and the least id of its near-duplicate group."""
+
     def shingles(text):
         words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
         return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} or ({tuple(words)} if words else set())
 
-    sets = {d: shingles(r["text"]) for d, r in documents.items()}
+    sets = {d: shingles(t) for d, t in texts.items()}
     group = {d: d for d in sets}
     for a in sorted(sets):
         for b in sorted(sets):
             if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
                 low, high = sorted((group[a], group[b]))
                 group = {d: low if g == high else g for d, g in group.items()}
+    return sets, group
+
+
+def test_near_duplicates_match_all_pairs(spark, small, documents):
+    sets, group = all_pairs({d: r["text"] for d, r in documents.items()})
     out = queries.op1_minhash(spark, small).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in out} == {d: (len(s), group[d], group[d] == d) for d, s in sets.items()}
 
@@ -46,6 +55,13 @@ def test_packing_fills_batches(spark, small, documents):
         assert len({r["bucket"] for r in rows}) == 1
         assert sorted(r["slot"] for r in rows) == list(range(len(rows)))
         assert len(rows) == 1 or len(rows) * rows[0]["padded"] <= packing.TOKEN_BUDGET
+    # The least padded size of all: best[j] over the first j lengths, one bucket more each round.
+    held = sorted(Counter(r["n_tokens"] for r in out).items())
+    before = list(accumulate((n for _, n in held), initial=0))
+    best = [0] + [float("inf")] * len(held)
+    for _ in range(packing.BUCKETS):
+        best = [min([best[j], *[best[i] + held[j - 1][0] * (before[j] - before[i]) for i in range(j)]]) for j in range(len(held) + 1)]
+    assert sum(r["padded"] for r in out) == best[-1] and len({r["bucket"] for r in out}) <= packing.BUCKETS
     again = queries.op3_packing(spark, small).collect()
     assert sorted(map(tuple, again)) == sorted(map(tuple, out))
 
@@ -94,6 +110,33 @@ def test_language_on_held_out_rows(spark, medium):
     assert np.mean([r["lang_pred"] == truth[r["doc_id"]] for r in out]) > 0.97
 
 
+def test_language_matches_brute_force(spark, small, documents):
+    """Features, margins and decoding of the query in plain Python; weights that solve the ridge
+    equations."""
+    model = language.train(read_table(spark, small, "documents"))
+    code, weights = model.code.tolist(), model.weights.astype(float)
+    for r in queries.op6_language(spark, small).collect():
+        raw = [b if b >= 128 else b | 32 if chr(b).isalpha() else 32 for b in (documents[r["doc_id"]]["text"] or "").encode()]
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+        if not any(c.isalpha() for c in documents[r["doc_id"]]["text"] or ""):
+            assert (r["lang_pred"], r["score"]) == ("und", 0)
+            continue
+        grams = Counter((a << 8 | b) * 0x9E3779B1 % 2**32 >> 20 for a, b in zip(raw, raw[1:], strict=False))
+        grams.update((a << 16 | b << 8 | c) * 0x85EBCA77 % 2**32 >> 20 for a, b, c in zip(raw, raw[1:], raw[2:], strict=False))
+        margins = [bias + sum((n / grams.total()) ** 0.5 * weights[g, k] for g, n in grams.items()) for k, bias in enumerate(model.bias)]
+        loss = {v: sum(max(0, 1 - bit * m) ** 2 for bit, m in zip(word, margins, strict=True)) for v, word in zip(model.languages, code, strict=True)}
+        share = {v: np.exp(-4 * x / len(margins)) for v, x in loss.items()}
+        assert r["score"] == pytest.approx(share[r["lang_pred"]] / sum(share.values()), abs=1e-3)
+        assert loss[r["lang_pred"]] == pytest.approx(min(loss.values()), abs=1e-3)
+
+    rng = np.random.default_rng(1)
+    for rows, width in ((30, 50), (50, 30)):
+        x, names = rng.normal(size=(rows, width)), [f"l{i % 3}" for i in range(rows)]
+        made = language.fit(x, names)
+        target = made.code[[int(v[1:]) for v in names]]
+        assert np.allclose(x.T @ (x @ made.weights + made.bias - target), -language.RIDGE * rows**0.5 * made.weights, atol=1e-3)
+
+
 def test_pages_keep_the_article_only(spark, small):
     pages = {r["page_id"]: r["html"] for r in read_table(spark, small, "pages").collect()}
     for r in queries.op7_html(spark, small).collect():
@@ -104,10 +147,30 @@ def test_pages_keep_the_article_only(spark, small):
         assert r["n_chars"] == len(r["text"])
 
 
-def test_pieces_round_trip(spark, small, documents):
+def best_score(use: pieces.Coder, text: str) -> float:
+    """The best score of any segmentation of a text with marks, by trying all of them."""
+    score = {p: s for p, _, s in use.vocabulary.pieces}
+    longest = max(map(len, score))
+    best = [0.0]
+    for j in range(1, len(text) + 1):
+        best.append(max([best[j - 1] + use.floor, *[best[i] + score[text[i:j]] for i in range(max(0, j - longest), j) if text[i:j] in score]]))
+    return best[-1]
+
+
+def score_of(use: pieces.Coder, ids: list[int]) -> float:
+    score = {i: s for _, i, s in use.vocabulary.pieces}
+    single = b"".join(use.bytes[i] for i in ids if i not in score)
+    return sum(score[i] for i in ids if i in score) + use.floor * len(single.decode())
+
+
+def test_pieces_of_the_table_are_the_best(spark, small, documents):
+    use = pieces.Coder(pieces.Vocabulary.load(queries.TOKENIZER))
     for r in queries.op8_sentencepiece(spark, small).collect():
         text = documents[r["doc_id"]]["text"] or ""
         assert r["round_trip"] and r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+        ids = use.encode(text)
+        assert (r["n_pieces"], r["ids_sha256"]) == (len(ids) // 4, hashlib.sha256(ids).hexdigest())
+        assert score_of(use, np.frombuffer(ids, "<u4").tolist()) == pytest.approx(best_score(use, text and "▁" + text.replace(" ", "▁")))
 
 
 def covered(raw: dict, size: int) -> dict:
@@ -188,23 +251,20 @@ def test_pipeline_stages_take_effect(spark, small, documents):
     assert not any(pii.base_spans(t) for t in texts), field
     ids = {r["doc_id"] for r in corpus_pipeline.run(spark, small).collect()}
     assert ids == {r["doc_id"] for r in docs.collect()}
+    # By brute force: letters, then one of equal texts (the longest, least id), then one of each group.
+    equal = defaultdict(list)
+    for d, r in documents.items():
+        if any(c.isalpha() for c in r["text"] or ""):
+            equal[re.sub(r"[\x20\x09-\x0D]", "", r["text"])].append((-len(r["text"]), d))
+    single = {min(same)[1] for same in equal.values()}
+    _, group = all_pairs({d: documents[d]["text"] for d in single})
+    assert ids == {d for d in single if group[d] == d}
 
 
 def test_pieces_are_the_best_segmentation():
-    vocabulary = pieces.Vocabulary.load(queries.TOKENIZER)
-    use, score = pieces.Coder(vocabulary), {p: s for p, _, s in vocabulary.pieces}
+    use = pieces.Coder(pieces.Vocabulary.load(queries.TOKENIZER))
     for text in ("▁the▁onthe", "▁éèçon", "▁a\u0001b", "▁▁▁x", "日本語のto", "zzzz"):
-        best = [0.0] + [float("-inf")] * len(text)
-        for j in range(1, len(text) + 1):
-            best[j] = max([best[j - 1] + use.floor, *[best[i] + score[text[i:j]] for i in range(j) if text[i:j] in score]])
-        names = {i: p for p, i, _ in vocabulary.pieces}
-        got, run = 0.0, b""
-        for i in use.segment(text):
-            if i in names:
-                got += score[names[i]]
-            else:
-                run += use.bytes[i]
-        assert got + use.floor * len(run.decode()) == pytest.approx(best[-1])
+        assert score_of(use, use.segment(text)) == pytest.approx(best_score(use, text))
     for text in ("", " ", "a", "  two  spaces ", "mark ▁ here▁", "▁▁ x", "tab\tand\nline\n", "\u0000nul", "🙂 end"):
         assert use.decode(use.encode(text)) == text
 
