@@ -145,9 +145,56 @@ FROM kept LEFT JOIN passages USING (doc)
 """
 
 
+def _text(name: str) -> str:
+    return f"coalesce(strlen({name}::VARCHAR) || ':' || {name}::VARCHAR, '-')"
+
+
+# The nodes of each level as a list per language; the checksum by the reversed polynomial.
+OP11 = f"""
+WITH RECURSIVE leaves AS (
+  SELECT row_number() OVER () AS k, doc_id, lang,
+         sha256({" || ".join(_text(c) for c in ("doc_id", "source", "lang", "n_chars", "text"))}) AS leaf,
+         sha256({" || ".join(_text(c) for c in ("doc_id", "source", "lang", "n_chars"))} || {_text("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}) AS altered,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: ascii(substring(doc_id::VARCHAR, i, 1))::BIGINT)),
+           lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda a, z: CASE WHEN (a & 1) = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END)), 4294967295::BIGINT) % 3 = 0 AS tampered
+  FROM documents
+),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves),
+levels AS (
+  SELECT lang, 0 AS level, list(leaf ORDER BY pos) AS nodes FROM placed GROUP BY lang
+  UNION ALL
+  SELECT lang, level + 1, [sha256(array_to_string(nodes[8 * i + 1:8 * i + 8], '')) for i in range((len(nodes) + 7) // 8)] FROM levels WHERE len(nodes) > 1
+),
+subroots AS (SELECT lang, nodes[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos FROM levels WHERE len(nodes) = 1),
+tops AS (
+  SELECT 0 AS level, list(subroot ORDER BY pos) AS nodes FROM subroots
+  UNION ALL
+  SELECT level + 1, [sha256(array_to_string(nodes[8 * i + 1:8 * i + 8], '')) for i in range((len(nodes) + 7) // 8)] FROM tops WHERE len(nodes) > 1
+),
+steps AS (
+  SELECT k, level, placed.pos // (8 ** level)::BIGINT AS place, nodes FROM placed JOIN levels ON placed.lang IS NOT DISTINCT FROM levels.lang AND len(nodes) > 1
+  UNION ALL
+  SELECT k, 100 + level, subroots.pos // (8 ** level)::BIGINT, nodes FROM placed JOIN subroots ON placed.lang IS NOT DISTINCT FROM subroots.lang, tops WHERE len(nodes) > 1
+),
+paths AS (
+  SELECT k, list({{'l': array_to_string(nodes[8 * (place // 8) + 1:place], ''), 'r': array_to_string(nodes[place + 2:8 * (place // 8) + 8], '')}} ORDER BY level) AS path FROM steps GROUP BY k
+),
+whole AS (
+  SELECT placed.*, subroot, (SELECT nodes[1] FROM tops WHERE len(nodes) = 1) AS root, coalesce(path, []) AS path
+  FROM placed LEFT JOIN paths USING (k) JOIN subroots ON placed.lang IS NOT DISTINCT FROM subroots.lang
+),
+folded AS (
+  SELECT *, list_reduce(list_prepend({{'l': CASE WHEN tampered THEN altered ELSE leaf END, 'r': ''}}, path), lambda a, p: {{'l': sha256(p.l || a.l || p.r), 'r': ''}}).l AS folded_root FROM whole
+)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string([p.l || p.r for p in path], '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM folded
+"""
+
+
 ORACLES = {
     "op1_minhash": OP1,
     "op2_secrets": _secrets(),
     "op5_exact": OP5,
     "op9_runlength": OP9,
+    "op11_manifest": OP11,
 }

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, fingerprint, html, language, minhash, packing, pieces, pii, runlength, secrets
+from . import exact, fingerprint, html, language, manifest, minhash, packing, pieces, pii, runlength, secrets, simhash, whitening
 from .common import read_table, shared_dir
 
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
@@ -55,6 +55,18 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.scan(docs, pii.fit(docs))
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(read_table(spark, sf_dir, "documents"))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_secrets": op2_secrets,
@@ -66,4 +78,7 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_runlength": op9_runlength,
     "op10_pii": op10_pii,
+    "op11_manifest": op11_manifest,
+    "op12_simhash": op12_simhash,
+    "op13_whitening": op13_whitening,
 }
