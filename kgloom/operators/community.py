@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 from .. import rules
 from ..model import Graph, is_entity
 from . import graphops as g
+from . import leiden
 
 # About so many edges of whole components go to one task; this does not change results.
 TASK_EDGES = 20_000
+# A component of more edges is clustered by joins, not in one task; about 300 bytes an edge there.
+ONE_TASK = 200_000
 
 
 def semantic_edges(graph: Graph) -> DataFrame:
@@ -41,10 +44,10 @@ def label_propagation(edges: DataFrame, rounds: int = 3) -> DataFrame:
     execution splits such a key, and its votes combine before they are shuffled."""
     sym = edges.select(F.col("source").alias("node"), F.col("target").alias("other")).unionByName(edges.select(F.col("target").alias("node"), F.col("source").alias("other")))
     nodes = sym.select("node").distinct()
-    sym = g.durable(sym.unionByName(nodes.select("node", F.col("node").alias("other"))))
+    sym = g.checkpointed(sym.unionByName(nodes.select("node", F.col("node").alias("other"))))
     labels = nodes.select("node", F.col("node").alias("community"))
     for done in range(rounds):
-        labels = g.durable(labels) if done % 4 == 3 else labels
+        labels = g.checkpointed(labels) if done % 4 == 3 else labels
         votes = sym.join(labels.withColumnRenamed("node", "other"), "other").groupBy("node", "community").agg(F.count("*").alias("n"))
         labels = votes.groupBy("node").agg(F.min(F.struct((-F.col("n")).alias("n"), F.col("community"))).alias("best")).select("node", F.col("best.community").alias("community"))
     return labels
@@ -99,36 +102,40 @@ def _refine(weight: dict, degree: dict, home: dict, gamma: float, total: float)
     return part
 
 
+def _cluster(weight: dict, home: dict, gamma: float, total: float) -> dict:
+    """The community of every node: moves, refinement and aggregation until nothing changes."""
+    member = {n: n for n in weight}
+    while True:
+        degree = {n: sum(w.values()) for n, w in weight.items()}
+        before = dict(home)
+        _move(weight, degree, home, gamma, total)
+        part = _refine(weight, degree, home, gamma, total)
+        if home == before and all(p == n for n, p in part.items()):
+            return {n: home[m] for n, m in member.items()}
+        # Parts become nodes; they start in the communities that were found.
+        merged: dict = defaultdict(lambda: defaultdict(float))
+        for n, w in weight.items():
+            for other, x in w.items():
+                merged[part[n]][part[other]] += x
+        weight, home = merged, {p: home[n] for n, p in part.items()}
+        member = {n: part[m] for n, m in member.items()}
+
+
 def _leiden(gamma: float, total: float):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         weight: dict = defaultdict(lambda: defaultdict(float))
         for a, b in sorted(zip(rows["source"], rows["target"], strict=True)):
             weight[a][b] += 1.0
             weight[b][a] += 1.0
-        member = {n: n for n in weight}
-        home = dict(member)
-        while True:
-            degree = {n: sum(w.values()) for n, w in weight.items()}
-            before = dict(home)
-            _move(weight, degree, home, gamma, total)
-            part = _refine(weight, degree, home, gamma, total)
-            if home == before and all(p == n for n, p in part.items()):
-                break
-            # Parts become nodes; they start in the communities that were found.
-            merged: dict = defaultdict(lambda: defaultdict(float))
-            for n, w in weight.items():
-                for other, x in w.items():
-                    merged[part[n]][part[other]] += x
-            weight, home = merged, {p: home[n] for n, p in part.items()}
-            member = {n: part[m] for n, m in member.items()}
+        found = _cluster(weight, {n: n for n in weight}, gamma, total)
         # A community is named after its least node; should one not be connected, it falls apart.
         near = defaultdict(set)
         for a, b in zip(rows["source"], rows["target"], strict=True):
-            if home[member[a]] == home[member[b]]:
+            if found[a] == found[b]:
                 near[a].add(b)
                 near[b].add(a)
         root: dict = {}
-        for n in sorted(member):
+        for n in sorted(found):
             todo = [] if n in root else [n]
             while todo:
                 x = todo.pop()
@@ -140,9 +147,22 @@ def _leiden(gamma: float, total: float):
     return run
 
 
+def _finish(gamma: float, total: float):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        weight: dict = defaultdict(lambda: defaultdict(float))
+        for a, b, w in sorted(zip(rows["source"], rows["target"], rows["w"], strict=True)):
+            weight[a][b] += w
+            weight[b][a] += w
+        # Every node is the source of a row, that of its loops at least.
+        found = _cluster(weight, dict(zip(rows["source"], rows["community"], strict=True)), gamma, total)
+        return pd.DataFrame({"node": list(found), "community": list(found.values())})
+
+    return run
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, component: the least node that is connected; rounds as the logarithm of paths."""
-    sym = g.durable(edges.select(F.col("source").alias("node"), F.col("target").alias("other")).union(edges.select("target", "source")).distinct())
+    sym = g.checkpointed(edges.select(F.col("source").alias("node"), F.col("target").alias("other")).union(edges.select("target", "source")).distinct())
     labels, changed = sym.groupBy("node").agg(F.least("node", F.min("other")).alias("component")), 1
     while changed:
         near = sym.join(labels.select(F.col("node").alias("other"), F.col("component").alias("c")), "other").groupBy("node").agg(F.min("c").alias("c"))
@@ -156,18 +176,23 @@ def components(edges: DataFrame) -> DataFrame:
     return labels
 
 
-def communities(edges: DataFrame, gamma: float = 1.0, task_edges: int = TASK_EDGES) -> DataFrame:
+def communities(edges: DataFrame, gamma: float = 1.0, task_edges: int = TASK_EDGES, one_task: int = ONE_TASK) -> DataFrame:
     """node, community: Leiden (local moves, refinement, aggregation) at every size.
 
-    Given the number of all edges, components do not depend on each other, so tasks take whole ones."""
+    Given the number of all edges, components do not depend on each other.  Those of up to
+    `one_task` edges are clustered whole, several in a task; larger ones by joins over all tasks
+    (module leiden), with the same objective."""
     n = edges.count()
-    tasks = -(-n // task_edges)
-    if tasks > 1:
-        found = components(edges).select(F.col("node").alias("source"), F.pmod(F.xxhash64("component"), F.lit(tasks)).alias("task"))
-        edges = edges.join(found, "source")
-    else:
-        edges = edges.withColumn("task", F.lit(0))
-    return edges.groupBy("task").applyInPandas(_leiden(gamma, 2.0 * n), "node string, community string")
+    if n <= min(task_edges, one_task):
+        return edges.withColumn("task", F.lit(0)).groupBy("task").applyInPandas(_leiden(gamma, 2.0 * n), "node string, community string")
+    placed = g.checkpointed(edges.join(components(edges).withColumnRenamed("node", "source"), "source"))
+    large = g.checkpointed(placed.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n") > one_task).select("component"))
+    small = placed.join(large, "component", "left_anti").withColumn("task", F.pmod(F.xxhash64("component"), F.lit(-(-n // task_edges))))
+    out = small.groupBy("task").applyInPandas(_leiden(gamma, 2.0 * n), "node string, community string")
+    if not large.limit(1).count():
+        return out
+    rows = placed.join(large, "component", "left_semi").select("source", "target")
+    return out.unionByName(leiden.communities(rows, gamma, 2.0 * n, one_task, _finish(gamma, 2.0 * n), components))
 
 
 def numbered(partition: DataFrame) -> DataFrame:

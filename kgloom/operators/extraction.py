@@ -84,24 +84,21 @@ def candidate_chunks(chunks: DataFrame, limit: int | None = None) -> DataFrame:
     return g.top(chunks.where(F.length("text") > LEAST_TEXT), limit, "index", "id")
 
 
-def dictionary_mentions(chunks: DataFrame, terms: DataFrame, limit: int | None = None) -> DataFrame:
-    """chunk_id, label, name, span: the first place of each dictionary term (label, name) in a
-    text; occurrences() gives all.
-
-    Terms meet texts by word n-grams, so there is no substring test of all pairs."""
+def occurrences(chunks: DataFrame, terms: DataFrame, limit: int | None = None) -> DataFrame:
+    """chunk_id, label, name, start, stop: every place of a dictionary term (label, name) of any
+    number of words in a text."""
     texts = candidate_chunks(chunks, limit).select("id", "text")
-    hits = linking.word_grams(texts, terms.select("name").distinct())
-    rows = hits.join(terms, "name").join(texts, "id")
-    start = F.instr(F.concat(F.lit(" "), F.lower("text"), F.lit(" ")), F.concat(F.lit(" "), F.col("name"), F.lit(" "))) - 1
-    return rows.select(F.col("id").alias("chunk_id"), "label", "name", F.concat_ws("-", start.cast("string"), (start + F.length("name")).cast("string")).alias("span"))
+    spans = linking.phrase_spans(texts, terms.select("name").distinct())
+    return spans.join(terms.select("label", "name").distinct(), "name").select(F.col("id").alias("chunk_id"), "label", "name", "start", "stop")
 
 
-def occurrences(chunks: DataFrame, terms: DataFrame) -> DataFrame:
-    """chunk_id, label, name, start, stop: every place of a term of one word in a text."""
-    words = F.split(F.lower("text"), " ")
-    place = F.aggregate(words, F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<name:string,start:int>>").alias("found")), lambda acc, w: F.struct((acc["at"] + F.length(w) + 1).alias("at"), F.concat(acc["found"], F.array(F.struct(w.alias("name"), acc["at"].alias("start")))).alias("found")), lambda acc: acc["found"])
-    rows = candidate_chunks(chunks).select(F.col("id").alias("chunk_id"), F.inline(place))
-    return rows.join(terms, "name").select("chunk_id", "label", "name", "start", (F.col("start") + F.length("name")).alias("stop"))
+def dictionary_mentions(chunks: DataFrame, terms: DataFrame, limit: int | None = None, every: bool = False) -> DataFrame:
+    """chunk_id, label, name, span: the first place of each dictionary term in a text, or every
+    one."""
+    rows = occurrences(chunks, terms, limit)
+    if not every:
+        rows = rows.groupBy("chunk_id", "label", "name").agg(F.min("start").alias("start"), F.min("stop").alias("stop"))
+    return rows.select("chunk_id", "label", "name", F.concat_ws("-", F.col("start").cast("string"), F.col("stop").cast("string")).alias("span"))
 
 
 class DictionaryExtractor:
@@ -135,16 +132,16 @@ def documents_to_graph(documents: DataFrame, extract: Extractor, config: chunkin
 
     edges: MENTIONED_IN, FROM_ARTICLE and the extracted ones; status: id, n_chunks, n_failed,
     status."""
-    chunks = g.durable(chunking.chunk(documents, config).select(F.concat_ws("-", "id", "index").alias("chunk_id"), F.col("id").alias("article_id"), "index", "text"))
+    chunks = g.checkpointed(chunking.chunk(documents, config).select(F.concat_ws("-", "id", "index").alias("chunk_id"), F.col("id").alias("article_id"), "index", "text"))
     asked = chunks.select(F.col("chunk_id").alias("id"), "index", "text")
     spark = documents.sparkSession
     nodes = spark.createDataFrame([], "id string, labels array<string>, label string, name string, definition string")
     edges = chunks.select(F.col("chunk_id").alias("src"), F.lit("FROM_ARTICLE").alias("type"), F.col("article_id").alias("dst"))
     failed = None
     for _ in range(1 + passes):
-        results = g.durable(extract(asked))
+        results = g.checkpointed(extract(asked))
         nodes, edges, _counts = glean(nodes, edges, results)
-        nodes, edges = g.durable(nodes), g.durable(edges)
+        nodes, edges = g.checkpointed(nodes), g.checkpointed(edges)
         failed = failed or parse_results(results).where("failed").select("chunk_id").distinct().withColumn("bad", F.lit(True))
     counts = chunks.join(failed, "chunk_id", "left").groupBy(F.col("article_id").alias("id")).agg(F.count("*").alias("n_chunks"), F.count_if("bad").alias("n_failed"))
     rows = documents.select(F.col("id").cast("string").alias("id")).join(counts, "id", "left").fillna(0, ["n_chunks", "n_failed"])

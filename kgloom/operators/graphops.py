@@ -7,8 +7,9 @@ mappings of one pass never chain.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import rules
@@ -20,22 +21,26 @@ def ends(edges: DataFrame) -> DataFrame:
     return out.unionByName(edges.where("src <> dst").select(F.col("dst").alias("id"), F.col("src").alias("other"), "type", F.lit(False).alias("outgoing")))
 
 
-def durable(rows: DataFrame) -> DataFrame:
-    """rows, written to the shared checkpoint folder where the session names one, so that a
-    loop does not compute them again."""
-    return rows.checkpoint() if rows.sparkSession.sparkContext.getCheckpointDir() else rows
+def shared_dir(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir, which all executors share.  Where it is unset, one of our
+    own if driver and executors are one process (tests), else an error."""
+    context = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not path:
+        if context.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        path = tempfile.mkdtemp(prefix="kgloom-")
+        context.setCheckpointDir(path)
+    return path
 
 
 def checkpointed(rows: DataFrame) -> DataFrame:
-    """rows, written to the folder in spark.checkpoint.dir, which all executors share.  Where it is
-    unset, to one of our own if driver and executors are one process (tests), else an error."""
-    context = rows.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        path = rows.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not path and context.master.split("[")[0] != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(path or tempfile.mkdtemp(prefix="kgloom-"))
-    return rows.checkpoint()
+    """rows, written as a table to the shared folder and read back.  A loop does not compute them
+    again, a lost executor costs one task, and the plan keeps neither lineage nor the constraints
+    of the plans before, which would double in every round."""
+    path = f"{shared_dir(rows.sparkSession)}/table-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def degree(edges: DataFrame) -> DataFrame:

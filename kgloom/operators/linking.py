@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,23 +15,71 @@ from . import graphops as g
 LEAST_NAME = 4
 GLOSSARY_AT = 85.0
 NAME_BYTES = 1 << 24
+SLOTS = 1 << 20
 
 
-def word_grams(texts: DataFrame, names: DataFrame) -> DataFrame:
-    """id, name: every text that holds a name between spaces.
+def _anchors(words: DataFrame, names: DataFrame, small: bool) -> DataFrame:
+    """name, parts, j, word: each name with its rarest word in the texts and that word's place in
+    it; a name with a word that no text has is left out."""
+    parts = names.select("name", "parts", F.posexplode("parts").alias("j", "word"))
+    distinct = parts.select("word").distinct()
+    counts = words.join(F.broadcast(distinct) if small else distinct, "word", "left_semi").groupBy("word").agg(F.count("*").alias("n"))
+    rarest = parts.join(counts, "word", "left").groupBy("name", "parts").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "j", "word")).alias("a"))
+    return rarest.where("a.n > 0").select("name", "parts", "a.j", "a.word")
+
+
+def phrase_hits(texts: DataFrame, names: DataFrame) -> DataFrame:
+    """id, name, pos: every place of a name between spaces in a text, as the number of the word at
+    which it begins.
 
     ' name ' occurs in ' text ' just when the name's words, split at single spaces, follow one
-    another in the text's.  Words meet by an equi-join, and a name is found where all its words
-    are at the places they should be; only words that some name has are shuffled.  The names'
-    words are broadcast while they are counted to be under NAME_BYTES, else the words of the
-    texts are shuffled to them."""
-    split = F.split("name", " ")
-    parts = names.select("name", F.size(split).alias("n"), F.posexplode(split).alias("j", "word"))
-    size = parts.agg(F.sum(F.length("name") + F.length("word") + 40)).first()[0] or 0
-    words = texts.select("id", F.posexplode(F.split(F.lower(F.col("text")), " ")).alias("pos", "word"))
-    hits = words.join(F.broadcast(parts) if size <= NAME_BYTES else parts, "word")
-    found = hits.groupBy("id", "name", "n", (F.col("pos") - F.col("j")).alias("start")).agg(F.count("*").alias("held"))
-    return found.where("held = n").select("id", "name").distinct()
+    another in the text's.  A name meets the texts only at its rarest word, found by a count over
+    the texts; the words around that one, which travel with it, tell whether the phrase is there.
+    So a common word costs nothing where a name has a rarer one.  Names under NAME_BYTES are
+    broadcast; else a bitmap of the rarest words' hashes (SLOTS bits at most, whatever the number
+    of names) goes to the scan, and only words that pass it are shuffled."""
+    names = names.where("name is not null").select("name", F.split("name", " ").alias("parts")).distinct()
+    known = names.agg(F.sum(2 * F.length("name") + 60), F.max(F.size("parts"))).first()
+    small, reach = (known[0] or 0) <= NAME_BYTES, (known[1] or 1) - 1
+    split = F.split(F.lower(F.col("text")), " ")
+    words = texts.select("id", F.explode(split).alias("word"))
+    anchors = _anchors(words, names, small)
+    first = lambda i: F.greatest(i - reach, F.lit(0))
+    around = F.transform("words", lambda w, i: F.struct(i.alias("at"), w.alias("word"), F.slice("words", first(i) + 1, F.lit(2 * reach + 1)).alias("near")))
+    tokens = texts.select("id", split.alias("words")).select("id", F.inline(around))
+    if small:
+        anchors = F.broadcast(anchors)
+    else:
+        slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS))
+        tokens = tokens.withColumn("slot", slot("word")).join(F.broadcast(anchors.select(slot("word").alias("slot")).distinct()), "slot", "left_semi").drop("slot")
+    begins = F.col("at") - F.col("j")
+    there = (begins >= 0) & (F.slice("near", begins - first(F.col("at")) + 1, F.size("parts")) == F.col("parts"))
+    return tokens.join(anchors, "word").where(there).select("id", "name", begins.alias("pos"))
+
+
+@F.pandas_udf("array<int>")
+def _starts(text: pd.Series, places: pd.Series) -> pd.Series:
+    def one(t: str, at: np.ndarray) -> np.ndarray:
+        sizes = np.array([len(w) + 1 for w in t.split(" ")], np.int32)
+        return (np.cumsum(sizes) - sizes)[at]
+
+    return pd.Series([one(t, p) for t, p in zip(text, places, strict=True)])
+
+
+def phrase_spans(texts: DataFrame, names: DataFrame) -> DataFrame:
+    """id, name, start, stop: every place of a name in a text, as characters of the lower-cased
+    text; places may overlap.  What one text gathers is bounded by its own words."""
+    hits = phrase_hits(texts, names)
+    places = hits.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("pos", "name"))).alias("found"))
+    rows = texts.select("id", "text").join(places, "id")
+    rows = rows.withColumn("starts", _starts(F.lower("text"), F.col("found.pos")))
+    rows = rows.select("id", F.inline(F.arrays_zip(F.col("found.name").alias("name"), F.col("starts").alias("start"))))
+    return rows.select("id", "name", "start", (F.col("start") + F.length("name")).alias("stop"))
+
+
+def word_grams(texts: DataFrame, names: DataFrame) -> DataFrame:
+    """id, name: every text that holds a name between spaces."""
+    return phrase_hits(texts, names).select("id", "name").distinct()
 
 
 def mention_backfill(graph: Graph, labels: tuple[str, ...] = ("Standard", "Industry")) -> DataFrame:

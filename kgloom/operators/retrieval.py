@@ -78,6 +78,11 @@ def bm25(texts: DataFrame, terms: list[str], k: int = 10) -> DataFrame:
     rows = texts.select("id", tokens(F.col("text")).alias("tokens"))
     sizes = rows.agg(F.count("*").alias("docs"), F.avg(F.size("tokens")).alias("mean"))
     hits = rows.select("id", F.size("tokens").alias("size"), F.explode(F.filter("tokens", lambda t: F.array_contains(wanted, t))).alias("term")).groupBy("id", "size", "term").agg(F.count("*").alias("tf"))
+    return scored_terms(hits, sizes, k)
+
+
+def scored_terms(hits: DataFrame, sizes: DataFrame, k: int) -> DataFrame:
+    """id, score from id, size, term, tf of the searched terms and one row of docs and mean."""
     df = hits.groupBy("term").agg(F.count("*").alias("df"))  # at most one row per term
     x = hits.join(F.broadcast(df), "term").crossJoin(F.broadcast(sizes))  # one row of totals
     idf = F.log(1 + (F.col("docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
