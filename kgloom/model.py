@@ -22,7 +22,7 @@ ARTICLE_RECORD = (
     "article_id string, title string, url string, content_type string, markdown_content string, sections array<struct<heading:string,level:int,content:string>>, "
     "key_concepts array<string>, cross_references array<struct<text:string,url:string,is_internal:boolean,section_id:string>>, "
     "images array<struct<src:string,alt:string,title:string,caption:string,context:string>>, videos array<struct<video_id:string,url:string>>, "
-    "webinars array<struct<url:string,title:string,description:string,thumbnail:string,context:string>>, related array<struct<url:string,title:string>>, og_image string"
+    "webinars array<struct<url:string,title:string,description:string,thumbnail:string,context:string>>, related array<struct<url:string,title:string>>, og_image string, error string"
 )
 
 

@@ -51,11 +51,11 @@ class TextIndex:
         self.spark, self.path = spark, path
 
     def add(self, texts: DataFrame, ingest: str) -> None:
-        """Index texts (id, text; null text: no words).  The same ingest replaces its own rows."""
+        """Index texts (id, text; a null text counts as a text, not in the mean size).  The same ingest replaces its own rows."""
         if _there(self.spark, f"{self.path}/docs"):
             held = self.spark.read.parquet(f"{self.path}/docs").where(F.col("ingest") != ingest)
             texts = texts.join(held.select("id"), "id", "left_anti")
-        rows = texts.dropDuplicates(["id"]).select("id", F.coalesce(retrieval.tokens(F.col("text")), F.array().cast("array<string>")).alias("tokens"))
+        rows = texts.dropDuplicates(["id"]).select("id", retrieval.tokens(F.col("text")).alias("tokens"))
         rows = g.checkpointed(rows.select("id", F.size("tokens").alias("size"), "tokens"))
         postings = rows.select("id", "size", F.explode("tokens").alias("term")).groupBy("id", "size", "term").agg(F.count("*").alias("tf"))
         postings = postings.withColumn("bucket", _bucket(F.col("term"))).hint("rebalance", "bucket").sortWithinPartitions("bucket", "term")

@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from .. import rules
 from ..functions import fuzzy
@@ -57,7 +58,7 @@ def phrase_hits(texts: DataFrame, names: DataFrame) -> DataFrame:
     return tokens.join(anchors, "word").where(there).select("id", "name", begins.alias("pos"))
 
 
-@F.pandas_udf("array<int>")
+@F.pandas_udf(ArrayType(IntegerType()))
 def _starts(text: pd.Series, places: pd.Series) -> pd.Series:
     def one(t: str, at: np.ndarray) -> np.ndarray:
         sizes = np.array([len(w) + 1 for w in t.split(" ")], np.int32)

@@ -100,8 +100,7 @@ def clean(root: Element) -> None:
     """Drop elements without text, hidden ones, and promotional buttons and links."""
     hidden = lambda e: "display:none" in e.attrs.get("style", "").replace(" ", "").lower()
     promo = lambda e: has_class(e, PROMO_CLASS) and (e.tag != "a" or PROMO_LINK.search(e.attrs.get("href", "")))
-    for e in root.where(lambda e: e.tag in EMPTY_TAGS or hidden(e) or bool(promo(e))):
-        e.remove()
+    Element.remove_all(root.where(lambda e: e.tag in EMPTY_TAGS or hidden(e) or bool(promo(e))))
 
 
 def cross_references(root: Element, url: str, site: Site) -> list[dict]:
@@ -128,7 +127,7 @@ def images(root: Element, url: str) -> list[dict]:
     out, seen, heading = [], set(), None
     for e in root.walk():
         if e.tag in ("h2", "h3", "h4"):
-            heading = e.text()
+            heading = e
         if e.tag != "img":
             continue
         src = e.attrs.get("src", "")
@@ -140,7 +139,7 @@ def images(root: Element, url: str) -> list[dict]:
         seen.add(full)
         figure = e.closest("figure")
         caption = figure.first("figcaption") if figure else None
-        out.append({"src": full, "alt": e.attrs.get("alt"), "title": e.attrs.get("title"), "caption": caption.text() if caption else None, "context": heading})
+        out.append({"src": full, "alt": e.attrs.get("alt"), "title": e.attrs.get("title"), "caption": caption.text() if caption else None, "context": heading.text() if heading else None})
     return out
 
 
@@ -183,7 +182,7 @@ def webinars(root: Element, url: str, site: Site) -> list[dict]:
     out, seen, heading = [], set(), None
     for e in root.walk():
         if e.tag in ("h2", "h3", "h4"):
-            heading = e.text()
+            heading = e
         href = e.attrs.get("href", "") if e.tag == "a" else ""
         full = urljoin(url, href)
         if not _is_webinar(href, site) or full in seen:
@@ -201,7 +200,8 @@ def webinars(root: Element, url: str, site: Site) -> list[dict]:
             after = e.parent.children[next(i for i, c in enumerate(e.parent.children) if c is e) :] if e.parent else []
             words = next((c.text() for c in after if isinstance(c, Element) and c.tag == "p"), "")
             name = words.split(".")[0].strip() if len(words) > LEAST_TITLE else ""
-        context = heading if heading and "In This Webinar" not in heading else None
+        context = heading.text() if heading else None
+        context = None if not context or "In This Webinar" in context else context
         out.append({"url": full, "title": name or "Webinar", "description": described.get(full), "thumbnail": thumbnail, "context": context})
     return out
 
@@ -245,7 +245,7 @@ def sections(root: Element) -> list[dict]:
 def key_concepts(root: Element, name: str) -> list[str]:
     """Capitalised phrases of the title, emphasised terms, defined terms: 20 at most, sorted."""
     found = {w for w in re.findall(r"\b[A-Z][a-z]+(?:\s+[A-Z][a-z]+)*\b", name) if w.lower() not in STOP_WORDS and len(w) > SHORT}
-    found |= {t for e in root.all("strong", "b", "em") if SHORT < len(t := e.text()) < LONG and t.lower() not in STOP_WORDS}
+    found |= {t for e in root.all("strong", "b", "em") if SHORT < len(t := e.brief()) < LONG and t.lower() not in STOP_WORDS}
     for words in root.strings():
         if (m := re.match(r"([A-Z][a-zA-Z\s]+?)\s+(?:is|are|refers?\s+to|means?)\s+", words.strip())) and len(m[1].strip()) < LONG:
             found.add(m[1].strip())
@@ -269,17 +269,28 @@ def article(page: str | None, url: str, site: Site) -> dict:
     return out | {"title": name, "markdown_content": markdown.without_promotion(markdown.block(root), PROMO_TEXT), "sections": sections(root), "key_concepts": key_concepts(root, name)}
 
 
+EMPTY = {"title": "Untitled", "og_image": None, "markdown_content": ""} | {k: [] for k in ("sections", "key_concepts", "cross_references", "images", "videos", "webinars", "related")}
+
+
+def tried(page: str | None, url: str, site: Site) -> dict:
+    """article(), or empty outputs and the error of a page that it cannot take."""
+    try:
+        return article(page, url, site) | {"error": None}
+    except Exception as error:  # noqa: BLE001  one bad page must not end a job
+        return EMPTY | {"error": f"{type(error).__name__}: {error}"[:200]}
+
+
 def articles(pages: DataFrame, site: Site | None = None) -> DataFrame:
     """article_id, title, url, content_type, markdown_content, sections, key_concepts,
-    cross_references, images, videos, webinars, related, og_image of each page; null html gives
-    empty outputs."""
+    cross_references, images, videos, webinars, related, og_image, error of each page; null
+    html gives empty outputs."""
     site = site or Site()
     names = [f.name for f in StructType.fromDDL(ARTICLE_RECORD)]
     made = [n for n in names if n not in ("article_id", "url", "content_type")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            out = pd.DataFrame([article(h, u or "", site) for h, u in zip(rows["html"], rows["url"], strict=True)], columns=made)
+            out = pd.DataFrame([tried(h, u or "", site) for h, u in zip(rows["html"], rows["url"], strict=True)], columns=made)
             yield out.assign(article_id=list(rows["article_id"]), url=list(rows["url"]), content_type=list(rows["content_type"]))[names]
 
     rows = pages.select(F.col("page_id").cast("string").alias("article_id"), "url", F.lit("article").alias("content_type"), "html")

@@ -37,7 +37,7 @@ def _image(e: Element) -> str:
 
 
 def _table(e: Element) -> str:
-    rows = [[inline(c).strip().replace("|", "\\|") for c in tr.all("td", "th")] for tr in e.all("tr")]
+    rows = [[inline(c).strip().replace("|", "\\|") for c in tr.own("td", "th")] for tr in e.own("tr")]
     if not rows:
         return ""
     wide = max(map(len, rows))
