@@ -6,7 +6,7 @@ import argparse
 import sys
 
 from .operators import repairs, report
-from .plans import pipeline, project
+from .plans import pipeline, project, store
 from .session import session
 
 
@@ -34,6 +34,11 @@ def parser() -> argparse.ArgumentParser:
     build.add_argument("-o", "--output", required=True)
     build.add_argument("--full", action="store_true", help="repair and validate too")
     build.add_argument("--dry-run", action="store_true")
+    build.add_argument("--resume", action="store_true", help="go on from the last whole stage")
+    sub.add_parser("status", help="list the versions of a graph").add_argument("graph")
+    promote = sub.add_parser("promote", help="make a whole version the current one")
+    promote.add_argument("graph")
+    promote.add_argument("version")
     check = sub.add_parser("validate", help="check a graph and write a report")
     check.add_argument("graph")
     check.add_argument("--version", default="clean")
@@ -54,15 +59,24 @@ def main(argv: list[str] | None = None) -> int:
         if args.dry_run:
             repairs.preview(graph).show(truncate=False)
             return 0
-        pipeline.run(graph, args.output, args.full).show(truncate=False)
+        pipeline.run(graph, args.output, args.full, args.resume).show(truncate=False)
+        return 0
+    held = store.Store(spark, args.graph)
+    if args.command == "status":
+        for version, whole, current in held.status():
+            print(f"{version}  {'whole' if whole else 'not whole'}{'  current' if current else ''}")
         return 0
     confirm(args.graph)
-    graph = pipeline.load(spark, args.graph, args.version)
+    if args.command == "promote":
+        held.promote(args.version)
+        return 0
+    graph = held.load(args.version)
     chosen = repairs.ALL if args.fix else [*(repairs.CHUNKS_ONLY if args.fix_chunk_ids else []), *(repairs.ENTITIES_ONLY if args.fix_entities else [])]
     if chosen and args.dry_run:
         repairs.preview(graph).show(truncate=False)
     elif chosen:
-        graph = pipeline.save(repairs.apply(graph, chosen), args.graph, "repaired")
+        held.forget(["repaired"])
+        graph = held.save("repaired", repairs.apply(graph, chosen))
     summary, text = report.generate(graph)
     report.save(text, args.output)
     return 0 if all(r["ok"] for r in summary.where("required").collect()) else 2

@@ -6,7 +6,7 @@ the relational part around it.
 
 from __future__ import annotations
 
-from typing import Protocol
+from typing import NamedTuple, Protocol
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -126,27 +126,60 @@ def chunks_with_entities(chunks: DataFrame, nodes: DataFrame, edges: DataFrame)
     return rows.withColumn("entities", F.coalesce("entities", F.array().cast("array<struct<name:string,label:string,definition:string>>")))
 
 
-def documents_to_graph(documents: DataFrame, extract: Extractor, config: chunking.Config | None = None, passes: int = 2) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """(nodes, edges, chunks, status) of documents (id, text): split, extract, then `passes`
-    gleaning passes.  A document fails if all its chunks' results do; the others go on.
+class Gleaned(NamedTuple):
+    """What documents_to_graph gives, and a row for each pass: pass, asked, failed, changed."""
+
+    nodes: DataFrame
+    edges: DataFrame
+    chunks: DataFrame
+    status: DataFrame
+    passes: list[tuple[int, int, int, int]]
+
+
+def gleaned(documents: DataFrame, extract: Extractor, config: chunking.Config | None = None, passes: int = 2) -> Gleaned:
+    """Split documents (id, text), extract, then glean `passes` times at most.
+
+    A gleaning pass asks only chunks whose entities changed in the pass before, as the others
+    would answer the same, and those that failed.  Without any it ends.  A document fails if no
+    chunk of it was ever answered; the others go on.
 
-    edges: MENTIONED_IN, FROM_ARTICLE and the extracted ones; status: id, n_chunks, n_failed,
-    status."""
+    edges: MENTIONED_IN, FROM_ARTICLE and the extracted ones; status: id, n_chunks, n_failed
+    (chunks never answered), status."""
     chunks = g.checkpointed(chunking.chunk(documents, config).select(F.concat_ws("-", "id", "index").alias("chunk_id"), F.col("id").alias("article_id"), "index", "text"))
     asked = chunks.select(F.col("chunk_id").alias("id"), "index", "text")
-    spark = documents.sparkSession
-    nodes = spark.createDataFrame([], "id string, labels array<string>, label string, name string, definition string")
+    nodes = documents.sparkSession.createDataFrame([], "id string, labels array<string>, label string, name string, definition string")
     edges = chunks.select(F.col("chunk_id").alias("src"), F.lit("FROM_ARTICLE").alias("type"), F.col("article_id").alias("dst"))
-    failed = None
-    for _ in range(1 + passes):
+    unanswered, counts = None, []
+    for n in range(1 + passes):
         results = g.checkpointed(extract(asked))
-        nodes, edges, _counts = glean(nodes, edges, results)
-        nodes, edges = g.checkpointed(nodes), g.checkpointed(edges)
-        failed = failed or parse_results(results).where("failed").select("chunk_id").distinct().withColumn("bad", F.lit(True))
-    counts = chunks.join(failed, "chunk_id", "left").groupBy(F.col("article_id").alias("id")).agg(F.count("*").alias("n_chunks"), F.count_if("bad").alias("n_failed"))
-    rows = documents.select(F.col("id").cast("string").alias("id")).join(counts, "id", "left").fillna(0, ["n_chunks", "n_failed"])
+        bad = parse_results(results).groupBy("chunk_id").agg(F.bool_and("failed").alias("bad")).where("bad")
+        bad = g.checkpointed(bad.select("chunk_id"))
+        after, more, _ = glean(nodes, edges, results)
+        after, more = g.checkpointed(after), g.checkpointed(more)
+        changed = more.where(F.col("type") == rules.MENTION).join(edges, ["src", "type", "dst"], "left_anti").select(F.col("dst").alias("chunk_id")).distinct()
+        unanswered = bad if unanswered is None else g.checkpointed(unanswered.join(bad, "chunk_id", "left_semi"))
+        again = g.checkpointed(asked.join(changed.unionByName(bad).distinct().withColumnRenamed("chunk_id", "id"), "id", "left_semi"))
+        counts.append((n, asked.count(), bad.count(), changed.count()))
+        nodes, edges, asked = after, more, again
+        if not asked.limit(1).count():
+            break
+    held = chunks.join(unanswered.withColumn("bad", F.lit(True)), "chunk_id", "left").groupBy(F.col("article_id").alias("id")).agg(F.count("*").alias("n_chunks"), F.count_if("bad").alias("n_failed"))
+    rows = documents.select(F.col("id").cast("string").alias("id")).join(held, "id", "left").fillna(0, ["n_chunks", "n_failed"])
     status = F.when((F.col("n_chunks") > 0) & (F.col("n_failed") == F.col("n_chunks")), "failed").otherwise("succeeded")
-    return nodes, edges, chunks, rows.withColumn("status", status)
+    return Gleaned(nodes, edges, chunks, rows.withColumn("status", status), counts)
+
+
+def documents_to_graph(documents: DataFrame, extract: Extractor, config: chunking.Config | None = None, passes: int = 2) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(nodes, edges, chunks, status) of gleaned()."""
+    return gleaned(documents, extract, config, passes)[:4]
+
+
+def with_glossary(documents: DataFrame, terms: DataFrame) -> DataFrame:
+    """documents (id, text) and the glossary as a pseudo-article `glossary`: a row for each term
+    (term, definition), so that no row holds them all."""
+    entry = F.concat(F.lit("## "), "term", F.lit("\n\n"), "definition")
+    rows = terms.where("term <> ''").select(F.concat(F.lit("glossary/"), F.regexp_replace(F.lower("term"), " ", "_")).alias("id"), F.coalesce(entry, F.concat(F.lit("## "), "term")).alias("text"))
+    return documents.select(F.col("id").cast("string").alias("id"), "text").unionByName(rows.dropDuplicates(["id"]))
 
 
 def augment(nodes: DataFrame, mentions: DataFrame) -> tuple[DataFrame, DataFrame]:

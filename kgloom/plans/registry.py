@@ -17,7 +17,7 @@ from ..sources import articles as article_source
 from ..sources import pages as page_source
 from ..sources import preflight
 from ..sources import sinks
-from . import documents, project, twins
+from . import documents, indexed, project, twins
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -323,4 +323,5 @@ QUERIES: dict[str, Query] = {
 }
 
 QUERIES |= documents.QUERIES
+QUERIES |= indexed.QUERIES
 ORACLES: dict[str, str] = {name: sql for name, sql in (twins.ORACLES | documents.ORACLES).items() if name in QUERIES}

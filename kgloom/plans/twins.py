@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .. import rules
-from . import documents
+from . import documents, indexed
 
 
 def _list(values) -> str:
@@ -385,5 +385,6 @@ QUERIES = {
 }
 
 QUERIES |= documents.GRAPH_ORACLES
+QUERIES |= indexed.oracles(plain, PRIORITY, ENTITY, BM25)
 
 ORACLES = {name: BASE + (", " + sql[1:] if sql.startswith(",") else sql) for name, sql in QUERIES.items()}
