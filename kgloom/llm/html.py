@@ -17,13 +17,15 @@ beyond, they are joined to the pages' own hashes and only what a page has goes t
 Paragraphs, headings, list items and table rows inside an article are never template: an
 article may quote another.  Elsewhere an item is deleted if most of its list or row recurs.
 Defined cases: null or empty html gives an empty text; a null url belongs to the host "";
-unclosed elements close where the HTML rules imply it; repeated rows are separate pages.
+unclosed elements close where the HTML rules imply it; repeated rows are separate pages.  Time
+grows with the page: elements nested deeper than DEPTH stand beside their parent (no text goes),
+a `<` without a `>` behind it is text, and text in links is summed up once.
 """
 
 from __future__ import annotations
 
-import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,12 +33,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tokens import tokens
 from .common import slices, stored
 
 TEMPLATE_PAGES = 10
 TEMPLATE_ROWS = 50_000
+# The deepest nesting that is kept.
+DEPTH = 256
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
@@ -74,65 +78,101 @@ _SPLIT = re.compile(r"[^a-z0-9]+")
 
 
 class Node:
-    """`holds`: it has a page's main heading or main part inside, so its class cannot drop it."""
+    """`holds`: it has a page's main heading or main part inside, so its class cannot drop it.
+    text, linked, controls: characters inside, those in links, and whether there are controls."""
 
-    __slots__ = ("attributes", "hash", "holds", "parts", "tag")
+    __slots__ = ("attributes", "controls", "hash", "holds", "linked", "parts", "tag", "text")
 
     def __init__(self, tag: str, attributes: str = "") -> None:
         self.tag, self.attributes, self.parts, self.hash, self.holds = tag, attributes, [], 0, False
+        self.text, self.linked, self.controls = -1, 0, False
 
 
-def _close(stack: list[Node], tags: set[str], scope: set[str]) -> None:
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].tag in tags:
-            del stack[i:]
-            return
-        if stack[i].tag in scope:
-            return
+class _Builder:
+    """Open elements, counted by tag.  What is nested deeper than DEPTH stands beside its parent, and
+    its end tag closes nothing."""
 
+    def __init__(self) -> None:
+        self.root = Node("#")
+        self.stack, self.open, self.owed = [self.root], Counter(), Counter()
 
-def parse(page: str) -> Node:
-    """The page's tree: parts of a node are strings (character references decoded) and nodes."""
-    root = Node("#")
-    stack, at, raw = [root], 0, None
-    block = {"p"}
-    for match in _TOKEN.finditer(page):
-        start = match.start()
-        if raw:
-            if start < raw:
-                continue
-            raw = None
-        if start > at:
-            stack[-1].parts.append(html.unescape(page[at:start]))
-        at = match.end()
-        if not match[2]:
-            continue
-        tag = match[2].lower()
-        if match[1]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
-            continue
+    def leave(self, at: int) -> None:
+        """Close the elements from place `at` on."""
+        self.open.subtract(n.tag for n in self.stack[at:])
+        del self.stack[at:]
+
+    def close(self, tags: set[str], scope: set[str]) -> None:
+        if not any(self.open[t] for t in tags):
+            return
+        for i in range(len(self.stack) - 1, 0, -1):
+            if self.stack[i].tag in tags:
+                self.leave(i)
+                return
+            if self.stack[i].tag in scope:
+                return
+
+    def end(self, tag: str) -> None:
+        if self.owed[tag]:
+            self.owed[tag] -= 1
+        elif self.open[tag]:
+            at = len(self.stack) - 1
+            while self.stack[at].tag != tag:
+                at -= 1
+            self.leave(at)
+
+    def start(self, tag: str, attributes: str) -> None:
         if tag not in _INLINE and tag != "br":
-            _close(stack, block, {"table", "td", "th", "button", "object"})
+            self.close({"p"}, {"table", "td", "th", "button", "object"})
         if tag in _CLOSES:
             for _ in range(2 if tag in ("tr", "tbody", "tfoot") else 1):
-                _close(stack, _CLOSES[tag], _SCOPES[tag])
-        node = Node(tag, match[3] or "")
-        stack[-1].parts.append(node)
+                self.close(_CLOSES[tag], _SCOPES[tag])
+        empty = tag in _VOID or attributes.endswith("/")
+        if not empty and len(self.stack) > DEPTH:
+            self.owed[self.stack[-1].tag] += 1
+            self.leave(len(self.stack) - 1)
+        node = Node(tag, attributes)
+        self.stack[-1].parts.append(node)
         if tag in ("h1", "main"):
-            for above in stack:
+            for above in reversed(self.stack):
+                if above.holds:
+                    break
                 above.holds = True
-        if tag in _RAW:
-            # Its content is text up to its own end tag.
-            end = re.compile(rf"</{tag}[^>]*>", re.I).search(page, at)
-            at = raw = end.end() if end else len(page)
-        elif tag not in _VOID and not (match[3] or "").endswith("/"):
-            stack.append(node)
-    if at < len(page):
-        stack[-1].parts.append(html.unescape(page[at:]))
-    return root
+        if not empty:
+            self.stack.append(node)
+            self.open[tag] += 1
+
+
+def parse(page: str) -> Node:
+    """The page's tree: parts of a node are strings (character references decoded) and nodes."""
+    builder, raw = _Builder(), False
+    for kind, what, rest in tokens(page, _RAW):
+        if kind == "start":
+            builder.start(what, rest)
+            raw = what in _RAW
+        elif kind == "end":
+            builder.end(what)
+            raw = False
+        elif not raw:  # the content of these elements is no text of the page
+            builder.stack[-1].parts.append(what)
+    return builder.root
+
+
+def measured(root: Node) -> None:
+    """Sum up text, linked and controls from the leaves, once."""
+    order, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        order.append(node)
+        todo += [p for p in node.parts if isinstance(p, Node)]
+    for node in reversed(order):
+        node.text, node.linked, node.controls = 0, 0, False
+        for p in node.parts:
+            if isinstance(p, str):
+                node.text += sum(map(len, p.split()))
+            else:
+                node.text += p.text
+                node.linked += p.text if p.tag == "a" else p.linked
+                node.controls = node.controls or p.controls or p.tag in _CONTROLS
 
 
 def hashed(root: Node) -> None:
@@ -161,18 +201,9 @@ def containers(root: Node) -> Iterator[Node]:
 
 def _dense(node: Node) -> bool:
     """Controls, or over half of the text in links."""
-    text, linked, todo = 0, 0, [(node, False)]
-    while todo:
-        at, link = todo.pop()
-        for p in at.parts:
-            if isinstance(p, str):
-                n = sum(map(len, p.split()))
-                text, linked = text + n, linked + n * link
-            elif p.tag in _CONTROLS:
-                return True
-            else:
-                todo.append((p, link or p.tag == "a"))
-    return 2 * linked > text
+    if node.text < 0:
+        measured(node)
+    return node.controls or 2 * node.linked > node.text
 
 
 def _names(node: Node) -> set[str]:

@@ -257,3 +257,31 @@ def test_wide_triangles_are_summed_in_passes(spark, monkeypatch):
     monkeypatch.setattr(whitening, "PAIRS_PER_PASS", 4)
     vectors = np.random.default_rng(2).normal(size=(30, 4)).tolist()
     same_whitening(whitening.whiten(spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")).collect(), vectors, list(range(30)))
+
+
+def test_hostile_pages_take_seconds():
+    """Nested, stray and unfinished tags: the cost grows with the page."""
+    import time
+
+    from kgloom.llm import html
+
+    n = 100_000
+    for page in ("<div>" * n + "x", "<b " * n, '<a x="' * n + ">", "</div>" * n, "<div class=share>" * n + "x", "<p><table><td>" + "<div>" * n, "<a href=/x>y" * n, "<div>" * 300 + "<h1>a</h1>" * n):
+        began = time.process_time()
+        root = html.parse("<body>" + page)
+        html.hashed(root)
+        html.around(root)
+        html.main_text(root)
+        assert time.process_time() - began < 20
+    deep = "<article>" + "".join(f"<div>t{i}" for i in range(600)) + "</div>" * 600 + "<p>after</p></article><p>outside</p>"
+    assert html.main_text(html.parse(deep)).split() == [f"t{i}" for i in range(600)] + ["after"]
+
+
+def test_extracted_pages_with_repeats_ties_and_long_ones(spark):
+    from kgloom.llm import html
+
+    long = "<article>" + "".join(f"<p>word {i} of a long page</p>" for i in range(20_000)) + "</article>"
+    rows = [(1, "https://h/1", long), (1, "https://h/1", long), (2, "https://h/2", "<article><p>a</article>"), (2, "https://h/9", "<article><p>b</article>"), (None, None, "<article><p>a</article>")]
+    got = Counter((r["page_id"], r["url"], r["n_chars"], r["text"][:20]) for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect())
+    size = sum(len(f"word {i} of a long page") + 2 for i in range(20_000)) - 2
+    assert got == {(1, "https://h/1", size, "word 0 of a long pag"): 2, (2, "https://h/2", 1, "a"): 1, (2, "https://h/9", 1, "b"): 1, (None, None, 1, "a"): 1}
