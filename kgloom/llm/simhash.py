@@ -19,7 +19,8 @@ that probe the bucket exchange the 65 words within one flip of them instead.  Tw
 of two or less meet at a word, and those that meet at a word are within two of each other; at
 most 65 meet, so this is exact, linear, and makes no pairs but links to one of them.
 
-Scale: copies fall into one fingerprint before anything is joined, with partial aggregates.  The
+Scale: copies fall into one fingerprint before anything is joined, with partial aggregates; rows of
+a fingerprint that many have get their component from a broadcast of at most COMMON rows.  The
 driver gets 64 x 64 bit counts and one count a part.
 
 Defined cases: null, empty or blank text has fingerprint zero and is linked like any other; under
@@ -47,6 +48,7 @@ HOT = 256
 # What a probe costs, in comparisons of two fingerprints.
 PROBE = 8.0
 CHUNK = 1 << 16
+COMMON = 10_000
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -201,9 +203,15 @@ def links(prints: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint, component_id: one row per row of docs."""
     marks = stored(fingerprints(docs), "prints")
-    classes = stored(marks.groupBy("print").agg(F.min("doc_id").alias("low")), "classes")
+    classes = stored(marks.groupBy("print").agg(F.min("doc_id").alias("low"), F.count("*").alias("n")), "classes")
+    total = classes.agg(F.sum("n")).first()[0] or 0
     found = components(stored(links(classes), "links"))
     low = found.join(classes.withColumnRenamed("print", "node"), "node").groupBy("component").agg(F.min("low").alias("component_id"))
     named = found.join(low, "component").select(F.col("node").alias("print"), "component_id")
-    named = classes.join(named, "print", "left").select("print", F.coalesce("component_id", "low").alias("component_id"))
-    return marks.join(named, "print").select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+    named = stored(classes.join(named, "print", "left").select("print", "n", F.coalesce("component_id", "low").alias("component_id")), "named")
+    # At most COMMON fingerprints have over a COMMON-th of the rows each: their rows do not move.
+    often = F.col("n") > total / COMMON
+    common = F.broadcast(named.where(often).select("print", "component_id"))
+    rows = marks.join(common, "print").select("doc_id", "print", "component_id")
+    rest = marks.join(common, "print", "left_anti").join(named.where(~often), "print").select("doc_id", "print", "component_id")
+    return rows.unionByName(rest).select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
