@@ -5,8 +5,10 @@ from __future__ import annotations
 import argparse
 import sys
 
+from pyspark.sql import functions as F
+
 from .operators import repairs, report
-from .plans import pipeline, project, store
+from .plans import guide, pipeline, project, store
 from .session import session
 
 
@@ -35,6 +37,12 @@ def parser() -> argparse.ArgumentParser:
     build.add_argument("--full", action="store_true", help="repair and validate too")
     build.add_argument("--dry-run", action="store_true")
     build.add_argument("--resume", action="store_true", help="go on from the last whole stage")
+    pages = sub.add_parser("pages", help="build a graph from a table of pages and one of terms")
+    pages.add_argument("pages", help="Parquet with page_id, url, html")
+    pages.add_argument("--terms", required=True, help="Parquet with label, name, definition")
+    pages.add_argument("-o", "--output", required=True)
+    pages.add_argument("--full", action="store_true", help="repair and validate too")
+    pages.add_argument("--resume", action="store_true", help="go on from the last whole stage")
     sub.add_parser("status", help="list the versions of a graph").add_argument("graph")
     promote = sub.add_parser("promote", help="make a whole version the current one")
     promote.add_argument("graph")
@@ -61,6 +69,17 @@ def main(argv: list[str] | None = None) -> int:
             return 0
         pipeline.run(graph, args.output, args.full, args.resume).show(truncate=False)
         return 0
+    if args.command == "pages":
+        confirm(args.output)
+        terms = spark.read.parquet(args.terms)
+        held = store.Store(spark, args.output)
+        if args.resume and "raw" in held.versions():
+            graph = held.load("raw")
+        else:
+            glossary = terms.where("definition is not null").select(F.col("name").alias("term"), "definition")
+            graph = guide.from_pages(spark.read.parquet(args.pages), guide.dictionary(terms), glossary=glossary).graph
+        pipeline.run(graph, args.output, args.full, args.resume).show(truncate=False)
+        return 0
     held = store.Store(spark, args.graph)
     if args.command == "status":
         for version, whole, current in held.status():

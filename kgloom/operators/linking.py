@@ -95,8 +95,8 @@ def mention_backfill(graph: Graph, labels: tuple[str, ...] = ("Standard", "Indus
 def applies_to_backfill(nodes: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """standard_id, industry, industry_id (null: to be created) from the standards table, or
     another small one of name and industry."""
-    known = known or nodes.sparkSession.createDataFrame(rules.STANDARD_INDUSTRIES, "name string, industry string")
-    standards = nodes.where("label = 'Standard'").select(F.col("id").alias("standard_id"), "name").join(F.broadcast(known), "name")
+    known = known if known is not None else nodes.sparkSession.createDataFrame(rules.STANDARD_INDUSTRIES, "name string, industry string")
+    standards = nodes.where("label = 'Standard'").select(F.col("id").alias("standard_id"), "name").join(known, "name")
     there = nodes.where("label = 'Industry'").groupBy(F.col("name").alias("industry")).agg(F.min("id").alias("industry_id"))
     return standards.join(there, "industry", "left").select("standard_id", "industry", "industry_id")
 

@@ -50,7 +50,7 @@ def neighbourhood(graph: Graph, name: str) -> DataFrame:
     found = graph.nodes.where(F.col("name") == name.lower()).select("id")
     near = graph.nodes.select(F.col("id").alias("other"), F.col("label").alias("related_label"), F.col("name").alias("related_name"))
     arrow = F.when(F.col("outgoing"), "->").otherwise("<-").alias("direction")
-    return g.ends(graph.edges).join(F.broadcast(found), "id").join(near, "other").select(F.col("type").alias("rel_type"), arrow, "related_label", "related_name", "id", "other")
+    return g.ends(graph.edges).join(found, "id").join(near, "other").select(F.col("type").alias("rel_type"), arrow, "related_label", "related_name", "id", "other")
 
 
 def two_hop(graph: Graph, first: str, second: str, middle: str) -> DataFrame:
@@ -91,9 +91,8 @@ def scored_terms(hits: DataFrame, sizes: DataFrame, k: int) -> DataFrame:
 
 
 def chain(graph: Graph, vectors: DataFrame, query: DataFrame, k: int = 50) -> DataFrame:
-    """Nearest chunks, then the entities they mention: one plan."""
-    near = vector_topk(vectors, query, k)
-    return chunk_entities(graph, near.select(F.concat_ws("-", F.lit("doc"), F.col("id").cast("string"), F.lit("0")).alias("chunk_id")))
+    """Nearest chunks, then the entities they mention: one plan.  vectors: id of the chunk, embedding."""
+    return chunk_entities(graph, vector_topk(vectors, query, k).select(F.col("id").alias("chunk_id")))
 
 
 def search_chain(graph: Graph, term: str) -> DataFrame:
@@ -106,8 +105,9 @@ def search_chain(graph: Graph, term: str) -> DataFrame:
 
 
 def article_topk(graph: Graph, vectors: DataFrame, query: DataFrame, k: int = 5) -> DataFrame:
-    """chunk_id, article_id, title, score of the chunks nearest to the query; no article: null."""
-    near = vector_topk(vectors, query, k).select(F.concat_ws("-", F.lit("doc"), F.col("id").cast("string"), F.lit("0")).alias("chunk_id"), "score")
+    """chunk_id, article_id, title, score of the chunks nearest to the query; no article: null.
+    vectors: id of the chunk, embedding."""
+    near = vector_topk(vectors, query, k).select(F.col("id").alias("chunk_id"), "score")
     chunks = graph.chunks.select(F.col("id").alias("chunk_id"), "article_id")
     rows = chunks.join(F.broadcast(near), "chunk_id")  # k rows
     return rows.join(graph.articles.select("article_id", "title"), "article_id", "left").select("chunk_id", "article_id", "title", "score")

@@ -68,20 +68,25 @@ def resource_edges(found: DataFrame) -> DataFrame:
     return found.select(F.col("article_id").alias("src"), kind.alias("type"), F.col("id").alias("dst"))
 
 
+def last_of_url(records: DataFrame) -> DataFrame:
+    """url, target: of parsed articles that share a url the one with the greatest last number in its
+    id, then the last id."""
+    number = F.expr("try_cast(regexp_extract(article_id, '([0-9]+)[^0-9]*$', 1) AS bigint)")
+    return records.groupBy("url").agg(F.max_by("article_id", F.struct(F.coalesce(number, F.lit(-1)).alias("n"), F.col("article_id"))).alias("target"))
+
+
 def related_links(records: DataFrame) -> DataFrame:
     """RELATED_TO edges from the callouts of parsed articles to articles of that URL."""
     rows = records.select("article_id", F.inline("related"))
-    targets = records.groupBy("url").agg(F.max("article_id").alias("target"))
-    hits = rows.join(targets, "url").where("article_id <> target")
+    hits = rows.join(last_of_url(records), "url").where("article_id <> target")
     return hits.select(F.col("article_id").alias("src"), F.lit("RELATED_TO").alias("type"), F.col("target").alias("dst")).distinct()
 
 
 def record_index(records: DataFrame, content: bool = False) -> DataFrame:
     """article_id, title, url, url_owner (of equal URLs the last article), counts of children; the
     Markdown only if asked for."""
-    owner = records.groupBy("url").agg(F.max("article_id").alias("owner"))
     counts = [F.size(c).cast("long").alias(f"n_{c}") for c in ("sections", "images", "videos", "webinars", "related", "cross_references", "key_concepts")]
-    return records.join(owner, "url").select("article_id", "title", "url", (F.col("owner") == F.col("article_id")).alias("url_owner"), *counts, *(["markdown_content"] if content else []))
+    return records.join(last_of_url(records), "url").select("article_id", "title", "url", (F.col("target") == F.col("article_id")).alias("url_owner"), *counts, *(["markdown_content"] if content else []))
 
 
 def build(articles: DataFrame, terms: DataFrame, records: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -30,6 +30,11 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
 
 
+def chunk_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of the first chunk of each document."""
+    return vectors(spark, sf_dir).select(F.concat_ws("-", F.lit("doc"), F.col("id").cast("string"), F.lit("0")).alias("id"), "embedding")
+
+
 def first_vector(rows: DataFrame) -> DataFrame:
     return rows.orderBy("id").limit(1).select(F.col("embedding").alias("q"))
 
@@ -280,7 +285,7 @@ QUERIES: dict[str, Query] = {
     "two_hop": over(lambda x: retrieval.two_hop(x, "APPLIES_TO", "DEFINES", "Standard")),
     "article_entities": over(retrieval.article_entities),
     "bm25_topk": over(lambda x: rounded(retrieval.bm25(x.chunks, ["blue", "the", "on"]), "score")),
-    "retrieval_chain": lambda s, d: retrieval.chain(project.graph(s, d), vectors(s, d), first_vector(vectors(s, d))),
+    "retrieval_chain": lambda s, d: retrieval.chain(project.graph(s, d), chunk_vectors(s, d), first_vector(vectors(s, d))),
     "semantic_edges": over(community.semantic_edges),
     "modularity": over(lambda x: rounded(community.modularity(community.semantic_edges(x), partition(x)), "modularity", 9)),
     "label_propagation": over(lambda x: community.label_propagation(community.semantic_edges(x), 3)),
@@ -293,7 +298,7 @@ QUERIES: dict[str, Query] = {
     "schema_types": lambda s, d: rules.type_table(s),
     "schema_patterns": lambda s, d: rules.pattern_table(s),
     "search_chain": over(lambda x: retrieval.search_chain(x, "Gear")),
-    "article_topk": lambda s, d: rounded(retrieval.article_topk(project.graph(s, d), vectors(s, d), first_vector(vectors(s, d))), "score"),
+    "article_topk": lambda s, d: rounded(retrieval.article_topk(project.graph(s, d), chunk_vectors(s, d), first_vector(vectors(s, d))), "score"),
     "health_queries": over(lambda x: retrieval.health(x, partition(x).select("community", F.when(F.col("community") != "Concept", F.array(F.lit(1.0))).alias("embedding")).distinct())),
     "related_labels": over(lambda x: supplementary.related_labels(x, "Concept")),
     "mention_overlap": over(supplementary.mention_overlap),
