@@ -5,8 +5,8 @@ is counted in Spark; it has at most MAX_LENGTH + 1 rows however large the corpus
 programming over it picks the bucket boundaries with the least padding in all.  Inside a
 bucket, pieces fill batches of TOKEN_BUDGET padded tokens.
 
-Scale.  A bucket is dealt into shards of about SHARD_ROWS pieces by a hash, so no sort holds
-a bucket; each shard leaves at most one batch short.
+Scale.  A bucket is dealt into shards of about SHARD_ROWS pieces by a hash of doc_id, text and piece, so no sort
+holds a bucket or the rows of one repeated or null doc_id; each shard leaves at most one batch short.
 
 Tokens are the words between [\\x20\\x09-\\x0D].  Null, empty and blank texts are one piece of
 length 0.  Rows with the same doc_id are packed as separate rows.
@@ -54,15 +54,16 @@ def _cut(longest: int):
             piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
             start = piece * longest
             size = np.minimum(longest, n[row] - start)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(piece, pa.int64()), pa.array(start, pa.int64()), pa.array(size, pa.int64())], names=["doc_id", "piece", "start", "n_tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(piece, pa.int64()), pa.array(start, pa.int64()), pa.array(size, pa.int64()), batch.column(2).take(pa.array(row))], names=["doc_id", "piece", "start", "n_tokens", "row"])
 
     return run
 
 
 def pieces(docs: DataFrame, longest: int = MAX_LENGTH) -> DataFrame:
-    """doc_id, piece, start, n_tokens."""
+    """doc_id, piece, start, n_tokens, row (a hash of doc_id and text)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_cut(longest), "doc_id long, piece long, start long, n_tokens long")
+    rows = rows.withColumn("row", F.xxhash64("doc_id", "text"))
+    return rows.mapInArrow(_cut(longest), "doc_id long, piece long, start long, n_tokens long, row long")
 
 
 def boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int = BUCKETS) -> list[int]:
@@ -105,8 +106,8 @@ def pack(docs: DataFrame, longest: int = MAX_LENGTH, buckets: int = BUCKETS, bud
     bucket = F.size(F.filter(numbers(tops), lambda t: t < F.col("n_tokens")))
     shards = numbers([-(-h // shard_rows) or 1 for h in held])
     rows = cut.withColumn("bucket", bucket).withColumn("padded", F.get(numbers(tops), F.col("bucket")))
-    rows = rows.withColumn("mix", F.xxhash64("doc_id", "piece")).withColumn("shard", F.pmod(F.col("mix"), F.get(shards, F.col("bucket"))))
-    order = Window.partitionBy("bucket", "shard").orderBy("mix", "doc_id", "piece")
+    rows = rows.withColumn("mix", F.xxhash64("row", "piece")).withColumn("shard", F.pmod(F.col("mix"), F.get(shards, F.col("bucket"))))
+    order = Window.partitionBy("bucket", "shard").orderBy("mix", "doc_id", "piece", "row")
     room = F.greatest(F.lit(1), F.floor(F.lit(budget) / F.greatest(F.lit(1), "padded")))
     rows = rows.withColumn("rank", F.row_number().over(order) - 1)
     batch = F.concat_ws("-", F.col("bucket").cast("string"), F.col("shard").cast("string"), F.floor(F.col("rank") / room).cast("string"))

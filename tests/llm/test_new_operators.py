@@ -285,3 +285,12 @@ def test_extracted_pages_with_repeats_ties_and_long_ones(spark):
     got = Counter((r["page_id"], r["url"], r["n_chars"], r["text"][:20]) for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect())
     size = sum(len(f"word {i} of a long page") + 2 for i in range(20_000)) - 2
     assert got == {(1, "https://h/1", size, "word 0 of a long pag"): 2, (2, "https://h/2", 1, "a"): 1, (2, "https://h/9", 1, "b"): 1, (None, None, 1, "a"): 1}
+
+
+def test_rows_of_one_id_are_packed_in_many_shards(spark):
+    from kgloom.llm import packing
+
+    rows = [(None if i % 2 else 7, f"text number {i}") for i in range(400)]
+    out = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), shard_rows=20).collect()
+    shards = Counter(tuple(r["batch_id"].split("-")[:2]) for r in out)
+    assert len(out) == 400 and len(shards) == 20 and max(shards.values()) < 60
