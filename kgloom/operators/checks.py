@@ -177,10 +177,14 @@ def summary(graph: Graph, limited: bool = False) -> DataFrame:
     All defects are counted; if `limited`, those of the reports, as the SQL twin does."""
     rows = [f(graph).select(F.lit(name).alias("check"), F.col(name).alias("value")) for name, f in MEASURED.items()]
     rows += [f(graph, **({"limit": None} if name in REPORTED and not limited else {})).agg(F.count("*").alias("value")).select(F.lit(name).alias("check"), "value") for name, f in COUNTED.items()]
-    united = reduce(DataFrame.unionByName, rows)
+    return judged(reduce(DataFrame.unionByName, rows))
+
+
+def judged(counts: DataFrame) -> DataFrame:
+    """check, value, ok, required from check, value."""
     limit = F.when(F.col("check") == "industries", rules.MAX_INDUSTRIES).otherwise(0)
     required = F.col("check").isin("orphan_chunks", "duplicate_entities", "industries", "missing_chunk_ids", "missing_chunk_index", "plural_pairs")
-    return united.select("check", "value", (F.col("value") <= limit).alias("ok"), required.alias("required"))
+    return counts.select("check", "value", (F.col("value") <= limit).alias("ok"), required.alias("required"))
 
 
 def passed(checks: DataFrame) -> DataFrame:

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
+import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from ..sources import dom
 
 SEPARATORS = ("\n\n\n", "\n\n", "\n", ". ", "? ", "! ", "; ", " ", "")
+SENTENCES = 128  # a call of an embedding provider
 
 
 @dataclass(frozen=True)
@@ -26,10 +28,14 @@ class Config:
     prefix: bool = False
     semantic: bool = False
     similarity: float = 0.5
+    window: int = 1  # sentences on each side of a place that are compared
+    embed: Callable[[list[str]], np.ndarray] | None = None  # vectors of sentences; hashed words if none
 
     def __post_init__(self) -> None:
         if self.size <= 0 or not 0 <= self.overlap < self.size:
             raise ValueError("overlap must be below size")
+        if self.window < 1:
+            raise ValueError("a window has a sentence at least")
         if self.threshold < self.size or self.least < 0:
             raise ValueError("threshold must reach size")
 
@@ -142,25 +148,78 @@ def html_sections(page: str) -> list[Section]:
     return _sectioned(lines(), "\n")
 
 
-def _cosine(a: Counter, b: Counter) -> float:
-    size = (sum(x * x for x in a.values()) * sum(x * x for x in b.values())) ** 0.5
-    return sum(n * b[w] for w, n in a.items()) / size if size else 0.0
+def hashed_words(sentences: list[str], places: int = 1024) -> np.ndarray:
+    """A row of word counts for each sentence, words hashed to places: the offline provider."""
+    out = np.zeros((len(sentences), places))
+    for row, sentence in zip(out, sentences, strict=True):
+        for word in re.findall(r"\w+", sentence.lower()):
+            row[zlib.crc32(word.encode("utf-8", "surrogatepass")) % places] += 1
+    return out
+
+
+def _likeness(sentences: list[str], config: Config) -> np.ndarray:
+    """At i, the cosine of the summed vectors of `window` sentences before i and from i on; 0 for
+    zero or infinite vectors.  Vectors are asked for and kept in blocks, so memory does not grow
+    with the text."""
+    embed, w, n = config.embed or hashed_words, config.window, len(sentences)
+    out = np.zeros(n)
+    for start in range(1, n, SENTENCES):
+        first, stop = max(0, start - w), min(n, start + SENTENCES)
+        vectors = np.asarray(embed(sentences[first : min(n, stop + w - 1)]), dtype=float)
+        if vectors.ndim != 2 or len(vectors) != min(n, stop + w - 1) - first:
+            raise ValueError("a provider gives one vector a sentence")
+        sums = np.vstack([np.zeros(vectors.shape[1]), np.cumsum(vectors, axis=0)])
+        at = np.arange(start, stop) - first
+        a, b = sums[at] - sums[np.maximum(at - w, 0)], sums[np.minimum(at + w, len(vectors))] - sums[at]
+        with np.errstate(all="ignore"):
+            likeness = (a * b).sum(axis=1) / np.sqrt((a * a).sum(axis=1) * (b * b).sum(axis=1))
+        out[start:stop] = np.where(np.isfinite(likeness), likeness, 0.0)
+    return out
+
+
+def _boundaries(likeness: np.ndarray, config: Config) -> np.ndarray:
+    """Places below `similarity` that are least among those one window around shares; of equal
+    neighbours the first."""
+    w = config.window
+    padded = np.concatenate([np.full(w - 1, np.inf), likeness, np.full(w - 1, np.inf)])
+    padded[w - 1] = np.inf  # before the first sentence is no place
+    around = np.lib.stride_tricks.sliding_window_view(padded, 2 * w - 1)
+    least = (around[:, : w - 1] > likeness[:, None]).all(axis=1) & (around[:, w:] >= likeness[:, None]).all(axis=1)
+    return (likeness < config.similarity) & least
 
 
 def semantic_split(text: str, config: Config) -> list[str] | None:
-    """Groups of neighbouring sentences up to `size` characters, cut where the words of two
-    neighbours are less similar than `similarity`.  None, for the caller to fall back on the
-    recursive split: no groups, one of over twice the threshold, or all below `least`."""
+    """Groups of neighbouring sentences, cut where the sentence vectors of the provider, smoothed
+    over a window, are least alike.  A group that outgrows `size` is cut at the least similar
+    place of its later half, the last of equal ones.  None, for the caller to fall back on the
+    recursive split: no groups, one of over twice the threshold, all below `least`, or a provider
+    that fails."""
+    if not text.strip():
+        return None
+    sentences = re.split(r"(?<=[.!?])\s+", text.strip())
+    try:
+        likeness = _likeness(sentences, config)
+    except Exception:  # noqa: BLE001  whatever a provider raises, the text is still split
+        return None
+    cut = _boundaries(likeness, config)
+    ends = np.cumsum([len(s) + 1 for s in sentences])
+    begin = lambda i: int(ends[i - 1]) if i else 0
     groups: list[str] = []
-    last: Counter | None = None
-    for sentence in re.split(r"(?<=[.!?])\s+", text.strip()):
-        words = Counter(re.findall(r"\w+", sentence.lower()))
-        if last is not None and len(groups[-1]) + 1 + len(sentence) <= config.size and _cosine(last, words) >= config.similarity:
-            groups[-1] += " " + sentence
-        else:
-            groups.append(sentence)
-        last = words
-    if not text.strip() or any(len(g) > 2 * config.threshold for g in groups):
+    start = 0
+
+    def close(stop: int) -> None:
+        nonlocal start
+        groups.append(" ".join(sentences[start:stop]))
+        start = stop
+
+    for i in range(1, len(sentences)):
+        if cut[i]:
+            close(i)
+        while i > start and int(ends[i]) - 1 - begin(start) > config.size:
+            later = [j for j in range(start + 1, i + 1) if 2 * (begin(j) - begin(start)) >= config.size] or [i]
+            close(min(later, key=lambda j: (likeness[j], -j)))
+    close(len(sentences))
+    if any(len(g) > 2 * config.threshold for g in groups):
         return None
     return [g for g in groups if len(g) >= config.least] or None
 

@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame
 
 from ..model import Graph
-from . import checks
+from . import census
 
 # What to do about a check that fails.
 ADVICE = {
@@ -52,9 +52,12 @@ def to_markdown(rows: list, samples: dict[str, list], title: str = "Graph valida
 
 
 def generate(graph: Graph) -> tuple[DataFrame, str]:
-    summary = checks.summary(graph)
-    rows = summary.collect()  # one row per check
-    samples = {name: [tuple(r) for r in check(graph).limit(11).collect()] for name, check in checks.COUNTED.items()}
+    """The summary and the report.  Two actions beside the census: the counts, and all samples."""
+    rows = census.summary(graph).collect()  # one row per check
+    samples: dict[str, list] = {}
+    for r in census.samples(graph).collect():  # eleven rows per check at most
+        samples.setdefault(r["check"], []).append(tuple(r["row"]))
+    summary = graph.nodes.sparkSession.createDataFrame(rows, "check string, value long, ok boolean, required boolean")
     return summary, to_markdown(rows, samples)
 
 

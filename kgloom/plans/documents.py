@@ -67,6 +67,16 @@ def _semantic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunking.chunk(rows, chunking.Config(size=400, overlap=10, threshold=401, least=20, semantic=True)).select("id", "index", F.length("text").cast("long").alias("length"))
 
 
+def _semantic_smoothed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Neighbours share few words, but every other sentence is on one of two things, then of two
+    others: smoothed over two sentences, there is one place to cut."""
+    k = F.col("s_suppkey")
+    one, two = (F.concat_ws(" ", *[F.concat(F.lit(f"{pair[i % 2]} "), k, F.lit(f" {pair[i % 2]}s {pair[i % 2]}ly.")) for i in range(12)]) for pair in (("cat", "dog"), ("quark", "gluon")))
+    rows = project.table(spark, sf_dir, "supplier").select(k.alias("id"), F.concat_ws(" ", one, two).alias("text"))
+    config = chunking.Config(size=400, overlap=10, threshold=401, least=20, semantic=True, window=2)
+    return chunking.chunk(rows, config).select("id", "index", F.length("text").cast("long").alias("length"), F.substring_index("text", " ", 1).alias("begins"))
+
+
 def _terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project.definitions(spark, sf_dir).select(F.lit("Concept").alias("label"), F.lower(F.get(F.split("term", " "), 0)).alias("name")).where("name <> ''").distinct()
 
@@ -114,6 +124,7 @@ QUERIES: dict[str, Query] = {
     "chunk_header_split": _html_chunks,
     "chunk_context_prefix": _prefixed,
     "chunk_semantic": _semantic,
+    "chunk_semantic_smoothed": _semantic_smoothed,
     "extractor_results": _extractor_results,
     "term_occurrences": _occurrences,
     "documents_to_graph": _graph_of_documents,
@@ -168,6 +179,7 @@ ORACLES: dict[str, str] = {
     "chunk_context_prefix": f"""SELECT {_K}::VARCHAR AS id, 0 AS index, CASE WHEN {_K} % 2 = 0 THEN 'Article: ' || s_name || ' > ' ELSE '' END || 'Head ' || {_K} || {_NL} || {_NL} || 'body ' || {_K} AS text FROM supplier
  UNION ALL SELECT {_K}::VARCHAR, 1, CASE WHEN {_K} % 2 = 0 THEN 'Article: ' || s_name || ' > ' ELSE '' END || 'Head ' || {_K} || ' > Sub' || {_NL} || {_NL} || 'more ' || {_K} FROM supplier""",
     "chunk_semantic": f"SELECT {_K}::VARCHAR AS id, i AS index, (12 * (length(w) * 3 + length({_K}::VARCHAR) + 8) - 1)::BIGINT AS length FROM supplier, (VALUES (0, 'cat'), (1, 'quark')) x(i, w)",
+    "chunk_semantic_smoothed": f"SELECT {_K}::VARCHAR AS id, i AS index, (12 * (length(w) * 3 + length({_K}::VARCHAR) + 8) - 1)::BIGINT AS length, w AS begins FROM supplier, (VALUES (0, 'cat'), (1, 'quark')) x(i, w)",
 }
 
 # On the shared projection of the graph.

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .. import rules
 from ..functions import fuzzy, text
 from ..model import Graph
-from ..operators import checks, chunking, cleanup, community, extraction, industry, linking, providers, repairs, retrieval, supplementary
+from ..operators import census, checks, chunking, cleanup, community, extraction, industry, linking, prompts, providers, repairs, retrieval, supplementary
 from ..operators import graphops as g
 from ..sources import articles as article_source
 from ..sources import pages as page_source
@@ -35,6 +35,11 @@ def chunk_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors(spark, sf_dir).select(F.concat_ws("-", F.lit("doc"), F.col("id").cast("string"), F.lit("0")).alias("id"), "embedding")
 
 
+def extraction_prompts(graph: Graph) -> DataFrame:
+    rows = prompts.prompts(graph.chunks)
+    return rows.select("chunk_id", F.array_join(F.col("examples").cast("array<string>"), ",").alias("examples"), F.length("prompt").cast("long").alias("n_chars"), F.sha2("prompt", 256).alias("sha256"))
+
+
 def first_vector(rows: DataFrame) -> DataFrame:
     return rows.orderBy("id").limit(1).select(F.col("embedding").alias("q"))
 
@@ -249,6 +254,7 @@ QUERIES: dict[str, Query] = {
     "mislabeled_challenges": over(checks.mislabeled_challenges),
     "chunk_article_mapping": over(checks.chunk_article_mapping),
     "validation_summary": over(lambda x: checks.summary(x, limited=True)),
+    "validation_counts": over(census.summary),
     "validation_passed": over(lambda x: checks.passed(checks.summary(x, limited=True))),
     "fix_chunk_index": over(lambda x: repairs.chunk_index(x).chunks.select("id", "article_id", "index")),
     "fix_chunk_ids": over(lambda x: repairs.chunk_ids(x).chunks.select("id", "chunk_id")),
@@ -323,6 +329,7 @@ QUERIES: dict[str, Query] = {
     "entity_summaries": over(lambda x: cleanup.summarize(x.nodes)),
     "constraint_checks": over(constraints),
     "article_vectors": over(embedded),
+    "extraction_prompts": over(extraction_prompts),
     "community_search": over(lambda x: providers.community_search(community.summaries(x, partition(x)), "blue bolt gear")),
     "community_summaries": over(lambda x: community.summaries(x, community.communities(community.semantic_edges(x)))),
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .. import rules
+from ..operators import prompts
 from . import documents, indexed
 
 
@@ -14,6 +15,10 @@ def _set(values) -> str:
     return "(" + ", ".join("'" + str(v).replace("'", "''") + "'" for v in values) + ")"
 
 
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
 def _rows(rows) -> str:
     return ", ".join("(" + ", ".join(str(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'" for v in row) + ")" for row in rows)
 
@@ -147,8 +152,23 @@ _LISTS = {
     "orphan_entities": ORPHANS, "duplicate_entities": DUPLICATES, "invalid_patterns": INVALID, "plural_pairs": PLURALS, "degenerate_chunks": DEGENERATE, "truncated_titles": TITLES, "unmentioned_entities": UNMENTIONED,
     "ghost_entities": GHOSTS, "mislabeled_challenges": MISLABELED, "near_duplicates": NEAR, "generic_entities": GENERIC, "missing_definitions": UNDEFINED,
 }
-_ALL_CHECKS = " UNION ALL ".join([f"SELECT '{k}' AS \"check\", ({v}) AS value" for k, v in _SUMMARY.items()] + [f"SELECT '{k}', (SELECT count(*) FROM ({v}))" for k, v in _LISTS.items()])
-SUMMARY = f"SELECT \"check\", value, value <= CASE WHEN \"check\" = 'industries' THEN 19 ELSE 0 END AS ok, \"check\" IN ('orphan_chunks', 'duplicate_entities', 'industries', 'missing_chunk_ids', 'missing_chunk_index', 'plural_pairs') AS required FROM ({_ALL_CHECKS})"
+
+
+def _summary(lists: dict[str, str]) -> str:
+    """The verdict on every check, from what the lists count."""
+    rows = " UNION ALL ".join([f"SELECT '{k}' AS \"check\", ({v}) AS value" for k, v in _SUMMARY.items()] + [f"SELECT '{k}', (SELECT count(*) FROM ({v}))" for k, v in lists.items()])
+    return f"SELECT \"check\", value, value <= CASE WHEN \"check\" = 'industries' THEN 19 ELSE 0 END AS ok, \"check\" IN ('orphan_chunks', 'duplicate_entities', 'industries', 'missing_chunk_ids', 'missing_chunk_index', 'plural_pairs') AS required FROM ({rows})"
+
+
+SUMMARY = _summary(_LISTS)
+ALL_COUNTED = _summary({k: v.partition(" ORDER BY ")[0] for k, v in _LISTS.items()})
+
+_POOL = ", ".join(f"({i}, {_text(e.block)}, [{', '.join(map(_text, prompts.word_set(e.text)))}])" for i, e in enumerate(prompts.EXAMPLES))
+PROMPTS = f""", pool(place, block, words) AS (VALUES {_POOL}),
+ scored AS (SELECT c.id, place, block, row_number() OVER (PARTITION BY c.id ORDER BY len(list_intersect(regexp_split_to_array(lower(coalesce(c.text, '')), '[^a-z0-9]+'), words)) DESC, place) AS r FROM chunks c, pool),
+ shown AS (SELECT id, string_agg(place, ',' ORDER BY r) AS examples, string_agg(block, '' ORDER BY r) AS blocks FROM scored WHERE r <= 3 GROUP BY 1),
+ asked AS (SELECT id, examples, {_text(prompts.header())} || blocks || {_text("Text:" + chr(10))} || coalesce(text, '') || {_text(chr(10) + "Answer:" + chr(10))} AS prompt FROM shown JOIN chunks USING (id))
+ SELECT id AS chunk_id, examples, length(prompt) AS n_chars, sha256(prompt) AS sha256 FROM asked"""
 
 NORMAL_FLAT = r"regexp_replace(" + PLAIN.format("name") + r", '[\s\x0B\x{1C}-\x{1F}\x{85}\p{Z}]+', ' ', 'g')"
 NORMAL = r"coalesce(regexp_replace(" + NORMAL_FLAT + r", '^[^\p{L}\p{N}\p{M}\p{Pc}]+|[^\p{L}\p{N}\p{M}\p{Pc}]+$', '', 'g'), '')"
@@ -302,6 +322,8 @@ QUERIES = {
     "unmentioned_entities": UNMENTIONED, "ghost_entities": GHOSTS, "near_duplicates": NEAR, "missing_definitions": UNDEFINED, "truncated_titles": TITLES, "mislabeled_challenges": MISLABELED,
     "chunk_article_mapping": "SELECT id, article_id, index FROM chunks WHERE chunk_id IS NULL AND article_id IN (SELECT article_id FROM articles) ORDER BY article_id, index NULLS FIRST, id LIMIT 100",
     "validation_summary": SUMMARY,
+    "validation_counts": ALL_COUNTED,
+    "extraction_prompts": PROMPTS,
     "validation_passed": f"SELECT bool_and(ok) AS passed FROM ({SUMMARY}) WHERE required",
     # repairs
     "fix_chunk_index": f"SELECT id, article_id, ({REPAIRED_INDEX})::INT AS index FROM chunks",

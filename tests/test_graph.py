@@ -5,7 +5,7 @@ import random
 import pytest
 
 from kgloom.model import CHUNK, EDGE, NODE, Graph
-from kgloom.operators import checks, cleanup, community, extraction, linking, repairs, report, retrieval
+from kgloom.operators import census, checks, cleanup, community, extraction, linking, repairs, report, retrieval
 from kgloom.operators import graphops as g
 
 NODES = [
@@ -195,3 +195,54 @@ def test_summary_counts_beyond_the_reports(graph, spark):
     big = graph.with_(nodes=graph.nodes.unionByName(more, allowMissingColumns=True))
     value = lambda **how: {r["check"]: r["value"] for r in checks.summary(big, **how).where("check = 'orphan_entities'").collect()}["orphan_entities"]
     assert value() >= 150 and value(limited=True) == checks.orphan_entities(big).count() == 100
+
+
+def test_census_counts_what_the_single_checks_count(graph, spark):
+    more = spark.createDataFrame([(f"hub-{i:03}", "Tool", f"tool {i}") for i in range(300)], "id string, label string, name string")
+    odd = [("n6", "USED_BY", f"hub-{i:03}") for i in range(200)] + [("n4", "REQUIRES", "n4"), ("n5", "MENTIONED_IN", "gone"), ("gone", "MENTIONED_IN", "c3"), ("n9", "MENTIONED_IN", "c1"), ("n9", "MENTIONED_IN", "c2"), ("m1", None, "m2")]
+    big = graph.with_(nodes=graph.nodes.unionByName(more, allowMissingColumns=True), edges=graph.edges.unionByName(spark.createDataFrame(odd, EDGE)))
+    empty = graph.with_(**{t: getattr(graph, t).limit(0) for t in ("nodes", "edges", "chunks", "webinars")})
+    for each in (graph, big, empty):
+        assert rows(census.summary(each)) == rows(checks.summary(each))
+    assert {r["check"]: r["value"] for r in census.counts(big).collect()}["ghost_entities"] == 3
+
+
+def test_census_reads_each_table_once(graph, tmp_path, spark):
+    stored = graph.with_(**{t: spark.read.schema(getattr(graph, t).schema).parquet(_written(getattr(graph, t), tmp_path / t)) for t in ("nodes", "edges", "chunks", "webinars")})
+    scans = lambda frame: frame._jdf.queryExecution().sparkPlan().toString().count("FileScan parquet")
+    assert scans(census.points(stored)) == 2 and scans(census.ends(stored.edges)) == 1
+    kept = census.census(stored)
+    text = census.counts(stored, kept)._jdf.queryExecution().sparkPlan().toString()
+    assert text.count(f"{tmp_path}") == text.count("ReadSchema: struct<title:string>") == 1  # the webinars
+
+
+def _written(frame, path):
+    frame.write.parquet(str(path))
+    return str(path)
+
+
+def test_samples_are_those_of_the_checks(graph):
+    found = {}
+    for r in census.samples(graph, 2).collect():
+        found.setdefault(r["check"], []).append(tuple(r["row"]))
+    for name, check in checks.COUNTED.items():
+        alone = [tuple(None if v is None else str(v) for v in r) for r in check(graph).limit(2).collect()]
+        assert sorted(found.get(name, []), key=repr) == sorted(alone, key=repr), name
+
+
+def test_mention_repair_and_subsets(graph):
+    fixed = repairs.mentions(graph)
+    assert set(rows(graph.edges)) < set(rows(fixed.edges)) and ("n9", "MENTIONED_IN", "c1") in rows(fixed.edges)
+    assert rows(repairs.mentions(fixed).edges) == rows(fixed.edges)
+    ids = repairs.apply(graph, repairs.CHUNKS_ONLY)
+    assert rows(ids.chunks.select("id", "chunk_id"))[:2] == [("c1", "k1"), ("c2", "a1_chunk_0000")] and ids.nodes is graph.nodes
+    cleaned = repairs.apply(graph, repairs.ENTITIES_ONLY)
+    assert cleaned.chunks is graph.chunks and "n5" not in {r["id"] for r in cleaned.nodes.collect()}
+
+
+def test_preview_text(graph, spark):
+    lines = repairs.preview_text(repairs.preview(graph)).split("\n")
+    assert lines[0] == "Repairs:" and "titles: 2" in lines and "plurals: 1" in lines and not any(x.startswith("total") for x in lines)
+    assert repairs.preview_text(spark.createDataFrame([("titles", 0), ("total", 0)], "repair string, n long")) == "Nothing to repair."
+    many = spark.createDataFrame([(f"r_{i}", i) for i in range(1, 15)], "repair string, n long")
+    assert len(repairs.preview_text(many).split("\n")) == 11
