@@ -2,6 +2,7 @@
 
 import re
 
+import numpy as np
 import pytest
 
 from kgloom import cli
@@ -149,6 +150,34 @@ def test_semantic_split_falls_back():
     assert chunking.semantic_split("Cats purr at night. Cats purr at noon. Stars burn far away.", config) == ["Cats purr at night. Cats purr at noon.", "Stars burn far away."]
     long = "word " * 100
     assert [c[3] for c in chunking.sized([(None, None, None, long)], config)] == chunking.recursive_split(long, config)
+    def broken(sentences):
+        raise OSError("no provider")
+
+    text = "Cats purr at night. Cats purr at noon. Stars burn far away."
+    for embed in (broken, lambda sentences: np.zeros((1, 2))):
+        failing = chunking.Config(size=60, overlap=10, threshold=60, least=10, semantic=True, embed=embed)
+        assert chunking.semantic_split(text * 3, failing) is None
+        assert [x[3] for x in chunking.sized([(None, None, None, text * 3)], failing)] == chunking.recursive_split(text * 3, failing)
+
+
+def test_semantic_split_cuts_at_the_least_similar_places():
+    axes = {"a": [1.0, 0.0, 0.0], "b": [0.8, 0.6, 0.0], "c": [0.0, 0.0, 1.0], "z": [0.0, 0.0, 0.0]}
+    config = lambda **more: chunking.Config(**{"size": 1000, "overlap": 10, "threshold": 1000, "least": 1, "semantic": True, "embed": lambda x: np.array([axes[s[0]] for s in x]), **more})
+    split = lambda marks, **more: [g.replace(".", "").replace(" ", "") for g in chunking.semantic_split(" ".join(f"{m}." for m in marks), config(**more))]
+    assert split("aabbcca") == ["aabb", "cc", "a"]
+    assert split("aazaa") == ["aa", "z", "aa"]  # nothing is like a zero vector
+    assert split("acacbbbb", window=2) == ["acacbbbb"] and split("acacbbbb") == ["a", "c", "a", "c", "bbbb"]
+    assert split("aaaabaaa", size=17, threshold=17) == ["aaaab", "aaa"]  # by size: the last place where a and b meet
+    assert split("aaaaaaaa", size=11, threshold=11) == ["aaaa", "aaaa"]  # of equal places the last that fits
+    # Blocks of a provider's calls change nothing.
+    marks = "aabbcc" * 100
+    assert split(marks) == split(marks, window=2) == ["aabb", *["cc", "aabb"] * 99, "cc"]
+
+
+def test_semantic_split_is_linear():
+    sentence = "the same words again and again. "
+    groups = chunking.semantic_split(sentence * 20_000, chunking.RETRIEVAL)
+    assert sum(g.count(".") for g in groups) == 20_000 and max(map(len, groups)) <= chunking.RETRIEVAL.size
 
 
 def test_documents_to_graph_goes_on_after_failures(spark):
