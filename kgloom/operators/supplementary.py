@@ -150,6 +150,15 @@ def contents_coverage(contents: DataFrame, articles: DataFrame) -> DataFrame:
     return contents.join(there, "url", "left").groupBy("chapter_number").agg(F.count("*").alias("listed"), F.count_if("there").alias("found"), F.count_if(F.col("there").isNull()).alias("missing"))
 
 
+def foreign_urls(contents: DataFrame, slugs: DataFrame) -> DataFrame:
+    """chapter_number, slug, title, url of listed articles whose URL has no `/slug/` of their own
+    chapter, from slugs (chapter_number, slug).  Chapters without a slug and entries without a
+    URL are not judged."""
+    own = slugs.where("slug <> ''").select("chapter_number", "slug").distinct()
+    inside = F.col("url").contains(F.concat(F.lit("/"), "slug", F.lit("/")))
+    return contents.join(own, "chapter_number").where(~inside).select("chapter_number", "slug", "title", "url")
+
+
 def relation_histogram(graph: Graph, label: str, limit: int = 10) -> DataFrame:
     rows = g.ends(graph.edges).join(graph.nodes.where(F.col("label") == label).select("id"), "id", "left_semi")
     return g.top(rows.groupBy("type").agg(F.count("*").alias("n")), limit, F.desc("n"), "type")

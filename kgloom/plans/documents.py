@@ -33,6 +33,13 @@ def _coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return supplementary.contents_coverage(source.contents_table(made.contents(spark, sf_dir)), pages)
 
 
+def _foreign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All made URLs begin with /g/, which is the slug of chapters of an even number only."""
+    number = (F.col("r_regionkey") + 1).cast("int")
+    slugs = project.table(spark, sf_dir, "region").select(number.alias("chapter_number"), F.when(number % 2 == 0, "g").otherwise(F.lower("r_name")).alias("slug"))
+    return supplementary.foreign_urls(source.contents_table(made.contents(spark, sf_dir)), slugs).select("chapter_number", "slug", "url")
+
+
 def _glossary_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     terms = project.table(spark, sf_dir, "nation").select(F.col("n_name").alias("term"), F.lit("A nation.").alias("definition"), F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.lit("N"), "n_nationkey")).alias("acronym"), F.col("n_nationkey").alias("ord"))
     return source.glossary_markdown(terms)
@@ -118,6 +125,7 @@ QUERIES: dict[str, Query] = {
     "made_guide": _guide,
     "toc_articles": lambda s, d: source.contents_table(made.contents(s, d)),
     "toc_coverage": _coverage,
+    "toc_foreign_urls": _foreign,
     "toc_fetched": _fetched,
     "glossary_terms": lambda s, d: source.glossary_table(made.glossaries(s, d)),
     "glossary_markdown": _glossary_markdown,
@@ -169,6 +177,7 @@ ORACLES: dict[str, str] = {
  UNION ALL SELECT 2, s_name, '- [Webinar: Topic ' || {_K} % 3 || '](' || {_WEBINAR} || ')' FROM supplier UNION ALL SELECT 3, s_name, '- [Post ' || {_K} || '](' || {_OTHER} || ')' FROM supplier
  UNION ALL SELECT 4, s_name, '- https://www.youtube.com/watch?v=vid' || {_K} FROM supplier UNION ALL SELECT 5, n_name, '**' || n_name || '**: A nation.' FROM nation""",
     "toc_articles": "SELECT r_regionkey::BIGINT AS page_id, (row_number() OVER (PARTITION BY r_regionkey ORDER BY n_nationkey) - 1)::INT AS ord, (r_regionkey + 1)::INT AS chapter_number, r_name AS chapter_title, n_nationkey::INT AS article_number, n_name AS title, '/g/' || n_nationkey AS url FROM nation JOIN region ON n_regionkey = r_regionkey",
+    "toc_foreign_urls": "SELECT (r_regionkey + 1)::INT AS chapter_number, lower(r_name) AS slug, '/g/' || n_nationkey AS url FROM nation JOIN region ON n_regionkey = r_regionkey WHERE (r_regionkey + 1) % 2 = 1",
     "toc_coverage": "SELECT (n_regionkey + 1)::INT AS chapter_number, count(*) AS listed, count(*) FILTER (n_nationkey % 3 <> 0) AS found, count(*) FILTER (n_nationkey % 3 = 0) AS missing FROM nation GROUP BY 1",
     "toc_fetched": "SELECT 'ch' || (n_regionkey + 1) || '-art' || n_nationkey AS article_id, (n_regionkey + 1)::INT AS chapter_number, n_nationkey::INT AS article_number, n_name AS title, '/g/' || n_nationkey AS url, CASE WHEN n_nationkey = 0 THEN 'overview' ELSE 'article' END AS content_type, '<p>' || n_name || '</p>' AS html FROM nation WHERE n_nationkey % 4 <> 0",
     "glossary_terms": "SELECT n_regionkey::BIGINT AS page_id, (row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1)::INT AS ord, n_name AS term, CASE WHEN n_regionkey % 4 = 0 THEN 'N' || n_nationkey END AS acronym, 'The nation ' || n_name AS definition FROM nation",

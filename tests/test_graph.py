@@ -5,7 +5,7 @@ import random
 import pytest
 
 from kgloom.model import CHUNK, EDGE, NODE, Graph
-from kgloom.operators import census, checks, cleanup, community, extraction, linking, repairs, report, retrieval
+from kgloom.operators import census, checks, cleanup, community, extraction, linking, repairs, report, retrieval, supplementary
 from kgloom.operators import graphops as g
 
 NODES = [
@@ -246,3 +246,10 @@ def test_preview_text(graph, spark):
     assert repairs.preview_text(spark.createDataFrame([("titles", 0), ("total", 0)], "repair string, n long")) == "Nothing to repair."
     many = spark.createDataFrame([(f"r_{i}", i) for i in range(1, 15)], "repair string, n long")
     assert len(repairs.preview_text(many).split("\n")) == 11
+
+
+def test_urls_of_another_chapter(spark):
+    listed = spark.createDataFrame([(1, "in", "/guide/one/a"), (1, "out", "/guide/two/b"), (1, "near", "/guide/one-more/c"), (2, "in", "/guide/two/b"), (2, "none", None), (3, "free", "/x")], "chapter_number int, title string, url string")
+    slugs = spark.createDataFrame([(1, "one"), (1, "one"), (2, "two"), (3, None)], "chapter_number int, slug string")
+    assert rows(supplementary.foreign_urls(listed, slugs).select("title")) == [("near",), ("out",)]
+    assert not supplementary.foreign_urls(listed, slugs.limit(0)).count()
