@@ -62,8 +62,11 @@ def resources(records: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, [one(*r[:3]) for r in RESOURCES])
 
 
-def resource_edges(found: DataFrame) -> DataFrame:
-    """src, type, dst from articles to their resources."""
+def resource_edges(found: DataFrame, articles: DataFrame | None = None) -> DataFrame:
+    """src, type, dst from articles to their resources; if articles (article_id) are given, from
+    those only.  The nodes of the others stay without an edge."""
+    if articles is not None:
+        found = found.join(articles.select("article_id"), "article_id", "left_semi")
     kind = reduce(lambda c, r: c.when(F.col("kind") == r[0], r[3]), RESOURCES[1:], F.when(F.col("kind") == RESOURCES[0][0], RESOURCES[0][3]))
     return found.select(F.col("article_id").alias("src"), kind.alias("type"), F.col("id").alias("dst"))
 
@@ -82,6 +85,14 @@ def related_links(records: DataFrame) -> DataFrame:
     return hits.select(F.col("article_id").alias("src"), F.lit("RELATED_TO").alias("type"), F.col("target").alias("dst")).distinct()
 
 
+def titled_links(records: DataFrame) -> DataFrame:
+    """src, title, dst: the links of related_links() with the title of the callout.  Two callouts of
+    one article with different titles are two links, with equal ones a single link."""
+    rows = records.select("article_id", F.inline("related")).select("article_id", "url", F.coalesce("title", F.lit("")).alias("title"))
+    hits = rows.join(last_of_url(records), "url").where("article_id <> target")
+    return hits.select(F.col("article_id").alias("src"), "title", F.col("target").alias("dst")).distinct()
+
+
 def record_index(records: DataFrame, content: bool = False) -> DataFrame:
     """article_id, title, url, url_owner (of equal URLs the last article), counts of children; the
     Markdown only if asked for."""
@@ -92,7 +103,7 @@ def record_index(records: DataFrame, content: bool = False) -> DataFrame:
 def build(articles: DataFrame, terms: DataFrame, records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(edges, counts by kind): chapters, resources, glossary and links in one go."""
     found = resources(records)
-    edges = reduce(DataFrame.unionByName, [in_chapter(articles), resource_edges(found), related_links(records)]).distinct()
+    edges = reduce(DataFrame.unionByName, [in_chapter(articles), resource_edges(found, articles), related_links(records)]).distinct()
     rows = [chapters(articles).select(F.lit("chapters").alias("kind")), definitions(terms).select(F.lit("definitions").alias("kind")), found.select("kind"), edges.select("type")]
     return edges, reduce(DataFrame.union, rows).groupBy("kind").agg(F.count("*").alias("n"))
 

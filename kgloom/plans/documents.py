@@ -27,6 +27,11 @@ def _resource_edges(records: DataFrame) -> DataFrame:
     return supplementary.resource_edges(supplementary.resources(records))
 
 
+def _kept_resource_edges(records: DataFrame) -> DataFrame:
+    """Where an article in three is not in the graph."""
+    return supplementary.resource_edges(supplementary.resources(records), records.where("cast(article_id as long) % 3 <> 0"))
+
+
 def _coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contents against the nations whose key is no multiple of three."""
     pages = project.table(spark, sf_dir, "nation").where("n_nationkey % 3 <> 0").select(F.concat(F.lit("/g/"), "n_nationkey").alias("url"))
@@ -121,7 +126,9 @@ QUERIES: dict[str, Query] = {
     "made_markdown": _of(lambda r: r.select("article_id", "title", "markdown_content", F.array_join("key_concepts", "|").alias("key_concepts"), "og_image")),
     "resource_nodes": _of(supplementary.resources),
     "made_resource_edges": _of(_resource_edges),
+    "made_resource_edges_kept": _of(_kept_resource_edges),
     "made_related_edges": _of(supplementary.related_links),
+    "made_related_titles": _of(supplementary.titled_links),
     "made_guide": _guide,
     "toc_articles": lambda s, d: source.contents_table(made.contents(s, d)),
     "toc_coverage": _coverage,
@@ -172,7 +179,9 @@ ORACLES: dict[str, str] = {
     "resource_nodes": f"""SELECT {_K} || '-img0' AS id, 'images' AS kind, 'https://guide.example.com/img/' || {_K} || '.png' AS url, {_ID} FROM supplier UNION ALL SELECT {_K} || '-img1', 'images', 'https://guide.example.com/t' || {_K} || '.png', {_ID} FROM supplier
  UNION ALL SELECT {_K} || '-vid0', 'videos', 'https://www.youtube.com/watch?v=vid' || {_K}, {_ID} FROM supplier UNION ALL SELECT {_K} || '-web0', 'webinars', {_WEBINAR}, {_ID} FROM supplier""",
     "made_resource_edges": f"SELECT {_K}::VARCHAR AS src, t AS type, {_K} || '-' || i AS dst FROM supplier, (VALUES ('HAS_IMAGE', 'img0'), ('HAS_IMAGE', 'img1'), ('HAS_VIDEO', 'vid0'), ('HAS_WEBINAR', 'web0')) x(t, i)",
+    "made_resource_edges_kept": f"SELECT {_K}::VARCHAR AS src, t AS type, {_K} || '-' || i AS dst FROM supplier, (VALUES ('HAS_IMAGE', 'img0'), ('HAS_IMAGE', 'img1'), ('HAS_VIDEO', 'vid0'), ('HAS_WEBINAR', 'web0')) x(t, i) WHERE {_K} % 3 <> 0",
     "made_related_edges": _RELATED,
+    "made_related_titles": _RELATED.replace("'RELATED_TO' AS type", f"'Post ' || a.{_K} AS title"),
     "made_guide": f"""SELECT 0 AS part, s_name AS key, '- ' || s_name AS line FROM supplier UNION ALL SELECT 1, s_name, {_BODY} FROM supplier
  UNION ALL SELECT 2, s_name, '- [Webinar: Topic ' || {_K} % 3 || '](' || {_WEBINAR} || ')' FROM supplier UNION ALL SELECT 3, s_name, '- [Post ' || {_K} || '](' || {_OTHER} || ')' FROM supplier
  UNION ALL SELECT 4, s_name, '- https://www.youtube.com/watch?v=vid' || {_K} FROM supplier UNION ALL SELECT 5, n_name, '**' || n_name || '**: A nation.' FROM nation""",

@@ -253,3 +253,12 @@ def test_urls_of_another_chapter(spark):
     slugs = spark.createDataFrame([(1, "one"), (1, "one"), (2, "two"), (3, None)], "chapter_number int, slug string")
     assert rows(supplementary.foreign_urls(listed, slugs).select("title")) == [("near",), ("out",)]
     assert not supplementary.foreign_urls(listed, slugs.limit(0)).count()
+
+
+def test_links_carry_titles_and_resources_need_their_article(spark):
+    kind = "article_id string, url string, related array<struct<url:string,title:string>>"
+    records = spark.createDataFrame([("a9", "u9", [("u10", "Next"), ("u10", "Next"), ("u10", "More"), ("u9", "Self"), ("u0", "Lost"), (None, "x")]), ("a10", "u10", [("u9", None)]), ("a2", "u2", None)], kind)
+    assert rows(supplementary.titled_links(records)) == [("a10", "", "a9"), ("a9", "More", "a10"), ("a9", "Next", "a10")]
+    assert rows(supplementary.titled_links(records).select("src", "dst").distinct()) == rows(supplementary.related_links(records).select("src", "dst"))
+    found = spark.createDataFrame([("a9-img0", "images", "i", "a9"), ("a1-vid0", "videos", "v", "a1")], "id string, kind string, url string, article_id string")
+    assert rows(supplementary.resource_edges(found, records)) == [("a9", "HAS_IMAGE", "a9-img0")] and supplementary.resource_edges(found).count() == 2
