@@ -11,7 +11,8 @@ of the texts have is divided over files by adaptive rebalancing.
 Vector index.  Centroids are fitted once, by k-means on at most SAMPLE vectors (the rows with the
 least hashes); every vector goes to its nearest centroid's cell.  How many cells a search reads is
 chosen when the index is built: the fewest that find RECALL of the true neighbours of at most
-TRIED vectors.  Reading all cells is the exact search.
+TRIED vectors.  Reading all cells is the exact search.  Queries come as a short list or as a table
+of any size; they meet the cells in bounded groups (module nearest).
 """
 
 from __future__ import annotations
@@ -24,15 +25,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import vector
 from . import graphops as g
-from . import retrieval
+from . import nearest, retrieval
 
 BUCKETS = 64
 SAMPLE = 20_000
 TRIED = 200
 RECALL = 0.97
 STEPS = 15
+SLICE = 1024
 
 
 def _there(spark: SparkSession, path: str) -> bool:
@@ -78,21 +79,62 @@ class TextIndex:
 def _nearest(centroids: np.ndarray):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            near = _unit(np.stack(rows["embedding"].to_numpy()).astype(np.float64)) @ centroids.T if len(rows) else np.zeros((0, 1))
-            yield rows.assign(cell=near.argmax(axis=1).astype(np.int32))
+            cell = _home(_unit(nearest.matrix(rows["embedding"])), centroids) if len(rows) else np.zeros(0)
+            yield rows.assign(cell=cell.astype(np.int32))
 
     return run
 
 
-def _unit(x: np.ndarray) -> np.ndarray:
-    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+_unit = nearest.unit
+
+
+def _home(points: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """The nearest centroid of each point, some points at a time."""
+    return np.concatenate([(points[i : i + SLICE] @ centroids.T).argmax(axis=1) for i in range(0, len(points), SLICE)])
+
+
+def _packed(sizes: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """(cell, first block, blocks) from (cell, rows): small cells share a block, a large one has several."""
+    out, block, filled = [], 0, 0
+    for cell, n in sizes:
+        if filled and filled + n > nearest.BLOCK_ROWS:
+            block, filled = block + 1, 0
+        parts = nearest.blocks_for(n, nearest.BLOCK_ROWS)
+        out.append((cell, block, parts))
+        block, filled = (block + parts, 0) if parts > 1 else (block, filled + n)
+    return out
+
+
+def _asking(centroids: np.ndarray, probes: int, places: dict[int, tuple[int, int]]):
+    """Queries with the blocks of the `probes` cells nearest to them and the cells asked there."""
+    every = {b for first, parts in places.values() for b in range(first, first + parts)}
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            for lo in range(0, len(rows), SLICE):
+                some = rows.iloc[lo : lo + SLICE]
+                out = []
+                if probes >= len(centroids):
+                    out = [(i, q, b, None) for i, q in zip(some["query_id"], some["q"], strict=True) for b in sorted(every)]
+                else:
+                    order = np.argsort(-(_unit(nearest.matrix(some["q"])) @ centroids.T), axis=1, kind="stable")[:, :probes]
+                    for i, q, cells in zip(some["query_id"], some["q"], order.tolist(), strict=True):
+                        asked: dict[int, list[int]] = {}
+                        for c in cells:
+                            first, parts = places.get(c, (0, 0))  # a cell without rows is in no block
+                            for b in range(first, first + parts):
+                                asked.setdefault(b, []).append(c)
+                        out += [(i, q, b, cs) for b, cs in asked.items()]
+                yield pd.DataFrame(out, columns=["query_id", "q", "block", "cells"])
+
+    return run
 
 
 def _kmeans(points: np.ndarray, cells: int) -> np.ndarray:
     """Spherical k-means; the first centroids are spread over the points in their given order."""
     centroids = points[np.linspace(0, len(points) - 1, cells).astype(int)].copy()
     for _ in range(STEPS):
-        home = (points @ centroids.T).argmax(axis=1)
+        home = _home(points, centroids)
         for c in range(cells):
             mine = points[home == c]
             if len(mine):
@@ -153,13 +195,21 @@ class VectorIndex:
         needed = sorted(rank[r["query_id"]][r["cell"]] + 1 for r in found)
         return needed[min(len(needed) - 1, math.ceil(recall * len(needed)) - 1)]
 
-    def search(self, queries: list[tuple[int, list[float]]], k: int = 5, probes: int | None = None, cell: bool = False) -> DataFrame:
-        """query_id, id, score for a stated list of queries, from the nearest `probes` cells."""
-        order = self._order([v for _, v in queries])[:, : probes or self.probes]
-        wanted = [(int(c), int(i), [float(x) for x in v]) for (i, v), cells in zip(queries, order, strict=True) for c in cells]
-        asked = self.spark.createDataFrame(wanted, "cell int, query_id int, q array<double>")
-        rows = self.spark.read.parquet(f"{self.path}/cells").where(F.col("cell").isin(sorted({c for c, _, _ in wanted})))
-        # The stated queries, once for each of their cells.
-        rows = rows.join(F.broadcast(asked), "cell").select("query_id", "id", "cell", vector.score(F.col("embedding"), F.col("q")).alias("score"))
-        best = g.first_k(rows, ["query_id"], k, F.desc("score"), "id")
+    def search(self, queries: DataFrame | list[tuple[int, list[float]]], k: int = 5, probes: int | None = None, cell: bool = False) -> DataFrame:
+        """query_id, id, score of each query, from the nearest `probes` cells.  queries: a table
+        (query_id, q) of any size, or a short list."""
+        probes = min(probes or self.probes, len(self.centroids))
+        rows = self.spark.read.parquet(f"{self.path}/cells")
+        if not isinstance(queries, DataFrame) and queries:
+            rows = rows.where(F.col("cell").isin(sorted({int(c) for c in self._order([v for _, v in queries])[:, :probes].ravel()})))
+        sizes = [tuple(r) for r in rows.groupBy("cell").agg(F.count("*").alias("n")).orderBy("cell").collect()]  # at most 4096
+        packed = _packed(sizes)
+        places = self.spark.createDataFrame(packed, "cell int, first int, parts int")
+        asked = nearest.table(rows, queries)
+        parts = nearest.blocks_for(asked.count(), nearest.BLOCK_QUERIES)
+        kind = dict(asked.dtypes)["query_id"]
+        asked = asked.mapInPandas(_asking(self.centroids, probes, {c: (b, n) for c, b, n in packed}), f"query_id {kind}, q array<double>, block int, cells array<int>")
+        block = F.col("first") + F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
+        rows = rows.join(F.broadcast(places), "cell").select("id", "embedding", "cell", block.alias("block"))
+        best = nearest.best(rows, asked, k, parts)
         return best if cell else best.drop("cell")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import rules
 from ..functions import vector
 from ..model import Graph
-from . import checks
+from . import checks, nearest
 from . import graphops as g
 
 K1, B = 1.2, 0.75
@@ -22,12 +22,9 @@ def vector_topk(vectors: DataFrame, query: DataFrame, k: int = 5) -> DataFrame:
     return g.top(rows.select("id", vector.score(F.col("embedding"), F.col("q")).alias("score")), k, F.desc("score"), "id")
 
 
-def vector_topk_many(vectors: DataFrame, queries: list[tuple[int, list[float]]], k: int = 5) -> DataFrame:
-    """query_id, id, score for a stated list of queries; each partition keeps k per query."""
-    table = F.array(*[F.struct(F.lit(i).alias("query_id"), F.array(*[F.lit(float(x)) for x in v]).alias("q")) for i, v in queries])
-    rows = vectors.select("id", "embedding", F.explode(table).alias("x"))
-    scored = rows.select(F.col("x.query_id").alias("query_id"), "id", vector.score(F.col("embedding"), F.col("x.q")).alias("score"))
-    return g.first_k(scored, ["query_id"], k, F.desc("score"), "id")
+def vector_topk_many(vectors: DataFrame, queries: DataFrame | list[tuple[int, list[float]]], k: int = 5) -> DataFrame:
+    """query_id, id, score for a table (query_id, q) or a short list of queries, by trying all pairs."""
+    return nearest.all_pairs(vectors, queries, k)
 
 
 def chunk_entities(graph: Graph, chunk_ids: DataFrame, limit: int = 20) -> DataFrame:

@@ -58,12 +58,12 @@ def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
 
 
-def _searched(spark: SparkSession, sf_dir: str) -> tuple[indexes.VectorIndex, list]:
+def _searched(spark: SparkSession, sf_dir: str) -> tuple[indexes.VectorIndex, DataFrame]:
     rows = _vectors(spark, sf_dir)
     index = indexes.VectorIndex(spark, _place(spark, "vectors"))
     index.build(rows, "first")
     # The stated queries: every row whose id is divisible by 20.
-    return index, [(r["id"], r["embedding"]) for r in rows.where("id % 20 = 0 and embedding is not null").collect()]
+    return index, rows.where("id % 20 = 0 and embedding is not null").select(F.col("id").alias("query_id"), F.col("embedding").alias("q"))
 
 
 def vector_index_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
