@@ -54,17 +54,22 @@ def merge_nodes(nodes: DataFrame, parsed: DataFrame) -> tuple[DataFrame, DataFra
     found = result_nodes(parsed)
     known = nodes.where("name is not null").groupBy("label", "name").agg(F.min("id").alias("known"))
     rows = found.join(known, ["label", "name"], "left").withColumn("id", F.coalesce("known", entity_id(F.col("label"), F.col("name"))))
-    new = rows.where("known is null").groupBy("id", "label", "name").agg(F.min("definition").alias("definition"))
+    # Mentions of one entity combine before they meet what is known.
+    named = found.groupBy("label", "name").agg(F.min("definition").alias("definition")).join(known, ["label", "name"], "left_anti")
+    new = named.select(entity_id(F.col("label"), F.col("name")).alias("id"), "label", "name", "definition")
     edges = rows.select(F.col("id").alias("src"), F.lit(rules.MENTION).alias("type"), F.col("chunk_id").alias("dst")).distinct()
     return new, edges
 
 
 def merge_relationships(nodes: DataFrame, parsed: DataFrame) -> DataFrame:
-    """src, type, dst: ends are found by lower-case name under any label."""
+    """src, type, dst: ends are found by lower-case name under any label.
+
+    A relation between two names is joined once, however many chunks state it; else each of its rows
+    would meet every node of either name."""
     rows = parsed.select(F.inline("relationships"))
     end = lambda a, b: text.plain_name(F.coalesce(F.when(F.col(a) != "", F.col(a)), F.col(b)))
     kind = F.coalesce(F.when(F.col("type") != "", F.col("type")), F.lit("RELATED_TO"))
-    named = rows.select(end("source", "start_node_id").alias("a"), end("target", "end_node_id").alias("b"), kind.alias("type")).where(F.col("type").isin([*rules.RELATIONSHIPS, rules.MENTION]))
+    named = rows.select(end("source", "start_node_id").alias("a"), end("target", "end_node_id").alias("b"), kind.alias("type")).where(F.col("type").isin([*rules.RELATIONSHIPS, rules.MENTION])).distinct()
     names = nodes.where("name is not null").select("id", F.lower("name").alias("name"))
     left, right = names.select(F.col("id").alias("src"), F.col("name").alias("a")), names.select(F.col("id").alias("dst"), F.col("name").alias("b"))
     return named.join(left, "a").join(right, "b").select("src", "type", "dst").distinct()
