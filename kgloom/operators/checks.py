@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import inspect
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import rules
@@ -134,16 +135,63 @@ def mislabeled_challenges(graph: Graph, limit: int | None = 50) -> DataFrame:
     return g.top(found.select("id", "name"), limit, "name", "id")
 
 
-def near_duplicates(graph: Graph, limit: int | None = 50, longest: int = 5) -> DataFrame:
-    """Pairs of names in a label where one contains the other and is little longer.
+def near_names(nodes: DataFrame, longest: int = 5) -> DataFrame:
+    """label, shorter, longer: pairs of distinct names in a label where one contains the other and
+    is little longer, of nodes (label, name).
 
     No cross join: the shorter name is a substring of the longer of a known length, so an
     equi-join on all such substrings (at most 6 lengths) finds it."""
-    names = graph.nodes.where(is_entity() & F.col("name").isNotNull()).select("id", "label", "name").withColumn("size", F.length("name"))
-    cuts = names.select("id", "label", "name", F.explode(F.sequence(F.greatest(F.col("size") - longest, F.lit(1)), F.greatest(F.col("size") - 1, F.lit(1)))).alias("n"), "size").where("n < size and n > 4")
-    parts = cuts.select(F.col("id").alias("longer_id"), "label", F.col("name").alias("longer"), F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.col("size") - F.col("n") + 1), lambda i: F.substring(F.col("name"), i, F.col("n"))))).alias("name"))
-    pairs = names.join(parts, ["label", "name"]).where("id < longer_id")
-    return g.top(pairs.select("label", F.col("name").alias("shorter"), "longer", F.col("id").alias("shorter_id"), "longer_id"), limit, "label", "shorter", "longer", "shorter_id", "longer_id")
+    names = nodes.select("label", "name").distinct()
+    cuts = names.withColumn("size", F.length("name"))
+    cuts = cuts.select("label", "name", F.explode(F.sequence(F.greatest(F.col("size") - longest, F.lit(1)), F.greatest(F.col("size") - 1, F.lit(1)))).alias("n"), "size").where("n < size and n > 4")
+    parts = cuts.select("label", F.col("name").alias("longer"), F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.col("size") - F.col("n") + 1), lambda i: F.substring(F.col("name"), i, F.col("n"))))).alias("name"))
+    return names.join(parts, ["label", "name"]).select("label", F.col("name").alias("shorter"), "longer")
+
+
+def _named(graph: Graph) -> DataFrame:
+    return graph.nodes.where(is_entity() & F.col("name").isNotNull() & F.col("id").isNotNull()).select("id", "label", "name")
+
+
+def near_duplicates(graph: Graph, limit: int | None = 50, longest: int = 5) -> DataFrame:
+    """Pairs of nodes whose names near_names() pairs, the shorter one's id the lesser.
+
+    Names are paired, not nodes.  Of a limited list only the first `limit` pairs of names that have
+    a pair of ids matter, of each the `limit` least ids of the shorter name (if one has no greater
+    partner, no later one has) and of each of these the first `limit` greater ones."""
+    names = _named(graph)
+    pairs = near_names(names, longest)
+    shown = ["label", "shorter", "longer", "shorter_id", "longer_id"]
+    a, b = names.select("label", F.col("name").alias("shorter"), F.col("id").alias("shorter_id")), names.select("label", F.col("name").alias("longer"), F.col("id").alias("longer_id"))
+    if limit is None:
+        return pairs.join(a, ["label", "shorter"]).join(b, ["label", "longer"]).where("shorter_id < longer_id").select(*shown)
+    least = a.groupBy("label", "shorter").agg(F.min("shorter_id").alias("least"))
+    most = b.groupBy("label", "longer").agg(F.max("longer_id").alias("most"))
+    some = pairs.join(least, ["label", "shorter"]).join(most, ["label", "longer"]).where("least < most").select("label", "shorter", "longer")
+    some = F.broadcast(some.orderBy("label", "shorter", "longer").limit(limit))
+    left = g.first_k(a.join(some, ["label", "shorter"]), ["label", "shorter", "longer"], limit, "shorter_id")
+    rows = b.join(F.broadcast(left), ["label", "longer"]).where("shorter_id < longer_id")  # limit * limit rows
+    return g.top(g.first_k(rows, ["label", "shorter", "longer", "shorter_id"], limit, "longer_id").select(*shown), limit, *shown)
+
+
+def near_duplicate_count(graph: Graph, longest: int = 5) -> DataFrame:
+    """value: how many pairs near_duplicates() has without a limit, without making them.
+
+    Ids are dealt into buckets by range.  A pair is two ids of one bucket, counted by a running sum
+    there, or of two buckets, counted from the numbers of ids of each; so what meets in a group is
+    one bucket's rows, or a row for each bucket.  The buckets are stored, as their bounds come from
+    a sample: any bounds give the same count."""
+    names = _named(graph)
+    pairs = near_names(names, longest)
+    placed = g.checkpointed(names.repartitionByRange("id").withColumn("bucket", F.spark_partition_id()))
+    shorter = placed.join(pairs.withColumnRenamed("shorter", "name"), ["label", "name"]).select("label", F.col("name").alias("shorter"), "longer", "bucket", "id", F.lit(1).alias("short"))
+    longer = placed.join(pairs.withColumnRenamed("longer", "name"), ["label", "name"]).select("label", "shorter", F.col("name").alias("longer"), "bucket", "id", F.lit(0).alias("short"))
+    key = ["label", "shorter", "longer"]
+    # Of equal ids the longer name's row comes first, so that it does not count the shorter's.
+    before = Window.partitionBy(*key, "bucket").orderBy("id", "short").rowsBetween(Window.unboundedPreceding, 0)
+    rows = shorter.unionByName(longer).withColumn("lesser", F.sum("short").over(before))
+    counts = rows.groupBy(*key, "bucket").agg(F.sum("short").alias("a"), F.sum(1 - F.col("short")).alias("b"), F.sum(F.when(F.col("short") == 0, F.col("lesser")).otherwise(0)).alias("inside"))
+    earlier = F.coalesce(F.sum("a").over(Window.partitionBy(*key).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return counts.select((F.col("inside") + earlier * F.col("b")).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("value"))
 
 
 def missing_definitions(graph: Graph) -> DataFrame:
@@ -176,10 +224,19 @@ def summary(graph: Graph, limited: bool = False) -> DataFrame:
 
     All defects are counted; if `limited`, those of the reports, as the SQL twin does."""
     rows = [f(graph).select(F.lit(name).alias("check"), F.col(name).alias("value")) for name, f in MEASURED.items()]
-    rows += [f(graph, **({"limit": None} if name in REPORTED and not limited else {})).agg(F.count("*").alias("value")).select(F.lit(name).alias("check"), "value") for name, f in COUNTED.items()]
+    for name, f in COUNTED.items():
+        if name == "near_duplicates" and not limited:
+            value = near_duplicate_count(graph)
+        else:
+            value = f(graph, **({"limit": None} if name in REPORTED and not limited else {})).agg(F.count("*").alias("value"))
+        rows.append(value.select(F.lit(name).alias("check"), "value"))
     return judged(reduce(DataFrame.unionByName, rows))
 
 
+#: What the lists of the reports hold at most.
+LIMITS = {name: inspect.signature(COUNTED[name]).parameters["limit"].default for name in sorted(REPORTED)}
+
+
 def judged(counts: DataFrame) -> DataFrame:
     """check, value, ok, required from check, value."""
     limit = F.when(F.col("check") == "industries", rules.MAX_INDUSTRIES).otherwise(0)
