@@ -81,20 +81,24 @@ def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def relation(at: Column) -> Column:
-    return _pick(rules.RELATIONSHIPS, at % len(rules.RELATIONSHIPS))
-
-
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct edges, in partitions by src: what is dealt out is the keys as numbers, the strings
+    are made afterwards, and a join on src finds its rows where they are."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    part = F.concat(F.lit("part-"), F.col("l_partkey")).alias("src")
-    bought = lines.join(orders, "l_orderkey").select(part, relation(F.col("l_linenumber") * 2 + F.col("l_suppkey")).alias("type"), F.concat(F.lit("cust-"), F.col("o_custkey")).alias("dst"))
-    made = lines.select(part, relation(F.col("l_linenumber")).alias("type"), F.concat(F.lit("part-"), F.col("l_suppkey")).alias("dst"))
+    row = lambda kind, a, at, b: (F.lit(kind).alias("kind"), F.col(a).cast("long").alias("a"), at.cast("int").alias("at"), F.col(b).cast("long").alias("b"))
+    at = lambda c: c % len(rules.RELATIONSHIPS)
+    bought = lines.join(orders, "l_orderkey").select(*row("cust", "l_partkey", at(F.col("l_linenumber") * 2 + F.col("l_suppkey")), "o_custkey"))
+    made = lines.select(*row("part", "l_partkey", at(F.col("l_linenumber")), "l_suppkey"))
     first = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("event_id"))
     seen = table(spark, sf_dir, "events").select("event_id", "user_id").join(first, "event_id", "left_semi")
-    mentions = seen.select(F.concat(F.lit("part-"), F.col("user_id")).alias("src"), F.lit(rules.MENTION).alias("type"), F.concat(F.lit("doc-"), F.col("event_id"), F.lit("-0")).alias("dst"))
-    return bought.unionByName(made).unionByName(mentions).distinct()
+    mentions = seen.select(*row("doc", "user_id", F.lit(0), "event_id"))
+    src = F.concat(F.lit("part-"), "a")
+    rows = bought.unionByName(made).unionByName(mentions).repartition(src)
+    kind = F.col("kind")
+    type_ = F.when(kind == "doc", rules.MENTION).otherwise(_pick(rules.RELATIONSHIPS, F.col("at")))
+    dst = F.concat(kind, F.lit("-"), "b", F.when(kind == "doc", "-0").otherwise(""))
+    return rows.select(src.alias("src"), type_.alias("type"), dst.alias("dst")).distinct()
 
 
 def definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
