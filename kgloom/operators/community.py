@@ -29,9 +29,10 @@ def semantic_edges(graph: Graph) -> DataFrame:
 def modularity(edges: DataFrame, partition: DataFrame, gamma: float = 1.0) -> DataFrame:
     """modularity of (node, community) over undirected edges (source, target)."""
     a, b = partition.select(F.col("node").alias("source"), F.col("community").alias("cs")), partition.select(F.col("node").alias("target"), F.col("community").alias("ct"))
-    rows = edges.join(a, "source").join(b, "target")
-    total = rows.agg(F.count("*").alias("m"), F.count_if(F.col("cs") == F.col("ct")).alias("inside"))
-    degrees = rows.select(F.explode(F.array("cs", "ct")).alias("c")).groupBy("c").agg(F.count("*").alias("d")).agg(F.sum(F.col("d").cast("double") * F.col("d")).alias("dd"))
+    # Both sums come from the stored numbers of edges between communities, so edges are made once.
+    rows = g.checkpointed(edges.join(a, "source").join(b, "target").groupBy("cs", "ct").agg(F.count("*").alias("n")))
+    total = rows.agg(F.sum("n").alias("m"), F.coalesce(F.sum(F.when(F.col("cs") == F.col("ct"), F.col("n"))), F.lit(0)).alias("inside"))
+    degrees = rows.select(F.explode(F.array("cs", "ct")).alias("c"), "n").groupBy("c").agg(F.sum("n").alias("d")).agg(F.sum(F.col("d").cast("double") * F.col("d")).alias("dd"))
     m = F.col("m").cast("double")
     return total.crossJoin(degrees).select(F.coalesce(F.col("inside") / m - gamma * F.col("dd") / (4 * m * m), F.lit(0.0)).alias("modularity"))
 
@@ -42,6 +43,7 @@ def label_propagation(edges: DataFrame, rounds: int = 3) -> DataFrame:
 
     A hub's label meets all its edges in the join; as an exchange follows on either side, adaptive
     execution splits such a key, and its votes combine before they are shuffled."""
+    edges = g.checkpointed(edges.select("source", "target"))
     sym = edges.select(F.col("source").alias("node"), F.col("target").alias("other")).unionByName(edges.select(F.col("target").alias("node"), F.col("source").alias("other")))
     nodes = sym.select("node").distinct()
     sym = g.checkpointed(sym.unionByName(nodes.select("node", F.col("node").alias("other"))))
@@ -181,7 +183,8 @@ def communities(edges: DataFrame, gamma: float = 1.0, task_edges: int = TASK_EDG
 
     Given the number of all edges, components do not depend on each other.  Those of up to
     `one_task` edges are clustered whole, several in a task; larger ones by joins over all tasks
-    (module leiden), with the same objective."""
+    (module leiden), with the same objective.  The edges are stored first, as every step reads them."""
+    edges = g.checkpointed(edges.select("source", "target"))
     n = edges.count()
     if n <= min(task_edges, one_task):
         return edges.withColumn("task", F.lit(0)).groupBy("task").applyInPandas(_leiden(gamma, 2.0 * n), "node string, community string")
