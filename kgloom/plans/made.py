@@ -29,7 +29,10 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         '<div class="avia-image-container"><a href="https://resources.example.com/webinar/topic-', k % 3, '"><img src="/t', k, '.png" alt="pic"></a></div>',
         '<div class="av_promobox"><p>RELATED ARTICLE: <a href="', other, '">Post ', k, "</a></p></div><p>Book a demo with us today</p></article></body></html>",
     )
-    return table(spark, sf_dir, "supplier").select(k.alias("page_id"), _text(SITE, "/guide/ch", k % 5, "/art", k).alias("url"), html.alias("html"))
+    # Parsing is work for many tasks, however few bytes the keys take: they are dealt out before pages are made.
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    suppliers = suppliers.repartition(4 * spark.sparkContext.defaultParallelism, "s_suppkey")
+    return suppliers.select(k.alias("page_id"), _text(SITE, "/guide/ch", k % 5, "/art", k).alias("url"), html.alias("html"))
 
 
 def _per_region(spark: SparkSession, sf_dir: str, line: Column) -> DataFrame:
