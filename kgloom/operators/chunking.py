@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Callable, Iterator
+from collections import deque
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -53,7 +54,8 @@ def recursive_split(text: str, config: Config, separators: tuple[str, ...] | Non
     mark, finer = separators[at], separators[at + 1 :]
     parts = list(text) if mark == "" else [p if i == 0 else mark + p for i, p in enumerate(text.split(mark))]
     out: list[str] = []
-    held: list[str] = []
+    held: deque[str] = deque()
+    length = 0  # of what is held
 
     def flush() -> None:
         if piece := "".join(held).strip():
@@ -63,13 +65,15 @@ def recursive_split(text: str, config: Config, separators: tuple[str, ...] | Non
         if len(part) > config.size and finer:
             flush()
             held.clear()
+            length = 0
             out += recursive_split(part, config, finer)
             continue
-        if held and sum(map(len, held)) + len(part) > config.size:
+        if held and length + len(part) > config.size:
             flush()
-            while held and (sum(map(len, held)) > config.overlap or sum(map(len, held)) + len(part) > config.size):
-                held.pop(0)
+            while held and (length > config.overlap or length + len(part) > config.size):
+                length -= len(held.popleft())
         held.append(part)
+        length += len(part)
     flush()
     return out
 
@@ -98,7 +102,7 @@ def header_split(lines: DataFrame) -> DataFrame:
 Section = tuple[str | None, str | None, str | None, str]  # h1, h2, h3, text
 
 
-def _sectioned(lines: Iterator[tuple[int, str]], joint: str) -> list[Section]:
+def _sectioned(lines: Iterable[tuple[int, str]], joint: str) -> list[Section]:
     """Sections of (heading level or 0, text) pairs; a heading closes those of its level and below."""
     heads: list[str | None] = [None, None, None]
     out: list[Section] = []
@@ -121,6 +125,9 @@ def _sectioned(lines: Iterator[tuple[int, str]], joint: str) -> list[Section]:
 
 def markdown_sections(text: str) -> list[Section]:
     """A section per heading of a Markdown text; lines in code fences are no headings."""
+    if "#" not in text:
+        return _sectioned([(0, text)], "\n")
+
     def lines() -> Iterator[tuple[int, str]]:
         fenced = False
         for line in text.split("\n"):

@@ -29,12 +29,16 @@ class Extractor(Protocol):
 
 def parse_results(rows: DataFrame) -> DataFrame:
     """chunk_id, nodes, relationships, failed from chunk_id, json; code fences are dropped,
-    missing lists are empty, what is no JSON object counts as failed."""
-    bare = text.strip(F.regexp_replace("json", r"(?m)^\s*```[a-z]*\s*$", ""))
-    x = F.from_json(bare, RESULT)
-    failed = F.coalesce(~(bare.startswith("{") & F.get_json_object(bare, "$").isNotNull()), F.lit(True))
-    part = lambda name, kind: F.coalesce(F.when(~failed, x[name]), F.array().cast(kind)).alias(name)
-    return rows.select("chunk_id", part("nodes", NODES), part("relationships", RELATIONSHIPS), failed.alias("failed"))
+    missing lists are empty, what is no JSON object counts as failed.
+
+    Each step is a selection of its own, so that a text is stripped and parsed once; a text that
+    begins and ends with a brace has nothing to strip."""
+    plain = F.col("json").startswith("{") & F.col("json").endswith("}") & ~F.col("json").contains("```")
+    bare = F.when(plain, F.col("json")).otherwise(text.strip(F.regexp_replace("json", r"(?m)^\s*```[a-z]*\s*$", "")))
+    failed = F.coalesce(~(F.col("bare").startswith("{") & F.get_json_object("bare", "$").isNotNull()), F.lit(True))
+    read = rows.select("chunk_id", bare.alias("bare")).select("chunk_id", failed.alias("failed"), F.from_json("bare", RESULT).alias("x"))
+    part = lambda name, kind: F.coalesce(F.when(~F.col("failed"), F.col("x")[name]), F.array().cast(kind)).alias(name)
+    return read.select("chunk_id", part("nodes", NODES), part("relationships", RELATIONSHIPS), "failed")
 
 
 def result_nodes(parsed: DataFrame) -> DataFrame:
@@ -51,7 +55,7 @@ def entity_id(label: F.Column, name: F.Column) -> F.Column:
 
 def merge_nodes(nodes: DataFrame, parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(new nodes, mention edges): an entity that exists keeps its properties."""
-    found = result_nodes(parsed)
+    found = g.checkpointed(result_nodes(parsed))  # read by both
     known = nodes.where("name is not null").groupBy("label", "name").agg(F.min("id").alias("known"))
     rows = found.join(known, ["label", "name"], "left").withColumn("id", F.coalesce("known", entity_id(F.col("label"), F.col("name"))))
     # Mentions of one entity combine before they meet what is known.
@@ -75,13 +79,25 @@ def merge_relationships(nodes: DataFrame, parsed: DataFrame) -> DataFrame:
     return named.join(left, "a").join(right, "b").select("src", "type", "dst").distinct()
 
 
+def merged(nodes: DataFrame, edges: DataFrame, parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(nodes, edges to add to `edges`) after one pass of parsed results.
+
+    What several later steps read is written once.  Mentions are held against mentions only; of the
+    edges, relations meet those that equal one of them."""
+    keys = ["src", "type", "dst"]
+    new, mentions = merge_nodes(nodes, parsed)
+    nodes = g.checkpointed(g.upsert_nodes(nodes, new.withColumn("labels", F.array(F.lit("__Entity__"), F.lit("__KGBuilder__"), "label"))))
+    mentions = g.checkpointed(mentions.join(edges.where(F.col("type") == rules.MENTION).select(keys), keys, "left_anti"))
+    relations = g.checkpointed(merge_relationships(nodes, parsed))
+    held = edges.select(keys).unionByName(mentions).join(relations, keys, "left_semi").distinct()
+    return nodes, mentions.unionByName(relations.join(held, keys, "left_anti"))
+
+
 def glean(nodes: DataFrame, edges: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(nodes, edges, counts) after one pass of results; a second pass changes nothing."""
-    parsed = parse_results(rows)
-    new, mentions = merge_nodes(nodes, parsed)
-    nodes = g.upsert_nodes(nodes, new.withColumn("labels", F.array(F.lit("__Entity__"), F.lit("__KGBuilder__"), "label")))
-    edges = g.upsert_edges(g.upsert_edges(edges, mentions), merge_relationships(nodes, parsed))
-    return nodes, edges, parsed.agg(F.count("*").alias("chunks"), F.count_if("failed").alias("failed"))
+    parsed = g.checkpointed(parse_results(rows))
+    nodes, more = merged(nodes, edges, parsed)
+    return nodes, edges.unionByName(more), parsed.agg(F.count("*").alias("chunks"), F.count_if("failed").alias("failed"))
 
 
 def candidate_chunks(chunks: DataFrame, limit: int | None = None) -> DataFrame:
@@ -108,13 +124,15 @@ def dictionary_mentions(chunks: DataFrame, terms: DataFrame, limit: int | None =
 
 class DictionaryExtractor:
     """The offline extractor: terms (label, name) found in a chunk, and RELATED_TO from each to the
-    next in the order of names."""
+    next in the order of names.  Where in the text they are is not asked, so texts are not joined
+    to what was found in them."""
 
     def __init__(self, terms: DataFrame) -> None:
-        self.terms = terms
+        self.terms = g.checkpointed(terms.select("label", "name").distinct())  # read several times a call
 
     def __call__(self, chunks: DataFrame) -> DataFrame:
-        found = dictionary_mentions(chunks, self.terms).groupBy("chunk_id").agg(F.array_sort(F.collect_set(F.struct("name", "label"))).alias("found"))
+        hits = linking.phrase_hits(candidate_chunks(chunks).select("id", "text"), self.terms.select("name"))
+        found = hits.join(self.terms, "name").groupBy(F.col("id").alias("chunk_id")).agg(F.array_sort(F.collect_set(F.struct("name", "label"))).alias("found"))
         node = lambda x: F.struct(x["name"].alias("id"), x["label"].alias("label"), F.struct(x["name"].alias("name")).alias("properties"))
         pair = lambda i: F.struct(F.lit("RELATED_TO").alias("type"), F.get("found", i)["name"].alias("source"), F.get("found", i + 1)["name"].alias("target"))
         pairs = F.when(F.size("found") > 1, F.transform(F.sequence(F.lit(0), F.size("found") - 2), pair))
@@ -156,17 +174,20 @@ def gleaned(documents: DataFrame, extract: Extractor, config: chunking.Config |
     edges = chunks.select(F.col("chunk_id").alias("src"), F.lit("FROM_ARTICLE").alias("type"), F.col("article_id").alias("dst"))
     unanswered, counts = None, []
     for n in range(1 + passes):
-        results = g.checkpointed(extract(asked))
-        bad = parse_results(results).groupBy("chunk_id").agg(F.bool_and("failed").alias("bad")).where("bad")
+        parsed = g.checkpointed(parse_results(extract(asked)))
+        bad = parsed.groupBy("chunk_id").agg(F.bool_and("failed").alias("bad")).where("bad")
         bad = g.checkpointed(bad.select("chunk_id"))
-        after, more, _ = glean(nodes, edges, results)
-        after, more = g.checkpointed(after), g.checkpointed(more)
-        changed = more.where(F.col("type") == rules.MENTION).join(edges, ["src", "type", "dst"], "left_anti").select(F.col("dst").alias("chunk_id")).distinct()
+        nodes, more = merged(nodes, edges, parsed)
+        more = g.checkpointed(more)
+        changed = g.checkpointed(more.where(F.col("type") == rules.MENTION).select(F.col("dst").alias("chunk_id")).distinct())
         unanswered = bad if unanswered is None else g.checkpointed(unanswered.join(bad, "chunk_id", "left_semi"))
-        again = g.checkpointed(asked.join(changed.unionByName(bad).distinct().withColumnRenamed("chunk_id", "id"), "id", "left_semi"))
         counts.append((n, asked.count(), bad.count(), changed.count()))
-        nodes, edges, asked = after, more, again
-        if not asked.limit(1).count():
+        edges = edges.unionByName(more)
+        again = changed.unionByName(bad)
+        if n == passes or again.isEmpty():
+            break
+        asked = g.checkpointed(asked.join(again.distinct().withColumnRenamed("chunk_id", "id"), "id", "left_semi"))
+        if asked.isEmpty():
             break
     held = chunks.join(unanswered.withColumn("bad", F.lit(True)), "chunk_id", "left").groupBy(F.col("article_id").alias("id")).agg(F.count("*").alias("n_chunks"), F.count_if("bad").alias("n_failed"))
     rows = documents.select(F.col("id").cast("string").alias("id")).join(held, "id", "left").fillna(0, ["n_chunks", "n_failed"])

@@ -35,26 +35,30 @@ def phrase_hits(texts: DataFrame, names: DataFrame) -> DataFrame:
 
     ' name ' occurs in ' text ' just when the name's words, split at single spaces, follow one
     another in the text's.  A name meets the texts only at its rarest word, found by a count over
-    the texts; the words around that one, which travel with it, tell whether the phrase is there.
+    the texts if any name has several; the words around that one tell whether the phrase is there.
     So a common word costs nothing where a name has a rarer one.  Names under NAME_BYTES are
-    broadcast; else a bitmap of the rarest words' hashes (SLOTS bits at most, whatever the number
-    of names) goes to the scan, and only words that pass it are shuffled."""
+    broadcast and look into the text's words where they meet one; else a bitmap of the rarest words'
+    hashes (SLOTS bits at most, whatever the number of names) goes to the scan, and only words that
+    pass it are shuffled, with the words around them."""
     names = names.where("name is not null").select("name", F.split("name", " ").alias("parts")).distinct()
     known = names.agg(F.sum(2 * F.length("name") + 60), F.max(F.size("parts"))).first()
     small, reach = (known[0] or 0) <= NAME_BYTES, (known[1] or 1) - 1
     split = F.split(F.lower(F.col("text")), " ")
-    words = texts.select("id", F.explode(split).alias("word"))
-    anchors = _anchors(words, names, small)
-    first = lambda i: F.greatest(i - reach, F.lit(0))
-    around = F.transform("words", lambda w, i: F.struct(i.alias("at"), w.alias("word"), F.slice("words", first(i) + 1, F.lit(2 * reach + 1)).alias("near")))
-    tokens = texts.select("id", split.alias("words")).select("id", F.inline(around))
+    if reach:
+        anchors = _anchors(texts.select("id", F.explode(split).alias("word")), names, small)
+    else:
+        anchors = names.select("name", "parts", F.lit(0).alias("j"), F.get("parts", 0).alias("word"))
+    # Outer, else a filter on the size of the array splits every text once more; a null meets no name.
+    tokens = texts.select("id", split.alias("near")).select("id", "near", F.posexplode_outer("near").alias("at", "word"))
+    begins, first = F.col("at") - F.col("j"), F.lit(0)
     if small:
         anchors = F.broadcast(anchors)
     else:
         slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS))
         tokens = tokens.withColumn("slot", slot("word")).join(F.broadcast(anchors.select(slot("word").alias("slot")).distinct()), "slot", "left_semi").drop("slot")
-    begins = F.col("at") - F.col("j")
-    there = (begins >= 0) & (F.slice("near", begins - first(F.col("at")) + 1, F.size("parts")) == F.col("parts"))
+        first = F.greatest(F.col("at") - reach, F.lit(0))
+        tokens = tokens.withColumn("near", F.slice("near", first + 1, F.lit(2 * reach + 1)))
+    there = (begins >= 0) & (F.slice("near", begins - first + 1, F.size("parts")) == F.col("parts"))
     return tokens.join(anchors, "word").where(there).select("id", "name", begins.alias("pos"))
 
 

@@ -211,3 +211,29 @@ def test_one_json_document(spark, tmp_path):
     text = "".join(p.read_text() for p in sorted((tmp_path / "doc").glob("part-*")))
     found = json.loads(text)
     assert found["title"] == "G" and [a["article_id"] for a in found["articles"][1:]] == ["a1", "a2"] and found["terms"][1]["definition"] == "d"
+
+
+def test_results_are_parsed_once_and_texts_not_joined_again(spark):
+    """No later step holds the parsing of the results; a dictionary's answer needs no place in a text."""
+    from kgloom.operators import extraction
+
+    plan = lambda rows: rows._jdf.queryExecution().optimizedPlan().toString()
+    nodes = spark.createDataFrame([("n1", ["Concept"], "Concept", "beta", None)], "id string, labels array<string>, label string, name string, definition string")
+    edges = spark.createDataFrame([("n1", "MENTIONED_IN", "c1")], "src string, type string, dst string")
+    answers = [
+        ("c1", '{"nodes": [{"id": "Alpha", "label": "Concept"}, {"id": "beta", "label": "Concept"}], "relationships": [{"type": "USED_BY", "source": "alpha", "target": "Beta"}]}'),
+        ("c2", ' ```json\n{"nodes": [{"id": "beta", "label": ""}]}\n```\n'),
+        ("c3", ' {"nodes": [{"id": "beta", "label": "Concept"}]} '),
+        ("c4", '{"nodes": [}'),
+        ("c5", None),
+    ]
+    after, found, counts = extraction.glean(nodes, edges, spark.createDataFrame(answers, "chunk_id string, json string"))
+    assert not any("from_json" in plan(rows).lower() or "jsontostructs" in plan(rows).lower() for rows in (after, found, counts))
+    alpha = next(r["id"] for r in after.collect() if r["name"] == "alpha")
+    assert sorted(map(tuple, found.collect())) == sorted([("n1", "MENTIONED_IN", c) for c in ("c1", "c2", "c3")] + [(alpha, "MENTIONED_IN", "c1"), (alpha, "USED_BY", "n1")])
+    assert tuple(counts.first()) == (5, 2)
+    chunks = spark.createDataFrame([("c1", 0, "Alpha meets alpha and beta in a sentence of over fifty characters."), ("c2", 1, "alpha, but short"), ("c3", 2, None)], "id string, index int, text string")
+    answer = extraction.DictionaryExtractor(spark.createDataFrame([("Tool", "alpha"), ("Concept", "alpha"), ("Tool", "beta")], "label string, name string"))(chunks)
+    assert "_starts" not in plan(answer)
+    rows = extraction.parse_results(answer).collect()
+    assert [(r["chunk_id"], [(n["label"], n["id"]) for n in r["nodes"]], len(r["relationships"])) for r in rows] == [("c1", [("Concept", "alpha"), ("Tool", "alpha"), ("Tool", "beta")], 2)]
