@@ -4,9 +4,11 @@ Both are folders of Parquet that grow by one ingest at a time; a search reads on
 partitions that its terms or its query vector lead to.  An id that an index holds already is
 not added again.
 
-Text index.  postings: ingest, bucket (of the term's hash), term, id, tf, size; docs: ingest, id,
-size.  Within a file terms are sorted, so the term filter skips row groups; a term that a third
-of the texts have is divided over files by adaptive rebalancing.
+Text index.  postings: ingest, bucket (of the term's hash), term, id, tf, size; bucket -1 holds a row
+of no term for each text.  Within a file terms are sorted, so the term filter skips row groups; a
+term that a third of the texts have is divided over files by adaptive rebalancing.  A text is
+shuffled twice: whole, to be held against the ids there, and as GROUPS short lists of the terms that
+go to the same files.  Terms become rows, and are counted, only behind that.
 
 Vector index.  Centroids are fitted once, by k-means on at most SAMPLE vectors (the rows with the
 least hashes); every vector goes to its nearest centroid's cell.  How many cells a search reads is
@@ -29,6 +31,8 @@ from . import graphops as g
 from . import nearest, retrieval
 
 BUCKETS = 64
+GROUPS = 8  # of buckets that are written together; divides BUCKETS
+TEXTS = -1  # the bucket of rows that stand for texts
 SAMPLE = 20_000
 TRIED = 200
 RECALL = 0.97
@@ -41,8 +45,29 @@ def _there(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
-def _bucket(term: F.Column) -> F.Column:
-    return F.pmod(F.xxhash64(term), F.lit(BUCKETS)).cast("int")
+def _bucket(term: F.Column, buckets: int = BUCKETS) -> F.Column:
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    """id, size, part, terms from id, tokens: the terms of each group of buckets, with repeats, joined
+    by spaces (no token has one), and part TEXTS for each text.
+
+    Outer generators, else a filter on the size of their array computes it once more."""
+    marked = rows.select("id", F.size("tokens").alias("size"), F.transform("tokens", lambda t: F.struct(_bucket(t, GROUPS).alias("part"), t.alias("term"))).alias("tokens"))
+    terms = lambda i: F.array_join(F.transform(F.filter("tokens", lambda x: x["part"] == i), lambda x: x["term"]), " ")
+    parts = F.transform(F.sequence(F.lit(TEXTS), F.lit(GROUPS - 1)), lambda i: F.struct(i.alias("part"), terms(i).alias("terms")))
+    return marked.select("id", "size", F.inline_outer(parts)).where((F.col("terms") != "") | (F.col("part") == TEXTS))
+
+
+def _counted(dealt: DataFrame) -> DataFrame:
+    """id, size, term, tf, bucket of what _dealt gives: lengths of the runs of sorted terms."""
+    rows = dealt.select("id", "size", "part", F.sort_array(F.split(F.coalesce("terms", F.lit("")), " ")).alias("terms"))
+    begins = F.filter(F.sequence(F.lit(0), F.size("terms") - 1), lambda i: (i == 0) | (F.get("terms", i) != F.get("terms", i - 1)))
+    rows = rows.select("id", "size", "part", "terms", begins.alias("begins"))
+    run = lambda b, k: F.struct(F.get("terms", b).alias("term"), (F.coalesce(F.get("begins", k + 1), F.size("terms")) - b).cast("long").alias("tf"))
+    rows = rows.select("id", "size", "part", F.inline_outer(F.transform("begins", run)))
+    return rows.select("id", "size", "term", "tf", F.when(F.col("part") == TEXTS, TEXTS).otherwise(_bucket(F.col("term"))).alias("bucket"))
 
 
 class TextIndex:
@@ -53,15 +78,14 @@ class TextIndex:
 
     def add(self, texts: DataFrame, ingest: str) -> None:
         """Index texts (id, text; a null text counts as a text, not in the mean size).  The same ingest replaces its own rows."""
-        if _there(self.spark, f"{self.path}/docs"):
-            held = self.spark.read.parquet(f"{self.path}/docs").where(F.col("ingest") != ingest)
+        texts = texts.select("id", "text").repartition("id")
+        if _there(self.spark, f"{self.path}/postings"):
+            kind = dict(texts.dtypes)["id"]
+            held = self.spark.read.schema(f"id {kind}, ingest string, bucket int").parquet(f"{self.path}/postings").where((F.col("bucket") == TEXTS) & (F.col("ingest") != ingest))
             texts = texts.join(held.select("id"), "id", "left_anti")
         rows = texts.dropDuplicates(["id"]).select("id", retrieval.tokens(F.col("text")).alias("tokens"))
-        rows = g.checkpointed(rows.select("id", F.size("tokens").alias("size"), "tokens"))
-        postings = rows.select("id", "size", F.explode("tokens").alias("term")).groupBy("id", "size", "term").agg(F.count("*").alias("tf"))
-        postings = postings.withColumn("bucket", _bucket(F.col("term"))).hint("rebalance", "bucket").sortWithinPartitions("bucket", "term")
-        postings.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/postings/ingest={ingest}")
-        rows.select("id", "size").write.mode("overwrite").parquet(f"{self.path}/docs/ingest={ingest}")
+        postings = _counted(_dealt(rows).hint("rebalance", "part")).sortWithinPartitions("bucket", "term")
+        postings.write.mode("overwrite").option("compression", "zstd").partitionBy("bucket").parquet(f"{self.path}/postings/ingest={ingest}")
 
     def postings(self, terms: list[str]) -> DataFrame:
         """id, size, term, tf of the lower-cased terms."""
@@ -72,7 +96,7 @@ class TextIndex:
     def search(self, terms: list[str], k: int = 10) -> DataFrame:
         """id, score: the k best texts."""
         hits = self.postings(terms)
-        sizes = self.spark.read.parquet(f"{self.path}/docs").agg(F.count("*").alias("docs"), F.avg("size").alias("mean"))
+        sizes = self.spark.read.parquet(f"{self.path}/postings").where(F.col("bucket") == TEXTS).agg(F.count("*").alias("docs"), F.avg("size").alias("mean"))
         return retrieval.scored_terms(hits, sizes, k)
 
 

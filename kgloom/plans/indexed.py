@@ -46,7 +46,7 @@ def backfilled_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def text_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """BM25 from postings that two ingests wrote."""
-    chunks = project.chunks(spark, sf_dir).select("id", "text")
+    chunks = project.texts(spark, sf_dir)
     index = indexes.TextIndex(spark, _place(spark, "text"))
     odd = F.pmod(F.xxhash64("id"), F.lit(2)) == 1
     index.add(chunks.where(odd), "first")

@@ -70,13 +70,26 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", "source", F.posexplode(F.split("text", "\n")).alias("pos", "text"))
+
+
+def _chunk_id() -> Column:
+    return F.concat_ws("-", F.lit("doc"), F.col("doc_id").cast("string"), F.col("pos").cast("string"))
+
+
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """id, text of the chunks; which of them have a vector is not looked up, so nothing is shuffled."""
+    return _lines(spark, sf_dir).select(_chunk_id().alias("id"), "text")
+
+
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     d, i = F.col("doc_id"), F.col("pos")
     article = F.when(d % 23 == 0, None).otherwise(F.concat(F.lit("ch"), F.expr("int(substring(source, 4))"), F.lit("-art"), d))
-    lines = table(spark, sf_dir, "documents").select("doc_id", "source", F.posexplode(F.split("text", "\n")).alias("pos", "text"))
+    lines = _lines(spark, sf_dir)
     vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), F.lit(True).alias("embedded"))
     return lines.join(vectors, "doc_id", "left").select(
-        F.concat_ws("-", F.lit("doc"), d.cast("string"), i.cast("string")).alias("id"), article.alias("article_id"), F.when(d % 17 != 0, i).alias("index"),
+        _chunk_id().alias("id"), article.alias("article_id"), F.when(d % 17 != 0, i).alias("index"),
         F.when(d % 29 != 0, F.concat(F.lit("c"), d, F.lit("_"), i)).alias("chunk_id"), "text", F.coalesce("embedded", F.lit(False)).alias("embedded"),
     )
 

@@ -71,6 +71,31 @@ def test_text_index_grows_and_equals_the_scan(spark, medium, tmp_path):
     assert "PartitionFilters: [bucket" in plan and "In(term" in plan or "EqualTo(term" in plan
 
 
+def test_text_index_shuffles_no_postings(spark, tmp_path):
+    """What an ingest shuffles are texts and a few lists of each, not a row for every term of a text."""
+    store, none = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._jvm.java.util.ArrayList()
+    quantiles = spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0)
+
+    def shuffled():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+        stages = store.stageList(none, False, False, quantiles, none)
+        return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+    texts = [(f"t{i}", " ".join(f"w{i * j % 97}x{j}" for j in range(200)) + " one One ONE") for i in range(60)] + [("none", None), ("empty", ""), ("marks", " .,- ")]
+    rows = spark.createDataFrame(texts, "id string, text string")
+    before = shuffled()
+    index = indexes.TextIndex(spark, str(tmp_path / "few"))
+    index.add(rows.unionByName(rows), "first")
+    assert shuffled() - before < 60 * 60
+    got = {(r["id"], r["term"], r["tf"], r["size"]) for r in index.postings(["one", "w0x0", "w5x5", ""]).collect()}
+    assert {x for x in got if x[1] == "one"} == {(f"t{i}", "one", 3, 203) for i in range(60)}
+    assert {x for x in got if x[1] == "w5x5"} == {("t1", "w5x5", 1, 203)} and len(got) == 121
+    index.add(rows.limit(0), "none")
+    index.add(spark.createDataFrame([("t1", "one"), ("new", "one")], "id string, text string"), "second")
+    assert index.postings(["one"]).count() == 61
+    assert ranked(index.search(["one"], 61)) == ranked(retrieval.bm25(rows.unionByName(spark.createDataFrame([("new", "one")], rows.schema)), ["one"], 61))
+
+
 def test_vector_index_recall_and_exact_search(spark, medium, tmp_path):
     vectors = spark.read.parquet(f"{medium}/embeddings.parquet").select(F.col("vec_id").alias("id"), "embedding")
     index = indexes.VectorIndex(spark, str(tmp_path / "vectors"))
