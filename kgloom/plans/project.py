@@ -83,20 +83,34 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lines(spark, sf_dir).select(_chunk_id().alias("id"), "text")
 
 
-def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _embedded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), F.lit(True).alias("embedded"))
+
+
+def _as_chunks(lines: DataFrame, value: str) -> DataFrame:
     d, i = F.col("doc_id"), F.col("pos")
     article = F.when(d % 23 == 0, None).otherwise(F.concat(F.lit("ch"), F.expr("int(substring(source, 4))"), F.lit("-art"), d))
-    lines = _lines(spark, sf_dir)
-    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), F.lit(True).alias("embedded"))
-    return lines.join(vectors, "doc_id", "left").select(
+    return lines.select(
         _chunk_id().alias("id"), article.alias("article_id"), F.when(d % 17 != 0, i).alias("index"),
-        F.when(d % 29 != 0, F.concat(F.lit("c"), d, F.lit("_"), i)).alias("chunk_id"), "text", F.coalesce("embedded", F.lit(False)).alias("embedded"),
+        F.when(d % 29 != 0, F.concat(F.lit("c"), d, F.lit("_"), i)).alias("chunk_id"), value, F.coalesce("embedded", F.lit(False)).alias("embedded"),
     )
 
 
-def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct edges, in partitions by src: what is dealt out is the keys as numbers, the strings
-    are made afterwards, and a join on src finds its rows where they are."""
+def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_chunks(_lines(spark, sf_dir).join(_embedded(spark, sf_dir), "doc_id", "left"), "text")
+
+
+def chunk_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """chunks() with the size of each text in place of the text: only the sizes of a document meet
+    its vector."""
+    sizes = F.transform(F.split("text", "\n"), F.length)
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source", sizes.alias("sizes"))
+    return _as_chunks(documents.join(_embedded(spark, sf_dir), "doc_id", "left").select("doc_id", "source", "embedded", F.posexplode("sizes").alias("pos", "size")), "size")
+
+
+def edge_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges as often as the tables have them, in partitions by src: what is dealt out is the keys as
+    numbers, the strings are made afterwards, and a join on src finds its rows where they are."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     row = lambda kind, a, at, b: (F.lit(kind).alias("kind"), F.col(a).cast("long").alias("a"), at.cast("int").alias("at"), F.col(b).cast("long").alias("b"))
@@ -111,7 +125,11 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("kind")
     type_ = F.when(kind == "doc", rules.MENTION).otherwise(_pick(rules.RELATIONSHIPS, F.col("at")))
     dst = F.concat(kind, F.lit("-"), "b", F.when(kind == "doc", "-0").otherwise(""))
-    return rows.select(src.alias("src"), type_.alias("type"), dst.alias("dst")).distinct()
+    return rows.select(src.alias("src"), type_.alias("type"), dst.alias("dst"))
+
+
+def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edge_rows(spark, sf_dir).distinct()
 
 
 def definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,3 +154,8 @@ def webinars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def graph(spark: SparkSession, sf_dir: str) -> Graph:
     return Graph(entities(spark, sf_dir), edges(spark, sf_dir), chunks(spark, sf_dir), articles(spark, sf_dir), definitions(spark, sf_dir), webinars(spark, sf_dir))
+
+
+def counted(spark: SparkSession, sf_dir: str) -> Graph:
+    """graph() for census.summary(), which takes an edge once and of texts their sizes."""
+    return graph(spark, sf_dir).with_(edges=edge_rows(spark, sf_dir), chunks=chunk_sizes(spark, sf_dir))

@@ -26,6 +26,10 @@ def over(build: Callable[[Graph], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(project.graph(spark, sf_dir))
 
 
+def counted(build: Callable[[Graph], DataFrame]) -> Query:
+    return lambda spark, sf_dir: build(project.counted(spark, sf_dir))
+
+
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
 
@@ -253,8 +257,8 @@ QUERIES: dict[str, Query] = {
     "truncated_titles": over(checks.truncated_titles),
     "mislabeled_challenges": over(checks.mislabeled_challenges),
     "chunk_article_mapping": over(checks.chunk_article_mapping),
-    "validation_summary": over(lambda x: census.summary(x, limited=True)),
-    "validation_counts": over(census.summary),
+    "validation_summary": counted(lambda x: census.summary(x, limited=True)),
+    "validation_counts": counted(census.summary),
     "validation_passed": over(lambda x: checks.passed(census.summary(x, limited=True))),
     "fix_chunk_index": over(lambda x: repairs.chunk_index(x).chunks.select("id", "article_id", "index")),
     "fix_chunk_ids": over(lambda x: repairs.chunk_ids(x).chunks.select("id", "chunk_id")),
