@@ -115,7 +115,8 @@ def edge_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     row = lambda kind, a, at, b: (F.lit(kind).alias("kind"), F.col(a).cast("long").alias("a"), at.cast("int").alias("at"), F.col(b).cast("long").alias("b"))
     at = lambda c: c % len(rules.RELATIONSHIPS)
-    bought = lines.join(orders, "l_orderkey").select(*row("cust", "l_partkey", at(F.col("l_linenumber") * 2 + F.col("l_suppkey")), "o_custkey"))
+    sold = lines.select("l_orderkey", "l_partkey", at(F.col("l_linenumber") * 2 + F.col("l_suppkey")).cast("int").alias("at"))
+    bought = sold.join(orders, "l_orderkey").select(*row("cust", "l_partkey", F.col("at"), "o_custkey"))
     made = lines.select(*row("part", "l_partkey", at(F.col("l_linenumber")), "l_suppkey"))
     first = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("event_id"))
     seen = table(spark, sf_dir, "events").select("event_id", "user_id").join(first, "event_id", "left_semi")

@@ -259,7 +259,7 @@ QUERIES: dict[str, Query] = {
     "chunk_article_mapping": over(checks.chunk_article_mapping),
     "validation_summary": counted(lambda x: census.summary(x, limited=True)),
     "validation_counts": counted(census.summary),
-    "validation_passed": over(lambda x: checks.passed(census.summary(x, limited=True))),
+    "validation_passed": counted(lambda x: checks.passed(census.summary(x, limited=True))),
     "fix_chunk_index": over(lambda x: repairs.chunk_index(x).chunks.select("id", "article_id", "index")),
     "fix_chunk_ids": over(lambda x: repairs.chunk_ids(x).chunks.select("id", "chunk_id")),
     "fix_titles": over(lambda x: repairs.titles(x).webinars.select("id", "title")),
